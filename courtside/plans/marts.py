@@ -120,7 +120,12 @@ def player_versions(common: DataFrame, teams: DataFrame, as_of: Column) -> DataF
 
 
 def team_history(
-    common: DataFrame, teams: DataFrame, stats: DataFrame, header: DataFrame, as_of: Column
+    common: DataFrame,
+    teams: DataFrame,
+    stats: DataFrame,
+    header: DataFrame,
+    as_of: Column,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
     """Source rows for the team-history form: one per player, season and team, with the first
     and last day played. The stint that ends on the player's last day is still open.
@@ -134,7 +139,7 @@ def team_history(
         .agg(F.min("game_date").alias("start_date"), F.max("game_date").alias("end_date"))
     )
     stint = ["id", "season", "team_id"]
-    newest = latest_by(player_attributes(common), stint, latest_first("_create_date"))
+    newest = latest_by(player_attributes(common), stint, latest_first("_create_date", *tie))
     dated = newest.join(played, stint, "left")
     # one row per stint by now: a player's group is bounded by seasons x teams
     last = with_group_stats(dated, ["id"], last_played_date=F.max("end_date"))

@@ -1,6 +1,6 @@
 """Registered queries. Importing the package fills the registry."""
 
-from courtside.queries import timing  # noqa: F401
+from courtside.queries import rosters, timing  # noqa: F401
 from courtside.queries.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
