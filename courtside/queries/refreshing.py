@@ -1,0 +1,73 @@
+"""The whole reporting refresh over the given tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from courtside.plans.refresh import refresh_all
+from courtside.queries.league import League, with_tables
+from courtside.queries.registry import query
+from courtside.queries.rosters import AFTER, landed_players
+from courtside.session import fresh_path
+
+LAST_DAY = dt.date(2001, 12, 31)
+
+
+def landed_tables(lg: League) -> dict:
+    # a team's roster of a season is one customer here, so open games list few players
+    games = lg.games.withColumns({"home_team_id": F.col("player_id"), "visitor_team_id": F.floor(F.col("o_totalprice") / 500).cast("int")})
+    box = games.select(
+        F.col("id").alias("game_id"), "player_id", F.col("player_id").cast("int").alias("team_id"), "season",
+        F.concat(F.lit("T"), F.col("player_id").cast("string")).alias("team_abbreviation"),
+        F.substring("o_orderpriority", 1, 1).alias("start_position"), F.lit(None).cast("string").alias("comment"),
+        F.col("game_date").alias("_create_date"),
+    ).join(lg.box_lines, "game_id")
+    common = landed_players(lg, LAST_DAY).withColumn("_team_id", F.col("person_id"))
+    return {
+        "player_common": common,
+        "player_common_all": common.withColumn("_create_date", F.lit(AFTER)),
+        "team": lg.table("customer").select(
+            F.col("c_custkey").cast("int").alias("team_id"), F.col("c_name").alias("team_name"),
+            F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("team_abbrv"),
+        ),
+        "header": games.select(
+            F.col("id").alias("game_id"), F.col("game_code").alias("gamecode"), "game_date",
+            F.col("game_status").alias("game_status_text"), "home_team_id", "visitor_team_id",
+            F.col("season").alias("_season"), F.col("season_type").alias("_season_type"),
+        ),
+        "player_box": box,
+        "team_box": box.select("game_id", "team_id", "_create_date", "pts", "seconds"),
+        "news": lg.news,
+    }
+
+
+@query(
+    "reporting_refresh",
+    with_tables(
+        "game line item",
+        """with who as (select distinct player_id from game), last_season as (select player_id, max(season) as season from game group by all),
+        boxed as (select g.id, g.player_id, g.season, game_status from game g join line l on l.game_id = g.id),
+        roster as (select * from last_season),
+        vis as (select o_orderkey as id, cast(floor(o_totalprice / 500) as bigint) as visitor from orders),
+        wait as (select g.id, g.player_id as team, g.season, 'H' as loc, game_date from game g where game_status <> 'Final'
+                 union all select g.id, visitor, g.season, 'V', game_date from game g join vis using (id) where game_status <> 'Final'),
+        sched as (
+          select distinct b.id, b.player_id, game_date, 'H' as loc from boxed b join game g using (id) where g.game_status = 'Final'
+          union select w.id, r.player_id, game_date, loc from wait w join roster r on r.player_id = w.team and r.season = w.season)
+        select 'dim_player' as table_name, count(*) as rows from who
+        union all select 'dim_game', count(*) from game
+        union all select 'dim_player_team_history', count(*) from who
+        union all select 'fct_game_team', count(*) from boxed
+        union all select 'fct_game_player', count(*) from boxed
+        union all select 'dim_player_schedule', count(*) from sched
+        union all select 'player_time', count(*) from (select distinct player_id, game_date from sched)
+        union all select 'player_latest_news', count(distinct playerid) from item""",
+    ),
+)
+def reporting_refresh(lg: League):
+    """Rows per table after a first refresh."""
+    root = fresh_path(lg.spark, "reporting")
+    counts = refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
+    return lg.spark.createDataFrame(list(counts.items()), "table_name string, rows bigint")

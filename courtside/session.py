@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # a season such as 2001-02 is text, also where it names a folder
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

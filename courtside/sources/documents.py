@@ -28,13 +28,15 @@ def read_documents(spark: SparkSession, path: str | list[str], whole: bool = Fal
 
 
 def scrape(
-    docs: DataFrame, index: int, schema: T.StructType, body: str = "body", keep: Sequence[str] = ()
+    docs: DataFrame, index: int, schema: T.StructType | str, body: str = "body", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Rows of the ``index``-th result set of every document.
 
     Columns are found by header, ignoring case; a header the document lacks gives NULL.
-    ``keep`` names document columns (ids, season) to carry along.
+    ``keep`` names document columns (ids, season) to carry along; ``schema`` may be DDL text.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     parsed = docs.select(*keep, F.get(F.from_json(body, RESULT_SETS)["resultSets"], F.lit(index)).alias("rs"))
     rows = parsed.select(
         *keep,
@@ -51,7 +53,7 @@ def scrape(
 
 
 def scrape_measure(
-    docs: DataFrame, grain: str, name: str, measure: str, schema: T.StructType, **options
+    docs: DataFrame, grain: str, name: str, measure: str, schema: T.StructType | str, **options
 ) -> DataFrame:
     """``scrape`` with the result set looked up by document type and measure name."""
     return scrape(docs, result_index(grain, name, measure), schema, **options)
@@ -114,7 +116,7 @@ def read_news(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
 
 
 def read_player_lists(
-    spark: SparkSession, root: str, seasons: Iterable[str], schema: T.StructType, whole: bool = False
+    spark: SparkSession, root: str, seasons: Iterable[str], schema: T.StructType | str, whole: bool = False
 ) -> DataFrame:
     """Player lists of the named seasons, landed under ``root/_season=<season>/``."""
     docs = read_documents(spark, [f"{root}/_season={s}" for s in seasons], whole, basePath=root)

@@ -1,0 +1,5 @@
+import importlib, sys
+sys.path.insert(0, "/root/repo")
+from courtside.queries import QUERIES
+src = "".join(open(importlib.import_module(f"courtside.queries.{m}").__file__).read() for m in sys.argv[1:])
+print(" ".join(q for q in QUERIES if f'"{q}"' in src))
