@@ -10,6 +10,7 @@ from courtside.functions import scalars as fn
 from courtside.functions.ordering import earliest_first, latest_first
 from courtside.operators.windows import global_previous, latest_by, previous, rolling, with_group_stats
 from courtside.plans.control import EXHIBITION_TEAMS, FINAL
+from courtside.session import settle
 from courtside.sources.schemas import HUSTLE_STATS, OPPONENT_STATS
 
 # Defence categories and the columns that average them.
@@ -332,7 +333,8 @@ def _one_per_day(rows: DataFrame) -> DataFrame:
 def player_time(schedule_rows: DataFrame, facts: DataFrame, players: DataFrame, news: DataFrame) -> DataFrame:
     """Rolling playing time of every player and game day, the share of the position's time, and
     the injury flag from the player's latest news."""
-    rows = _appeared(schedule_rows, facts, players)
+    # three steps read these rows: position totals, and both passes of the player windows
+    rows = settle(_appeared(schedule_rows, facts, players), "appeared")
     totals = position_time(rows)
     # ids that differ in padding only are one player here
     item = latest_by(
@@ -398,7 +400,7 @@ def daily_schedule(
     )
     day = ["season", "team_id", "game_date", "pos"]
     # the inner join to hustle comes before the windows: it decides which rows count
-    rows = _appeared(schedule_rows, facts, players).join(effort, ["opp_team_id", "season"])
+    rows = settle(_appeared(schedule_rows, facts, players).join(effort, ["opp_team_id", "season"]), "appeared")
     return (
         _one_per_day(_player_windows(rows, averages=False))
         .join(_per_day(totals, day), day, "left")
@@ -478,7 +480,8 @@ def played_game_features(
         .join(line, ["game_id", "player_id"])
         .withColumn("fdpts", fn.fantasy_points())
     )
-    averaged = with_group_stats(scored, ["player_id", "season"], avg_fdpts=F.avg("fdpts"))
+    # the lag reads the rows twice: for the block tails and for the rows themselves
+    averaged = settle(with_group_stats(scored, ["player_id", "season"], avg_fdpts=F.avg("fdpts")), "scored")
     order = ["season", "team_id", "player_id", "game_date", "game_id"]
     if across_players:
         month = averaged.withColumn("_month", F.trunc("game_date", "month"))

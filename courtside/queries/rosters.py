@@ -7,13 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from courtside.functions import scalars as fn
-from courtside.functions.ordering import earliest_first, latest_first
 from courtside.operators.scd2 import duplicate_keys, scd2
-from courtside.operators.windows import latest_by, previous
+from courtside.operators.windows import previous
 from courtside.plans import control, marts
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import query
 from courtside.queries.timing import TIME_SQL
+from courtside.session import settle
 from courtside.sources.landing import conform, null_violations
 from courtside.sources.schemas import compared_columns, dim_player
 
@@ -25,11 +25,12 @@ AFTERNOON = " 13:05:00"
 def landed_players(lg: League, until: dt.date) -> DataFrame:
     """Player rows as landed on a day: attributes as text, taken from the customer's orders so far."""
     orders = lg.table("orders").where(F.col("o_orderdate").cast("date") <= F.lit(until))
-    career = orders.groupBy("o_custkey").agg(
+    newest = F.struct("o_orderdate", "o_orderkey")
+    career = orders.groupBy(F.col("o_custkey").cast("int").alias("person_id")).agg(
         F.count(F.lit(1)).cast("int").alias("season_exp"),
         F.min(F.year("o_orderdate")).alias("from_year"), F.max(F.year("o_orderdate")).alias("to_year"),
-    )
-    last = latest_by(orders, ["o_custkey"], latest_first("o_orderdate", "o_orderkey"))
+        F.max_by(F.struct("o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice"), newest).alias("last"),
+    ).select("*", "last.*").drop("last")
     person = lg.players.select(
         F.col("id").cast("int").alias("person_id"), "first_name", "last_name", "display_first_last",
         F.concat("last_name", F.lit(", "), "first_name").alias("display_last_comma_first"),
@@ -41,9 +42,7 @@ def landed_players(lg: League, until: dt.date) -> DataFrame:
     )
     low = F.col("o_orderpriority") == "5-LOW"
     return (
-        last.join(career, "o_custkey")
-        .withColumn("person_id", F.col("o_custkey").cast("int"))
-        .join(person, "person_id")
+        career.join(person, "person_id")
         .select(
             *person.columns, "season_exp", "from_year", "to_year",
             F.when(F.col("o_orderstatus") == "P", "").otherwise(
@@ -100,11 +99,11 @@ def _dimension(lg: League) -> DataFrame:
         {"rec_start_date": F.lit(BEFORE), "rec_end_date": F.lit(BEFORE),
          "is_rec_active": F.col("rosterstatus") == "Active", "created_at": _at(BEFORE), "updated_at": F.lit(None).cast("timestamp")}
     )
-    return conform(closed, dim_player()).unionByName(conform(current, dim_player()))
+    return settle(conform(closed, dim_player()).unionByName(conform(current, dim_player())), "dim-player")
 
 
 def _source(lg: League) -> DataFrame:
-    return _versions(lg, AFTER)
+    return settle(_versions(lg, AFTER), "player-versions")
 
 
 SHOWN = (
@@ -217,12 +216,9 @@ def _history_source(lg: League, games: DataFrame, day: dt.date) -> DataFrame:
         *[F.lit("").alias(c) for c in ("height", "jersey")],
         *[F.lit(None).cast("string").alias(c) for c in ("birthdate", "dleague_flag", "games_played_flag", "position")],
     )
-    return conform(
-        marts.team_history(
-            landed, lg.landed_teams, stats, side.select("game_id", "game_date"), _at(day), tie=("_row",)
-        ).withColumns({"created_at": _at(day), "updated_at": F.lit(None).cast("timestamp")}),
-        dim_player(history=True),
-    )
+    rows = marts.team_history(landed, lg.landed_teams, stats, side.select("game_id", "game_date"), _at(day), tie=("_row",))
+    rows = rows.withColumns({"created_at": _at(day), "updated_at": F.lit(None).cast("timestamp")})
+    return settle(conform(rows, dim_player(history=True)), "team-history")
 
 
 @query(

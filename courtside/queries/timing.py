@@ -12,6 +12,7 @@ from courtside.operators.windows import (
 from courtside.plans import marts
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import query
+from courtside.session import settle
 
 TIME_SQL = """
 with shown as (
@@ -90,7 +91,8 @@ def player_rolling_time(lg: League):
 def injury_benefit(lg: League):
     names = {"C": "AUTOMOBILE", "PF": "BUILDING", "SF": "FURNITURE", "SG": "HOUSEHOLD", "PG": "MACHINERY"}
     factors = [(names[a], names[b], f) for a, b, f in marts.POSITION_FACTORS]
-    return marts.injury_benefit(_player_time(lg), factors).withColumn(
+    # both sides read the playing-time table
+    return marts.injury_benefit(settle(_player_time(lg), "player-time"), factors).withColumn(
         "benefit_seconds", F.round("benefit_seconds", 6)
     )
 

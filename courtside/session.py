@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. Every one may be set on a live session.
 # Shuffle width is left to the cluster: AQE sizes the partitions after each stage.
@@ -61,3 +61,14 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write rows that several later steps read, and go on from the written table.
+
+    Cuts the lineage in the shared folder, so a lost executor does not repeat the joins
+    above; readers prune columns and know the true size.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

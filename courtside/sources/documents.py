@@ -37,18 +37,17 @@ def scrape(
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
+    # the outer explode keeps the optimizer from testing rowSet first, which would parse every body twice
     parsed = docs.select(*keep, F.get(F.from_json(body, RESULT_SETS)["resultSets"], F.lit(index)).alias("rs"))
-    rows = parsed.select(
-        *keep,
-        F.transform("rs.headers", _landed_name).alias("names"),
-        F.explode("rs.rowSet").alias("row"),
+    named = parsed.select(*keep, "rs.rowSet", F.transform("rs.headers", _landed_name).alias("names"))
+    places = [(F.array_position("names", f.name) - 1).cast("int").alias(f"at{i}") for i, f in enumerate(schema.fields)]
+    rows = (
+        named.select(*keep, "rowSet", *places)
+        .select("*", F.explode_outer("rowSet").alias("row"))
+        .where(F.col("row").isNotNull())
     )
     return rows.select(
-        *keep,
-        *[
-            F.get("row", (F.array_position("names", f.name) - 1).cast("int")).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ],
+        *keep, *[F.get("row", F.col(f"at{i}")).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
     )
 
 
@@ -106,8 +105,9 @@ def _landed_name(header: Column) -> Column:
 def news_items(docs: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
     """One row per item of the news documents, all fields as text."""
     items = docs.select(
-        *keep, F.explode(F.from_json(body, "ListItems array<map<string,string>>")["ListItems"]).alias("item")
-    ).select(*keep, F.transform_keys("item", lambda k, _: F.lower(k)).alias("item"))
+        *keep, F.explode_outer(F.from_json(body, "ListItems array<map<string,string>>")["ListItems"]).alias("item")
+    ).where(F.col("item").isNotNull())
+    items = items.select(*keep, F.transform_keys("item", lambda k, _: F.lower(k)).alias("item"))
     return items.select(*keep, *[F.col("item")[f].alias(f) for f in NEWS_FIELDS])
 
 
