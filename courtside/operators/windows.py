@@ -1,9 +1,10 @@
 """Window operators that stay spread out when one key holds a large part of the rows.
 
-A plain ``Window.partitionBy(key)`` puts all rows of a key in one task. Here a key's
-rows are cut into blocks along the sort order (a day, a month, a value band). Rows of
-a block meet in one task; what a block needs from earlier blocks comes from a summary
-with few rows per block. Results equal the plain window.
+A plain ``Window.partitionBy(key)`` puts all rows of a key in one task. Here the rows of a
+hot key, one with more than ``HOT_ROWS`` rows, are cut into blocks along the sort order (a
+day, an hour). Rows of a block meet in one task; what a block needs from earlier blocks
+comes from a summary with few rows per block. All other keys stay whole and cost one narrow
+count more than a plain window. Results equal the plain window in both cases.
 
 ``block`` is always a column that never decreases along ``order``.
 Orders must be total (end them with a unique column) so results are repeatable.
@@ -19,6 +20,9 @@ from courtside.functions.ordering import earliest_first, latest_first
 
 BLOCK = "_block"
 
+# Rows of one key that a single task may sort. Read at call time.
+HOT_ROWS = 1_000_000
+
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key under ``order``.
@@ -29,6 +33,26 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: in
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys with more than HOT_ROWS rows. There are fewer than rows / HOT_ROWS of them (a
+    million at 10^12 rows), which is the bound that lets them be broadcast."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys]
+    )
+
+
+def _with_block(df: DataFrame, keys: Sequence[str], block: Column) -> DataFrame:
+    """Rows with their block: ``block`` for hot keys, NULL (one block) for the others."""
+    hot = hot_keys(df, keys).withColumn("_is_hot", F.lit(True))
+    on = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    return (
+        df.join(F.broadcast(hot), on, "left")
+        .withColumn(BLOCK, F.when(F.col("_is_hot"), block))
+        .drop(*[f"_hot_{k}" for k in keys])
+        .withColumn("_is_hot", F.coalesce("_is_hot", F.lit(False)))
+    )
+
+
 def looking_back(
     df: DataFrame,
     keys: Sequence[str],
@@ -40,16 +64,16 @@ def looking_back(
 ) -> DataFrame:
     """Add columns whose frames reach at most ``depth`` rows back inside a key.
 
-    Each block is padded with the ``depth`` rows before it, computed from per-block
-    tails; the padding leaves again after the window. ``reads`` names the columns that
-    ``build`` uses besides keys and order.
+    Each block of a hot key is padded with the ``depth`` rows before it, computed from
+    per-block tails; the padding leaves again after the window. ``reads`` names the columns
+    that ``build`` uses besides keys and order.
     """
     keys, order, cell = list(keys), list(order), [*keys, BLOCK]
     carried = list(dict.fromkeys([*order, *reads]))
-    df = df.withColumn(BLOCK, block)
+    blocked = _with_block(df, keys, block)
 
     tail = latest_by(
-        df.select(*cell, *[c for c in carried if c not in cell]), cell, latest_first(*order), depth
+        blocked.where("_is_hot").select(*cell, *[c for c in carried if c not in cell]), cell, latest_first(*order), depth
     )
     # at most depth rows per block reach the list
     tail = tail.groupBy(*cell).agg(
@@ -62,11 +86,12 @@ def looking_back(
         .select(*cell, F.explode(F.slice("rows", -F.least(F.size("rows"), F.lit(depth)), F.lit(depth))).alias("r"))
         .select(*cell, "r.row.*")
     )
+    rows = blocked.drop("_is_hot")
     filled = [
         F.col(f.name) if f.name in pad.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in df.schema.fields
+        for f in rows.schema.fields
     ]
-    padded = df.withColumn("_pad", F.lit(False)).unionByName(pad.select(*filled).withColumn("_pad", F.lit(True)))
+    padded = rows.withColumn("_pad", F.lit(False)).unionByName(pad.select(*filled).withColumn("_pad", F.lit(True)))
     window = Window.partitionBy(*cell).orderBy(*earliest_first(*order))
     # the explicit repartition keeps a join's coarser partitioning (key only) from being reused
     return (
@@ -120,18 +145,20 @@ def previous(
 
 
 def global_previous(
-    df: DataFrame, levels: Sequence[Sequence[str]], order: Sequence[str], value: str, name: str
+    df: DataFrame, levels: Sequence[Sequence[str]], order: Sequence[str], value: str, name: str, block: Column
 ) -> DataFrame:
     """Value of the row before under one global order that crosses key borders.
 
     ``levels`` are growing column prefixes of the order, coarse to fine, for example
-    [season, team] then [season, team, player] then [season, team, player, month].
+    [season, team] then [season, team, player]; ``order`` holds the columns after them.
     No step sorts the rows globally: only the coarsest summary, one row per distinct
     first prefix, is ordered as a whole. Prefix and order columns must not be NULL.
     """
-    at = F.struct(*[F.col(c) for c in order])
-    leaf = list(levels[-1])
-    summaries = [df.groupBy(*leaf).agg(F.max(at).alias("_at"), F.max_by(value, at).alias("_last"))]
+    key = list(levels[-1])
+    levels = [*map(list, levels), [*key, BLOCK]]
+    rows = _with_block(df, key, block).drop("_is_hot")
+    at = F.struct(*levels[-1], *order)
+    summaries = [rows.groupBy(*levels[-1]).agg(F.max(at).alias("_at"), F.max_by(value, at).alias("_last"))]
     for level in reversed(levels[:-1]):
         summaries.insert(0, summaries[0].groupBy(*level).agg(
             F.max("_at").alias("_at"), F.max_by("_last", "_at").alias("_last")
@@ -139,7 +166,7 @@ def global_previous(
 
     carried = None
     for depth, summary in enumerate(summaries):
-        parent = list(levels[depth - 1]) if depth else []
+        parent = levels[depth - 1] if depth else []
         own = [c for c in levels[depth] if c not in parent]
         window = Window.partitionBy(*parent).orderBy(*own)
         step = summary.select(
@@ -154,32 +181,32 @@ def global_previous(
                 *levels[depth], F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")).alias("_carry")
             )
 
-    window = Window.partitionBy(*leaf).orderBy(*earliest_first(*order))
+    cell = levels[-1]
+    window = Window.partitionBy(*cell).orderBy(*earliest_first(*order))
     return (
-        df.repartition(*leaf)
-        .join(carried, leaf, "left")
+        _join_null_safe(rows.repartition(*cell), carried, cell)
         .withColumn(
             name,
             F.when(F.row_number().over(window) == 1, F.col("_carry")).otherwise(F.lag(value, 1).over(window)),
         )
-        .drop("_carry")
+        .drop("_carry", BLOCK)
     )
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, block: Column) -> DataFrame:
     """row_number inside the key: the number inside the block plus the sizes of earlier blocks."""
-    cell = [*keys, BLOCK]
-    df = df.withColumn(BLOCK, block)
+    keys, cell = list(keys), [*keys, BLOCK]
+    blocked = _with_block(df, keys, block)
     before = Window.partitionBy(*keys).orderBy(F.col(BLOCK).asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).select(
-        *cell, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    starts = blocked.where("_is_hot").groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).select(
+        *cell, F.sum("_n").over(before).alias("_start")
     )
     window = Window.partitionBy(*cell).orderBy(*earliest_first(*order))
     return (
-        _join_null_safe(df.repartition(*cell), starts, cell)
-        .withColumn(name, F.row_number().over(window) + F.col("_start"))
+        _join_null_safe(blocked.drop("_is_hot").repartition(*cell), starts, cell)
+        .withColumn(name, F.row_number().over(window) + F.coalesce("_start", F.lit(0)))
         .drop("_start", BLOCK)
     )
 

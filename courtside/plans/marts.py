@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.functions import scalars as fn
 from courtside.functions.ordering import earliest_first, latest_first
@@ -143,7 +143,7 @@ def team_history(
     newest = latest_by(player_attributes(common), stint, latest_first("_create_date", *tie))
     dated = newest.join(played, stint, "left")
     # one row per stint by now: a player's group is bounded by seasons x teams
-    last = with_group_stats(dated, ["id"], last_played_date=F.max("end_date"))
+    last = dated.withColumn("last_played_date", F.max("end_date").over(Window.partitionBy("id")))
     still = F.coalesce(F.col("end_date") == F.col("last_played_date"), F.lit(False))
     key = fn.version_text(["id", "team_id", "season"], as_of.cast("string"))
     # the landed team id drives the stint; the dimension shows the id the team table knows
@@ -321,7 +321,7 @@ def _player_windows(rows: DataFrame, averages: bool) -> DataFrame:
         frames |= {f"avg_player_time_last_{n}_games": ("avg", "seconds", n) for n in (5, 10)}
     return rolling(
         rows, ["season", "team_id", "pos", "player_id"], ["game_date", "created_at", "game_id"],
-        frames, block=F.trunc("game_date", "month"),
+        frames, block=F.col("game_date"),
     )
 
 
@@ -482,19 +482,14 @@ def played_game_features(
     )
     # the lag reads the rows twice: for the block tails and for the rows themselves
     averaged = settle(with_group_stats(scored, ["player_id", "season"], avg_fdpts=F.avg("fdpts")), "scored")
-    order = ["season", "team_id", "player_id", "game_date", "game_id"]
+    order = ["game_date", "game_id"]
     if across_players:
-        month = averaged.withColumn("_month", F.trunc("game_date", "month"))
+        team = ["season", "team_id"]
         rested = global_previous(
-            month,
-            [order[:2], order[:3], [*order[:3], "_month"]],
-            ["season", "team_id", "player_id", "_month", "game_date", "game_id"],
-            "game_date", "_prev",
-        ).drop("_month")
-    else:
-        rested = previous(
-            averaged, ["player_id"], ["game_date", "game_id"], "game_date", "_prev", F.trunc("game_date", "month")
+            averaged, [team, [*team, "player_id"]], order, "game_date", "_prev", block=F.col("game_date")
         )
+    else:
+        rested = previous(averaged, ["player_id"], order, "game_date", "_prev", block=F.col("game_date"))
     person = players.where("is_rec_active").select(
         F.col("id").alias("player_id"), F.col("display_first_last").alias("player"), "birthdate", "nba_pos",
         F.col("fd_pos").alias("_own_fd_pos"),

@@ -63,7 +63,7 @@ def player_schedule_dimension(schedule: DataFrame, as_of: dt.datetime) -> DataFr
     """The schedule with each player's game before and the days since."""
     rested = previous(
         schedule.where(F.col("player_id").isNotNull()), ["player_id"], ["game_date", "game_id", "team_loc"], "game_date",
-        "player_previous_game_date", F.trunc("game_date", "month"),
+        "player_previous_game_date", F.col("game_date"),
     )
     return rested.withColumns(
         {"days_rest": fn.days_rest("game_date", "player_previous_game_date"), "created_at": F.lit(as_of)}

@@ -474,7 +474,7 @@ _POINTS = "(ast * 1.5::double + reb * 1.2::double + pts + stl * 2::double + blk
 def _rested_schedule(lg: League) -> DataFrame:
     birth = lg.players.select(F.col("id").alias("player_id"), "birthdate")
     rested = previous(
-        lg.schedule, ["player_id"], ["game_date", "game_id"], "game_date", "player_previous_game_date", F.trunc("game_date", "month")
+        lg.schedule, ["player_id"], ["game_date", "game_id"], "game_date", "player_previous_game_date", F.col("game_date")
     )
     return rested.join(birth, "player_id", "left").withColumns(
         {"days_rest": fn.days_rest("game_date", "player_previous_game_date"), "age": fn.age_days("game_date", "birthdate")}

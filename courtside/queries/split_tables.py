@@ -70,7 +70,7 @@ def split_by_start_position(lg: League):
     ),
 )
 def split_by_days_rest(lg: League):
-    rested = previous(lg.facts, ["player_id"], ["game_date", "game_id"], "game_date", "prev", F.trunc("game_date", "month"))
+    rested = previous(lg.facts, ["player_id"], ["game_date", "game_id"], "game_date", "prev", F.col("game_date"))
     rest = fn.days_rest("game_date", "prev")
     return splits.totals(rested, ["team_id", splits.rest_bucket(rest).alias("rest")], STATS)
 
@@ -112,7 +112,7 @@ def split_last_games(lg: League):
     ),
 )
 def split_by_game_number(lg: League):
-    return splits.by_game_number(lg.facts, ["team_id", "season"], STATS, F.trunc("game_date", "month"))
+    return splits.by_game_number(lg.facts, ["team_id", "season"], STATS, F.col("game_date"))
 
 
 def moments(lg: League) -> DataFrame:

@@ -139,7 +139,7 @@ def rolling_share(lg: League):
     team_day = daily.groupBy(*group, "d").agg(F.sum("cents").alias("cents"))
     base = rolling(team_day, group, ["d"], {"base_last_5": ("sum", "cents", 5)}).drop("cents")
     own = rolling(
-        daily, [*group, "o_custkey"], ["d", "o_orderkey"], {"own_last_5": ("sum", "cents", 5)}, F.trunc("d", "month")
+        daily, [*group, "o_custkey"], ["d", "o_orderkey"], {"own_last_5": ("sum", "cents", 5)}, F.col("d")
     )
     return own.join(base, [*group, "d"]).select(
         "o_orderkey", *group, "own_last_5", "base_last_5",
@@ -159,7 +159,7 @@ def rolling_mean(lg: League):
         "event_id", "user_id", "ts", F.round(F.col("value") * 100).cast("bigint").alias("v")
     )
     frames = {"mean_5": ("avg", "v", 5), "mean_10": ("avg", "v", 10)}
-    return rolling(cents, ["user_id"], ["ts", "event_id"], frames, F.col("ts").cast("date")).select("event_id", *frames)
+    return rolling(cents, ["user_id"], ["ts", "event_id"], frames, F.date_trunc("hour", "ts")).select("event_id", *frames)
 
 
 @query(
@@ -248,7 +248,7 @@ def stints_per_player(lg: League):
 )
 def days_since_previous(lg: League):
     orders = lg.table("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("d"))
-    return previous(orders, ["o_custkey"], ["d", "o_orderkey"], "d", "before", F.trunc("d", "month")).select(
+    return previous(orders, ["o_custkey"], ["d", "o_orderkey"], "d", "before", F.col("d")).select(
         "o_orderkey", "d", fn.days_rest("d", "before").alias("days_rest")
     )
 
@@ -258,10 +258,11 @@ def days_since_previous(lg: League):
     """select event_id, lag(ts) over (order by event_type, user_id, ts, event_id) as previous_ts from events""",
 )
 def previous_in_global_order(lg: League):
-    events = lg.table("events").select("event_type", "user_id", "ts", "event_id", F.col("ts").cast("date").alias("day"))
-    levels = [["event_type"], ["event_type", "user_id"], ["event_type", "user_id", "day"]]
-    order = ["event_type", "user_id", "day", "ts", "event_id"]
-    return global_previous(events, levels, order, "ts", "previous_ts").select("event_id", "previous_ts")
+    events = lg.table("events").select("event_type", "user_id", "ts", "event_id")
+    levels = [["event_type"], ["event_type", "user_id"]]
+    return global_previous(
+        events, levels, ["ts", "event_id"], "ts", "previous_ts", F.date_trunc("hour", "ts")
+    ).select("event_id", "previous_ts")
 
 
 @query(
@@ -272,7 +273,7 @@ def previous_in_global_order(lg: League):
 def game_number(lg: League):
     return numbered(
         lg.games.select("home_team_id", "game_date", "id"), ["home_team_id"], ["game_date", "id"], "game_number",
-        F.trunc("game_date", "month"),
+        F.col("game_date"),
     ).select(F.col("id").alias("o_orderkey"), F.col("game_number").cast("bigint").alias("game_number"))
 
 
