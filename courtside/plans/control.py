@@ -66,26 +66,25 @@ def season_teams(teams: DataFrame, seasons: Sequence[str] = SEASONS) -> DataFram
     )
 
 
-def watermarks(header: DataFrame, as_of: Column, keys: Sequence[str] = ()) -> DataFrame:
-    """Last final day, first unfinished past day and last day of all, in one pass over the headers."""
+def watermarks(header: DataFrame, as_of: Column) -> DataFrame:
+    """Last final day, first unfinished past day and last day of all, per season and season type,
+    in one pass over the headers."""
     day, status = F.col("game_date"), F.col("game_status_text")
-    return header.groupBy(*keys).agg(
+    return header.groupBy(F.col("_season").alias("season"), F.col("_season_type").alias("season_type")).agg(
         F.max(F.when(status == FINAL, day)).alias("last_final"),
         F.min(F.when((day < as_of) & ~status.isin(FINAL, POSTPONED), day)).alias("first_unfinished"),
         F.max(day).alias("last_game"),
     )
 
 
-def schedule_range(
-    marks: DataFrame, calendar: DataFrame, as_of: Column, full: bool = False, keys: Sequence[str] = ()
-) -> DataFrame:
+def schedule_range(marks: DataFrame, calendar: DataFrame, as_of: Column, full: bool = False) -> DataFrame:
     """First and last day still to pull per calendar row; no row where nothing is left.
 
     Nothing is left when start >= end, so a range of a single day is not pulled either.
-    ``calendar`` has start_date, end_date and is_current, plus ``keys``; without keys
-    both sides are single rows.
+    ``calendar`` has season, season_type, start_date, end_date and is_current.
     """
-    both = calendar.join(marks, list(keys), "left") if keys else calendar.join(marks, how="left", on=F.lit(True))
+    keys = ["season", "season_type"]
+    both = calendar.join(marks, keys, "left")
     opening, closing = F.col("start_date"), F.col("end_date")
     if full:
         start = F.least(F.date_add(F.coalesce("last_game", F.date_sub(opening, 1)), 1), closing)

@@ -247,8 +247,7 @@ _CAL_SQL = """cal as (select season, season_type, min(game_date) as start_date,
 
 
 def _marks(lg: League) -> DataFrame:
-    header = lg.header.withColumnsRenamed({"_season": "season", "_season_type": "season_type"})
-    return control.watermarks(header, F.lit(AS_OF), ["season", "season_type"])
+    return control.watermarks(lg.header, F.lit(AS_OF))
 
 
 @query("schedule_watermarks", with_tables("game", f"with {_CAL_SQL} select * from marks"))
@@ -264,7 +263,7 @@ _RANGE_SQL = """rng as (select season, season_type,
 
 @query("schedule_ranges", with_tables("game", f"with {_CAL_SQL}, {_RANGE_SQL} select * from rng where pull_from < pull_to"))
 def schedule_ranges(lg: League):
-    return control.schedule_range(_marks(lg), seasons(lg), F.lit(AS_OF), keys=["season", "season_type"])
+    return control.schedule_range(_marks(lg), seasons(lg), F.lit(AS_OF))
 
 
 @query(
@@ -279,7 +278,7 @@ def schedule_ranges(lg: League):
 )
 def schedule_ranges_full(lg: League):
     longer = seasons(lg).withColumn("end_date", F.date_add("end_date", 30))
-    return control.schedule_range(_marks(lg), longer, F.lit(AS_OF), full=True, keys=["season", "season_type"])
+    return control.schedule_range(_marks(lg), longer, F.lit(AS_OF), full=True)
 
 
 @query(
@@ -292,7 +291,7 @@ def schedule_ranges_full(lg: League):
     ),
 )
 def schedule_days(lg: League):
-    ranges = control.schedule_range(_marks(lg), seasons(lg), F.lit(AS_OF), keys=["season", "season_type"])
+    ranges = control.schedule_range(_marks(lg), seasons(lg), F.lit(AS_OF))
     return control.date_spine(ranges).select("season", "season_type", "game_date", "node_key")
 
 

@@ -24,7 +24,9 @@ AFTERNOON = " 13:05:00"
 
 def landed_players(lg: League, until: dt.date) -> DataFrame:
     """Player rows as landed on a day: attributes as text, taken from the customer's orders so far."""
-    orders = lg.table("orders").where(F.col("o_orderdate").cast("date") <= F.lit(until))
+    # compared as a timestamp, the bound reaches the scan
+    night = F.lit(dt.datetime.combine(until + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    orders = lg.table("orders").where(F.col("o_orderdate") < night)
     newest = F.struct("o_orderdate", "o_orderkey")
     career = orders.groupBy(F.col("o_custkey").cast("int").alias("person_id")).agg(
         F.count(F.lit(1)).cast("int").alias("season_exp"),

@@ -1,0 +1,147 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from courtside.plans import control, load
+from courtside.sources import documents, landing
+from courtside.sources.catalogue import CATALOGUE, measures, result_index
+from courtside.sources.schemas import OPPONENT_STATS, compared_columns, dim_player
+
+
+
+def doc(*sets):
+    return json.dumps({"resultSets": [{"name": f"s{i}", "headers": h, "rowSet": r} for i, (h, r) in enumerate(sets)]})
+
+
+@pytest.fixture
+def docs(spark):
+    rows = [
+        ("001", doc((["A"], [[1]]), (["PLAYER_ID", "TO", "NAME", "PCT"], [[7, 3, "0042", 0.5], [8, None, "x", 1]]))),
+        ("002", doc((["A"], []), (["NAME", "PLAYER_ID"], [["y", 9]]))),  # other header order, columns missing
+        ("003", doc((["A"], [[1]]))),  # no second result set
+        ("004", doc((["A"], [[1]]), (["PLAYER_ID"], []))),  # an empty one
+    ]
+    return spark.createDataFrame(rows, "_game_id string, body string")
+
+
+def test_scrape_finds_columns_by_header(docs):
+    got = documents.scrape(docs, 1, "player_id int, tov int, name string, pct double", keep=["_game_id"])
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [
+        ("001", 7, 3, "0042", 0.5), ("001", 8, None, "x", 1.0), ("002", 9, None, "y", None),
+    ]
+
+
+def test_inferred_types_follow_the_landing_rule(docs):
+    found = {f.name: f.dataType.simpleString() for f in documents.infer_schema(docs, 1)}
+    # a whole-number column with a gap becomes floating; text that looks like a number stays text
+    assert found == {"player_id": "bigint", "tov": "double", "name": "string", "pct": "double"}
+
+
+def test_news_items_ignore_field_case(spark):
+    body = json.dumps({"ListItems": [{"PlayerID": "5", "Injured_Status": "Out", "ListItemCaption": "c"}, {"PLAYERID": " "}]})
+    got = documents.news_items(spark.createDataFrame([(body,)], "body string")).collect()
+    assert [(r.playerid, r.injured_status, r.listitemcaption) for r in got] == [("5", "Out", "c"), (" ", None, None)]
+
+
+def test_whole_file_documents(spark, scratch):
+    with open(f"{scratch}/one.json", "w") as f:
+        f.write(json.dumps({"ListItems": [{"playerid": "5"}]}, indent=2))
+    assert [r.playerid for r in documents.read_news(spark, scratch, whole=True).collect()] == ["5"]
+
+
+def test_catalogue():
+    assert len(CATALOGUE) == 55 and sum(len(d.own) for d in CATALOGUE.values()) == 179
+    assert result_index("player", "PlayerGeneralSplits", "days_rest") == 6
+    assert result_index("player", "PlayerGeneralSplits", "overall") == 0  # inherited
+    assert measures("game", "BoxscoreTraditional")["line_score"] == 5
+    assert result_index("player", "PlayerProfile", "next_game") == 12
+    with pytest.raises(KeyError):
+        result_index("game", "PlayByPlay", "nope")
+
+
+def test_normalise(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "GAME_ID int, TO int, STATS_VALUE int")
+    assert landing.normalise(df, "player").columns == ["game_id", "tov", "_stats_value"]
+    assert landing.normalise(df, "team").columns == ["game_id", "tov", "stats_value"]
+
+
+def test_drift_types_every_new_column():
+    target = T.StructType.fromDDL("a bigint")
+    incoming = T.StructType.fromDDL("a bigint, b int, c float, d boolean, e date")
+    assert landing.drift(target, incoming).simpleString() == "struct<b:bigint,c:double,d:string,e:string>"
+    assert landing.drift(incoming, target) == T.StructType([])
+
+
+def test_stamps_must_be_complete(spark):
+    with pytest.raises(ValueError, match="_team_id"):
+        landing.stamp(spark.range(1), "roster", season="2016-17", create_date=None, run_id=1)
+    got = landing.stamp(spark.range(1), "roster", team_id=3, season="2016-17", create_date=None, run_id=1)
+    assert got.columns == ["id", "_team_id", "_season", "_create_date", "_run_id"]
+
+
+def test_two_loads_with_two_new_columns(spark, scratch):
+    stamps = dict(season="2001-02", season_type="Playoffs", create_date=F.lit(dt.datetime(2017, 1, 1)), run_id=1)
+    path = f"{scratch}/t"
+    landing.land(spark.createDataFrame([(1, "x")], "A int, B string"), "game", path, landing.landed_schema(spark, path), game_id="g1", **stamps)
+    second = spark.createDataFrame([(2, 1.5, True)], "A int, NEW1 double, NEW2 boolean")
+    landing.land(second, "game", path, landing.landed_schema(spark, path), game_id="g2", **stamps)
+    rows = {r.a: r for r in landing.read_landed(spark, path).collect()}
+    assert rows[1].b == "x" and rows[1].new1 is None
+    assert rows[2].b is None and rows[2].new1 == 1.5 and rows[2].new2 == "true" and rows[2]._game_id == "g2"
+    assert rows[2]._season == "2001-02"  # a folder name, but not a date
+
+
+def test_publish_counts_and_clear_empties(spark, scratch):
+    path, rows = landing.publish(spark.range(25), scratch, "t", "v1")
+    assert rows == 25 and spark.read.parquet(path).count() == 25
+    landing.clear(spark, spark.range(1).schema, scratch, ["t"], "v2")
+    assert spark.read.parquet(f"{scratch}/t/v2").count() == 0 and spark.read.parquet(path).count() == 25
+
+
+def test_declared_dimension(spark):
+    assert len(compared_columns()) == 27 and len(compared_columns(history=True)) == 28
+    assert len(OPPONENT_STATS) == 45
+    got = landing.conform(spark.range(1).select(F.lit(5).alias("id")), dim_player())
+    assert got.columns == [f.name for f in dim_player().fields]
+    assert got.first().created_at is not None
+    broken = landing.null_violations(got, dim_player()).first().asDict()
+    assert broken == {"dim_player_guid": 1, "rec_start_date": 1, "is_rec_active": 1, "created_at": 0}
+
+
+NODES = [
+    ("game", "BoxscoreTraditional", "player_stats", "game_player_stats", True, "self", 1996),
+    ("game", "BoxscoreTraditional", "team_stats", "game_team_stats", True, "self", 1996),
+    ("game", "PlayByPlay", "PlayByPlay", "game_pbp", False, "self", 1996),
+    ("game", "BoxScorePlayerTrack", "player_track", "game_track", True, "self", 2020),
+    ("game", "Boxscore", "officials", "game_officials", True, "pass", 1996),
+]
+
+
+@pytest.fixture
+def nodes(spark):
+    return spark.createDataFrame(
+        NODES, "node string, endpoint string, measure string, table_name string, active boolean, measure_type string, available_year int"
+    )
+
+
+def test_load_node_lands_active_measures(spark, docs, nodes, scratch):
+    run = dict(season="2016-17", season_type="Regular Season", run_id=4, as_of=dt.datetime(2017, 1, 1))
+    log = load.load_node(spark, nodes, "game", lambda endpoint: docs, scratch, **run)
+    status = control.log_status(log).first()
+    assert (status.node_status, status.group_status, status.measure_count) == ("COMPLETED", "COMPLETED", 2)
+    assert landing.read_landed(spark, f"{scratch}/game_team_stats").count() == 3
+    assert landing.read_landed(spark, f"{scratch}/game_player_stats").count() == 3
+    assert landing.landed_schema(spark, f"{scratch}/game_track") is None
+    assert landing.landed_schema(spark, f"{scratch}/game_officials") is None
+
+
+def test_load_single_measure(spark, docs, nodes, scratch):
+    run = dict(season="2016-17", season_type="Regular Season", run_id=4, as_of=dt.datetime(2017, 1, 1))
+    rows = load.load_single(spark, nodes, "game_team_stats", lambda endpoint: docs, scratch, **run)
+    assert rows.count() == 3
+    with pytest.raises(ValueError):
+        load.load_single(spark, nodes, "game_track", lambda endpoint: docs, scratch, **run)
