@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from courtside.plans.control import active_measures, per_entity, single_measure
+from courtside.plans.control import (
+    COMPLETED, active_measures, done_keys, not_done, pending_games, per_entity, single_measure,
+)
+from courtside.session import fresh_path, settle
 from courtside.sources.catalogue import result_index
 from courtside.sources.documents import infer_schema, scrape
 from courtside.sources.landing import land, landed_schema
@@ -15,9 +18,6 @@ from courtside.sources.landing import land, landed_schema
 # Key columns a document frame carries per node, named like the lineage they become.
 DOCUMENT_KEYS = {"game": ("_game_id",), "team": ("_team_id",), "player": ("_player_id", "_team_id")}
 
-LOG = "run_id int, node string, node_key string, node_status string, group_status string, measure_count int, at timestamp, seq int"
-
-
 def load_measure(
     spark: SparkSession, measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int, as_of: dt.datetime
 ) -> DataFrame:
@@ -36,10 +36,19 @@ def load_measure(
     )
 
 
-def load_node(
+def load_single(
+    spark: SparkSession, nodes: DataFrame, table_name: str, documents: Callable[[str], DataFrame], root: str, season: str, **run
+) -> DataFrame:
+    """Land one named measure for a whole season."""
+    measure = single_measure(nodes, season, table_name)
+    return load_measure(spark, measure, documents(measure.endpoint), root, season, **run)
+
+
+def load_entities(
     spark: SparkSession,
     nodes: DataFrame,
     node: str,
+    todo: DataFrame,
     documents: Callable[[str], DataFrame],
     root: str,
     season: str,
@@ -47,22 +56,76 @@ def load_node(
     run_id: int,
     as_of: dt.datetime,
 ) -> DataFrame:
-    """Land all active measures of a node for all its entities; returns log events.
+    """Land all active measures of a node for the entities in ``todo`` (its key columns); returns
+    one log event per entity.
 
-    The loop goes over catalogue rows (table names); the entities of a measure are rows of
-    one job. A measure that fails raises, and the node stays IN PROGRESS in the log.
+    The entities meet the documents in a semi join, so there is one job per measure and none
+    per entity. The events are written by the caller after the last measure has landed.
     """
-    events = [(run_id, node, season, "IN PROGRESS", "IN PROGRESS", 0, as_of, 0)]
-    for done, measure in enumerate(per_entity(active_measures(nodes, season, node)).collect(), start=1):
-        load_measure(spark, measure, documents(measure.endpoint), root, season, season_type, run_id, as_of)
-        events.append((run_id, node, season, None, "IN PROGRESS", done, as_of, done))
-    events.append((run_id, node, season, "COMPLETED", "COMPLETED", len(events) - 1, as_of, len(events)))
-    return spark.createDataFrame(events, LOG)
+    keys = list(DOCUMENT_KEYS[node])
+    todo = settle(todo.select(*keys), f"{node}-todo")
+    measures = per_entity(active_measures(nodes, season, node)).collect()
+    for measure in measures:
+        wanted = documents(measure.endpoint).join(todo, keys, "left_semi")
+        load_measure(spark, measure, wanted, root, season, season_type, run_id, as_of)
+    own, *parent = keys
+    return todo.select(
+        F.lit(run_id).alias("run_id"), F.lit(node).alias("node"), F.col(own).cast("string").alias("node_key"),
+        (F.col(parent[0]) if parent else F.lit(None)).cast("string").alias("parent_key"),
+        F.lit(COMPLETED).alias("node_status"),
+        # a game's group is complete once its teams and players are, see run_games
+        F.lit("IN PROGRESS" if node == "game" else "N/A").alias("group_status"),
+        F.lit(len(measures)).alias("measure_count"), F.lit(season).alias("season"), F.lit(season_type).alias("season_type"),
+        F.lit(as_of).alias("end_dtm"),
+    )
 
 
-def load_single(
-    spark: SparkSession, nodes: DataFrame, table_name: str, documents: Callable[[str], DataFrame], root: str, season: str, **run
+def run_games(
+    spark: SparkSession,
+    nodes: DataFrame,
+    header: DataFrame,
+    run_log: DataFrame,
+    box: Callable[[], DataFrame],
+    documents: Callable[[str], DataFrame],
+    root: str,
+    season: str,
+    season_type: str,
+    run_id: int,
+    as_of: dt.datetime,
 ) -> DataFrame:
-    """Land one named measure for a whole season."""
-    measure = single_measure(nodes, season, table_name)
-    return load_measure(spark, measure, documents(measure.endpoint), root, season, **run)
+    """Load every pending game, then its teams, then the players who appeared; returns the log.
+
+    Games whose own box score completed in an earlier run are not landed again, teams and players
+    not twice in a run or day. ``box`` reads the landed player box scores after the games landed
+    (game_id, team_id, player_id). Game, team and player ids are text, as in the log.
+    """
+    run = dict(season=season, season_type=season_type, run_id=run_id, as_of=as_of)
+    today = F.lit(as_of.date())
+    place = fresh_path(spark, "run-log")
+
+    def write(events: DataFrame) -> None:
+        events.write.mode("append").parquet(place)
+
+    pending = settle(pending_games(header, run_log, season, season_type), "pending-games")
+    games = pending.select(F.col("game_id").alias("node_key"))
+    new = games.join(done_keys(run_log, "game"), "node_key", "left_anti").select(F.col("node_key").alias("_game_id"))
+    write(load_entities(spark, nodes, "game", new, documents, root, **run))
+
+    sides = F.array(F.col("home_team_id").cast("string"), F.col("visitor_team_id").cast("string"))
+    teams = pending.select(F.explode(sides).alias("node_key")).distinct()
+    teams = not_done(teams, run_log, "team", run_id, today, season=season, season_type=season_type)
+    write(load_entities(spark, nodes, "team", teams.select(F.col("node_key").alias("_team_id")), documents, root, **run))
+
+    players = box().join(games, F.col("game_id") == F.col("node_key"), "left_semi").select(
+        F.col("player_id").cast("string").alias("node_key"), F.col("team_id").cast("string").alias("parent_key")
+    ).distinct()
+    players = not_done(players, run_log, "player", run_id, today, ("node_key", "parent_key"), season, season_type)
+    todo = players.select(F.col("node_key").alias("_player_id"), F.col("parent_key").alias("_team_id"))
+    write(load_entities(spark, nodes, "player", todo, documents, root, **run))
+
+    write(games.select(
+        F.lit(run_id).alias("run_id"), F.lit("game").alias("node"), "node_key", F.lit(None).cast("string").alias("parent_key"),
+        F.lit(COMPLETED).alias("node_status"), F.lit(COMPLETED).alias("group_status"), F.lit(0).alias("measure_count"),
+        F.lit(season).alias("season"), F.lit(season_type).alias("season_type"), F.lit(as_of).alias("end_dtm"),
+    ))
+    return spark.read.parquet(place)

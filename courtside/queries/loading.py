@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.functions import scalars as fn
-from courtside.plans import control
+from courtside.plans import control, load
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import query
 from courtside.queries.rosters import seasons
@@ -426,3 +426,116 @@ def named_events(lg: League):
     )
     teams = lg.teams.select(F.col("id").alias("team_id"), F.col("team_name").alias("team_abbrv"))
     return control.with_names(events, known, teams).select("event_id", "player_id", "player_name", "team_abbrv")
+
+
+@query(
+    "season_calendar",
+    with_tables(
+        "game",
+        """select season, min(game_date) as start_date, max(game_date) as end_date, max(game_date) >= date '2001-01-01' as is_current
+        from game where season = '1998-99' and season_type = 'Playoffs' group by season""",
+    ),
+)
+def season_calendar(lg: League):
+    return control.season_dates(seasons(lg), "1998-99", "Playoffs").select(F.lit("1998-99").alias("season"), "*")
+
+
+def _stamped(lg: League, grain: str, rows: DataFrame, **lineage) -> DataFrame:
+    path = fresh_path(lg.spark, f"{grain}-grain")
+    landing.land(rows, grain, path, **lineage)
+    return landing.read_landed(lg.spark, path)
+
+
+@query(
+    "landed_player_grain",
+    """select o_custkey as _player_id, c_nationkey as _team_id, o_totalprice as _stats_value, cast(month(o_orderdate) as integer) as tov,
+         '1998-99' as _season, 'Regular Season' as _season_type, date '2001-06-01' as _create_date, 7 as _run_id
+       from orders join customer on c_custkey = o_custkey""",
+)
+def landed_player_grain(lg: League):
+    team = lg.table("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("team"))
+    rows = lg.table("orders").join(team, "o_custkey").select(
+        F.col("o_totalprice").alias("STATS_VALUE"), F.month("o_orderdate").alias("TO"), F.col("o_custkey").alias("who"), "team"
+    )
+    return _stamped(
+        lg, "player", rows, player_id=F.col("who"), team_id=F.col("team"), season="1998-99", season_type="Regular Season",
+        create_date=F.lit(AS_OF), run_id=7,
+    ).drop("who", "team")
+
+
+@query(
+    "landed_schedule_grain",
+    """select o_orderkey as game_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as game_date_est, '1998-99' as _season, 'Playoffs' as _season_type,
+         date '2001-06-01' as _create_date, 7 as _run_id from orders""",
+)
+def landed_schedule_grain(lg: League):
+    rows = lg.table("orders").select(
+        F.col("o_orderkey").alias("GAME_ID"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("GAME_DATE_EST")
+    )
+    return _stamped(lg, "schedule", rows, season="1998-99", season_type="Playoffs", create_date=F.lit(AS_OF), run_id=7)
+
+
+@query(
+    "landed_player_list",
+    "select c_custkey as person_id, c_name as display_first_last, '1998-99' as _season, date '2001-06-01' as _create_date from customer",
+)
+def landed_player_list(lg: League):
+    rows = lg.players.select(F.col("id").alias("PERSON_ID"), F.col("display_first_last").alias("DISPLAY_FIRST_LAST"))
+    return _stamped(lg, "player_list", rows, season="1998-99", create_date=F.lit(AS_OF))
+
+
+@query(
+    "game_run_log",
+    """with log as (select l_orderkey, max(l_linestatus = 'F') as boxed, max(l_linestatus = 'F' and l_returnflag = 'A') as done from lineitem group by all),
+       pend as (select o_orderkey, o_custkey from orders left join log on l_orderkey = o_orderkey
+         where o_orderstatus = 'F' and month(o_orderdate) <= 9 and year(o_orderdate) = 1998 and not coalesce(done, false))
+       select 'game' as node, 'COMPLETED' as group_status, count(*) as events from pend
+       union all select 'game', 'IN PROGRESS', count(*) from pend left join log on l_orderkey = o_orderkey where not coalesce(boxed, false)
+       union all select 'team', 'N/A', count(distinct o_custkey) from pend
+       union all select 'player', 'N/A', count(*) from (select distinct o_custkey, l_suppkey from pend join lineitem on l_orderkey = o_orderkey)""",
+)
+def game_run_log(lg: League):
+    """A whole run over the pending games of a season: box scores, teams, players, and the log it leaves.
+
+    A customer is the team here (it plays itself) and a supplier the player.
+    """
+    orders = lg.table("orders")
+    day = F.col("o_orderdate").cast("date")
+    text = F.col("o_custkey").cast("string")
+    header = orders.select(
+        F.col("o_orderkey").cast("string").alias("game_id"), fn.date_key(day).alias("gamecode"), day.alias("game_date"),
+        F.when(F.col("o_orderstatus") == "F", "Final").otherwise("Scheduled").alias("game_status_text"),
+        text.alias("home_team_id"), text.alias("visitor_team_id"), fn.season_text(day).alias("_season"),
+        F.when(F.month(day) <= 9, "Regular Season").otherwise("Playoffs").alias("_season_type"),
+    )
+    log = game_log(lg).select(
+        F.lit(1).alias("run_id"), "node", F.col("node_key").cast("string").alias("node_key"), F.lit(None).cast("string").alias("parent_key"),
+        "node_status", "group_status", F.lit("1998-99").alias("season"), F.lit("Regular Season").alias("season_type"),
+        F.lit(dt.datetime(2001, 1, 1)).alias("end_dtm"),
+    )
+    played = lg.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").cast("string").alias("player_id")).join(
+        orders.select("o_orderkey", text.alias("team_id")), "o_orderkey"
+    ).select(F.col("o_orderkey").cast("string").alias("game_id"), "team_id", "player_id")
+    first = {"VALUE": F.col("key")}
+    documents_of = {
+        "BoxscoreTraditional": orders.select(F.col("o_orderkey").cast("string").alias("key")).select(
+            F.col("key").alias("_game_id"), result_document(("PlayerStats", first)).alias("body")),
+        "TeamGeneralSplits": orders.select(text.alias("key")).distinct().select(
+            F.col("key").alias("_team_id"), result_document(("Overall", first), ("Location", first)).alias("body")),
+        "PlayerGeneralSplits": played.select(F.col("player_id").alias("key"), "team_id").distinct().select(
+            F.col("key").alias("_player_id"), F.col("team_id").alias("_team_id"), result_document(("Overall", first), ("Location", first)).alias("body")),
+    }
+    rows = [
+        ("game", "BoxscoreTraditional", "player_stats", "game_player_stats", True, "self", 1990),
+        ("team", "TeamGeneralSplits", "location", "team_location", True, "Base", 1990),
+        ("player", "PlayerGeneralSplits", "location", "player_location", True, "Base", 1990),
+        ("player", "PlayerGeneralSplits", "overall", "player_news", True, "pass", 1990),
+    ]
+    catalogue = lg.spark.createDataFrame(
+        rows, "node string, endpoint string, measure string, table_name string, active boolean, measure_type string, available_year int"
+    )
+    events = load.run_games(
+        lg.spark, catalogue, header, log, lambda: played, documents_of.__getitem__, fresh_path(lg.spark, "game-run"),
+        season="1998-99", season_type="Regular Season", run_id=2, as_of=dt.datetime(2001, 6, 1),
+    )
+    return events.groupBy("node", "group_status").agg(F.count(F.lit(1)).alias("events"))

@@ -261,6 +261,9 @@ def rebounds_by_contest(lg: League):
     return splits.totals(shots(lg), ["shooter", "contest", splits.band("distance", 10).alias("band")], SHOT_STATS)
 
 
+_shot_split("rebounds_by_distance", "cast(distance // 6 * 6 as bigint) as band", lambda: splits.band("distance", 6).alias("band"))
+
+
 @query(
     "defence_by_category",
     with_tables("game sched shot", "select player_id, category, count(*) as gp, cast(sum(cents) as bigint) as cents from shot group by all"),
@@ -477,3 +480,42 @@ def per_36_table(lg: League):
 @query("team_season_totals", _box_sql("team_id, season"))
 def team_season_totals(lg: League):
     return splits.totals(box(lg), ["team_id", "season"], STATS)
+
+
+@query(
+    "career_by_season_type",
+    with_tables("game line fact", f"select player_id, season_type, {_SUMS} from fact group by all"),
+)
+def career_by_season_type(lg: League):
+    return splits.totals(lg.facts, ["player_id", "season_type"], STATS)
+
+
+@query(
+    "team_season_ranks",
+    with_tables(
+        "game line fact",
+        f"""with t as (select team_id, season, {_SUMS} from fact group by all)
+        select *, cast(rank() over (partition by season order by pts desc) as bigint) as pts_rank from t""",
+    ),
+)
+def team_season_ranks(lg: League):
+    return splits.rankings(splits.totals(lg.facts, ["team_id", "season"], STATS), "pts", 100)
+
+
+@query(
+    "passes_received",
+    """with p as (select event_type as received_by, lag(event_type) over (partition by user_id order by ts, event_id) as made_by from events)
+       select received_by, cast(count(*) as bigint) as passes from p where made_by is not null group by all""",
+)
+def passes_received(lg: League):
+    return pass_pairs(lg).groupBy("received_by").agg(F.sum("passes").alias("passes"))
+
+
+@query(
+    "conference_table",
+    _box_sql("player_id", "join team t on t.id = opp_team_id where conference = 'ASIA' and location = 'Home'", tables="team game line fact"),
+)
+def conference_table(lg: League):
+    side = lg.teams.select(F.col("id").alias("opp_team_id"), F.col("conference").alias("opp_conference"))
+    rows = splits.narrowed(box(lg).join(side, "opp_team_id"), opp_conference="ASIA", location="Home")
+    return splits.totals(rows, ["player_id"], STATS)

@@ -128,17 +128,75 @@ def nodes(spark):
     )
 
 
-def test_load_node_lands_active_measures(spark, docs, nodes, scratch):
+def test_entities_land_all_active_measures(spark, docs, nodes, scratch):
     run = dict(season="2016-17", season_type="Regular Season", run_id=4, as_of=dt.datetime(2017, 1, 1))
-    log = load.load_node(spark, nodes, "game", lambda endpoint: docs, scratch, **run)
-    status = control.log_status(log).first()
-    assert (status.node_status, status.group_status, status.measure_count) == ("COMPLETED", "COMPLETED", 2)
-    assert landing.read_landed(spark, f"{scratch}/game_team_stats").count() == 3
-    assert landing.read_landed(spark, f"{scratch}/game_player_stats").count() == 3
+    todo = spark.createDataFrame([("001",), ("004",)], "_game_id string")
+    log = load.load_entities(spark, nodes, "game", todo, lambda endpoint: docs, scratch, **run)
+    assert sorted((r.node_key, r.node_status, r.measure_count) for r in log.collect()) == [("001", "COMPLETED", 2), ("004", "COMPLETED", 2)]
+    assert landing.read_landed(spark, f"{scratch}/game_team_stats").count() == 2
+    assert landing.read_landed(spark, f"{scratch}/game_player_stats").count() == 2
     assert landing.landed_schema(spark, f"{scratch}/game_track") is None
     assert landing.landed_schema(spark, f"{scratch}/game_officials") is None
 
 
+def test_run_games_skips_what_is_done(spark, scratch):
+    nodes = spark.createDataFrame(
+        [
+            ("game", "BoxscoreTraditional", "player_stats", "game_player_stats", True, "self", 1996),
+            ("team", "TeamGeneralSplits", "location", "team_location", True, "Base", 1996),
+            ("player", "PlayerGeneralSplits", "month", "player_month", True, "Base", 1996),
+        ],
+        "node string, endpoint string, measure string, table_name string, active boolean, measure_type string, available_year int",
+    )
+    header = spark.createDataFrame(
+        [(g, f"2017010{g}/AAABBB", dt.date(2017, 1, int(g)), "Final", h, v, "2016-17", "R") for g, h, v in (("1", "10", "20"), ("2", "20", "30"), ("3", "10", "30"))],
+        "game_id string, gamecode string, game_date date, game_status_text string, home_team_id string, visitor_team_id string, _season string, _season_type string",
+    )
+    log = spark.createDataFrame(
+        [
+            (3, "game", "1", None, "COMPLETED", "COMPLETED", "2016-17", "R", dt.datetime(2017, 1, 3)),  # all done
+            (3, "game", "2", None, "COMPLETED", "FAILED", "2016-17", "R", dt.datetime(2017, 1, 3)),  # box score done
+            (3, "team", "20", "2", "COMPLETED", "N/A", "2016-17", "R", dt.datetime(2017, 1, 9)),  # done today
+            (3, "player", "5", "30", "COMPLETED", "N/A", "2016-17", "R", dt.datetime(2017, 1, 3)),  # done earlier
+        ],
+        "run_id int, node string, node_key string, parent_key string, node_status string, group_status string, season string, season_type string, end_dtm timestamp",
+    )
+    body = {
+        "BoxscoreTraditional": spark.createDataFrame(
+            [(g, doc((["PLAYER_ID", "TEAM_ID"], [[int(g), 30]]))) for g in "123"], "_game_id string, body string"),
+        "TeamGeneralSplits": spark.createDataFrame(
+            [(t, doc((["A"], []), (["GROUP_VALUE"], [["Home"], ["Road"]]))) for t in ("10", "20", "30")], "_team_id string, body string"),
+        "PlayerGeneralSplits": spark.createDataFrame(
+            [(p, "30", doc((["A"], []), (["B"], []), (["C"], []), (["MONTH", "STATS_VALUE"], [["October", 1]]))) for p in ("1", "2", "3", "5", "6")],
+            "_player_id string, _team_id string, body string"),
+    }
+
+    def box():
+        # game 2 landed before; game 3 just now
+        old = spark.createDataFrame([("2", "30", "5"), ("2", "30", "6"), ("1", "30", "1")], "game_id string, team_id string, player_id string")
+        new = landing.read_landed(spark, f"{scratch}/game_player_stats").select(
+            F.col("_game_id").alias("game_id"), F.col("team_id").cast("string"), F.col("player_id").cast("string"))
+        return old.unionByName(new)
+
+    events = load.run_games(
+        spark, nodes, header, log, box, body.__getitem__, scratch, season="2016-17", season_type="R", run_id=4, as_of=dt.datetime(2017, 1, 9, 1)
+    )
+    got = sorted((r.node, r.node_key, r.group_status) for r in events.collect())
+    assert got == [
+        ("game", "2", "COMPLETED"), ("game", "3", "COMPLETED"), ("game", "3", "IN PROGRESS"),
+        ("player", "3", "N/A"), ("player", "5", "N/A"), ("player", "6", "N/A"), ("team", "10", "N/A"), ("team", "30", "N/A"),
+    ]
+    assert [r._game_id for r in landing.read_landed(spark, f"{scratch}/game_player_stats").collect()] == ["3"]
+    assert sorted(r._team_id for r in landing.read_landed(spark, f"{scratch}/team_location").collect()) == ["10", "10", "30", "30"]
+    months = landing.read_landed(spark, f"{scratch}/player_month")
+    assert {"_stats_value", "_player_id", "_team_id"} <= set(months.columns)
+    assert sorted(r._player_id for r in months.collect()) == ["3", "5", "6"]
+    # the next run finds nothing pending
+    columns = log.columns
+    after = log.unionByName(events.select(*columns))
+    assert control.pending_games(header, after, "2016-17", "R").count() == 0
+
+
 def test_load_single_measure(spark, docs, nodes, scratch):
     run = dict(season="2016-17", season_type="Regular Season", run_id=4, as_of=dt.datetime(2017, 1, 1))
     rows = load.load_single(spark, nodes, "game_team_stats", lambda endpoint: docs, scratch, **run)
