@@ -213,7 +213,7 @@ def nodes(lg: League) -> DataFrame:
     return lg.table("part").select(
         F.lower("p_type").alias("node"), F.col("p_brand").alias("endpoint"), F.col("p_name").alias("measure"),
         F.concat(F.col("p_name"), F.lit("_"), F.col("p_partkey").cast("string")).alias("table_name"),
-        (F.col("p_retailprice") > 1000).alias("active"),
+        (F.col("p_retailprice") > 950).alias("active"),
         F.when(F.col("p_size") > 40, "pass").otherwise("self").alias("measure_type"),
         (F.col("p_size") + 1970).alias("available_year"),
     )
@@ -222,7 +222,7 @@ def nodes(lg: League) -> DataFrame:
 @query(
     "measure_catalogue",
     """select lower(p_type) as node, p_brand as endpoint, p_name as measure, p_name || '_' || p_partkey as table_name, cast(p_size + 1970 as integer) as available_year
-       from part where p_retailprice > 1000 and p_size + 1970 <= 2016 and p_size <= 40""",
+       from part where p_retailprice > 950 and p_size + 1970 <= 2016 and p_size <= 40""",
 )
 def measure_catalogue(lg: League):
     return control.per_entity(control.active_measures(nodes(lg), "2016-17")).select(
@@ -233,7 +233,7 @@ def measure_catalogue(lg: League):
 @query(
     "measures_of_node",
     """select p_brand as endpoint, p_name as measure, p_name || '_' || p_partkey as table_name from part
-       where p_retailprice > 1000 and p_size + 1970 <= 1998 and lower(p_type) = 'promo'""",
+       where p_retailprice > 950 and p_size + 1970 <= 1998 and lower(p_type) = 'promo'""",
 )
 def measures_of_node(lg: League):
     return control.active_measures(nodes(lg), "1998-99", node="promo").select("endpoint", "measure", "table_name")

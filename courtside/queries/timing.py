@@ -79,21 +79,23 @@ def player_rolling_time(lg: League):
           ('FURNITURE', 'HOUSEHOLD', 0.10), ('FURNITURE', 'MACHINERY', 0.10), ('FURNITURE', 'BUILDING', 0.05),
           ('MACHINERY', 'MACHINERY', 0.65), ('MACHINERY', 'HOUSEHOLD', 0.25), ('MACHINERY', 'FURNITURE', 0.10))
         select well.season, well.team_abbreviation, well.player_id, well.game_date, well.pos,
-          round(nullif(sum(hurt.avg_player_time_last_5_games * well.pct_player_time_5_games * f.factor::double), 0), 6)
-            as benefit_seconds
+          floor(nullif(sum(hurt.avg_player_time_last_5_games * f.factor::double) * well.pct_player_time_5_games, 0) * 1e6::double
+            + 0.5::double) / 1e6::double as benefit_seconds
         from ptime well
         left join ptime hurt on hurt.season = well.season and hurt.team_abbreviation = well.team_abbreviation
           and hurt.game_date = well.game_date and hurt.injured = 'YES' and hurt.player_id <> well.player_id
         left join factor f on f.hurt = hurt.pos and f.pos = well.pos
-        where well.injured = 'NO' group by all""",
+        where well.injured = 'NO'
+        group by well.season, well.team_abbreviation, well.player_id, well.game_date, well.pos, well.pct_player_time_5_games""",
     ),
 )
 def injury_benefit(lg: League):
     names = {"C": "AUTOMOBILE", "PF": "BUILDING", "SF": "FURNITURE", "SG": "HOUSEHOLD", "PG": "MACHINERY"}
     factors = [(names[a], names[b], f) for a, b, f in marts.POSITION_FACTORS]
     # both sides read the playing-time table
+    # half up to six places, in the same steps as the SQL
     return marts.injury_benefit(settle(_player_time(lg), "player-time"), factors).withColumn(
-        "benefit_seconds", F.round("benefit_seconds", 6)
+        "benefit_seconds", F.floor(F.col("benefit_seconds") * 1e6 + 0.5) / 1e6
     )
 
 
@@ -114,7 +116,7 @@ def position_rolling_time(lg: League):
 @query(
     "rolling_share",
     """with daily as (
-         select year(o_orderdate) as season, c_nationkey as team, c_mktsegment as pos, o_custkey, o_orderkey,
+         select cast(year(o_orderdate) as integer) as season, c_nationkey as team, c_mktsegment as pos, o_custkey, o_orderkey,
                 cast(o_orderdate as date) as d, cast(round(o_totalprice * 100) as bigint) as cents
          from orders join customer on o_custkey = c_custkey),
        team_day as (select season, team, pos, d, sum(cents) as cents from daily group by all),
@@ -206,7 +208,7 @@ def news_of_the_day(lg: League):
 
 @query(
     "season_mean",
-    """select o_orderkey, year(o_orderdate) as season,
+    """select o_orderkey, cast(year(o_orderdate) as integer) as season,
          cast(sum(cast(round(o_totalprice * 100) as bigint)) over w as double) / count(*) over w as season_mean
        from orders window w as (partition by o_custkey, year(o_orderdate))""",
 )
@@ -279,7 +281,7 @@ def game_number(lg: League):
 
 @query(
     "season_rank",
-    """with t as (select year(o_orderdate) as season, o_custkey, sum(cast(round(o_totalprice * 100) as bigint)) as cents
+    """with t as (select cast(year(o_orderdate) as integer) as season, o_custkey, sum(cast(round(o_totalprice * 100) as bigint)) as cents
                   from orders group by all)
        select season, o_custkey, cast(cents as bigint) as cents,
               cast(rank() over (partition by season order by cents desc) as bigint) as cents_rank from t""",
