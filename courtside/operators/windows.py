@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.functions.ordering import earliest_first, latest_first
+from courtside.session import settle
 
 BLOCK = "_block"
 
@@ -157,12 +158,11 @@ def global_previous(
     key = list(levels[-1])
     levels = [*map(list, levels), [*key, BLOCK]]
     rows = _with_block(df, key, block).drop("_is_hot")
-    at = F.struct(*levels[-1], *order)
-    summaries = [rows.groupBy(*levels[-1]).agg(F.max(at).alias("_at"), F.max_by(value, at).alias("_last"))]
+    # the newest row under a prefix is the greatest struct in order; its value rides along
+    newest = F.max(F.struct(*levels[-1], *order, F.col(value).alias("_value"))).alias("_last")
+    summaries = [settle(rows.groupBy(*levels[-1]).agg(newest), "last-rows")]
     for level in reversed(levels[:-1]):
-        summaries.insert(0, summaries[0].groupBy(*level).agg(
-            F.max("_at").alias("_at"), F.max_by("_last", "_at").alias("_last")
-        ))
+        summaries.insert(0, summaries[0].groupBy(*level).agg(F.max("_last").alias("_last")))
 
     carried = None
     for depth, summary in enumerate(summaries):
@@ -171,7 +171,7 @@ def global_previous(
         window = Window.partitionBy(*parent).orderBy(*own)
         step = summary.select(
             *levels[depth],
-            F.lag("_last", 1).over(window).alias("_lag"),
+            F.lag("_last._value", 1).over(window).alias("_lag"),
             F.row_number().over(window).alias("_rn"),
         )
         if carried is None:

@@ -11,7 +11,7 @@ from courtside.plans import control, load
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import query
 from courtside.queries.rosters import seasons
-from courtside.session import fresh_path
+from courtside.session import fresh_path, spread
 from courtside.sources import documents, landing
 
 AS_OF = dt.date(2001, 6, 1)
@@ -37,7 +37,7 @@ def _order_documents(lg: League) -> DataFrame:
         ("Head", {"KEY": F.col("o_orderkey")}),
         ("Row", {"ORDER_ID": F.col("o_orderkey"), "TO": F.month("o_orderdate"), "STATUS": F.col("o_orderstatus"), "PRICE": F.col("o_totalprice")}),
     )
-    return lg.table("orders").select(fn.season_text("o_orderdate").alias("_season"), body.alias("body"))
+    return spread(lg.table("orders")).select(fn.season_text("o_orderdate").alias("_season"), body.alias("body"))
 
 
 @query(
@@ -111,7 +111,7 @@ def landed_measure(lg: League):
         ("PlayerTrack", {"LINE": F.col("l_linenumber"), "TO": F.col("l_quantity"), "FLAG": F.col("l_returnflag")}),
         ("TeamTrack", {"LINE": F.col("l_linenumber")}),
     )
-    docs = lg.table("lineitem").select(
+    docs = spread(lg.table("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")).select(
         body.alias("body"), F.col("l_orderkey").alias("key"), fn.season_text("l_shipdate").alias("season")
     )
     schema = "line int, tov double, flag string"
