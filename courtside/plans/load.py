@@ -19,15 +19,17 @@ from courtside.sources.landing import land, landed_schema
 DOCUMENT_KEYS = {"game": ("_game_id",), "team": ("_team_id",), "player": ("_player_id", "_team_id")}
 
 def load_measure(
-    spark: SparkSession, measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int, as_of: dt.datetime
+    spark: SparkSession, measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int,
+    as_of: dt.datetime, schema: str | None = None,
 ) -> DataFrame:
     """Land one measure: scrape its result set, watch for new columns, stamp, append.
 
-    ``documents`` has one document per row in ``body`` plus the key columns of the node.
+    ``documents`` has one document per row in ``body`` plus the key columns of the node. Without
+    a ``schema`` the types are inferred, which reads the documents once more.
     """
     keys = DOCUMENT_KEYS[measure.node]
     index = result_index(measure.node, measure.endpoint, measure.measure)
-    rows = scrape(documents, index, infer_schema(documents, index), keep=keys)
+    rows = scrape(documents, index, schema or infer_schema(documents, index), keep=keys)
     path = f"{root}/{measure.table_name}"
     lineage = {key.removeprefix("_"): F.col(key) for key in keys}
     return land(

@@ -26,13 +26,28 @@ def _finish(stream) -> None:
     stream.awaitTermination()
 
 
-@query("streamed_landing", "select event_id, user_id as player, ts as at, event_type from events")
+_LANDED = "select event_id, user_id as player, ts as at, event_type from events"
+
+
+@query("streamed_landing", _LANDED)
 def streamed_landing(lg: League):
     """Every item lands once, however often it is delivered."""
     root = fresh_path(lg.spark, "news-stream")
+    _finish(news.append_unseen(_polled(lg), ["player", "event_id"], f"{root}/rows", f"{root}/checkpoint"))
+    return _landed(lg, f"{root}/rows")
+
+
+@query("streamed_landing_watermark", _LANDED)
+def streamed_landing_watermark(lg: League):
+    """The same with state bounded by a watermark; the given items come in one batch, so none is late."""
+    root = fresh_path(lg.spark, "news-stream")
     unique = news.without_repeats(_polled(lg), ["player", "event_id"], "at")
     _finish(news.append_stream(unique, f"{root}/rows", f"{root}/checkpoint"))
-    return lg.spark.read.parquet(f"{root}/rows").select(
+    return _landed(lg, f"{root}/rows")
+
+
+def _landed(lg: League, path: str) -> DataFrame:
+    return lg.spark.read.parquet(path).select(
         "event_id", "player", F.col("at").cast("timestamp_ntz").alias("at"), "event_type"
     )
 
@@ -45,9 +60,8 @@ def streamed_landing(lg: League):
 def streamed_latest(lg: League):
     """Newest item per player as running state, published after each batch."""
     root = fresh_path(lg.spark, "latest-news")
-    unique = news.without_repeats(_polled(lg), ["player", "event_id"], "at")
     order = F.struct("at", -F.col("priority"), -F.col("event_id"))
-    latest = news.latest_per_player(unique, "player", order, ["event_id", "at", "event_type"])
+    latest = news.latest_per_player(_polled(lg), "player", order, ["event_id", "at", "event_type"])
     _finish(news.publish_stream(latest, f"{root}/view", f"{root}/checkpoint"))
     versions = lg.spark.read.option("basePath", f"{root}/view").parquet(f"{root}/view")
     newest = versions.agg(F.max(F.col("batch").cast("int")).alias("b")).scalar()

@@ -9,18 +9,48 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def without_repeats(items: DataFrame, keys: Sequence[str], at: str, delay: str = "2 days") -> DataFrame:
-    """Drop items a later poll delivers again. State is bounded by the watermark delay.
+    """Drop items a later poll delivers again, with state bounded by the watermark delay.
 
-    ``at`` must be a zoned timestamp column.
+    ``at`` must be a zoned timestamp column. Items older than the watermark are dropped even
+    when they are new; where none may be lost, use ``append_unseen``.
     """
     return items.withWatermark(at, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def append_unseen(
+    items: DataFrame, keys: Sequence[str], path: str, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Append every item once, however late it comes and however often it is delivered.
+
+    A batch keeps what no earlier batch landed, and owns the folder ``batch=<id>``: a repeated
+    batch overwrites its own folder and compares itself with earlier ones only.
+    """
+    keys = list(keys)
+    # an empty batch, so that the first real one finds a table to compare with
+    items.sparkSession.createDataFrame([], items.schema).write.mode("ignore").parquet(f"{path}/batch=-1")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        landed = batch.sparkSession.read.schema(f"{_ddl(items, keys)}, batch string").parquet(path)
+        seen = landed.where(F.col("batch").cast("bigint") < batch_id).select(*keys)
+        batch.dropDuplicates(keys).join(seen, keys, "left_anti").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _start(items.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now)
+
+
+def _ddl(items: DataFrame, names: Sequence[str]) -> str:
+    return ", ".join(f"`{n}` {items.schema[n].dataType.simpleString()}" for n in names)
+
+
+def _start(writer, available_now: bool) -> StreamingQuery:
+    """To the end of what is there, or polling every quarter of an hour."""
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="15 minutes")).start()
+
+
 def latest_per_player(items: DataFrame, player: str, order: Column, columns: Sequence[str]) -> DataFrame:
     """Newest item per player as running state: one struct per player.
 
-    ``order`` is a struct that grows with recency. Items without a time cannot be ordered
-    and are left out by the caller.
+    ``order`` is a struct that grows with recency; an item delivered twice changes nothing.
+    Items without a time cannot be ordered and are left out by the caller.
     """
     newest = F.max_by(F.struct(*columns), order).alias("item")
     return items.groupBy(player).agg(newest).select(player, "item.*")
@@ -34,7 +64,7 @@ def append_stream(items: DataFrame, path: str, checkpoint: str, available_now: b
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="15 minutes")).start()
+    return _start(writer, available_now)
 
 
 def publish_stream(latest: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -47,4 +77,4 @@ def publish_stream(latest: DataFrame, path: str, checkpoint: str, available_now:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = latest.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="15 minutes")).start()
+    return _start(writer, available_now)

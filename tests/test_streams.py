@@ -47,3 +47,25 @@ def test_latest_equals_the_batch_answer(spark, scratch):
     last = versions.agg(F.max(F.col("batch").cast("int")).alias("b")).first().b
     got = {r.player: r.headline for r in versions.where(F.col("batch").cast("int") == last).collect()}
     assert got == {"1": "b", "2": "e", "3": "f"}
+
+
+def unseen(spark, scratch):
+    stream = spark.readStream.schema(ITEM).parquet(f"{scratch}/in")
+    news.append_unseen(stream, ["player", "headline", "at"], f"{scratch}/out", f"{scratch}/cp").awaitTermination()
+    return sorted((r.player, r.headline) for r in spark.read.parquet(f"{scratch}/out").collect())
+
+
+def test_late_items_are_kept(spark, scratch):
+    poll(spark, f"{scratch}/in", [("1", "a", at(1), 1), ("1", "a", at(1), 1), ("2", "b", dt.datetime(2017, 2, 1), 1)])
+    assert unseen(spark, scratch) == [("1", "a"), ("2", "b")]
+    poll(spark, f"{scratch}/in", [("1", "a", at(1), 1), ("3", "old", dt.datetime(2016, 1, 1), 1)])
+    assert unseen(spark, scratch) == [("1", "a"), ("2", "b"), ("3", "old")]
+    assert unseen(spark, scratch) == [("1", "a"), ("2", "b"), ("3", "old")]
+
+
+def test_a_batch_repeated_from_the_start_changes_nothing(spark, scratch):
+    poll(spark, f"{scratch}/in", [("1", "a", at(1), 1), ("2", "b", at(2), 1)])
+    first = unseen(spark, scratch)
+    stream = spark.readStream.schema(ITEM).parquet(f"{scratch}/in")
+    news.append_unseen(stream, ["player", "headline", "at"], f"{scratch}/out", f"{scratch}/cp-lost").awaitTermination()
+    assert sorted((r.player, r.headline) for r in spark.read.parquet(f"{scratch}/out").collect()) == first
