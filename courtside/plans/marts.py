@@ -521,32 +521,51 @@ def played_game_features(
 # -- injury benefit -------------------------------------------------------------------
 
 def injury_benefit(
-    times: DataFrame, factors: Sequence[tuple[str, str, float]] = POSITION_FACTORS
+    times: DataFrame, factors: DataFrame | Sequence[tuple[str, str, float]] = POSITION_FACTORS
 ) -> DataFrame:
     """Seconds a healthy player gains from injured team mates of the same day: the sum over them
     of average time x own share x position factor; NULL when that is 0.
 
     The share does not depend on the team mate, so the injured side is summed per team, day and
     position first and no player pairs are formed. ``times`` has one row per player and day, so
-    nobody is their own team mate.
+    nobody is their own team mate. ``factors`` is a table of inj_pos, pos and dist_factor, or a
+    list of such triples.
     """
-    by_injured: dict[str, list[Column]] = {}
-    for hurt, pos, factor in factors:
-        gain = F.struct(F.lit(pos).alias("pos"), F.lit(float(factor)).alias("factor"))
-        by_injured.setdefault(hurt, []).append(gain)
-    gains = F.create_map(*[c for hurt, pairs in by_injured.items() for c in (F.lit(hurt), F.array(*pairs))])
     team_day = ["season", "team_abbreviation", "game_date"]
-    missing = (
+    lost = (
         times.where(F.col("injured") == "YES")
-        .groupBy(*team_day, F.col("pos").alias("hurt_pos"))
+        .groupBy(*team_day, F.col("pos").alias("inj_pos"))
         .agg(F.sum("avg_player_time_last_5_games").alias("lost"))
-        .select(*team_day, "lost", F.explode(gains[F.col("hurt_pos")]).alias("gain"))
-        .groupBy(*team_day, F.col("gain.pos").alias("pos"))
-        .agg(F.sum(F.col("lost") * F.col("gain.factor")).alias("gained"))
     )
+    if isinstance(factors, DataFrame):
+        shared = lost.join(factors.select("inj_pos", "pos", "dist_factor"), "inj_pos")
+    else:
+        shared = lost.select(*team_day, "lost", F.explode(_gains(factors)[F.col("inj_pos")]).alias("gain")).select(
+            *team_day, "lost", "gain.*"
+        )
+    gained = shared.groupBy(*team_day, "pos").agg(F.sum(F.col("lost") * F.col("dist_factor")).alias("gained"))
     benefit = F.col("gained") * F.col("pct_player_time_5_games")
     return (
         times.where(F.col("injured") == "NO")
-        .join(missing, [*team_day, "pos"], "left")
-        .select("season", "team_abbreviation", "player_id", "game_date", "pos", fn.zero_to_null(benefit).alias("benefit_seconds"))
+        .join(gained, [*team_day, "pos"], "left")
+        .select(*team_day[:2], "player_id", "game_date", "pos", fn.zero_to_null(benefit).alias("benefit_seconds"))
+    )
+
+
+def _gains(factors: Sequence[tuple[str, str, float]]) -> Column:
+    """Injured position to its (pos, dist_factor) list, as a literal map."""
+    by_injured: dict[str, list[Column]] = {}
+    for hurt, pos, factor in factors:
+        gain = F.struct(F.lit(pos).alias("pos"), F.lit(float(factor)).alias("dist_factor"))
+        by_injured.setdefault(hurt, []).append(gain)
+    return F.create_map(*[c for hurt, pairs in by_injured.items() for c in (F.lit(hurt), F.array(*pairs))])
+
+
+def injury_time(
+    times: DataFrame, season: str, team_abbreviation: str, player_id: int, day, factors=POSITION_FACTORS
+) -> DataFrame:
+    """The benefit of one player on one day; only that team's rows of that day are read."""
+    that_day = times.where(
+        (F.col("season") == season) & (F.col("team_abbreviation") == team_abbreviation) & (F.col("game_date") == F.lit(day))
     )
+    return injury_benefit(that_day, factors).where(F.col("player_id") == player_id)

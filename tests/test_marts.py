@@ -144,6 +144,18 @@ def test_injury_benefit_against_brute_force(spark):
         assert got[player, day] == (pytest.approx(gain) if gain else None)
 
 
+def test_injury_time_of_one_player_and_factor_table(spark):
+    rows = [("s", "AAA", 1, D(2017, 1, 1), "C", "NO", 10.0, 0.5), ("s", "AAA", 2, D(2017, 1, 1), "C", "YES", 100.0, 0.5), ("s", "AAA", 3, D(2017, 1, 2), "C", "YES", 7.0, 0.5)]
+    times = spark.createDataFrame(
+        rows, "season string, team_abbreviation string, player_id int, game_date date, pos string, injured string, avg_player_time_last_5_games double, pct_player_time_5_games double"
+    )
+    table = spark.createDataFrame(marts.POSITION_FACTORS, "inj_pos string, pos string, dist_factor double")
+    for factors in (marts.POSITION_FACTORS, table):
+        got = marts.injury_time(times, "s", "AAA", 1, D(2017, 1, 1), factors).collect()
+        assert [(r.player_id, r.benefit_seconds) for r in got] == [(1, 37.5)]
+        assert marts.injury_time(times, "s", "AAA", 2, D(2017, 1, 1), factors).count() == 0
+
+
 def test_factors_of_a_position_never_exceed_one():
     totals = {}
     for hurt, _, factor in marts.POSITION_FACTORS:
