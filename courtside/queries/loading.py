@@ -92,7 +92,7 @@ def player_lists(lg: League):
     listed = lg.games.select("player_id", F.col("season").alias("_season")).distinct().join(
         lg.players, F.col("player_id") == F.col("id")
     )
-    listed.select(body.alias("value"), "_season").write.partitionBy("_season").text(path)
+    listed.select(body.alias("value"), "_season").hint("rebalance", "_season").write.partitionBy("_season").text(path)
     names = [f"{y}-{(y + 1) % 100:02d}" for y in range(1995, 2002)]
     schema = "person_id bigint, display_first_last string"
     return documents.read_player_lists(lg.spark, path, names, schema)

@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. Every one may be set on a live session.
-# Shuffle width is left to the cluster: AQE sizes the partitions after each stage.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -34,10 +33,20 @@ def build(app: str = "courtside", master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
-def ready(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+def ready(spark: SparkSession, width: int | None = None) -> SparkSession:
+    """Apply the runtime settings to a session somebody else built.
+
+    ``width`` is the number of shuffle partitions before adaptive execution merges small ones.
+    Merging is all it does outside joins, so the number must suit the largest shuffle: on a
+    cluster it is at least twice the cores. A local session keeps what it was given.
+    """
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if width is None and not context.master.startswith("local"):
+        width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * context.defaultParallelism)
+    if width is not None:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
     return spark
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from courtside.functions.ordering import latest_first
 from courtside.operators.windows import latest_by
@@ -72,12 +72,16 @@ def land(
 ) -> DataFrame:
     """Normalise, align to what the table already has, stamp, append. Returns the rows written.
 
-    Drift is judged before the stamps exist, so lineage columns never count as new.
+    Drift is judged before the stamps exist, so lineage columns never count as new. A load of
+    several seasons (season given as a column) is rebalanced first: each season gets files of
+    a sensible size, and a large season is split over tasks.
     """
     rows = normalise(df, grain)
     if target is not None:
         rows = align(rows, T.StructType([f for f in target.fields if f.name not in LINEAGE[grain]]))
     rows = stamp(rows, grain, **lineage)
+    if isinstance(lineage["season"], Column):
+        rows = rows.hint("rebalance", "_season")
     rows.write.mode("append").partitionBy("_season").parquet(path)
     return rows
 
@@ -105,12 +109,12 @@ def snapshot(df: DataFrame, keys: Sequence[str], *tie: str) -> DataFrame:
 def publish(df: DataFrame, root: str, table: str, version: str) -> tuple[str, int]:
     """Write a full table to a new versioned path; returns the path and its row count.
 
-    Readers of the previous version are not disturbed, and a lost task is simply rerun.
+    Readers of the previous version are not disturbed, and a lost task is simply rerun. The
+    count comes from the footers of the written files.
     """
     path = f"{root}/{table}/{version}"
-    rows = Observation(f"{table}-{version}")
-    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return path, rows.get["rows"]
+    df.write.mode("overwrite").parquet(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def clear(spark: SparkSession, schema: T.StructType, root: str, tables: Sequence[str], version: str) -> None:

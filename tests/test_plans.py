@@ -105,6 +105,15 @@ def test_runtime_settings(spark):
         assert spark.conf.get(key) == value
 
 
+def test_width_is_set_on_request_only(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    ready(spark)
+    assert spark.conf.get(key, None) is None
+    ready(spark, width=64)
+    assert spark.conf.get(key) == "64"
+    spark.conf.unset(key)
+
+
 def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
