@@ -45,6 +45,11 @@ def height_inches(text: Column | str) -> Column:
     return text_to_int(part(text, "-", 1)) * 12 + text_to_int(part(text, "-", 2))
 
 
+def clock_seconds(text: Column | str) -> Column:
+    """Playing time '34:12' to 2052 seconds; NULL when either part is missing."""
+    return text_to_int(part(text, ":", 1)) * 60 + text_to_int(part(text, ":", 2))
+
+
 def landed_date(text: Column | str) -> Column:
     """Date in front of the 'T' of a landed timestamp text."""
     return F.to_date(part(text, "T", 1), "yyyy-MM-dd")

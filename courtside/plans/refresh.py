@@ -41,7 +41,12 @@ def team_game_facts(team_box: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def player_game_facts(player_box: DataFrame, games: DataFrame, players: DataFrame) -> DataFrame:
-    """Landed player box scores of known games with side, opponent and the player version open now."""
+    """Landed player box scores of known games with side, opponent and the player version open now.
+
+    Playing time is taken from ``seconds``, or from the clock text ``min`` where there is none.
+    """
+    if "seconds" not in player_box.columns:
+        player_box = player_box.withColumn("seconds", fn.clock_seconds("min"))
     home = F.col("team_id") == F.col("home_team_id")
     known = games.select(F.col("id").alias("game_id"), "season", "game_date", "home_team_id", "visitor_team_id")
     version = players.where("is_rec_active").select(F.col("id").alias("player_id"), "dim_player_guid")
@@ -104,8 +109,7 @@ def refresh_all(
     games = write("dim_game", game_dimension(landed["header"]))
 
     stints = conform(marts.team_history(
-        landed["player_common_all"], landed["team"], landed["player_box"].withColumn("_season", F.col("season")),
-        landed["header"], now,
+        landed["player_common_all"], landed["team"], landed["player_box"], landed["header"], now,
     ).withColumn("created_at", now), dim_player(history=True))
     history = write(
         "dim_player_team_history",
@@ -116,7 +120,7 @@ def refresh_all(
         F.col("team_id").alias("id"), "team_name", F.col("team_abbrv").alias("team_abbreviation")
     )
     write("fct_game_team", team_game_facts(landed["team_box"], games))
-    facts = write("fct_game_player", player_game_facts(landed["player_box"].drop("season"), games, people))
+    facts = write("fct_game_player", player_game_facts(landed["player_box"], games, people))
 
     roster = history.select(F.col("id").alias("player_id"), "season", "team_id", "rec_start_date")
     schedule = marts.schedule(games, teams, facts, roster, people)

@@ -19,7 +19,7 @@ def landed_tables(lg: League) -> dict:
     # a team's roster of a season is one customer here, so open games list few players
     games = lg.games.withColumns({"home_team_id": F.col("player_id"), "visitor_team_id": F.floor(F.col("o_totalprice") / 500).cast("int")})
     box = games.select(
-        F.col("id").alias("game_id"), "player_id", F.col("player_id").cast("int").alias("team_id"), "season",
+        F.col("id").alias("game_id"), "player_id", F.col("player_id").cast("int").alias("team_id"), F.col("season").alias("_season"),
         F.concat(F.lit("T"), F.col("player_id").cast("string")).alias("team_abbreviation"),
         F.substring("o_orderpriority", 1, 1).alias("start_position"), F.lit(None).cast("string").alias("comment"),
         F.col("game_date").alias("_create_date"),

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from courtside.functions import scalars as fn
+from courtside.functions.ordering import earliest_first
+from courtside.operators.windows import latest_by
+from courtside.plans import marts
 from courtside.plans.control import EXHIBITION_TEAMS
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import query
@@ -91,17 +94,19 @@ def flag_texts(lg: League):
     "injury_flags",
     with_tables(
         "game line fact item",
-        """select f.game_id, i.headline, case when i.injured is not null then i.injured
+        """with i as (select * from item
+          qualify row_number() over (partition by player_id, dt order by priority, headline) = 1)
+        select f.game_id, i.headline, case when i.injured is not null then i.injured
              when upper(comment) like '%DECISION%' or upper(comment) like '%DRESS%' or upper(comment) like '%SUSPEN%'
                or upper(comment) like '%PERSONAL%' or upper(comment) like '%SERVING%' then 'NO'
              when comment like '%DND%' then 'YES' else 'NO' end as injured
-        from fact f left join item i on i.player_id = f.player_id and i.dt = f.game_date""",
+        from fact f left join i on i.player_id = f.player_id and i.dt = f.game_date""",
     ),
 )
 def injury_flags(lg: League):
-    items = lg.news.select(
-        fn.player_or_sentinel("playerid").alias("player_id"), fn.epoch_day("date").alias("game_date"), "headline",
-        F.col("injured").alias("said"),
+    """Flag of every played game, from the first news item of the player's day or the comment."""
+    items = latest_by(marts.news_of_the_day(lg.news), ["player_id", "dt"], earliest_first("priority", "headline")).select(
+        "player_id", F.col("dt").alias("game_date"), "headline", F.col("injured").alias("said")
     )
     return lg.facts.join(items, ["player_id", "game_date"], "left").select(
         "game_id", "headline", fn.injury_flag("said", "comment").alias("injured")

@@ -114,3 +114,9 @@ def test_mean_rounds_half_up(spark):
 def test_null_is_no_difference(spark):
     df = spark.createDataFrame([(None, 1), (1, None), (1, 1), (1, 2)], "a int, b int")
     assert [r.x for r in df.select(fn.differs([F.col("a")], [F.col("b")]).alias("x")).collect()] == [False, False, False, True]
+
+
+@pytest.mark.parametrize("text, want", [("34:12", 2052), ("0:05", 5), ("", None), ("34", None), (None, None)])
+def test_clock(spark, text, want):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(fn.clock_seconds("t").alias("x")).first().x == want
