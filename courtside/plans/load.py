@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from courtside.plans.control import (
     COMPLETED, active_measures, done_keys, not_done, pending_games, per_entity, single_measure,
@@ -13,13 +13,13 @@ from courtside.plans.control import (
 from courtside.session import fresh_path, settle
 from courtside.sources.catalogue import result_index
 from courtside.sources.documents import infer_schema, scrape
-from courtside.sources.landing import land, landed_schema
+from courtside.sources.landing import land
 
 # Key columns a document frame carries per node, named like the lineage they become.
 DOCUMENT_KEYS = {"game": ("_game_id",), "team": ("_team_id",), "player": ("_player_id", "_team_id")}
 
 def load_measure(
-    spark: SparkSession, measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int,
+    measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int,
     as_of: dt.datetime, schema: str | None = None,
 ) -> DataFrame:
     """Land one measure: scrape its result set, watch for new columns, stamp, append.
@@ -33,21 +33,20 @@ def load_measure(
     path = f"{root}/{measure.table_name}"
     lineage = {key.removeprefix("_"): F.col(key) for key in keys}
     return land(
-        rows, measure.node, path, landed_schema(spark, path), **lineage, season=season, season_type=season_type,
+        rows, measure.node, path, **lineage, season=season, season_type=season_type,
         create_date=F.lit(as_of), run_id=run_id,
     )
 
 
 def load_single(
-    spark: SparkSession, nodes: DataFrame, table_name: str, documents: Callable[[str], DataFrame], root: str, season: str, **run
+    nodes: DataFrame, table_name: str, documents: Callable[[str], DataFrame], root: str, season: str, **run
 ) -> DataFrame:
     """Land one named measure for a whole season."""
     measure = single_measure(nodes, season, table_name)
-    return load_measure(spark, measure, documents(measure.endpoint), root, season, **run)
+    return load_measure(measure, documents(measure.endpoint), root, season, **run)
 
 
 def load_entities(
-    spark: SparkSession,
     nodes: DataFrame,
     node: str,
     todo: DataFrame,
@@ -69,7 +68,7 @@ def load_entities(
     measures = per_entity(active_measures(nodes, season, node)).collect()
     for measure in measures:
         wanted = documents(measure.endpoint).join(todo, keys, "left_semi")
-        load_measure(spark, measure, wanted, root, season, season_type, run_id, as_of)
+        load_measure(measure, wanted, root, season, season_type, run_id, as_of)
     own, *parent = keys
     return todo.select(
         F.lit(run_id).alias("run_id"), F.lit(node).alias("node"), F.col(own).cast("string").alias("node_key"),
@@ -83,7 +82,6 @@ def load_entities(
 
 
 def run_games(
-    spark: SparkSession,
     nodes: DataFrame,
     header: DataFrame,
     run_log: DataFrame,
@@ -103,6 +101,7 @@ def run_games(
     """
     run = dict(season=season, season_type=season_type, run_id=run_id, as_of=as_of)
     today = F.lit(as_of.date())
+    spark = header.sparkSession
     place = fresh_path(spark, "run-log")
 
     def write(events: DataFrame) -> None:
@@ -111,19 +110,19 @@ def run_games(
     pending = settle(pending_games(header, run_log, season, season_type), "pending-games")
     games = pending.select(F.col("game_id").alias("node_key"))
     new = games.join(done_keys(run_log, "game"), "node_key", "left_anti").select(F.col("node_key").alias("_game_id"))
-    write(load_entities(spark, nodes, "game", new, documents, root, **run))
+    write(load_entities(nodes, "game", new, documents, root, **run))
 
     sides = F.array(F.col("home_team_id").cast("string"), F.col("visitor_team_id").cast("string"))
     teams = pending.select(F.explode(sides).alias("node_key")).distinct()
     teams = not_done(teams, run_log, "team", run_id, today, season=season, season_type=season_type)
-    write(load_entities(spark, nodes, "team", teams.select(F.col("node_key").alias("_team_id")), documents, root, **run))
+    write(load_entities(nodes, "team", teams.select(F.col("node_key").alias("_team_id")), documents, root, **run))
 
     players = box().join(games, F.col("game_id") == F.col("node_key"), "left_semi").select(
         F.col("player_id").cast("string").alias("node_key"), F.col("team_id").cast("string").alias("parent_key")
     ).distinct()
     players = not_done(players, run_log, "player", run_id, today, ("node_key", "parent_key"), season, season_type)
     todo = players.select(F.col("node_key").alias("_player_id"), F.col("parent_key").alias("_team_id"))
-    write(load_entities(spark, nodes, "player", todo, documents, root, **run))
+    write(load_entities(nodes, "player", todo, documents, root, **run))
 
     write(games.select(
         F.lit(run_id).alias("run_id"), F.lit("game").alias("node"), "node_key", F.lit(None).cast("string").alias("parent_key"),

@@ -140,7 +140,7 @@ def landed_drift(lg: League):
     )
     for run, rows in enumerate((first, second), start=1):
         landing.land(
-            rows, "team", path, landing.landed_schema(lg.spark, path), team_id=F.col("team"), season="2001-02",
+            rows, "team", path, team_id=F.col("team"), season="2001-02",
             season_type="Playoffs", create_date=F.lit("2001-06-01 00:00:00").cast("timestamp"), run_id=run,
         )
     return landing.read_landed(lg.spark, path).select("key", "name", "acctbal", "segment", "rating", "_team_id", "_run_id")
@@ -535,7 +535,7 @@ def game_run_log(lg: League):
         rows, "node string, endpoint string, measure string, table_name string, active boolean, measure_type string, available_year int"
     )
     events = load.run_games(
-        lg.spark, catalogue, header, log, lambda: played, documents_of.__getitem__, fresh_path(lg.spark, "game-run"),
+        catalogue, header, log, lambda: played, documents_of.__getitem__, fresh_path(lg.spark, "game-run"),
         season="1998-99", season_type="Regular Season", run_id=2, as_of=dt.datetime(2001, 6, 1),
     )
     return events.groupBy("node", "group_status").agg(F.count(F.lit(1)).alias("events"))

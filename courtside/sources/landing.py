@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -67,9 +68,7 @@ def stamp(df: DataFrame, grain: str, **lineage: Column | str | int | None) -> Da
     return df.withColumns({name: as_column[name] for name in wanted})
 
 
-def land(
-    df: DataFrame, grain: str, path: str, target: T.StructType | None = None, **lineage
-) -> DataFrame:
+def land(df: DataFrame, grain: str, path: str, **lineage) -> DataFrame:
     """Normalise, align to what the table already has, stamp, append. Returns the rows written.
 
     Drift is judged before the stamps exist, so lineage columns never count as new. A load of
@@ -77,28 +76,48 @@ def land(
     a sensible size, and a large season is split over tasks.
     """
     rows = normalise(df, grain)
+    target = landed_schema(df.sparkSession, path)
     if target is not None:
         rows = align(rows, T.StructType([f for f in target.fields if f.name not in LINEAGE[grain]]))
     rows = stamp(rows, grain, **lineage)
+    if target is None or drift(target, rows.schema).fields:
+        _remember(df.sparkSession, path, rows.schema)
     if isinstance(lineage["season"], Column):
         rows = rows.hint("rebalance", "_season")
     rows.write.mode("append").partitionBy("_season").parquet(path)
     return rows
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """A landing table, with the columns of all loads."""
-    return spark.read.option("mergeSchema", "true").option("basePath", path).parquet(path)
+def _columns(path: str) -> str:
+    return f"{path.rstrip('/')}__columns"
+
+
+def _remember(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Note the columns a load brings next to the table: one small row per load with new ones."""
+    spark.createDataFrame([(schema.json(),)], "body string").coalesce(1).write.mode("append").parquet(_columns(path))
 
 
 def landed_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Columns a landing table has so far, or None before its first load."""
+    """Columns a landing table has so far, or None before its first load.
+
+    Read from the noted columns, so that no footer of the table itself is opened.
+    """
     try:
-        return read_landed(spark, path).schema
+        notes = spark.read.parquet(_columns(path))
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+    found: dict[str, T.StructField] = {}
+    for note in notes.collect():
+        for f in T.StructType.fromJson(json.loads(note.body)).fields:
+            found.setdefault(f.name, f)
+    return T.StructType(list(found.values()))
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """A landing table, with the columns of all loads."""
+    return spark.read.schema(landed_schema(spark, path)).parquet(path)
 
 
 def snapshot(df: DataFrame, keys: Sequence[str], *tie: str) -> DataFrame:

@@ -86,9 +86,9 @@ def test_stamps_must_be_complete(spark):
 def test_two_loads_with_two_new_columns(spark, scratch):
     stamps = dict(season="2001-02", season_type="Playoffs", create_date=F.lit(dt.datetime(2017, 1, 1)), run_id=1)
     path = f"{scratch}/t"
-    landing.land(spark.createDataFrame([(1, "x")], "A int, B string"), "game", path, landing.landed_schema(spark, path), game_id="g1", **stamps)
+    landing.land(spark.createDataFrame([(1, "x")], "A int, B string"), "game", path, game_id="g1", **stamps)
     second = spark.createDataFrame([(2, 1.5, True)], "A int, NEW1 double, NEW2 boolean")
-    landing.land(second, "game", path, landing.landed_schema(spark, path), game_id="g2", **stamps)
+    landing.land(second, "game", path, game_id="g2", **stamps)
     rows = {r.a: r for r in landing.read_landed(spark, path).collect()}
     assert rows[1].b == "x" and rows[1].new1 is None
     assert rows[2].b is None and rows[2].new1 == 1.5 and rows[2].new2 == "true" and rows[2]._game_id == "g2"
@@ -131,7 +131,7 @@ def nodes(spark):
 def test_entities_land_all_active_measures(spark, docs, nodes, scratch):
     run = dict(season="2016-17", season_type="Regular Season", run_id=4, as_of=dt.datetime(2017, 1, 1))
     todo = spark.createDataFrame([("001",), ("004",)], "_game_id string")
-    log = load.load_entities(spark, nodes, "game", todo, lambda endpoint: docs, scratch, **run)
+    log = load.load_entities(nodes, "game", todo, lambda endpoint: docs, scratch, **run)
     assert sorted((r.node_key, r.node_status, r.measure_count) for r in log.collect()) == [("001", "COMPLETED", 2), ("004", "COMPLETED", 2)]
     assert landing.read_landed(spark, f"{scratch}/game_team_stats").count() == 2
     assert landing.read_landed(spark, f"{scratch}/game_player_stats").count() == 2
@@ -179,7 +179,7 @@ def test_run_games_skips_what_is_done(spark, scratch):
         return old.unionByName(new)
 
     events = load.run_games(
-        spark, nodes, header, log, box, body.__getitem__, scratch, season="2016-17", season_type="R", run_id=4, as_of=dt.datetime(2017, 1, 9, 1)
+        nodes, header, log, box, body.__getitem__, scratch, season="2016-17", season_type="R", run_id=4, as_of=dt.datetime(2017, 1, 9, 1)
     )
     got = sorted((r.node, r.node_key, r.group_status) for r in events.collect())
     assert got == [
@@ -199,7 +199,7 @@ def test_run_games_skips_what_is_done(spark, scratch):
 
 def test_load_single_measure(spark, docs, nodes, scratch):
     run = dict(season="2016-17", season_type="Regular Season", run_id=4, as_of=dt.datetime(2017, 1, 1))
-    rows = load.load_single(spark, nodes, "game_team_stats", lambda endpoint: docs, scratch, **run)
+    rows = load.load_single(nodes, "game_team_stats", lambda endpoint: docs, scratch, **run)
     assert rows.count() == 3
     with pytest.raises(ValueError):
-        load.load_single(spark, nodes, "game_track", lambda endpoint: docs, scratch, **run)
+        load.load_single(nodes, "game_track", lambda endpoint: docs, scratch, **run)
