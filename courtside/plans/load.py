@@ -18,6 +18,7 @@ from courtside.sources.landing import land
 # Key columns a document frame carries per node, named like the lineage they become.
 DOCUMENT_KEYS = {"game": ("_game_id",), "team": ("_team_id",), "player": ("_player_id", "_team_id")}
 
+
 def load_measure(
     measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int,
     as_of: dt.datetime, schema: str | None = None,
