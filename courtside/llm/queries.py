@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from courtside.llm import byte_pairs
 from courtside.llm.near_documents import near_documents
 from courtside.llm.near_vectors import near_vectors
+from courtside.llm.neighbours import neighbours
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,6 +48,19 @@ def _op1(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+@query("op5_byte_pairs")
+def _op5(spark, sf_dir):
+    import public_tokenizers
+
+    tokens = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_pairs.digests(table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
+
+
 @query("op8_near_documents")
 def _op8(spark, sf_dir):
     return near_documents(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+@query("op9_neighbours")
+def _op9(spark, sf_dir):
+    return neighbours(table(spark, sf_dir, "embeddings"), every=20, k=20)
