@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from courtside.session import settle
@@ -65,3 +66,16 @@ def tiles(rows: DataFrame, group: str, sizes: DataFrame, key: str, block: int) -
         .withColumn("side", (F.col("own") > F.col("tile_i")).cast("int"))
         .drop("own", "other", "blocks")
     )
+
+
+def joined(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
+    """For each of n places the smallest place it is joined with by the links i - j."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        before = label.copy()
+        np.minimum.at(label, label[i], low)
+        np.minimum.at(label, label[j], low)
+        label = label[label]
+        if (before == label).all():
+            return label

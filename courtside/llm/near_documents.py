@@ -6,12 +6,14 @@
    variance against independent minima). Rounds stop once every slot is filled: later values cannot be smaller.
 3. ``rows`` slots make a band; classes with an equal band meet in a bucket. With 30 bands of 5 slots a pair
    of similarity 0.8 misses all buckets with probability 7e-6.
-4. In every bucket the smallest id is compared with all others on full sets, and linked classes are joined.
-   What is left in a bucket that still has several groups is compared block by block on the signatures; pairs
-   of different groups that the signature does not place far below the threshold are checked on full sets.
-5. Groups are connected components.
-
-No bucket is gathered as a whole, and pairs inside a group that is already joined are not made.
+4. In every bucket the smallest id is compared with all others: on signatures, then, if those do not place the
+   pair far below the threshold, on full sets. Linked classes are joined.
+5. Buckets that still hold several groups are compared block by block on signatures. That gives clusters of what
+   may be linked; a cluster with several groups is compared block by block on full sets.
+6. Groups are connected components of the links.
+
+No bucket is gathered as a whole. Blocks return one row per class at most, never their pairs, and classes of the
+group that most of a block belongs to are not compared with each other.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from courtside.llm.components import components, tiles
+from courtside.llm.components import components, joined, tiles
 from courtside.llm.words import find_words, mix, pieces, shingles, text_bytes
 from courtside.session import settle
 
@@ -31,6 +34,10 @@ BANDS, ROWS = 30, 5
 # signature estimates this far below the threshold are not checked: over 4 standard deviations at 150 slots
 MARGIN = 0.14
 BLOCK = 2048
+# classes whose full sets meet in one task, twice
+SET_BLOCK = 512
+# bits of the summary of ids whose texts are read again (4 MB); the more ids, the less it spares, but none is lost
+BLOOM_BITS = 1 << 25
 
 
 def super_min_hash(doc: np.ndarray, value: np.ndarray, docs: int, slots: int) -> np.ndarray:
@@ -101,9 +108,40 @@ def _signer(k: int, bands: int, rows: int):
     return sign
 
 
-def _set_lists(k: int):
+def _spots(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of each id in the summary."""
+    h = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    return (h % np.uint64(BLOOM_BITS)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(BLOOM_BITS)).astype(np.int64)
+
+
+def _summary(nodes: DataFrame) -> bytes:
+    """Bit table in which both bits of every id are set. Tasks send set words, 64 bits each: BLOOM_BITS in all."""
+
+    def words(batches):
+        for batch in batches:
+            spot = np.concatenate(_spots(batch.column(0).to_numpy()))
+            yield pa.record_batch([pa.array(spot >> 6), pa.array((np.uint64(1) << (spot & 63).astype(np.uint64)).view(np.int64))], ["word", "bits"])
+
+    found = nodes.mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(BLOOM_BITS // 64, np.int64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return table.tobytes()
+
+
+def _sets_of(nodes: DataFrame, documents: DataFrame, k: int, label: str) -> DataFrame:
+    """``node, items``: sorted full sets of the named ids, written once. No text is shuffled.
+
+    The summary of the ids travels to the scan, which skips other texts; those it lets through besides are dropped.
+    """
+    nodes = settle(nodes, f"{label}-ids")
+    bits = documents.sparkSession.sparkContext.broadcast(_summary(nodes))
+
     def make(batches):
+        table = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").view(bool)
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column(0)))
+            a, b = _spots(batch.column(0).to_numpy())
+            batch = batch.filter(pa.array(table[a] & table[b]))
             for i, j, doc, value in _sets(batch.column(1), k):
                 ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=j - i))]).astype(np.int32)
                 yield pa.record_batch(
@@ -111,7 +149,8 @@ def _set_lists(k: int):
                     ["node", "items"],
                 )
 
-    return make
+    sets = documents.select("doc_id", "text").mapInArrow(make, "node long, items array<long>")
+    return settle(sets.join(nodes, "node", "left_semi"), label)
 
 
 def _overlaps(percent: int):
@@ -125,61 +164,133 @@ def _overlaps(percent: int):
             lo, ro = left.offsets.to_numpy(), right.offsets.to_numpy()
             for i in range(batch.num_rows):
                 x, y = lv[lo[i] : lo[i + 1]], rv[ro[i] : ro[i + 1]]
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if _linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent):
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return check
 
 
+def _linked(both, n, m, percent):
+    return 100 * both >= percent * (n + m - both)
+
+
+def _alike(least: float):
+    """Pairs whose signatures agree in at least ``least`` of the slots."""
+
+    def check(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("x", "y"))
+            near = (x == y).sum(axis=1) >= least * x.shape[1] if batch.num_rows else np.zeros(0, bool)
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return check
+
+
+def _stars(node: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+    """Links inside a tile as stars: each place that has one, with the first place of its group."""
+    i, j = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    first = joined(i, j, len(node))
+    away = np.flatnonzero(first != np.arange(len(node)))
+    return pa.table({"a": node[away].astype(np.int64), "b": node[first[away]].astype(np.int64)})
+
+
+def _thin(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """As few links with the same groups."""
+    first = joined(i, j, n)
+    met = np.unique(np.concatenate([i, j]))
+    return met, first[met]
+
+
 def _likely(least: float):
-    """Within a pair of blocks: pairs of different groups whose signatures agree in at least ``least`` of the slots."""
+    """In a tile: classes of different groups whose signatures agree in at least ``least`` of the slots, as stars."""
 
     def find(table: pa.Table) -> pa.Table:
         node, group = table["node"].to_numpy(), table["component"].to_numpy()
-        side = table["side"].to_numpy()
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(node), -1)
-        alone = table["tile_i"][0].as_py() == table["tile_j"][0].as_py()
-        left = np.flatnonzero(side == 0)
-        right = left if alone else np.flatnonzero(side == 1)
-        a, b = [], []
-        # slots are compared for a stripe of the left block at a time, to bound memory
-        for s in range(0, len(left), 128):
-            part = left[s : s + 128]
-            same = np.zeros((len(part), len(right)), np.int16)
+        found = []
+        for part, others in zip(*_pairs_of(table)):
+            same = np.zeros((len(part), len(others)), np.int16)
             for slot in range(sig.shape[1]):
-                same += sig[part, slot][:, None] == sig[right, slot][None, :]
-            near = (same >= least * sig.shape[1]) & (group[part][:, None] != group[right][None, :])
+                same += sig[part, slot][:, None] == sig[others, slot][None, :]
+            near = (same >= least * sig.shape[1]) & (group[part][:, None] != group[others][None, :])
             i, j = np.nonzero(near)
-            a.append(node[part[i]])
-            b.append(node[right[j]])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table({"a": np.maximum(a, b).astype(np.int64), "b": np.minimum(a, b).astype(np.int64)})
+            if len(i):
+                found.append(_thin(part[i], others[j], len(node)))
+        return _stars(node, found)
 
     return find
 
 
-def _checked(pairs: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs that hold on full sets. Only texts of some pair are read again, each once."""
-    pairs = settle(pairs.select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(
-        _set_lists(k), "node long, items array<long>"
-    )
-    # an id with several rows stands for its first set in order of content, like in classes()
-    sets = settle(sets, "sets")
+def _pairs_of(table: pa.Table, stripe: int = 128) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Stripes of places of a tile and, for each, the places to compare it with.
+
+    All pairs of different groups across the tile's two blocks are among them. Members of the group that most of the
+    tile belongs to are compared with the other groups only.
+    """
+    group, side = table["component"].to_numpy(), table["side"].to_numpy()
+    names, counts = np.unique(group, return_counts=True)
+    major = group == names[np.argmax(counts)]
+    here = np.arange(len(group))
+    if table["tile_i"][0].as_py() == table["tile_j"][0].as_py():
+        sides = [(here[~major], here)]
+    else:
+        one, two = here[side == 0], here[side == 1]
+        sides = [(one[~major[one]], two), (one[major[one]], two[~major[two]])]
+    left, right = [], []
+    for a, b in sides:
+        for s in range(0, len(a), stripe):
+            if len(b):
+                left.append(a[s : s + stripe])
+                right.append(b)
+    return left, right
+
+
+def _overlapping(percent: int):
+    """In a tile: classes of different groups that are linked on full sets, as stars."""
+
+    def find(table: pa.Table) -> pa.Table:
+        node, group = table["node"].to_numpy(), table["component"].to_numpy()
+        items = table["items"].combine_chunks()
+        starts = items.offsets.to_numpy()
+        _, code = np.unique(items.flatten().to_numpy(), return_inverse=True)
+        starts = starts - starts[0]
+        size = np.diff(starts)
+        has = np.zeros(code.max(initial=-1) + 1, np.int32)
+        found = []
+        for part, others in zip(*_pairs_of(table, 1)):
+            x = part[0]
+            others = others[group[others] != group[x]]
+            # sets of too different sizes cannot be linked
+            others = others[(100 * size[others] >= percent * size[x]) & (100 * size[x] >= percent * size[others])]
+            if not len(others):
+                continue
+            has[code[starts[x] : starts[x + 1]]] = 1
+            sums = np.concatenate([[0], np.cumsum(has[np.concatenate([code[starts[y] : starts[y + 1]] for y in others])])])
+            ends = np.cumsum(size[others])
+            both = sums[ends] - sums[ends - size[others]]
+            has[code[starts[x] : starts[x + 1]]] = 0
+            hit = others[_linked(both, size[x], size[others], percent)]
+            if len(hit):
+                found.append((np.full(len(hit), x), hit))
+        return _stars(node, found)
+
+    return find
+
+
+def _mixed(rows: DataFrame, by: str) -> DataFrame:
+    """Sizes of the groups ``by`` that hold more than one component."""
     return (
-        pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(_overlaps(percent), "a long, b long")
-        .distinct()
+        rows.groupBy(by)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+        .where("c0 < c1")
+        .select(by, "n")
     )
 
 
 def near_documents(
-    documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK
+    documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK,
+    set_block: int = SET_BLOCK,
 ) -> DataFrame:
     """Groups of near copies: ``doc_id, n_shingles, component_id, kept``, one row per row of ``documents``.
 
@@ -190,7 +301,8 @@ def near_documents(
     * a text of fewer than ``k`` words: one shingle, its whole sequence;
     * very long texts: whole, one at a time;
     * a null ``doc_id``: set size given, no links, ``component_id`` null, not kept;
-    * repeated rows of an id: each gives a row; they share what the id is linked with through any of them;
+    * repeated rows of an id: each gives a row, and the id is one node. If its texts differ, equal sets are found for all
+      of them, near copies for the one with the smallest fingerprint;
     * ties do not arise: the smallest id of a group stays; an empty table gives an empty result.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -200,40 +312,59 @@ def near_documents(
         ),
         "signed",
     )
-    sets = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = sets.groupBy("print").agg(F.min("doc_id").alias("node"))
-    # one row per class keeps its keys: that of the smallest id
+    signed_sets = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    classes = signed_sets.groupBy("print").agg(F.min("doc_id").alias("node"))
+    # the row of the smallest id keeps the keys of its class
     first = settle(
-        sets.join(classes.select(F.col("print").alias("p"), "node"), (F.col("print") == F.col("p")) & (F.col("doc_id") == F.col("node")))
-        .select("node", "keys", "sig")
-        .dropDuplicates(["node", "sig"]),
+        signed_sets.join(classes.select(F.col("print").alias("p"), "node"), (F.col("print") == F.col("p")) & (F.col("doc_id") == F.col("node")))
+        .groupBy("node").agg(F.min(F.struct("print", "keys", "sig")).alias("r")).select("node", "r.keys", "r.sig"),
         "classes",
     )
-    placed = first.select("node", F.posexplode("keys").alias("band", "key"))
-    shared = placed.groupBy("band", "key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
-    met = settle(placed.join(shared.drop("most"), ["band", "key"]).select(F.xxhash64("band", "key").alias("bucket"), "node", "least"), "met")
-    stars = met.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b"))
-    # rows of one id with different sets hang together through the id itself
-    copies = sets.join(classes, "print").where("doc_id > node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    links = settle(_checked(stars, documents, k, percent), "checked")
-    groups = settle(components(links), "groups")
+    # the sort-merge hints keep one plan at every size
+    placed = first.select("node", F.explode("keys").alias("key"))
+    shared = placed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most")
+    met = settle(placed.join(shared.drop("most").hint("merge"), "key"), "met")
+    least = percent / 100 - MARGIN
+    signs = first.select("node", "sig").hint("merge")
+    stars = (
+        met.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+        .join(signs.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a")
+        .join(signs.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
+        .select("a", "b", "x", "y").mapInArrow(_alike(least), "a long, b long")
+    )
+    stars = settle(stars, "stars")
+    sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), documents, k, "sets").hint("merge")
+    links = settle(
+        stars.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
+        .select("a", "b", "x", "y").mapInArrow(_overlaps(percent), "a long, b long"),
+        "links",
+    )
 
-    within = settle(
-        met.select("bucket", "node")
-        .join(groups, "node", "left")
-        .select("bucket", "node", F.coalesce("component", "node").alias("component")),
-        "within",
+    def grouped(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        return rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    groups = settle(components(links), "groups")
+    within = settle(grouped(met.select("key", "node"), groups), "within")
+    mixed = _mixed(within, "key").where("n > 2")
+    maybe = tiles(within.join(mixed.select("key"), "key", "left_semi").join(signs, "node"), "key", mixed, "node", block)
+    maybe = settle(maybe.groupBy("key", "tile_i", "tile_j").applyInArrow(_likely(least), "a long, b long"), "maybe")
+    clusters = components(maybe.unionByName(links)).withColumnRenamed("component", "cluster")
+    clusters = settle(grouped(clusters, groups), "clusters")
+    mixed = _mixed(clusters, "cluster")
+    unsure = settle(clusters.join(mixed.select("cluster"), "cluster", "left_semi"), "unsure")
+    items = _sets_of(unsure.select("node"), documents, k, "more-sets").hint("merge")
+    more = tiles(unsure.join(items, "node"), "cluster", mixed, "node", set_block)
+    more = settle(more.groupBy("cluster", "tile_i", "tile_j").applyInArrow(_overlapping(percent), "a long, b long"), "more")
+
+    copies = settle(
+        signed_sets.join(classes, "print").where("doc_id > node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(),
+        "copies",
     )
-    mixed = within.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("c0"), F.max("component").alias("c1")
-    ).where("n > 2 and c0 < c1").select("bucket", "n")
-    left = tiles(within.join(first.select("node", "sig"), "node"), "bucket", mixed, "node", block)
-    rest = left.groupBy("bucket", "tile_i", "tile_j").applyInArrow(_likely(percent / 100 - MARGIN), "a long, b long")
-    more = _checked(rest.join(stars, ["a", "b"], "left_anti"), documents, k, percent)
-
-    # classes of equal sets are stars already: only their centres need the rounds
-    groups = components(links.unionByName(more))
-    spread = copies.select("a", "b").distinct().join(groups, F.col("b") == F.col("node"), "left").select(
+    # copies are stars already, so only their centres need the rounds, and ids that repeat with another set
+    again = copies.join(first.select(F.col("node").alias("a")), "a", "left_semi")
+    groups = components(links.unionByName(more).unionByName(again))
+    spread = copies.join(groups, F.col("b") == F.col("node"), "left").select(
         F.col("a").alias("node"), F.coalesce("component", "b").alias("component")
     )
     ends = groups.unionByName(spread).groupBy("node").agg(F.min("component").alias("component"))

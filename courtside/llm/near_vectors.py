@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from courtside.llm.components import components, tiles
+from courtside.llm.components import components, joined, tiles
 from courtside.session import settle
 
 BLOCK = 4096
@@ -48,19 +48,6 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def _groups(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """Smallest place that each of n places is joined with by the links i - j."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        before = label.copy()
-        np.minimum.at(label, label[i], low)
-        np.minimum.at(label, label[j], low)
-        label = label[label]
-        if (before == label).all():
-            return label
-
-
 def _linked(threshold: float, stripe: int = 256):
     """One tile: vectors with links, their number (copies counted), and their group's first vector in the tile."""
 
@@ -98,11 +85,11 @@ def _linked(threshold: float, stripe: int = 256):
             if not alone:
                 np.add.at(links, j, weight[i])
             # the stripe's groups as stars keep what hangs together, in as many rows as it has vectors
-            star = _groups(i, j, len(node))
+            star = joined(i, j, len(node))
             met = np.unique(np.concatenate([i, j]))
             rows.append(met)
             cols.append(star[met])
-        star = _groups(np.concatenate(rows), np.concatenate(cols), len(node)) if rows else np.arange(len(node))
+        star = joined(np.concatenate(rows), np.concatenate(cols), len(node)) if rows else np.arange(len(node))
         least = node.copy()
         np.minimum.at(least, star, node)
         label = least[star]
