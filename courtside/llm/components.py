@@ -65,6 +65,8 @@ def tiles(rows: DataFrame, group: str, sizes: DataFrame, key: str, block: int) -
         .withColumn("tile_j", F.greatest("own", "other"))
         .withColumn("side", (F.col("own") > F.col("tile_i")).cast("int"))
         .drop("own", "other", "blocks")
+        # else the join's partitioning by group would do for the tiles, and put a large group's in one task
+        .repartition(group, "tile_i", "tile_j")
     )
 
 

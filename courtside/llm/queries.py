@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from courtside.llm import byte_pairs
+from courtside.llm.mixing import mix_sources
 from courtside.llm.near_documents import near_documents
 from courtside.llm.near_vectors import near_vectors
 from courtside.llm.neighbours import neighbours
@@ -56,6 +57,41 @@ def _op5(spark, sf_dir):
     return byte_pairs.digests(table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
 
 
+MIXED_SOURCES = r"""
+with d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+    ('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint as k
+  from documents
+), s as (
+  select source, sum(size)::bigint as source_size, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::bigint as weight
+  from d group by source
+), l as (
+  select *, source_size * 3 as room, (source_size * 3)::double / weight::double as per_weight from s
+), f as (
+  select *, row_number() over w as pos,
+    (sum(source_size) over () - coalesce(sum(room) over (w rows between unbounded preceding and 1 preceding), 0))::double
+    / (sum(weight) over () - coalesce(sum(weight) over (w rows between unbounded preceding and 1 preceding), 0))::double as lvl
+  from l window w as (order by per_weight, source nulls last)
+), g as (select min_by(lvl, pos) as lvl from f where per_weight >= lvl
+), t as (
+  select f.source, source_size, least(room::double, coalesce(g.lvl * weight, room::double)) as target from f, g
+), p as (
+  select d.*, source_size, target, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as full_epochs,
+    coalesce(sum(size) over (partition by d.source order by k, doc_id, size rows between unbounded preceding and 1 preceding), 0) as place
+  from d join t on d.source is not distinct from t.source
+)
+select doc_id, size, source_size, target,
+  case when size > 0 then size * (full_epochs + case when (2 * place + size)::double <= 2 * (target - full_epochs * source_size) then 1 else 0 end)
+  else 0 end::bigint as taken
+from p
+"""
+
+
+@query("op6_mix_sources", MIXED_SOURCES)
+def _op6(spark, sf_dir):
+    return mix_sources(table(spark, sf_dir, "documents")).drop("copies")
+
+
 @query("op8_near_documents")
 def _op8(spark, sf_dir):
     return near_documents(table(spark, sf_dir, "documents"), k=4, percent=80)
