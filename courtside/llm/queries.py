@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from courtside.llm import byte_pairs
+from courtside.llm.archives import archived
 from courtside.llm.mixing import mix_sources
 from courtside.llm.near_documents import near_documents
 from courtside.llm.near_vectors import near_vectors
@@ -92,6 +93,24 @@ def _op6(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents")).drop("copies")
 
 
+ARCHIVED_PAGES = """
+with p as (
+  select page_id, coalesce(html, '') as body, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes from pages
+), d as (
+  select page_id, payload_bytes, sha1(body) as payload_digest, max(page_id) over (partition by body) as last_id from p
+)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and page_id <> last_id then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id <> last_id then last_id end as refers_to
+from d
+"""
+
+
+@query("op7_archives", ARCHIVED_PAGES)
+def _op7(spark, sf_dir):
+    return archived(table(spark, sf_dir, "pages"))
+
+
 @query("op8_near_documents")
 def _op8(spark, sf_dir):
     return near_documents(table(spark, sf_dir, "documents"), k=4, percent=80)
