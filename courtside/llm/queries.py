@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courtside.llm import byte_pairs
 from courtside.llm.archives import archived
+from courtside.llm.licenses import license_labels
 from courtside.llm.mixing import mix_sources
 from courtside.llm.near_documents import near_documents
 from courtside.llm.near_vectors import near_vectors
@@ -119,3 +120,8 @@ def _op8(spark, sf_dir):
 @query("op9_neighbours")
 def _op9(spark, sf_dir):
     return neighbours(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query("op10_licenses")
+def _op10(spark, sf_dir):
+    return license_labels(table(spark, sf_dir, "documents"))
