@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courtside.llm import byte_pairs
 from courtside.llm.archives import archived
+from courtside.llm.language import languages
 from courtside.llm.licenses import license_labels
 from courtside.llm.mixing import mix_sources
 from courtside.llm.near_documents import near_documents
@@ -51,6 +52,11 @@ def _op1(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+@query("op4_languages")
+def _op4(spark, sf_dir):
+    return languages(table(spark, sf_dir, "documents"))
+
+
 @query("op5_byte_pairs")
 def _op5(spark, sf_dir):
     import public_tokenizers
