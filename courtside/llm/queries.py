@@ -14,6 +14,7 @@ from courtside.llm.mixing import mix_sources
 from courtside.llm.near_documents import near_documents
 from courtside.llm.near_vectors import near_vectors
 from courtside.llm.neighbours import neighbours
+from courtside.llm.quality import quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,6 +53,11 @@ def _op1(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+@query("op3_quality")
+def _op3(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op4_languages")
 def _op4(spark, sf_dir):
     return languages(table(spark, sf_dir, "documents"))
