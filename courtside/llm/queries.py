@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courtside.llm import byte_pairs
 from courtside.llm.archives import archived
+from courtside.llm.hidden_markov import text_scores
 from courtside.llm.language import languages
 from courtside.llm.licenses import license_labels
 from courtside.llm.mixing import mix_sources
@@ -53,6 +54,11 @@ def _op1(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+@query("op2_hidden_markov")
+def _op2(spark, sf_dir):
+    return text_scores(table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality")
 def _op3(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
