@@ -151,8 +151,27 @@ def decode(encoded: DataFrame, tokens: list[bytes], pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_each(tokens, pattern, work), "doc_id long, content binary")
 
 
+def coded(documents: DataFrame, tokens: list[bytes], pattern: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, ids_sha256, decoded_sha256``: encodes, decodes the ids again, and digests both, in one pass."""
+
+    def work(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
+        packed = list(codec.encode(_texts(batch.column(1))))
+        return pa.record_batch(
+            [
+                batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary()),
+                pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+                pa.array([hashlib.sha256(codec.decode(p)).hexdigest() for p in packed], pa.string()),
+            ],
+            ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"],
+        )
+
+    return _plain(documents).mapInArrow(
+        _each(tokens, pattern, work), "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string"
+    )
+
+
 def digests(documents: DataFrame, tokens: list[bytes], pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encodes, decodes the ids, and digests both in one pass."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``coded``; the ids stay in the task that made them."""
 
     def work(codec: Codec, batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, ids, content = [], [], []

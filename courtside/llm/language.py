@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from courtside.llm.words import mix, pieces, text_bytes
+from courtside.llm.words import Kept, mix, pieces, text_bytes
 
 BUCKETS = 1 << 16
 PENALTY = 9.0
@@ -229,8 +229,8 @@ def label(documents: DataFrame, model: Model, penalty: float = PENALTY, *keep: s
     """
     spark = documents.sparkSession
     sent = spark.sparkContext.broadcast((Tables.make(), model))
-    names = ["doc_id", "lang_pred", "score", "spans", *keep]
     span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string())]))
+    sender = Kept(documents, keep)
 
     def work(batches):
         tables, model = sent.value
@@ -240,17 +240,9 @@ def label(documents: DataFrame, model: Model, penalty: float = PENALTY, *keep: s
                 w = Letters(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], tables)
                 pred, score, spans = _labelled(w, model, penalty)
                 part = batch.slice(i, j - i)
-                yield pa.record_batch(
-                    [part.column(0), pa.array(pred, pa.string()), pa.array(score), pa.array(spans, span), *part.columns[2:]], names
-                )
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"kept_{c}") for c in keep])
-    kinds = "".join(f", kept_{c} {documents.schema[c].dataType.simpleString()}" for c in keep)
-    names = names[:4] + [f"kept_{c}" for c in keep]
-    out = rows.mapInArrow(
-        work, "doc_id long, lang_pred string, score double, spans array<struct<first: long, last: long, lang: string>>" + kinds
-    )
-    return out.withColumnsRenamed({f"kept_{c}": c for c in keep})
+                yield sender.batch(part, lang_pred=pa.array(pred, pa.string()), score=pa.array(score), spans=pa.array(spans, span))
+
+    return sender.run(work, "lang_pred string, score double, spans array<struct<first: long, last: long, lang: string>>")
 
 
 def _labelled(w: Letters, model: Model, penalty: float):

@@ -72,11 +72,41 @@ def mix_sources(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs
     return _taken(rows, weights, epochs).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
-def _measured(documents: DataFrame, range_bits: int, *more: str) -> DataFrame:
+def mixture(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, range_bits: int = RANGE_BITS) -> DataFrame:
+    """The mix itself: every row of ``documents`` as often as ``mix_sources`` takes it, with all its columns.
+
+    Texts are not moved: the last document that a source takes once more marks its cut, and every row is compared with
+    the cut of its source. There is one cut per source; Spark measures the table before it chooses how to join it.
+    """
+    rows = settle(_measured(documents, range_bits), "sizes")
+    last = F.max(F.when(F.col("copies") > F.col("_full"), _place("_key", "doc_id", "size")))
+    cuts = settle(_taken(rows, weights, epochs).groupBy("_name", "_none").agg(F.max("_full").alias("_full"), last.alias("_cut")), "cuts")
+    key = random_key(F.col("doc_id"))
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), "doc_id", "text", "source")
+    size = words_in(F.col("text"))
+    at = F.struct(key.alias("k"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), size.alias("s"))
+    copies = F.when(size > 0, F.col("_full") + F.coalesce((at <= F.col("_cut")).cast("long"), F.lit(0))).otherwise(0)
+    return (
+        whole.join(cuts, (F.coalesce("source", F.lit("")) == F.col("_name")) & (F.col("source").isNull() == F.col("_none")))
+        .withColumn("copies", copies)
+        .where("copies > 0")
+        .select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        .select("row.*")
+    )
+
+
+_LEAST = -(1 << 63)
+
+
+def _place(key: str, doc_id: str, size: str) -> Column:
+    return F.struct(F.col(key).alias("k"), F.coalesce(F.col(doc_id), F.lit(_LEAST)).alias("d"), F.col(size).alias("s"))
+
+
+def _measured(documents: DataFrame, range_bits: int) -> DataFrame:
     key = random_key(F.col("doc_id"))
     return documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        words_in(F.col("text")).alias("size"), key.alias("_key"), F.shiftright(key, 60 - range_bits).alias("_range"), *more,
+        words_in(F.col("text")).alias("size"), key.alias("_key"), F.shiftright(key, 60 - range_bits).alias("_range"),
     )
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.llm.language import remainder
-from courtside.llm.words import byte_set, find_words, pieces, shingles, text_bytes
+from courtside.llm.words import Kept, byte_set, find_words, pieces, shingles, text_bytes
 from courtside.session import settle
 
 FEATURES = 192
@@ -92,18 +92,17 @@ def statistics(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def measured(documents: DataFrame, *keep: str) -> DataFrame:
     """``doc_id, stats`` and the columns named in ``keep``, one row per row; null texts count as empty."""
 
+    sender = Kept(documents, keep)
+
     def work(batches):
         for batch in batches:
             data, bounds = text_bytes(batch.column(1))
             for i, j in pieces(bounds):
                 table = statistics(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(table.ravel()), table.shape[1]).cast(pa.list_(pa.float64()))
-                part = batch.slice(i, j - i)
-                yield pa.record_batch([part.column(0), flat, *part.columns[2:]], ["doc_id", "stats", *[f"kept_{c}" for c in keep]])
+                yield sender.batch(batch.slice(i, j - i), stats=flat)
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"kept_{c}") for c in keep])
-    kinds = "".join(f", kept_{c} {documents.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(work, "doc_id long, stats array<double>" + kinds).withColumnsRenamed({f"kept_{c}": c for c in keep})
+    return sender.run(work, "stats array<double>")
 
 
 @dataclass(frozen=True)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 # bytes of text that are worked on at once; a longer text is worked on alone
 PIECE = 1 << 20
@@ -133,3 +134,32 @@ def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
     return doc[new], value[new]
+
+
+class Kept:
+    """Sends ``doc_id`` and ``text`` to Arrow functions, and brings named columns back beside their results.
+
+    Kept columns travel under names of their own, so results may be called like any of them; the text travels once.
+    """
+
+    def __init__(self, documents: DataFrame, keep: tuple[str, ...] = ()):
+        self.keep = tuple(keep)
+        self.moved = [c for c in keep if c != "text"]
+        self.rows = documents.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+            *[F.col(c).alias(f"kept_{c}") for c in self.moved],
+        )
+        self.kinds = [f"`kept_{c}` {documents.schema[c].dataType.simpleString()}" for c in self.keep]
+
+    def __getstate__(self):
+        return {"keep": self.keep, "moved": self.moved}
+
+    def batch(self, part: pa.RecordBatch, **results: pa.Array) -> pa.RecordBatch:
+        """An output batch for a slice of the input: id, results, kept columns."""
+        back = [part.column(1) if c == "text" else part.column(2 + self.moved.index(c)) for c in self.keep]
+        return pa.record_batch([part.column(0), *results.values(), *back], ["doc_id", *results, *[f"kept_{c}" for c in self.keep]])
+
+    def run(self, work, kinds: str) -> DataFrame:
+        """The function over all rows; ``kinds`` are its results' types."""
+        out = self.rows.mapInArrow(work, ", ".join(["doc_id long", kinds, *self.kinds]))
+        return out.withColumnsRenamed({f"kept_{c}": c for c in self.keep})
