@@ -1,14 +1,76 @@
-"""From raw documents to token ids: language, quality, near copies, mixing, encoding."""
+"""From raw documents to token ids: language, quality, near copies, mixing, encoding.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; its decisions take effect. All but the
+last return the columns of ``documents``.
+
+* language: learns from all texts with a language; a text goes if it has no letters, or if less than a quarter of its
+  letters stand in spans of a learned language;
+* quality: learns from ``labels`` of the documents that are left; a text below the score of 0.3 goes;
+* near copies: five-word shingles, similarity 0.8 or more; the smallest id of each group stays, rows without id stay;
+* mixing: sources weigh 1, 2, 3, repeating; rows are repeated where their source needs further epochs;
+* encoding: byte-level BPE ids of every text, decoded again for their digest.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from courtside.llm import byte_pairs, language, mixing, near_documents, quality
+from courtside.session import fresh_path, settle
+
+LEAST_LANGUAGE = 0.25
+
+
+def _others(docs: DataFrame) -> DataFrame:
+    """Id, text, and all other columns as one, so that none can clash with a stage's results."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest).alias("rest") if rest else F.lit(True).alias("rest"))
+
+
+def _as_before(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+
+
+def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language.learn(docs)
+    rows = language.label(_others(docs), model, language.PENALTY, "text", "rest")
+    return _as_before(rows.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)), docs)
+
+
+def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(settle(quality.measured(docs), "stats"), labels)
+    rows = quality.scored(quality.measured(_others(docs), "text", "rest"), model)
+    return _as_before(rows.where(F.col("score") >= quality.LEAST), docs)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = near_documents.near_documents(docs, k=5, percent=80).where("kept").select("doc_id").distinct()
+    # of rows that repeat an id one stays
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(first)).where("_copy = 1")
+    return rows.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixture(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tokens = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_pairs.coded(docs, tokens, public_tokenizers.PATTERN)
 
-from courtside.session import fresh_path
 
-STAGES: list = []
+STAGES = [
+    ("language", by_language),
+    ("quality", by_quality),
+    ("near-copies", without_copies),
+    ("mixing", mixed),
+    ("encoding", encoded),
+]
 
-# no stage but the mixing can be written in SQL
+# languages, quality, copies and token ids cannot be written in SQL
 ORACLE_SQL = None
 
 
