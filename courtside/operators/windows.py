@@ -1,12 +1,12 @@
 """Window operators that stay spread out when one key holds a large part of the rows.
 
-A plain ``Window.partitionBy(key)`` puts all rows of a key in one task. Here the rows of a
-hot key, one with more than ``HOT_ROWS`` rows, are cut into blocks along the sort order (a
-day, an hour). Rows of a block meet in one task; what a block needs from earlier blocks
-comes from a summary with few rows per block. All other keys stay whole and cost one narrow
-count more than a plain window. Results equal the plain window in both cases.
+A plain ``Window.partitionBy(key)`` puts all rows of a key in one task. Here the rows of every
+key are cut into blocks along the sort order, months by default (``by_month``). Rows of a block
+meet in one task; what a block needs from earlier blocks comes from a summary with few rows per
+block. There is one plan at every size. Results equal the plain window.
 
-``block`` is always a column that never decreases along ``order``.
+``block`` is always a column that never decreases along ``order``. Its grain is a choice: a
+coarse one repeats fewer rows before each block, a fine one cuts a hot key smaller.
 Orders must be total (end them with a unique column) so results are repeatable.
 """
 
@@ -21,10 +21,6 @@ from courtside.session import settle
 
 BLOCK = "_block"
 
-# Rows of one key that a single task may sort. Read at call time.
-HOT_ROWS = 1_000_000
-
-
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key under ``order``.
 
@@ -34,24 +30,9 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: in
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with more than HOT_ROWS rows. There are fewer than rows / HOT_ROWS of them (a
-    million at 10^12 rows), which is the bound that lets them be broadcast."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys]
-    )
-
-
-def _with_block(df: DataFrame, keys: Sequence[str], block: Column) -> DataFrame:
-    """Rows with their block: ``block`` for hot keys, NULL (one block) for the others."""
-    hot = hot_keys(df, keys).withColumn("_is_hot", F.lit(True))
-    on = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    return (
-        df.join(F.broadcast(hot), on, "left")
-        .withColumn(BLOCK, F.when(F.col("_is_hot"), block))
-        .drop(*[f"_hot_{k}" for k in keys])
-        .withColumn("_is_hot", F.coalesce("_is_hot", F.lit(False)))
-    )
+def by_month(day: Column | str) -> Column:
+    """The default block: the month of a day or an instant."""
+    return F.trunc(day, "month")
 
 
 def looking_back(
@@ -65,16 +46,16 @@ def looking_back(
 ) -> DataFrame:
     """Add columns whose frames reach at most ``depth`` rows back inside a key.
 
-    Each block of a hot key is padded with the ``depth`` rows before it, computed from
-    per-block tails; the padding leaves again after the window. ``reads`` names the columns
+    Each block is padded with the ``depth`` rows before it, computed from per-block tails; the
+    padding leaves again after the window. ``reads`` names the columns
     that ``build`` uses besides keys and order.
     """
     keys, order, cell = list(keys), list(order), [*keys, BLOCK]
     carried = list(dict.fromkeys([*order, *reads]))
-    blocked = _with_block(df, keys, block)
+    rows = df.withColumn(BLOCK, block)
 
     tail = latest_by(
-        blocked.where("_is_hot").select(*cell, *[c for c in carried if c not in cell]), cell, latest_first(*order), depth
+        rows.select(*cell, *[c for c in carried if c not in cell]), cell, latest_first(*order), depth
     )
     # at most depth rows per block reach the list
     tail = tail.groupBy(*cell).agg(
@@ -87,7 +68,6 @@ def looking_back(
         .select(*cell, F.explode(F.slice("rows", -F.least(F.size("rows"), F.lit(depth)), F.lit(depth))).alias("r"))
         .select(*cell, "r.row.*")
     )
-    rows = blocked.drop("_is_hot")
     filled = [
         F.col(f.name) if f.name in pad.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in rows.schema.fields
@@ -157,7 +137,7 @@ def global_previous(
     """
     key = list(levels[-1])
     levels = [*map(list, levels), [*key, BLOCK]]
-    rows = _with_block(df, key, block).drop("_is_hot")
+    rows = df.withColumn(BLOCK, block)
     # the newest row under a prefix is the greatest struct in order; its value rides along
     newest = F.max(F.struct(*levels[-1], *order, F.col(value).alias("_value"))).alias("_last")
     summaries = [settle(rows.groupBy(*levels[-1]).agg(newest), "last-rows")]
@@ -196,16 +176,16 @@ def global_previous(
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, block: Column) -> DataFrame:
     """row_number inside the key: the number inside the block plus the sizes of earlier blocks."""
     keys, cell = list(keys), [*keys, BLOCK]
-    blocked = _with_block(df, keys, block)
+    blocked = df.withColumn(BLOCK, block)
     before = Window.partitionBy(*keys).orderBy(F.col(BLOCK).asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = blocked.where("_is_hot").groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).select(
+    starts = blocked.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).select(
         *cell, F.sum("_n").over(before).alias("_start")
     )
     window = Window.partitionBy(*cell).orderBy(*earliest_first(*order))
     return (
-        _join_null_safe(blocked.drop("_is_hot").repartition(*cell), starts, cell)
+        _join_null_safe(blocked.repartition(*cell), starts, cell)
         .withColumn(name, F.row_number().over(window) + F.coalesce("_start", F.lit(0)))
         .drop("_start", BLOCK)
     )
@@ -214,24 +194,22 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
 def ranked(df: DataFrame, keys: Sequence[str], value: str, name: str, band: Column) -> DataFrame:
     """rank() by ``value`` descending inside the key (1 + rows with a greater value).
 
-    Equal values collapse to one row with a count first. ``band`` is a column over
-    ``value`` that never decreases with it; it cuts a key's values into tasks.
+    NULL is the greatest value, and NULL keys belong together, as in a window. Equal values
+    collapse to one row with a count first. ``band`` is a column over ``value`` that never
+    decreases with it; it cuts a key's values into tasks.
     """
     keys = list(keys)
     cell = [*keys, BLOCK]
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")).withColumn(BLOCK, band)
-    above_band = Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above_band = Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     bands = counts.groupBy(*cell).agg(F.sum("_n").alias("_n")).select(
         *cell, F.coalesce(F.sum("_n").over(above_band), F.lit(0)).alias("_above")
     )
-    above = Window.partitionBy(*cell).orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    places = (
-        counts.repartition(*cell)
-        .withColumn("_inside", F.coalesce(F.sum("_n").over(above), F.lit(0)))
-        .join(bands, cell)
-        .select(*keys, value, (F.col("_above") + F.col("_inside") + 1).alias(name))
-    )
-    return df.join(places, [*keys, value], "left")
+    above = Window.partitionBy(*cell).orderBy(F.col(value).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    places = _join_null_safe(
+        counts.repartition(*cell).withColumn("_inside", F.coalesce(F.sum("_n").over(above), F.lit(0))), bands, cell
+    ).select(*keys, value, (F.col("_above") + F.col("_inside") + 1).alias(name))
+    return _join_null_safe(df, places, [*keys, value])
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.functions import scalars as fn
 from courtside.functions.ordering import earliest_first, latest_first
-from courtside.operators.windows import global_previous, latest_by, previous, rolling, with_group_stats
+from courtside.operators.windows import by_month, global_previous, latest_by, previous, rolling, with_group_stats
 from courtside.plans.control import EXHIBITION_TEAMS, FINAL
 from courtside.session import settle
 from courtside.sources.schemas import HUSTLE_STATS, OPPONENT_STATS
@@ -321,7 +321,7 @@ def _player_windows(rows: DataFrame, averages: bool) -> DataFrame:
         frames |= {f"avg_player_time_last_{n}_games": ("avg", "seconds", n) for n in (5, 10)}
     return rolling(
         rows, ["season", "team_id", "pos", "player_id"], ["game_date", "created_at", "game_id"],
-        frames, block=F.col("game_date"),
+        frames, block=by_month("game_date"),
     )
 
 
@@ -486,10 +486,10 @@ def played_game_features(
     if across_players:
         team = ["season", "team_id"]
         rested = global_previous(
-            averaged, [team, [*team, "player_id"]], order, "game_date", "_prev", block=F.col("game_date")
+            averaged, [team, [*team, "player_id"]], order, "game_date", "_prev", block=by_month("game_date")
         )
     else:
-        rested = previous(averaged, ["player_id"], order, "game_date", "_prev", block=F.col("game_date"))
+        rested = previous(averaged, ["player_id"], order, "game_date", "_prev", block=by_month("game_date"))
     person = players.where("is_rec_active").select(
         F.col("id").alias("player_id"), F.col("display_first_last").alias("player"), "birthdate", "nba_pos",
         F.col("fd_pos").alias("_own_fd_pos"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from courtside.functions import scalars as fn
 from courtside.functions.ordering import latest_first
 from courtside.operators.scd2 import scd2
-from courtside.operators.windows import latest_by, previous
+from courtside.operators.windows import by_month, latest_by, previous
 from courtside.plans import marts
 from courtside.sources.landing import conform, publish
 from courtside.sources.schemas import compared_columns, dim_player
@@ -68,7 +68,7 @@ def player_schedule_dimension(schedule: DataFrame, as_of: dt.datetime) -> DataFr
     """The schedule with each player's game before and the days since."""
     rested = previous(
         schedule.where(F.col("player_id").isNotNull()), ["player_id"], ["game_date", "game_id", "team_loc"], "game_date",
-        "player_previous_game_date", F.col("game_date"),
+        "player_previous_game_date", by_month("game_date"),
     )
     return rested.withColumns(
         {"days_rest": fn.days_rest("game_date", "player_previous_game_date"), "created_at": F.lit(as_of)}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from courtside.functions import scalars as fn
 from courtside.operators.scd2 import duplicate_keys, scd2
-from courtside.operators.windows import previous
+from courtside.operators.windows import by_month, previous
 from courtside.plans import control, marts
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import query
@@ -476,7 +476,7 @@ _POINTS = "(ast * 1.5::double + reb * 1.2::double + pts + stl * 2::double + blk
 def _rested_schedule(lg: League) -> DataFrame:
     birth = lg.players.select(F.col("id").alias("player_id"), "birthdate")
     rested = previous(
-        lg.schedule, ["player_id"], ["game_date", "game_id"], "game_date", "player_previous_game_date", F.col("game_date")
+        lg.schedule, ["player_id"], ["game_date", "game_id"], "game_date", "player_previous_game_date", by_month("game_date")
     )
     return rested.join(birth, "player_id", "left").withColumns(
         {"days_rest": fn.days_rest("game_date", "player_previous_game_date"), "age": fn.age_days("game_date", "birthdate")}

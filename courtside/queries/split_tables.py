@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from courtside.functions import scalars as fn
 
 from courtside.operators import splits
-from courtside.operators.windows import previous
+from courtside.operators.windows import by_month, previous
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import query
 
@@ -70,7 +70,7 @@ def split_by_start_position(lg: League):
     ),
 )
 def split_by_days_rest(lg: League):
-    rested = previous(lg.facts, ["player_id"], ["game_date", "game_id"], "game_date", "prev", F.col("game_date"))
+    rested = previous(lg.facts, ["player_id"], ["game_date", "game_id"], "game_date", "prev", by_month("game_date"))
     rest = fn.days_rest("game_date", "prev")
     return splits.totals(rested, ["team_id", splits.rest_bucket(rest).alias("rest")], STATS)
 
@@ -112,7 +112,7 @@ def split_last_games(lg: League):
     ),
 )
 def split_by_game_number(lg: League):
-    return splits.by_game_number(lg.facts, ["team_id", "season"], STATS, F.col("game_date"))
+    return splits.by_game_number(lg.facts, ["team_id", "season"], STATS, by_month("game_date"))
 
 
 def moments(lg: League) -> DataFrame:
@@ -351,7 +351,7 @@ def next_game(lg: League):
 def pass_pairs(lg: League):
     passes = previous(
         lg.table("events").select("event_id", "user_id", "ts", F.col("event_type").alias("received_by")),
-        ["user_id"], ["ts", "event_id"], "received_by", "made_by", F.col("ts").cast("date"),
+        ["user_id"], ["ts", "event_id"], "received_by", "made_by", by_month("ts"),
     )
     return splits.pass_pairs(passes, "made_by", "received_by")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from courtside.functions import scalars as fn
 from courtside.functions.ordering import earliest_first, latest_first
 from courtside.operators.windows import (
-    global_previous, latest_by, numbered, previous, ranked, rolling, with_group_stats,
+    by_month, global_previous, latest_by, numbered, previous, ranked, rolling, with_group_stats,
 )
 from courtside.plans import marts
 from courtside.queries.league import League, with_tables
@@ -141,7 +141,7 @@ def rolling_share(lg: League):
     team_day = daily.groupBy(*group, "d").agg(F.sum("cents").alias("cents"))
     base = rolling(team_day, group, ["d"], {"base_last_5": ("sum", "cents", 5)}).drop("cents")
     own = rolling(
-        daily, [*group, "o_custkey"], ["d", "o_orderkey"], {"own_last_5": ("sum", "cents", 5)}, F.col("d")
+        daily, [*group, "o_custkey"], ["d", "o_orderkey"], {"own_last_5": ("sum", "cents", 5)}, by_month("d")
     )
     return own.join(base, [*group, "d"]).select(
         "o_orderkey", *group, "own_last_5", "base_last_5",
@@ -161,7 +161,7 @@ def rolling_mean(lg: League):
         "event_id", "user_id", "ts", F.round(F.col("value") * 100).cast("bigint").alias("v")
     )
     frames = {"mean_5": ("avg", "v", 5), "mean_10": ("avg", "v", 10)}
-    return rolling(cents, ["user_id"], ["ts", "event_id"], frames, F.date_trunc("hour", "ts")).select("event_id", *frames)
+    return rolling(cents, ["user_id"], ["ts", "event_id"], frames, by_month("ts")).select("event_id", *frames)
 
 
 @query(
@@ -250,7 +250,7 @@ def stints_per_player(lg: League):
 )
 def days_since_previous(lg: League):
     orders = lg.table("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("d"))
-    return previous(orders, ["o_custkey"], ["d", "o_orderkey"], "d", "before", F.col("d")).select(
+    return previous(orders, ["o_custkey"], ["d", "o_orderkey"], "d", "before", by_month("d")).select(
         "o_orderkey", "d", fn.days_rest("d", "before").alias("days_rest")
     )
 
@@ -263,7 +263,7 @@ def previous_in_global_order(lg: League):
     events = lg.table("events").select("event_type", "user_id", "ts", "event_id")
     levels = [["event_type"], ["event_type", "user_id"]]
     return global_previous(
-        events, levels, ["ts", "event_id"], "ts", "previous_ts", F.date_trunc("hour", "ts")
+        events, levels, ["ts", "event_id"], "ts", "previous_ts", by_month("ts")
     ).select("event_id", "previous_ts")
 
 
@@ -275,7 +275,7 @@ def previous_in_global_order(lg: League):
 def game_number(lg: League):
     return numbered(
         lg.games.select("home_team_id", "game_date", "id"), ["home_team_id"], ["game_date", "id"], "game_number",
-        F.col("game_date"),
+        by_month("game_date"),
     ).select(F.col("id").alias("o_orderkey"), F.col("game_number").cast("bigint").alias("game_number"))
 
 

@@ -81,12 +81,3 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores before heavy per-row work, when the input has fewer splits than cores.
-
-    A large input has more splits than cores and passes unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -64,10 +64,6 @@ if __name__ == "__main__":
     from courtside.queries import ORACLE, QUERIES
     from courtside.session import build
 
-    if "HOT_ROWS" in os.environ:  # small values send every key through the block path
-        from courtside.operators import windows
-
-        windows.HOT_ROWS = int(os.environ["HOT_ROWS"])
     spark = build("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
                   spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")

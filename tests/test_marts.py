@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from courtside.operators import splits, windows as w
+from courtside.operators import splits
 from courtside.plans import marts
 
 D = dt.date
@@ -26,11 +26,6 @@ def item(player, seconds, priority, injured, headline="h"):
     return (player, "F", "L", str(seconds), priority, headline, injured, "st", "d", "l", "s", "t", "c")
 
 
-@pytest.fixture(params=[1_000_000, 1], ids=["cold", "hot"])
-def hot_rows(request, monkeypatch):
-    monkeypatch.setattr(w, "HOT_ROWS", request.param)
-
-
 def frames(spark, schedule, facts, players, news=()):
     return (
         spark.createDataFrame(schedule, SCHEDULE), spark.createDataFrame(facts, FACTS),
@@ -42,7 +37,7 @@ def game(player, number, created=0):
     return (player, number, D(2017, 1, number), "2016-17", 1, "AAA", 2, "BBB", created)
 
 
-def test_repeated_schedule_rows_enter_the_frames(spark, hot_rows):
+def test_repeated_schedule_rows_enter_the_frames(spark):
     schedule = [game(1, 1), game(1, 1, created=5), game(1, 2), game(1, 3)]
     facts = [(1, n, "", 100 * n, None) for n in (1, 2, 3)]
     players = [(1, "One", "C", True)]
@@ -54,7 +49,7 @@ def test_repeated_schedule_rows_enter_the_frames(spark, hot_rows):
     assert rows[2].pos_time_last_5_games == 200  # the day total counts both rows, too
 
 
-def test_inactive_players_and_blank_positions(spark, hot_rows):
+def test_inactive_players_and_blank_positions(spark):
     schedule = [game(1, 1), game(2, 1), game(3, 1), game(3, 2)]
     facts = [(p, 1, "", 60, None) for p in (1, 2, 3)]
     players = [(1, "One", "C", True), (2, "Two", "C", False), (3, "Three", "  ", True)]
@@ -65,7 +60,7 @@ def test_inactive_players_and_blank_positions(spark, hot_rows):
     assert rows[3, 2].player_time_last_5_games == 60 and rows[3, 2].player_time is None
 
 
-def test_no_time_played_gives_share_zero(spark, hot_rows):
+def test_no_time_played_gives_share_zero(spark):
     schedule, facts = [game(1, 1), game(1, 2)], [(1, 1, "", 0, None), (1, 2, "", 10, None)]
     rows = {r.game_date.day: r for r in marts.player_time(*frames(spark, schedule, facts, [(1, "One", "C", True)])).collect()}
     assert rows[1].pct_player_time_5_games == 0 and rows[1].player_time_last_5_games is None

@@ -62,10 +62,11 @@ def test_no_query_puts_rows_in_one_partition(spark):
     assert single == {}
 
 
-def test_repeated_rows_only_for_hot_keys(spark, monkeypatch):
+def test_windows_have_one_plan_and_no_broadcast_hint(spark):
     df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id", F.col("id").alias("v"))
     windowed = w.rolling(df, ["k"], ["id"], {"s": ("sum", "v", 5)}, F.floor(F.col("id") / 100))
-    assert "BroadcastHashJoin" in plan_of(windowed)
+    assert "hashpartitioning(k" in plan_of(windowed) and "Broadcast" not in plan_of(windowed)
+    assert "strategy=broadcast" not in windowed._jdf.queryExecution().analyzed().toString()
     assert windowed.count() == 1000
 
 

@@ -1,4 +1,4 @@
-"""Hot and cold paths of the window operators against plain windows and brute force."""
+"""The window operators, cut into blocks of several grains, against plain windows and brute force."""
 
 from __future__ import annotations
 
@@ -11,10 +11,10 @@ from courtside.functions.ordering import earliest_first, latest_first
 from courtside.operators import windows as w
 
 
-@pytest.fixture(params=[1_000_000, 3], ids=["cold", "hot"])
-def hot_rows(request, monkeypatch):
-    monkeypatch.setattr(w, "HOT_ROWS", request.param)
-    return request.param
+@pytest.fixture(params=[1, 7, 100])
+def block(request):
+    """Days to blocks of so many days; the coarsest holds all of them."""
+    return F.floor(F.col("day") / request.param)
 
 
 @pytest.fixture(scope="module")
@@ -38,40 +38,39 @@ def plain(order=("day", "id")):
     return Window.partitionBy("k").orderBy(*earliest_first(*order))
 
 
-def test_rolling_equals_a_plain_window(skewed, hot_rows):
+def test_rolling_equals_a_plain_window(skewed, block):
     frames = {"s5": ("sum", "v", 5), "s10": ("sum", "v", 10), "a5": ("avg", "v", 5)}
-    got = w.rolling(skewed, ["k"], ["day", "id"], frames, block=F.col("day"))
+    got = w.rolling(skewed, ["k"], ["day", "id"], frames, block=block)
     want = skewed.withColumns({n: getattr(F, f)(c).over(plain().rowsBetween(-d, -1)) for n, (f, c, d) in frames.items()})
     same(got, want)
 
 
-def test_first_row_has_no_frame(skewed, hot_rows):
-    got = w.rolling(skewed, ["id"], ["day"], {"s": ("sum", "v", 5)}, block=F.col("day"))
+def test_first_row_has_no_frame(skewed, block):
+    got = w.rolling(skewed, ["id"], ["day"], {"s": ("sum", "v", 5)}, block=block)
     assert got.where("s is not null").count() == 0
 
 
-def test_previous_equals_lag(skewed, hot_rows):
-    got = w.previous(skewed, ["k"], ["day", "id"], "v", "p", F.floor(F.col("day") / 7))
+def test_previous_equals_lag(skewed, block):
+    got = w.previous(skewed, ["k"], ["day", "id"], "v", "p", block)
     same(got, skewed.withColumn("p", F.lag("v").over(plain())))
 
 
-def test_numbered_equals_row_number(skewed, hot_rows):
-    got = w.numbered(skewed, ["k"], ["day", "id"], "n", F.floor(F.col("day") / 7))
+def test_numbered_equals_row_number(skewed, block):
+    got = w.numbered(skewed, ["k"], ["day", "id"], "n", block)
     want = skewed.withColumn("n", F.row_number().over(plain()))
     assert sorted((r.id, r.n) for r in got.collect()) == sorted((r.id, r.n) for r in want.collect())
 
 
-def test_global_previous_equals_an_unpartitioned_lag(skewed, hot_rows):
+def test_global_previous_equals_an_unpartitioned_lag(skewed, block):
     rows = skewed.na.drop(subset=["k", "day"]).withColumn("g", F.substring("k", 1, 1))
-    got = w.global_previous(rows, [["g"], ["g", "k"]], ["day", "id"], "v", "p", F.col("day"))
+    got = w.global_previous(rows, [["g"], ["g", "k"]], ["day", "id"], "v", "p", block)
     want = rows.withColumn("p", F.lag("v").over(Window.orderBy("g", "k", "day", "id")))
     same(got.select("id", "p"), want.select("id", "p"))
 
 
 def test_ranked_equals_rank(skewed):
-    rows = skewed.na.drop()
-    got = w.ranked(rows, ["k"], "v", "r", F.floor(F.col("v") / 10))
-    want = rows.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc())))
+    got = w.ranked(skewed, ["k"], "v", "r", F.floor(F.col("v") / 10))
+    want = skewed.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(F.col("v").desc_nulls_first())))
     assert sorted((r.id, r.r) for r in got.collect()) == sorted((r.id, r.r) for r in want.collect())
 
 
@@ -87,8 +86,3 @@ def test_null_sorts_as_largest(spark):
     assert sorted(r.id for r in newest.collect()) == [1, 4]
     oldest = w.latest_by(df, ["k"], earliest_first("t", "id"))
     assert sorted(r.id for r in oldest.collect()) == [2, 3]
-
-
-def test_hot_keys_are_those_over_the_limit(skewed, monkeypatch):
-    monkeypatch.setattr(w, "HOT_ROWS", 200)
-    assert [r["_hot_k"] for r in w.hot_keys(skewed, ["k"]).collect()] == ["hot"]
