@@ -89,7 +89,9 @@ def last_games(rows: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
 # -- split keys -----------------------------------------------------------------------
 
 def season_half(cut: dt.date) -> Column:
-    return F.when(F.col("game_date") < F.lit(cut), "Pre All-Star").otherwise("Post All-Star")
+    """Before or after the break; a game without a date is in neither half."""
+    day = F.col("game_date")
+    return F.when(day < F.lit(cut), "Pre All-Star").when(day >= F.lit(cut), "Post All-Star")
 
 
 def rest_bucket(rest: Column | str, most: int = 6) -> Column:

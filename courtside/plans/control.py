@@ -17,7 +17,7 @@ SEASONS = (
 )
 
 # Status words.
-FINAL, POSTPONED, COMPLETED = "Final", "PPD", "COMPLETED"
+FINAL, POSTPONED, COMPLETED, FAILED = "Final", "PPD", "COMPLETED", "FAILED"
 
 # Game-code marks of the exhibition game, and its team abbreviations.
 EXHIBITION_CODES = ("WSTEST", "ESTWST")
@@ -148,13 +148,13 @@ def not_done(
 
 
 def log_status(events: DataFrame) -> DataFrame:
-    """Current status per (run, node, key) from append-only log events.
+    """Current status per (run, node, key, parent key) from append-only log events, such as ``load.run_games`` leaves.
 
     An event without a node status moves the group status only. Start is the first event;
     end and measure count come from the last one.
     """
     at = F.struct("at", "seq")
-    return events.groupBy("run_id", "node", "node_key").agg(
+    return events.groupBy("run_id", "node", "node_key", "parent_key").agg(
         F.max_by("node_status", F.when(F.col("node_status").isNotNull(), at)).alias("node_status"),
         F.max_by("group_status", at).alias("group_status"),
         F.min("at").alias("started_dtm"),

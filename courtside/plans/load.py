@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Row, functions as F
 
 from courtside.plans.control import (
-    COMPLETED, active_measures, done_keys, not_done, pending_games, per_entity, single_measure,
+    COMPLETED, FAILED, active_measures, done_keys, not_done, pending_games, per_entity, single_measure,
 )
 from courtside.session import fresh_path, settle
 from courtside.sources.catalogue import result_index
-from courtside.sources.documents import infer_schema, scrape
+from courtside.sources.documents import RESULT_SETS, infer_schema, scrape, with_more_fields
 from courtside.sources.landing import land
 
 # Key columns a document frame carries per node, named like the lineage they become.
@@ -40,11 +40,25 @@ def load_measure(
 
 
 def load_single(
-    nodes: DataFrame, table_name: str, documents: Callable[[str], DataFrame], root: str, season: str, **run
+    nodes: DataFrame, table_name: str, documents: Callable[[str], DataFrame], root: str, season: str,
+    entities: DataFrame | None = None, **run
 ) -> DataFrame:
-    """Land one named measure for a whole season."""
+    """Land one named measure for the entities of a season (their key columns), or for every document given."""
     measure = single_measure(nodes, season, table_name)
-    return load_measure(measure, documents(measure.endpoint), root, season, **run)
+    docs = documents(measure.endpoint)
+    if entities is not None:
+        keys = list(DOCUMENT_KEYS[measure.node])
+        docs = docs.join(entities.select(*keys).distinct(), keys, "left_semi")
+    return load_measure(measure, docs, root, season, **run)
+
+
+def load_news(
+    items: DataFrame, root: str, season: str, season_type: str, as_of: dt.datetime, table: str = "player_news"
+) -> DataFrame:
+    """Land a poll of the news with every field the feed has, stamped like a league table."""
+    return land(
+        with_more_fields(items), "league", f"{root}/{table}", season=season, season_type=season_type, create_date=F.lit(as_of)
+    )
 
 
 def load_entities(
@@ -61,27 +75,41 @@ def load_entities(
     """Land all active measures of a node for the entities in ``todo`` (its key columns); returns
     one log event per entity.
 
-    The entities meet the documents in a semi join, so there is one job per measure and none
-    per entity. The events are written by the caller after the last measure has landed.
+    The entities meet the documents of an endpoint in one semi join for all its measures. An
+    entity is COMPLETED if every endpoint has a document of it that can be read and holds all the
+    result sets asked for; otherwise it is FAILED, with the measures that did land counted, and
+    stays to be loaded. The events are written by the caller after the last measure has landed.
     """
     keys = list(DOCUMENT_KEYS[node])
-    todo = settle(todo.select(*keys), f"{node}-todo")
+    todo = settle(todo.select(*keys).distinct(), f"{node}-todo")
     measures = per_entity(active_measures(nodes, season, node)).collect()
-    for measure in measures:
-        wanted = documents(measure.endpoint).join(todo, keys, "left_semi")
-        load_measure(measure, wanted, root, season, season_type, run_id, as_of)
+    met = todo.select(*keys, F.lit(0).alias("landed"))
+    for endpoint in dict.fromkeys(m.endpoint for m in measures):
+        wanted = settle(documents(endpoint).join(todo, keys, "left_semi"), f"{node}-documents")
+        own = [m for m in measures if m.endpoint == endpoint]
+        for measure in own:
+            load_measure(measure, wanted, root, season, season_type, run_id, as_of)
+        found = F.size(F.coalesce(F.from_json("body", RESULT_SETS)["resultSets"], F.array()))
+        indexes = [result_index(m.node, m.endpoint, m.measure) for m in own]
+        landed = sum((found > i).cast("int") for i in indexes)
+        met = met.unionByName(wanted.groupBy(*keys).agg(F.max(landed).alias("landed")))
+    status = met.groupBy(*keys).agg(F.sum("landed").alias("landed"))
     own, *parent = keys
-    return todo.select(
+    return status.select(
         F.lit(run_id).alias("run_id"), F.lit(node).alias("node"), F.col(own).cast("string").alias("node_key"),
         (F.col(parent[0]) if parent else F.lit(None)).cast("string").alias("parent_key"),
-        F.lit(COMPLETED).alias("node_status"),
+        F.when(F.col("landed") >= len(measures), COMPLETED).otherwise(FAILED).alias("node_status"),
         # a game's group is complete once its teams and players are, see run_games
         F.lit("IN PROGRESS" if node == "game" else "N/A").alias("group_status"),
-        F.lit(len(measures)).alias("measure_count"), F.lit(season).alias("season"), F.lit(season_type).alias("season_type"),
-        F.lit(as_of).alias("end_dtm"),
+        F.col("landed").cast("int").alias("measure_count"), F.lit(season).alias("season"), F.lit(season_type).alias("season_type"),
+        F.lit(as_of).alias("end_dtm"), F.lit(as_of).alias("at"), F.lit(STEPS.index(node)).alias("seq"),
     )
 
 
+# order of a run's steps, which orders events of one instant
+STEPS = ("game", "team", "player", "group")
+
+
 def run_games(
     nodes: DataFrame,
     header: DataFrame,
@@ -97,8 +125,10 @@ def run_games(
     """Load every pending game, then its teams, then the players who appeared; returns the log.
 
     Games whose own box score completed in an earlier run are not landed again, teams and players
-    not twice in a run or day. ``box`` reads the landed player box scores after the games landed
-    (game_id, team_id, player_id). Game, team and player ids are text, as in the log.
+    not twice in a run or day. A game's group is COMPLETED if neither the game nor one of its teams
+    and players failed in this run, else FAILED, so that the game stays pending. ``box`` reads the
+    landed player box scores after the games landed (game_id, team_id, player_id). Game, team and
+    player ids are text, as in the log.
     """
     run = dict(season=season, season_type=season_type, run_id=run_id, as_of=as_of)
     today = F.lit(as_of.date())
@@ -114,20 +144,37 @@ def run_games(
     write(load_entities(nodes, "game", new, documents, root, **run))
 
     sides = F.array(F.col("home_team_id").cast("string"), F.col("visitor_team_id").cast("string"))
-    teams = pending.select(F.explode(sides).alias("node_key")).distinct()
-    teams = not_done(teams, run_log, "team", run_id, today, season=season, season_type=season_type)
+    playing = pending.select("game_id", F.explode(sides).alias("node_key")).distinct()
+    teams = not_done(playing.select("node_key").distinct(), run_log, "team", run_id, today, season=season, season_type=season_type)
     write(load_entities(nodes, "team", teams.select(F.col("node_key").alias("_team_id")), documents, root, **run))
 
-    players = box().join(games, F.col("game_id") == F.col("node_key"), "left_semi").select(
-        F.col("player_id").cast("string").alias("node_key"), F.col("team_id").cast("string").alias("parent_key")
-    ).distinct()
+    appeared = settle(
+        box().join(games, F.col("game_id") == F.col("node_key"), "left_semi").select(
+            "game_id", F.col("player_id").cast("string").alias("node_key"), F.col("team_id").cast("string").alias("parent_key")
+        ).distinct(),
+        "appeared",
+    )
+    players = appeared.select("node_key", "parent_key").distinct()
     players = not_done(players, run_log, "player", run_id, today, ("node_key", "parent_key"), season, season_type)
     todo = players.select(F.col("node_key").alias("_player_id"), F.col("parent_key").alias("_team_id"))
     write(load_entities(nodes, "player", todo, documents, root, **run))
 
-    write(games.select(
+    failed = spark.read.parquet(place).where(F.col("node_status") == FAILED)
+
+    def of(node: str, *keys: str) -> DataFrame:
+        return failed.where(F.col("node") == node).select(*keys)
+
+    open_games = (
+        of("game", F.col("node_key").alias("game_id"))
+        .unionByName(playing.join(of("team", "node_key"), "node_key", "left_semi").select("game_id"))
+        .unionByName(appeared.join(of("player", "node_key", "parent_key"), ["node_key", "parent_key"], "left_semi").select("game_id"))
+        .distinct()
+    )
+    open_games = settle(open_games.select(F.col("game_id").alias("node_key"), F.lit(True).alias("open")), "open-games")
+    write(games.join(open_games, "node_key", "left").select(
         F.lit(run_id).alias("run_id"), F.lit("game").alias("node"), "node_key", F.lit(None).cast("string").alias("parent_key"),
-        F.lit(COMPLETED).alias("node_status"), F.lit(COMPLETED).alias("group_status"), F.lit(0).alias("measure_count"),
-        F.lit(season).alias("season"), F.lit(season_type).alias("season_type"), F.lit(as_of).alias("end_dtm"),
+        F.when(F.col("open").isNull(), COMPLETED).alias("node_status"), F.when(F.col("open"), FAILED).otherwise(COMPLETED).alias("group_status"),
+        F.lit(0).alias("measure_count"), F.lit(season).alias("season"), F.lit(season_type).alias("season_type"),
+        F.lit(as_of).alias("end_dtm"), F.lit(as_of).alias("at"), F.lit(STEPS.index("group")).alias("seq"),
     ))
     return spark.read.parquet(place)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from courtside.functions import scalars as fn
 from courtside.plans import control, load
@@ -93,9 +93,7 @@ def player_lists(lg: League):
         lg.players, F.col("player_id") == F.col("id")
     )
     listed.select(body.alias("value"), "_season").hint("rebalance", "_season").write.partitionBy("_season").text(path)
-    names = [f"{y}-{(y + 1) % 100:02d}" for y in range(1995, 2002)]
-    schema = "person_id bigint, display_first_last string"
-    return documents.read_player_lists(lg.spark, path, names, schema)
+    return documents.read_player_lists(lg.spark, path, "person_id bigint, display_first_last string")
 
 
 @query(
@@ -363,17 +361,17 @@ def players_not_done(lg: League):
 
 @query(
     "run_log_status",
-    """with e as (select cast(ts as date) as run_id, event_type as node, user_id as node_key, ts as tm, event_id as seq,
+    """with e as (select cast(ts as date) as run_id, event_type as node, user_id as node_key, props ->> '$.k' as parent_key, ts as tm, event_id as seq,
            case when event_type in ('click', 'view') then null when value > 50 then 'COMPLETED' else 'IN PROGRESS' end as node_status,
            case when value > 80 then 'FAILED' else 'N/A' end as group_status, cast(props ->> '$.k' as integer) as n from events)
-       select run_id, node, node_key, arg_max(node_status, (tm, seq)) filter (node_status is not null) as node_status,
+       select run_id, node, node_key, parent_key, arg_max(node_status, (tm, seq)) filter (node_status is not null) as node_status,
          arg_max(group_status, (tm, seq)) as group_status, min(tm) as started_dtm, max(tm) as end_dtm, arg_max(n, (tm, seq)) as measure_count
        from e group by all""",
 )
 def run_log_status(lg: League):
     events = lg.table("events").select(
         F.col("ts").cast("date").alias("run_id"), F.col("event_type").alias("node"), F.col("user_id").alias("node_key"),
-        F.col("ts").alias("at"), F.col("event_id").alias("seq"),
+        F.get_json_object("props", "$.k").alias("parent_key"), F.col("ts").alias("at"), F.col("event_id").alias("seq"),
         F.when(F.col("event_type").isin("click", "view"), F.lit(None)).when(F.col("value") > 50, "COMPLETED").otherwise("IN PROGRESS").alias("node_status"),
         F.when(F.col("value") > 80, "FAILED").otherwise("N/A").alias("group_status"),
         F.get_json_object("props", "$.k").cast("int").alias("measure_count"),
@@ -484,20 +482,91 @@ def landed_player_list(lg: League):
     return _stamped(lg, "player_list", rows, season="1998-99", create_date=F.lit(AS_OF))
 
 
+@query(
+    "landed_widening",
+    """select 'whole' as step, l_orderkey as _game_id, cast(l_linenumber as varchar) as value from lineitem
+       union all select 'fraction', l_orderkey, cast(l_discount as varchar) from lineitem
+       union all select 'text', l_orderkey, l_returnflag from lineitem""",
+)
+def landed_widening(lg: League):
+    """One measure landed three times: whole numbers, then fractions, then text. No value is cut."""
+    path = fresh_path(lg.spark, "widening")
+    row = {"VALUE": F.col("value")}
+    measure = Row(node="game", endpoint="BoxScorePlayerTrack", measure="player_track", table_name="track")
+    for run, (step, column) in enumerate((("whole", "l_linenumber"), ("fraction", "l_discount"), ("text", "l_returnflag"))):
+        set_ = F.struct(
+            F.lit("PlayerTrack").alias("name"), F.array(F.lit("VALUE")).alias("headers"), F.array(F.array(F.col(column))).alias("rowSet")
+        )
+        body = F.to_json(F.struct(F.array(set_).alias("resultSets")))
+        docs = lg.table("lineitem").select(F.col("l_orderkey").alias("_game_id"), body.alias("body"))
+        load.load_measure(measure, docs, path, "2001-02", "Playoffs", run, dt.datetime(2001, 6, 1))
+    steps = F.element_at(F.array(*map(F.lit, ("whole", "fraction", "text"))), F.col("_run_id") + 1)
+    return landing.read_landed(lg.spark, f"{path}/track").select(steps.alias("step"), "_game_id", "value")
+
+
+@query(
+    "landed_news",
+    """select cast(user_id as varchar) as playerid, event_type as headline, null as teamcode, date '2001-05-31' as _create_date, '2000-01' as _season from events
+       union all select cast(user_id as varchar), event_type, 'T' || event_id, date '2001-06-01', '2000-01' from events""",
+)
+def landed_news(lg: League):
+    """Two polls of the news; the second feed has a field that the first did not have."""
+    path = fresh_path(lg.spark, "news")
+    fields = [F.col("user_id").cast("string").alias("PlayerID"), F.col("event_type").alias("Headline")]
+    for day, more in ((dt.datetime(2001, 5, 31), []), (dt.datetime(2001, 6, 1), [F.concat(F.lit("T"), F.col("event_id")).alias("TeamCode")])):
+        body = F.to_json(F.struct(F.array(F.struct(*fields, *more)).alias("ListItems")))
+        items = documents.news_items(lg.table("events").select(body.alias("body")))
+        load.load_news(items, path, "2000-01", "Regular Season", day)
+    return landing.read_landed(lg.spark, f"{path}/player_news").select(
+        "playerid", "headline", "teamcode", F.col("_create_date").cast("date").alias("_create_date"), "_season"
+    )
+
+
+@query(
+    "season_measure",
+    """select o_custkey as _team_id, count(*) as games from orders
+       where year(o_orderdate) = 1998 and o_custkey in (select c_custkey from customer where c_acctbal > 0) group by all""",
+)
+def season_measure(lg: League):
+    """A single measure for the teams of a season; documents of others are at hand and stay out."""
+    path = fresh_path(lg.spark, "season-measure")
+    counts = lg.table("orders").where(F.year("o_orderdate") == 1998).groupBy(F.col("o_custkey").alias("_team_id")).agg(F.count(F.lit(1)).alias("n"))
+    docs = counts.select("_team_id", result_document(("Info", {"GAMES": F.col("n")})).alias("body"))
+    teams = lg.table("customer").where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("_team_id"))
+    catalogue = lg.spark.createDataFrame(
+        [("team", "TeamSummary", "info", "team_info", True, "self", 1990)],
+        "node string, endpoint string, measure string, table_name string, active boolean, measure_type string, available_year int",
+    )
+    load.load_single(
+        catalogue, "team_info", lambda endpoint: docs, path, "1998-99", entities=teams, season_type="Regular Season", run_id=1,
+        as_of=dt.datetime(2001, 6, 1), schema="games bigint",
+    )
+    return landing.read_landed(lg.spark, f"{path}/team_info").select("_team_id", "games")
+
+
 @query(
     "game_run_log",
     """with log as (select l_orderkey, max(l_linestatus = 'F') as boxed, max(l_linestatus = 'F' and l_returnflag = 'A') as done from lineitem group by all),
-       pend as (select o_orderkey, o_custkey from orders left join log on l_orderkey = o_orderkey
-         where o_orderstatus = 'F' and month(o_orderdate) <= 9 and year(o_orderdate) = 1998 and not coalesce(done, false))
-       select 'game' as node, 'COMPLETED' as group_status, count(*) as events from pend
-       union all select 'game', 'IN PROGRESS', count(*) from pend left join log on l_orderkey = o_orderkey where not coalesce(boxed, false)
-       union all select 'team', 'N/A', count(distinct o_custkey) from pend
-       union all select 'player', 'N/A', count(*) from (select distinct o_custkey, l_suppkey from pend join lineitem on l_orderkey = o_orderkey)""",
+       pend as (select o_orderkey, o_custkey, coalesce(boxed, false) as boxed from orders left join log on l_orderkey = o_orderkey
+         where o_orderstatus = 'F' and month(o_orderdate) <= 9 and year(o_orderdate) = 1998 and not coalesce(done, false)),
+       game as (select o_orderkey, o_custkey, not boxed and o_orderkey % 7 = 0 as bad from pend),
+       player as (select distinct o_orderkey, o_custkey, l_suppkey, l_suppkey % 5 = 0 as bad from pend join lineitem on l_orderkey = o_orderkey),
+       e as (
+         select 'game' as node, o_orderkey as k, null as p, case when o_orderkey % 7 = 0 then 'FAILED' else 'COMPLETED' end as s, 'IN PROGRESS' as g,
+           case when o_orderkey % 7 = 0 then 0 else 1 end as n, 0 as seq from pend where not boxed
+         union all select distinct 'team', o_custkey, null, case when o_custkey % 11 = 0 then 'FAILED' else 'COMPLETED' end, 'N/A',
+           case when o_custkey % 11 = 0 then 0 else 1 end, 1 from pend
+         union all select distinct 'player', l_suppkey, o_custkey, case when bad then 'FAILED' else 'COMPLETED' end, 'N/A', case when bad then 0 else 1 end, 2 from player
+         union all select 'game', o_orderkey, null, case when open then null else 'COMPLETED' end, case when open then 'FAILED' else 'COMPLETED' end, 0, 3
+           from (select o_orderkey, bad or o_custkey % 11 = 0 or exists (select 1 from player p where p.o_orderkey = game.o_orderkey and p.bad) as open from game))
+       select node, cast(k as varchar) as node_key, cast(p as varchar) as parent_key, arg_max(s, seq) filter (s is not null) as node_status,
+         arg_max(g, seq) as group_status, cast(arg_max(n, seq) as integer) as measure_count from e group by node, k, p""",
 )
 def game_run_log(lg: League):
-    """A whole run over the pending games of a season: box scores, teams, players, and the log it leaves.
+    """A whole run over the pending games of a season: box scores, teams, players, and the log it leaves, as status rows.
 
-    A customer is the team here (it plays itself) and a supplier the player.
+    A customer is the team here (it plays itself) and a supplier the player. Documents of some games are broken text, of some
+    teams missing, and of some players without the result set asked for.
     """
     orders = lg.table("orders")
     day = F.col("o_orderdate").cast("date")
@@ -519,11 +588,14 @@ def game_run_log(lg: League):
     first = {"VALUE": F.col("key")}
     documents_of = {
         "BoxscoreTraditional": orders.select(F.col("o_orderkey").cast("string").alias("key")).select(
-            F.col("key").alias("_game_id"), result_document(("PlayerStats", first)).alias("body")),
-        "TeamGeneralSplits": orders.select(text.alias("key")).distinct().select(
+            F.col("key").alias("_game_id"),
+            F.when(F.col("key").cast("bigint") % 7 == 0, '{"resultSets": [{"na').otherwise(result_document(("PlayerStats", first))).alias("body")),
+        "TeamGeneralSplits": orders.where("o_custkey % 11 <> 0").select(text.alias("key")).distinct().select(
             F.col("key").alias("_team_id"), result_document(("Overall", first), ("Location", first)).alias("body")),
         "PlayerGeneralSplits": played.select(F.col("player_id").alias("key"), "team_id").distinct().select(
-            F.col("key").alias("_player_id"), F.col("team_id").alias("_team_id"), result_document(("Overall", first), ("Location", first)).alias("body")),
+            F.col("key").alias("_player_id"), F.col("team_id").alias("_team_id"),
+            F.when(F.col("key").cast("bigint") % 5 == 0, result_document(("Overall", first)))
+            .otherwise(result_document(("Overall", first), ("Location", first))).alias("body")),
     }
     rows = [
         ("game", "BoxscoreTraditional", "player_stats", "game_player_stats", True, "self", 1990),
@@ -538,4 +610,4 @@ def game_run_log(lg: League):
         catalogue, header, log, lambda: played, documents_of.__getitem__, fresh_path(lg.spark, "game-run"),
         season="1998-99", season_type="Regular Season", run_id=2, as_of=dt.datetime(2001, 6, 1),
     )
-    return events.groupBy("node", "group_status").agg(F.count(F.lit(1)).alias("events"))
+    return control.log_status(events).select("node", "node_key", "parent_key", "node_status", "group_status", "measure_count")

@@ -21,7 +21,7 @@ team TeamSummary - teaminfocommon info:0 season_ranks:1
 team TeamCommonRoster - commonteamroster roster:0 coaches:1
 team _TeamDashboard - - overall:0
 team TeamGeneralSplits _TeamDashboard teamdashboardbygeneralsplits location:1 wins_losses:2 monthly:3 pre_post_all_star:4 days_rest:5
-team TeamOpponentSplits _TeamDashboard teamdashboardbyopponent by_conference:1 by_division:2 by_opponent:2
+team TeamOpponentSplits _TeamDashboard teamdashboardbyopponent by_conference:1 by_division:2 by_opponent:3
 team TeamLastNGamesSplits _TeamDashboard teamdashboardbylastngames last5:1 last10:2 last15:3 last20:4 gamenumber:5
 team TeamInGameSplits _TeamDashboard teamdashboardbygamesplits by_half:1 by_period:2 by_score_margin:3 by_actual_margin:4
 team TeamClutchSplits _TeamDashboard teamdashboardbyclutch last5min_deficit_5point:1 last3min_deficit_5point:2 last1min_deficit_5point:3 last30sec_deficit_3point:4 last10sec_deficit_3point:5 last5min_plusminus_5point:6 last3min_plusminus_5point:7 last1min_plusminus_5point:8 last30sec_plusminus_5point:9

@@ -64,7 +64,8 @@ def infer_schema(docs: DataFrame, index: int, body: str = "body") -> T.StructTyp
     All values whole numbers: bigint. All present values numbers: double. Anything else,
     and a column without any value: string. One row per header reaches the driver.
     """
-    doc = F.parse_json(body)
+    # a document that cannot be read gives no cells, as it gives no rows
+    doc = F.try_parse_json(body)
     sets = docs.select(
         F.variant_get(doc, f"$.resultSets[{index}].headers", "array<string>").alias("headers"),
         F.explode(F.variant_get(doc, f"$.resultSets[{index}].rowSet", "array<array<variant>>")).alias("row"),
@@ -103,12 +104,19 @@ def _landed_name(header: Column) -> Column:
 
 
 def news_items(docs: DataFrame, body: str = "body", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per item of the news documents, all fields as text."""
+    """One row per item of the news documents, all fields as text; ``more`` holds those the feed has besides."""
     items = docs.select(
         *keep, F.explode_outer(F.from_json(body, "ListItems array<map<string,string>>")["ListItems"]).alias("item")
     ).where(F.col("item").isNotNull())
     items = items.select(*keep, F.transform_keys("item", lambda k, _: F.lower(k)).alias("item"))
-    return items.select(*keep, *[F.col("item")[f].alias(f) for f in NEWS_FIELDS])
+    more = F.map_filter("item", lambda k, _: ~k.isin(*NEWS_FIELDS))
+    return items.select(*keep, *[F.col("item")[f].alias(f) for f in NEWS_FIELDS], more.alias("more"))
+
+
+def with_more_fields(items: DataFrame) -> DataFrame:
+    """The fields in ``more`` as columns of their own, in order of name. One name per field reaches the driver."""
+    names = items.select(F.explode(F.map_keys("more")).alias("name")).distinct().orderBy("name").collect()
+    return items.select("*", *[F.col("more")[r["name"]].alias(r["name"]) for r in names]).drop("more")
 
 
 def read_news(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
@@ -116,8 +124,8 @@ def read_news(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
 
 
 def read_player_lists(
-    spark: SparkSession, root: str, seasons: Iterable[str], schema: T.StructType | str, whole: bool = False
+    spark: SparkSession, root: str, schema: T.StructType | str, seasons: Iterable[str] | None = None, whole: bool = False
 ) -> DataFrame:
-    """Player lists of the named seasons, landed under ``root/_season=<season>/``."""
-    docs = read_documents(spark, [f"{root}/_season={s}" for s in seasons], whole, basePath=root)
+    """Player lists landed under ``root/_season=<season>/``: of the named seasons, or of all there are."""
+    docs = read_documents(spark, root if seasons is None else [f"{root}/_season={s}" for s in seasons], whole, basePath=root)
     return scrape_measure(docs, "player", "PlayerList", "info", schema, keep=["_season"])

@@ -49,13 +49,30 @@ def _landing_type(kind: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def widest(old: T.DataType, new: T.DataType) -> T.DataType:
+    """A type that holds the values of both: whole, then floating, then text."""
+    if old == new:
+        return old
+    kinds = {type(_landing_type(old)), type(_landing_type(new))}
+    if T.StringType in kinds:
+        return T.StringType()
+    return T.DoubleType() if T.DoubleType in kinds else T.LongType()
+
+
+def widened(target: T.StructType, incoming: T.StructType) -> T.StructType:
+    """The target's columns, wide enough for the incoming values, and every new column behind them."""
+    new = {f.name: f.dataType for f in incoming.fields}
+    known = [T.StructField(f.name, widest(f.dataType, new.get(f.name, f.dataType))) for f in target.fields]
+    return T.StructType([*known, *drift(target, incoming).fields])
+
+
 def align(incoming: DataFrame, target: T.StructType) -> DataFrame:
-    """Rows in the target's columns followed by every new column; missing ones are NULL."""
+    """Rows in the columns of ``widened``; missing ones are NULL. No value is narrowed."""
     have = set(incoming.columns)
-    fields = [*target.fields, *drift(target, incoming.schema).fields]
-    return incoming.select(
-        *[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-    )
+    return incoming.select(*[
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in widened(target, incoming.schema).fields
+    ])
 
 
 def stamp(df: DataFrame, grain: str, **lineage: Column | str | int | None) -> DataFrame:
@@ -71,53 +88,78 @@ def stamp(df: DataFrame, grain: str, **lineage: Column | str | int | None) -> Da
 def land(df: DataFrame, grain: str, path: str, **lineage) -> DataFrame:
     """Normalise, align to what the table already has, stamp, append. Returns the rows written.
 
-    Drift is judged before the stamps exist, so lineage columns never count as new. A load of
-    several seasons (season given as a column) is rebalanced first: each season gets files of
-    a sensible size, and a large season is split over tasks.
+    Drift is judged before the stamps exist, so lineage columns never count as new. Where a known
+    column needs a wider type, rows go to a new version folder of the table; readers cast all
+    versions to the widest type. A load of several seasons (season given as a column) is
+    rebalanced first: each season gets files of a sensible size, and a large season is split.
     """
     rows = normalise(df, grain)
-    target = landed_schema(df.sparkSession, path)
-    if target is not None:
-        rows = align(rows, T.StructType([f for f in target.fields if f.name not in LINEAGE[grain]]))
+    versions = _versions(df.sparkSession, path)
+    number = max(versions, default=0)
+    own = T.StructType([f for f in versions[number].fields if f.name not in LINEAGE[grain]]) if versions else None
+    if own is not None:
+        rows = align(rows, own)
+        kinds = {f.name: f.dataType for f in own.fields}
+        number += any(kinds.get(f.name, f.dataType) != f.dataType for f in rows.schema.fields)
     rows = stamp(rows, grain, **lineage)
-    if target is None or drift(target, rows.schema).fields:
-        _remember(df.sparkSession, path, rows.schema)
+    if number not in versions or drift(versions[number], rows.schema).fields:
+        _remember(df.sparkSession, path, number, rows.schema)
     if isinstance(lineage["season"], Column):
         rows = rows.hint("rebalance", "_season")
-    rows.write.mode("append").partitionBy("_season").parquet(path)
+    rows.write.mode("append").partitionBy("_season").parquet(f"{path}/{VERSION}={number}")
     return rows
 
 
+# folder level of a landing table whose files agree on the types of all columns
+VERSION = "_types"
+
+
 def _columns(path: str) -> str:
     return f"{path.rstrip('/')}__columns"
 
 
-def _remember(spark: SparkSession, path: str, schema: T.StructType) -> None:
+def _remember(spark: SparkSession, path: str, number: int, schema: T.StructType) -> None:
     """Note the columns a load brings next to the table: one small row per load with new ones."""
-    spark.createDataFrame([(schema.json(),)], "body string").coalesce(1).write.mode("append").parquet(_columns(path))
+    spark.createDataFrame([(number, schema.json())], "version int, body string").coalesce(1).write.mode("append").parquet(_columns(path))
 
 
-def landed_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Columns a landing table has so far, or None before its first load.
+def _versions(spark: SparkSession, path: str) -> dict[int, T.StructType]:
+    """Columns of each type version of a landing table, none before its first load.
 
-    Read from the noted columns, so that no footer of the table itself is opened.
+    Read from the noted columns, so that no footer of the table itself is opened. Equal notes
+    are one row; what is left is one row per distinct set of columns.
     """
     try:
-        notes = spark.read.parquet(_columns(path))
+        notes = spark.read.schema("version int, body string").parquet(_columns(path)).distinct().collect()
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    found: dict[str, T.StructField] = {}
-    for note in notes.collect():
+        return {}
+    found: dict[int, dict[str, T.StructField]] = {}
+    for note in sorted(notes, key=lambda n: (n.version, len(n.body))):
         for f in T.StructType.fromJson(json.loads(note.body)).fields:
-            found.setdefault(f.name, f)
-    return T.StructType(list(found.values()))
+            found.setdefault(note.version, {}).setdefault(f.name, f)
+    return {number: T.StructType(list(fields.values())) for number, fields in sorted(found.items())}
+
+
+def landed_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """Columns a landing table has so far, at their widest types, or None before its first load."""
+    merged: T.StructType | None = None
+    for schema in _versions(spark, path).values():
+        merged = schema if merged is None else widened(merged, schema)
+    return merged
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """A landing table, with the columns of all loads."""
-    return spark.read.schema(landed_schema(spark, path)).parquet(path)
+    """A landing table with the columns of all loads, every value as it was landed or wider."""
+    target, parts = landed_schema(spark, path), None
+    for number, schema in _versions(spark, path).items():
+        own = spark.read.schema(T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])).parquet(path)
+        own = own.where(F.col(VERSION) == str(number)).drop(VERSION)
+        have = set(own.columns)
+        own = own.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.fields])
+        parts = own if parts is None else parts.unionByName(own)
+    return parts
 
 
 def snapshot(df: DataFrame, keys: Sequence[str], *tie: str) -> DataFrame:

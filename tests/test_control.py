@@ -106,7 +106,7 @@ def test_log_status_keeps_the_node_status(spark):
         ],
         "run_id int, node string, node_key string, node_status string, group_status string, measure_count int, at timestamp, seq int",
     )
-    row = control.log_status(events).first()
+    row = control.log_status(events.withColumn("parent_key", F.lit(None).cast("string"))).first()
     assert (row.node_status, row.group_status, row.measure_count) == ("COMPLETED", "FAILED", 0)
 
 

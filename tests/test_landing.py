@@ -95,6 +95,26 @@ def test_two_loads_with_two_new_columns(spark, scratch):
     assert rows[2]._season == "2001-02"  # a folder name, but not a date
 
 
+def test_values_are_never_narrowed(spark, scratch):
+    stamps = dict(season="2001-02", season_type="Playoffs", create_date=F.lit(dt.datetime(2017, 1, 1)), run_id=1)
+    path = f"{scratch}/wide"
+    for game, value in (("g1", 1), ("g2", 0.75), ("g3", 2), ("g4", "n/a"), ("g5", 7), ("g6", 12.75)):
+        kind = {int: "bigint", float: "double", str: "string"}[type(value)]
+        landing.land(spark.createDataFrame([(value, game)], f"pct {kind}, name string"), "game", path, game_id=game, **stamps)
+    rows = {r._game_id: r.pct for r in landing.read_landed(spark, path).collect()}
+    assert rows == {"g1": "1", "g2": "0.75", "g3": "2.0", "g4": "n/a", "g5": "7", "g6": "12.75"}
+    assert landing.landed_schema(spark, path)["pct"].dataType == T.StringType()
+
+
+def test_news_with_new_fields(spark, scratch):
+    body = [json.dumps({"ListItems": [{"PlayerID": "5", "TeamCode": "AAA"}, {"PlayerID": "6", "Other Field": "x"}]}), json.dumps({"ListItems": [{"PlayerID": "7"}]})]
+    for i, b in enumerate(body):
+        items = documents.news_items(spark.createDataFrame([(b,)], "body string"))
+        load.load_news(items, scratch, "2016-17", "Regular Season", dt.datetime(2017, 1, 1 + i))
+    rows = {r.playerid: r for r in landing.read_landed(spark, f"{scratch}/player_news").collect()}
+    assert rows["5"].teamcode == "AAA" and rows["6"]["other field"] == "x" and rows["7"].teamcode is None and rows["7"]._create_date.day == 2
+
+
 def test_publish_counts_and_clear_empties(spark, scratch):
     path, rows = landing.publish(spark.range(25), scratch, "t", "v1")
     assert rows == 25 and spark.read.parquet(path).count() == 25
@@ -130,11 +150,15 @@ def nodes(spark):
 
 def test_entities_land_all_active_measures(spark, docs, nodes, scratch):
     run = dict(season="2016-17", season_type="Regular Season", run_id=4, as_of=dt.datetime(2017, 1, 1))
-    todo = spark.createDataFrame([("001",), ("004",)], "_game_id string")
+    todo = spark.createDataFrame([("001",), ("004",), ("003",), ("009",), ("010",)], "_game_id string")
+    docs = docs.unionByName(spark.createDataFrame([("010", '{"resultSets": [{"na')], "_game_id string, body string"))
     log = load.load_entities(nodes, "game", todo, lambda endpoint: docs, scratch, **run)
-    assert sorted((r.node_key, r.node_status, r.measure_count) for r in log.collect()) == [("001", "COMPLETED", 2), ("004", "COMPLETED", 2)]
+    assert sorted((r.node_key, r.node_status, r.measure_count) for r in log.collect()) == [
+        ("001", "COMPLETED", 2), ("003", "FAILED", 1), ("004", "COMPLETED", 2), ("009", "FAILED", 0), ("010", "FAILED", 0),
+    ]
     assert landing.read_landed(spark, f"{scratch}/game_team_stats").count() == 2
-    assert landing.read_landed(spark, f"{scratch}/game_player_stats").count() == 2
+    # the first result set of document 003 lands, too
+    assert landing.read_landed(spark, f"{scratch}/game_player_stats").count() == 3
     assert landing.landed_schema(spark, f"{scratch}/game_track") is None
     assert landing.landed_schema(spark, f"{scratch}/game_officials") is None
 
