@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from courtside.functions.scalars import differs
+from courtside.session import settle
+
 
 def scd2(
     dim: DataFrame,
@@ -37,13 +38,13 @@ def scd2(
     edges = new.groupBy(F.col(key).alias("_k")).agg(
         *[f(c).alias(f"_{tag}_{c}") for c in compare for tag, f in (("lo", F.min), ("hi", F.max))]
     )
-    differs = [
-        F.coalesce(F.col(c) != F.col(f"_{tag}_{c}"), F.lit(False)) for c in compare for tag in ("lo", "hi")
-    ]
-    marked = dim.join(edges, F.col(key) == F.col("_k"), "left").select(
+    compared = [F.col(c) for c in compare for _ in ("lo", "hi")]
+    edge = [F.col(f"_{tag}_{c}") for c in compare for tag in ("lo", "hi")]
+    # both the kept rows and the state of the keys come from these rows
+    marked = settle(dim.join(edges, F.col(key) == F.col("_k"), "left").select(
         *dim.columns,
-        (F.coalesce(F.col("is_rec_active"), F.lit(False)) & reduce(or_, differs)).alias("_closing"),
-    )
+        (F.coalesce(F.col("is_rec_active"), F.lit(False)) & differs(compared, edge)).alias("_closing"),
+    ), "marked")
     closing = F.col("_closing")
     kept = marked.withColumns(
         {

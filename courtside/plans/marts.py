@@ -438,7 +438,8 @@ def game_features(
         F.col("id").alias("player_id"), F.col("display_first_last").alias("player"), "nba_pos"
     )
     line = facts.select("game_id", "player_id", "seconds", *fn.FANTASY_WEIGHTS)
-    scored = schedule_rows.join(line, ["game_id", "player_id"], "left").withColumn("fan_pts", fn.fantasy_points())
+    # read for the season's average and for the rows
+    scored = settle(schedule_rows.join(line, ["game_id", "player_id"], "left").withColumn("fan_pts", fn.fantasy_points()), "scored")
     averaged = with_group_stats(scored, ["player_id", "season"], avg_fan_pts=F.avg("fan_pts"))
     rival = team_facts.select(
         "game_id", F.col("team_id").alias("opp_team_id"), *[F.col(c).alias(f"_opp_{c}") for c in opponent_stats]

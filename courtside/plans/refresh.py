@@ -16,6 +16,7 @@ from courtside.functions.ordering import latest_first
 from courtside.operators.scd2 import scd2
 from courtside.operators.windows import by_month, latest_by, previous
 from courtside.plans import marts
+from courtside.session import settle
 from courtside.sources.landing import conform, publish
 from courtside.sources.schemas import compared_columns, dim_player
 
@@ -103,6 +104,7 @@ def refresh_all(
     source = conform(marts.player_versions(landed["player_common"], landed["team"], now).withColumns(
         {"rec_start_date": now.cast("date"), "is_rec_active": F.lit(True), "created_at": now}
     ), dim_player())
+    source = settle(source, "player-versions")
     people = write("dim_player", scd2(old("dim_player", False), source, "id", compared_columns(), now)[0])
     people = people.withColumns({"pos": F.col("nba_pos"), "fd_pos": F.col("nba_pos")})
 
@@ -111,6 +113,7 @@ def refresh_all(
     stints = conform(marts.team_history(
         landed["player_common_all"], landed["team"], landed["player_box"], landed["header"], now,
     ).withColumn("created_at", now), dim_player(history=True))
+    stints = settle(stints, "stints")
     history = write(
         "dim_player_team_history",
         scd2(old("dim_player_team_history", True), stints, "id", compared_columns(history=True), now, keep_dates=True)[0],
@@ -123,7 +126,8 @@ def refresh_all(
     facts = write("fct_game_player", player_game_facts(landed["player_box"], games, people))
 
     roster = history.select(F.col("id").alias("player_id"), "season", "team_id", "rec_start_date")
-    schedule = marts.schedule(games, teams, facts, roster, people)
+    # the lag reads the rows twice
+    schedule = settle(marts.schedule(games, teams, facts, roster, people), "schedule")
     schedule = write("dim_player_schedule", player_schedule_dimension(schedule, as_of))
 
     write("player_time", marts.player_time(schedule, facts, people, landed["news"]))

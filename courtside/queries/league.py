@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from courtside.sources.schemas import OPPONENT_STATS
 from courtside.functions import scalars as fn
 
 NEWS_SHIFT = 9131 * 86400  # seconds from January 2024 back to January 1999, into the order calendar
@@ -193,9 +194,11 @@ class League:
 
     @cached_property
     def team_facts(self) -> DataFrame:
-        """Team numbers of the visiting side of each game that has lines."""
+        """Team numbers of the visiting side of each game that has lines: points, pace and plus-minus from
+        the order and its lines, every other number by its place in the list from the points."""
+        others = [(F.col("o_totalprice") + i).alias(c) for i, c in enumerate(OPPONENT_STATS) if c not in ("pts", "pace", "plus_minus")]
         return self.games.select(
-            F.col("id").alias("game_id"), F.col("visitor_team_id").alias("team_id"), F.col("o_totalprice").alias("pts")
+            F.col("id").alias("game_id"), F.col("visitor_team_id").alias("team_id"), F.col("o_totalprice").alias("pts"), *others
         ).join(
             self.box_lines.select("game_id", F.col("seconds").alias("pace"), F.col("pts").alias("plus_minus")), "game_id"
         )
@@ -260,7 +263,8 @@ SQL = {
                cast(props ->> '$.k' as integer) as priority,
                'E' || lpad(cast(event_id as varchar), 12, '0') as headline,
                case event_type when 'purchase' then 'YES' when 'signup' then 'NO' end as injured,
-               event_type as injured_status, props as injury_detail, cast(event_id as varchar) as caption,
+               event_type as injured_status, props as injury_detail, null as injury_location, 'Left' as injury_side,
+               event_type as injury_type, cast(event_id as varchar) as caption,
                case when event_type = 'error' then -2 else cast(user_id as integer) end as player_id
         from events""",
     "shot": """

@@ -237,6 +237,34 @@ def measures_of_node(lg: League):
     return control.active_measures(nodes(lg), "1998-99", node="promo").select("endpoint", "measure", "table_name")
 
 
+@query(
+    "single_measure",
+    """select lower(p_type) as node, p_brand as endpoint, p_name as measure, p_name || '_' || p_partkey as table_name from part
+       where p_retailprice > 950 and p_size + 1970 <= 2016 and p_name || '_' || p_partkey
+         = (select min(p_name || '_' || p_partkey) from part where p_retailprice > 950 and p_size + 1970 <= 2016)""",
+)
+def single_measure(lg: League):
+    """The one measure of the first table in order of name."""
+    listed = control.active_measures(nodes(lg), "2016-17")
+    found = control.single_measure(nodes(lg), "2016-17", listed.agg(F.min("table_name")).first()[0])
+    return lg.spark.createDataFrame([found]).select("node", "endpoint", "measure", "table_name")
+
+
+@query(
+    "cleared_tables",
+    """select 'before' as version, c_custkey, c_name from customer""",
+)
+def cleared_tables(lg: League):
+    """A published table, and its next version after it was cleared: empty, while the version before stays."""
+    root = fresh_path(lg.spark, "cleared")
+    rows = lg.table("customer").select("c_custkey", "c_name")
+    landing.publish(rows, root, "customer", "v1")
+    landing.clear(lg.spark, rows.schema, root, ["customer"], "v2")
+    return lg.spark.read.parquet(f"{root}/customer/v1").select(F.lit("before").alias("version"), "*").unionByName(
+        lg.spark.read.parquet(f"{root}/customer/v2").select(F.lit("after").alias("version"), "*")
+    )
+
+
 _CAL_SQL = """cal as (select season, season_type, min(game_date) as start_date, max(game_date) as end_date,
     max(game_date) >= date '2001-01-01' as is_current from game group by all),
   marks as (select season, season_type, max(game_date) filter (game_status = 'Final') as last_final,

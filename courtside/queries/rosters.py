@@ -15,7 +15,7 @@ from courtside.queries.registry import query
 from courtside.queries.timing import TIME_SQL
 from courtside.session import settle
 from courtside.sources.landing import conform, null_violations
-from courtside.sources.schemas import compared_columns, dim_player
+from courtside.sources.schemas import HUSTLE_STATS, OPPONENT_STATS, compared_columns, dim_player
 
 # Days the landed player rows are looked at: an old version, the current one, the refresh.
 FIRST, BEFORE, AFTER = dt.date(1995, 12, 31), dt.date(1996, 6, 30), dt.date(1996, 12, 31)
@@ -423,7 +423,9 @@ def team_position_defence(lg: League):
 
 _DAILY_SQL = TIME_SQL.split("), newest as (")[0] + f"""), def as ({DEFENCE_SQL}),
 hust as (select home_team_id as team_id, season, count(*) filter (game_status = 'Final') as charges_drawn, count(*) as contested_shots,
-   count(*) filter (o_orderpriority = '1-URGENT') as deflections from game group by all),
+   count(*) filter (game_status = 'PPD') as contested_shots_2pt, count(*) filter (game_status = 'Scheduled') as contested_shots_3pt,
+   count(*) filter (o_orderpriority = '1-URGENT') as deflections, count(*) filter (o_orderpriority = '2-HIGH') as loose_balls_recovered,
+   count(*) filter (o_orderpriority = '3-MEDIUM') as screen_assists from game group by all),
 vt as (select f.season, f.team_id, f.team_abbreviation, p.pos, f.game_date, coalesce(sum(seconds), 0) as pos_time
        from fact f join player p on p.id = f.player_id where trim(pos) <> '' group by all),
 vb as (select *, sum(pos_time) over (w rows between 5 preceding and 1 preceding) as pos_time_5,
@@ -431,23 +433,25 @@ vb as (select *, sum(pos_time) over (w rows between 5 preceding and 1 preceding)
   from vt window w as (partition by season, team_id, pos order by game_date, team_abbreviation)),
 daynews as (select * from item qualify row_number() over (partition by playerid, dt order by priority, headline) = 1),
 counted as (
-  select s.*, charges_drawn, contested_shots, deflections from shown s join hust h on h.team_id = s.opp_team_id and h.season = s.season),
+  select s.*, h.* exclude (team_id, season) from shown s join hust h on h.team_id = s.opp_team_id and h.season = s.season),
 own2 as (
   select *, sum(seconds) over (w rows between 5 preceding and 1 preceding) as t5,
     sum(seconds) over (w rows between 10 preceding and 1 preceding) as t10,
     row_number() over (partition by player_id, game_date order by created_at desc, game_id) as rn
   from counted window w as (partition by season, team_id, pos, player_id order by game_date, created_at, game_id))
-select o.player_id, o.pos, o.game_date, o.team_abbreviation, o.opp_team_id, o.season, o.seconds as player_time,
-  cast(t5 as bigint) as player_time_last_5_games, cast(t10 as bigint) as player_time_last_10_games,
+select o.player_id, o.display_first_last, o.pos, o.game_date, o.team_abbreviation, o.opp_team_abbreviation, o.opp_team_id, o.season,
+  o.start_position, o.seconds as player_time, cast(t5 as bigint) as player_time_last_5_games, cast(t10 as bigint) as player_time_last_10_games,
   cast(b.pos_time as bigint) as pos_time_per_game, cast(pos_time_5 as bigint) as pos_time_last_5_games,
+  cast(pos_time_10 as bigint) as pos_time_last_10_games, o.comment,
   cast(t5 as double) / cast(pos_time_5 as double) as pct_player_time_5_games,
   cast(t10 as double) / cast(pos_time_10 as double) as pct_player_time_10_games,
   case when n.injured is not null then n.injured
        when upper(o.comment) like '%DECISION%' or upper(o.comment) like '%DRESS%' or upper(o.comment) like '%SUSPEN%'
          or upper(o.comment) like '%PERSONAL%' or upper(o.comment) like '%SERVING%' then 'NO'
        when o.comment like '%DND%' then 'YES' else 'NO' end as injured,
-  n.injured_status, n.caption, d.less_than_6ft as opp_def_less_than_6ft, d.overall as opp_def_overall,
-  o.charges_drawn as opp_hust_charges_drawn, o.contested_shots as opp_hust_contested_shots, o.deflections as opp_hust_deflections
+  n.injured_status, n.injury_detail, n.injury_location, n.injury_side, n.injury_type, n.caption,
+  {", ".join(f"d.{c} as opp_def_{c}" for c in marts.DEFENCE_CATEGORIES.values())},
+  {", ".join(f"o.{c} as opp_hust_{c}" for c in HUSTLE_STATS)}
 from own2 o
 left join daynews n on n.player_id = o.player_id and n.dt = o.game_date
 left join vb b on b.season = o.season and b.team_id = o.team_id and b.game_date = o.game_date and b.pos = o.pos
@@ -458,17 +462,11 @@ where rn = 1"""
 @query("daily_schedule", with_tables("game line fact sched player item shot", _DAILY_SQL))
 def daily_schedule(lg: League):
     versions = lg.players.select(F.col("id").alias("dim_player_guid"), "pos")
-    return marts.daily_schedule(
-        lg.schedule, lg.facts, lg.players, versions, lg.news, lg.team_hustle, defence(lg)
-    ).select(
-        "player_id", "pos", "game_date", "team_abbreviation", "opp_team_id", "season", "player_time",
-        "player_time_last_5_games", "player_time_last_10_games", "pos_time_per_game", "pos_time_last_5_games",
-        "pct_player_time_5_games", "pct_player_time_10_games", "injured", "injured_status", "caption",
-        "opp_def_less_than_6ft", "opp_def_overall", "opp_hust_charges_drawn", "opp_hust_contested_shots", "opp_hust_deflections",
-    )
+    return marts.daily_schedule(lg.schedule, lg.facts, lg.players, versions, lg.news, lg.team_hustle, defence(lg))
 
 
-RIVAL = ("pts", "pace", "plus_minus")
+# points, pace and plus-minus are named in the SQL below; the others follow from the points by their place
+_OTHER_STATS = [(i, c) for i, c in enumerate(OPPONENT_STATS) if c not in ("pts", "pace", "plus_minus")]
 
 _POINTS = "(ast * 1.5::double + reb * 1.2::double + pts + stl * 2::double + blk * 2::double - tov)"
 
@@ -494,13 +492,14 @@ def _rested_schedule(lg: League) -> DataFrame:
           p.pos as nba_pos, upper(strftime(r.game_date, '%b')) as mnth, lower(strftime(r.game_date, '%a')) as dow,
           f.seconds as seconds_played, round({_POINTS}, 6) as fan_pts,
           round(avg({_POINTS}) over (partition by r.player_id, r.season), 6) as avg_fan_pts,
-          case when f.game_id is not null then g.o_totalprice end as pts, f.seconds as pace, f.pts as plus_minus
+          case when f.game_id is not null then g.o_totalprice end as pts, f.seconds as pace, f.pts as plus_minus,
+          {", ".join(f"case when f.game_id is not null then g.o_totalprice + {i} end as {c}" for i, c in _OTHER_STATS)}
         from r left join player p on p.id = r.player_id left join fact f on f.game_id = r.game_id
         join game g on g.id = r.game_id""",
     ),
 )
 def game_features(lg: League):
-    table = marts.game_features(_rested_schedule(lg), lg.players, lg.facts, lg.team_facts, RIVAL)
+    table = marts.game_features(_rested_schedule(lg), lg.players, lg.facts, lg.team_facts)
     return table.withColumns({c: F.round(c, 6) for c in ("fan_pts", "avg_fan_pts")})
 
 
@@ -515,7 +514,8 @@ def _played_sql(order: str) -> str:
           r.opp_team_abbreviation as opponent, r.opp_team_loc as opp_loc, cast(r.game_date - p.birthdate as integer) as age_in_days,
           p.pos as nba_pos, p.pos as fd_pos, upper(strftime(r.game_date, '%b')) as mnth, lower(strftime(r.game_date, '%a')) as dow,
           r.seconds, round(fdpts, 6) as fdpts, round(avg_fdpts, 6) as avg_fdpts, cast(r.game_date - prev as integer) as player_days_rest,
-          d.overall as opp_pos_plusminus, g.o_totalprice as pts, r.seconds as pace, r.line_pts as plus_minus
+          d.overall as opp_pos_plusminus, g.o_totalprice as pts, r.seconds as pace, r.line_pts as plus_minus,
+          {", ".join(f"g.o_totalprice + {i} as {c}" for i, c in _OTHER_STATS)}
         from r left join player p on p.id = r.player_id join game g on g.id = r.game_id
         left join def d on d.team_id = r.opp_team_id and d.season = r.season and d.pos = p.pos""",
     )
@@ -528,7 +528,7 @@ def _played(lg: League, across: bool) -> DataFrame:
     )
     positions = lg.players.select(F.col("id").alias("player_id"), F.col("pos").alias("fd_pos"))
     table = marts.played_game_features(
-        lg.schedule, lg.players, lg.facts, lg.team_facts, allowed, positions, F.lit(dt.date(2001, 1, 1)), across, RIVAL
+        lg.schedule, lg.players, lg.facts, lg.team_facts, allowed, positions, F.lit(dt.date(2001, 1, 1)), across
     )
     return table.withColumns({c: F.round(c, 6) for c in ("fdpts", "avg_fdpts")})
 

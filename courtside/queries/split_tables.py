@@ -261,6 +261,15 @@ def rebounds_by_contest(lg: League):
     return splits.totals(shots(lg), ["shooter", "contest", splits.band("distance", 10).alias("band")], SHOT_STATS)
 
 
+_GENERAL = "case when distance < 10 then 'Less than 10 ft' when dribbles = 0 then 'Catch and Shoot' else 'Pull Ups' end"
+_shot_split(
+    "tracking_general_shooting", _GENERAL + " as general",
+    lambda: F.when(F.col("distance") < 10, "Less than 10 ft").when(F.col("dribbles") == 0, "Catch and Shoot").otherwise("Pull Ups").alias("general"),
+)
+_shot_split(
+    "rebounds_by_shot_type", "case when distance < 24 then 'Miss 2FG' else 'Miss 3FG' end as shot_type",
+    lambda: F.when(F.col("distance") < 24, "Miss 2FG").otherwise("Miss 3FG").alias("shot_type"),
+)
 _shot_split("rebounds_by_distance", "cast(distance // 6 * 6 as bigint) as band", lambda: splits.band("distance", 6).alias("band"))
 
 

@@ -51,7 +51,7 @@ with shown as (
          when upper(o.comment) like '%DECISION%' or upper(o.comment) like '%DRESS%' or upper(o.comment) like '%SUSPEN%'
            or upper(o.comment) like '%PERSONAL%' or upper(o.comment) like '%SERVING%' then 'NO'
          when o.comment like '%DND%' then 'YES' else 'NO' end as injured,
-    n.injured_status, n.injury_detail, n.caption
+    n.injured_status, n.injury_detail, n.injury_location, n.injury_side, n.injury_type, n.caption
   from own o
   left join newest n on n.player_id = o.player_id
   left join base b on b.season = o.season and b.team_id = o.team_id and b.game_date = o.game_date and b.pos = o.pos
@@ -66,7 +66,7 @@ def _player_time(lg: League):
 
 @query("player_rolling_time", with_tables("game line fact sched player item", TIME_SQL + "select * from ptime"))
 def player_rolling_time(lg: League):
-    return _player_time(lg).drop("injury_location", "injury_side", "injury_type")
+    return _player_time(lg)
 
 
 @query(
@@ -99,6 +99,40 @@ def injury_benefit(lg: League):
     )
 
 
+@query(
+    "injury_time",
+    with_tables(
+        "game line fact sched player item",
+        TIME_SQL + """, factor(hurt, pos, factor) as (values
+          ('AUTOMOBILE', 'AUTOMOBILE', 0.75), ('AUTOMOBILE', 'BUILDING', 0.25), ('BUILDING', 'BUILDING', 0.75),
+          ('BUILDING', 'AUTOMOBILE', 0.15), ('BUILDING', 'FURNITURE', 0.10), ('FURNITURE', 'FURNITURE', 0.75),
+          ('FURNITURE', 'HOUSEHOLD', 0.10), ('FURNITURE', 'MACHINERY', 0.10), ('FURNITURE', 'BUILDING', 0.05),
+          ('MACHINERY', 'MACHINERY', 0.65), ('MACHINERY', 'HOUSEHOLD', 0.25), ('MACHINERY', 'FURNITURE', 0.10))
+        select well.season, well.team_abbreviation, well.player_id, well.game_date, well.pos,
+          floor(nullif(sum(hurt.avg_player_time_last_5_games * f.factor::double) * well.pct_player_time_5_games, 0) * 1e6::double
+            + 0.5::double) / 1e6::double as benefit_seconds
+        from ptime well
+        left join ptime hurt on hurt.season = well.season and hurt.team_abbreviation = well.team_abbreviation
+          and hurt.game_date = well.game_date and hurt.injured = 'YES' and hurt.player_id <> well.player_id
+        left join factor f on f.hurt = hurt.pos and f.pos = well.pos
+        where well.injured = 'NO' and well.player_id = (select min(player_id) from ptime) and well.season = (select max(season) from ptime
+            where player_id = (select min(player_id) from ptime)) and well.game_date = (select max(game_date) from ptime
+            where player_id = (select min(player_id) from ptime))
+        group by well.season, well.team_abbreviation, well.player_id, well.game_date, well.pos, well.pct_player_time_5_games""",
+    ),
+)
+def injury_time(lg: League):
+    """The benefit of one player on the last of their days."""
+    names = {"C": "AUTOMOBILE", "PF": "BUILDING", "SF": "FURNITURE", "SG": "HOUSEHOLD", "PG": "MACHINERY"}
+    factors = [(names[a], names[b], f) for a, b, f in marts.POSITION_FACTORS]
+    times = settle(_player_time(lg), "player-time")
+    last = times.groupBy("player_id").agg(F.max_by(F.struct("season", "team_abbreviation", "game_date"), "game_date").alias("day"))
+    who = last.orderBy("player_id").first()
+    return marts.injury_time(times, who.day.season, who.day.team_abbreviation, who.player_id, who.day.game_date, factors).withColumn(
+        "benefit_seconds", F.floor(F.col("benefit_seconds") * 1e6 + 0.5) / 1e6
+    )
+
+
 @query(
     "position_rolling_time",
     with_tables(
