@@ -42,19 +42,26 @@ def team_game_facts(team_box: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def player_game_facts(player_box: DataFrame, games: DataFrame, players: DataFrame) -> DataFrame:
-    """Landed player box scores of known games with side, opponent and the player version open now.
+    """Landed player box scores of known games with side, opponent and the player version of the game day.
 
+    That is the version that started last on or before the day; a game before the first version has the first.
     Playing time is taken from ``seconds``, or from the clock text ``min`` where there is none.
     """
     if "seconds" not in player_box.columns:
         player_box = player_box.withColumn("seconds", fn.clock_seconds("min"))
     home = F.col("team_id") == F.col("home_team_id")
     known = games.select(F.col("id").alias("game_id"), "season", "game_date", "home_team_id", "visitor_team_id")
-    version = players.where("is_rec_active").select(F.col("id").alias("player_id"), "dim_player_guid")
+    # as many versions of a player as there were refreshes with a change
+    versions = players.groupBy(F.col("id").alias("player_id")).agg(
+        F.sort_array(F.collect_list(F.struct("rec_start_date", "dim_player_guid"))).alias("versions")
+    )
+    started = F.filter("versions", lambda v: v["rec_start_date"] <= F.col("game_date"))
+    version = F.coalesce(F.get(F.reverse(started), F.lit(0)), F.get("versions", F.lit(0)))["dim_player_guid"]
     return (
         latest_by(player_box, ["game_id", "player_id"], latest_first("_create_date"))
         .join(known, "game_id")
-        .join(version, "player_id", "left")
+        .join(versions, "player_id", "left")
+        .withColumn("dim_player_guid", version)
         .select(
             "game_id", "player_id", "dim_player_guid", "season", "team_id", "team_abbreviation",
             F.when(home, "H").otherwise("V").alias("team_loc"),

@@ -71,3 +71,35 @@ def reporting_refresh(lg: League):
     root = fresh_path(lg.spark, "reporting")
     counts = refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
     return lg.spark.createDataFrame(list(counts.items()), "table_name string, rows bigint")
+
+
+@query(
+    "refreshed_games",
+    with_tables(
+        "game",
+        """select g.id, game_code, game_date, game_status, player_id as home_team_id, cast(floor(g.o_totalprice / 500) as integer) as visitor_team_id,
+          season, season_type from game g""",
+    ),
+)
+def refreshed_games(lg: League):
+    """The game dimension that a refresh leaves."""
+    root = fresh_path(lg.spark, "reporting")
+    refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
+    return lg.spark.read.parquet(f"{root}/dim_game/v1")
+
+
+@query(
+    "refreshed_player_facts",
+    with_tables(
+        "game line",
+        """select g.id as game_id, player_id, season, cast(player_id as integer) as team_id, 'T' || player_id as team_abbreviation, 'H' as team_loc,
+          cast(floor(g.o_totalprice / 500) as integer) as opp_team_id, 'V' as opp_team_loc, game_date, seconds,
+          substr(g.o_orderpriority, 1, 1) as start_position, cast(null as varchar) as comment, ast, reb, pts, stl, blk, tov
+        from game g join line l on l.game_id = g.id""",
+    ),
+)
+def refreshed_player_facts(lg: League):
+    """The player facts that a refresh leaves; their version keys differ from run to run."""
+    root = fresh_path(lg.spark, "reporting")
+    refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
+    return lg.spark.read.parquet(f"{root}/fct_game_player/v1").drop("dim_player_guid")

@@ -9,7 +9,7 @@ from tests.compare import differences
 
 SF = "/root/testdata/sf0.001"
 
-WRITES = {n for n in QUERIES if n.startswith("streamed_")} | {"reporting_refresh", "game_run_log"}
+WRITES = {n for n in QUERIES if n.startswith("streamed_")} | {"reporting_refresh", "game_run_log", "refreshed_games", "refreshed_player_facts", "landed_widening"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -47,7 +47,14 @@ def test_clock_text_is_playing_time(spark):
     games = spark.createDataFrame(
         [("g", "s", dt.date(2017, 1, 1), 20, 10)], "id string, season string, game_date date, home_team_id int, visitor_team_id int"
     )
-    people = spark.createDataFrame([(1, True, 99), (1, False, 98)], "id int, is_rec_active boolean, dim_player_guid int")
+    D = dt.date
+    people = spark.createDataFrame(
+        [(1, D(2017, 2, 1), 99), (1, D(2016, 12, 1), 98), (1, D(2016, 1, 1), 97), (2, D(2016, 1, 1), 96)],
+        "id int, rec_start_date date, dim_player_guid int",
+    )
     row = refresh.player_game_facts(box, games, people).collect()
     assert len(row) == 1
-    assert (row[0].seconds, row[0].team_loc, row[0].opp_team_id, row[0].dim_player_guid) == (2052, "V", 20, 99)
+    # the version of the game day, not the open one
+    assert (row[0].seconds, row[0].team_loc, row[0].opp_team_id, row[0].dim_player_guid) == (2052, "V", 20, 98)
+    early = games.withColumn("game_date", F.lit(D(2015, 5, 5)))
+    assert refresh.player_game_facts(box, early, people).first().dim_player_guid == 97
