@@ -23,7 +23,8 @@ PENALTY = 9.0
 IN_SCRIPT = 0.001
 SMOOTH = 0.02
 UNKNOWN = "und"
-PIECE = 4 << 20
+# bytes of text that are worked on at once: some arrays hold 8 bytes for each
+PIECE = 1 << 20
 
 # First code points of script ranges; a range ends where the next one begins.
 SCRIPTS = (
