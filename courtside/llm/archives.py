@@ -196,10 +196,7 @@ def write_arcs(pages: DataFrame, path: str, per_file: int = PER_FILE) -> None:
 
 
 def _write(records: DataFrame, path: str, end: str, per_file: int) -> None:
-    # fast compression: the options reach the codec through the job's settings
-    records.write.option("lineSep", end).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option(
-        "maxRecordsPerFile", per_file
-    ).text(path)
+    records.write.option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
