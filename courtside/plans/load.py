@@ -106,6 +106,74 @@ def load_entities(
     )
 
 
+# Result sets of a day's scoreboard, in order.
+SCOREBOARD = (
+    "game_header", "line_score", "series_standings", "last_meeting", "east_conf_standings_by_day",
+    "west_conf_standings_by_day", "available",
+)
+
+# Tables of the roster load, and where their rows come from.
+ROSTER = {
+    "team_summary": ("TeamSummary", "info"), "team_season_ranks": ("TeamSummary", "season_ranks"),
+    "team_common_roster": ("TeamCommonRoster", "roster"), "team_coaches": ("TeamCommonRoster", "coaches"),
+}
+
+
+def load_schedule(
+    nodes: DataFrame, days: DataFrame, documents: DataFrame, root: str, season: str, season_type: str, run_id: int, as_of: dt.datetime
+) -> DataFrame:
+    """Land the scoreboards of the days still to pull (``control.date_spine``); returns one log event per day.
+
+    ``documents`` has one scoreboard per day in ``body``, found by ``node_key``. Days meet them in one join for all
+    active measures; a day without a readable scoreboard is FAILED and stays to be pulled.
+    """
+    days = settle(days.select("node_key").distinct(), "schedule-days")
+    wanted = settle(documents.join(days, "node_key", "left_semi"), "scoreboards")
+    measures = active_measures(nodes, season, "schedule").collect()
+    indexes = [SCOREBOARD.index(m.measure) for m in measures]
+    for measure, index in zip(measures, indexes):
+        land(
+            scrape(wanted, index, infer_schema(wanted, index)), "schedule", f"{root}/{measure.table_name}", season=season,
+            season_type=season_type, create_date=F.lit(as_of), run_id=run_id,
+        )
+    found = F.size(F.coalesce(F.from_json("body", RESULT_SETS)["resultSets"], F.array()))
+    landed = sum((found > i).cast("int") for i in indexes)
+    met = days.withColumn("landed", F.lit(0)).unionByName(wanted.select("node_key", landed.alias("landed")))
+    return met.groupBy("node_key").agg(F.max("landed").alias("landed")).select(
+        F.lit(run_id).alias("run_id"), F.lit("schedule").alias("node"), "node_key", F.lit(None).cast("string").alias("parent_key"),
+        F.when(F.col("landed") >= len(measures), COMPLETED).otherwise(FAILED).alias("node_status"), F.lit("N/A").alias("group_status"),
+        F.col("landed").cast("int").alias("measure_count"), F.lit(season).alias("season"), F.lit(season_type).alias("season_type"),
+        F.lit(as_of).alias("end_dtm"), F.lit(as_of).alias("at"), F.lit(0).alias("seq"),
+    )
+
+
+def load_roster(entities: DataFrame, documents: Callable[[str], DataFrame], root: str, run_id: int, as_of: dt.datetime) -> None:
+    """Land all four team tables for teams and seasons (_team_id, _season), all seasons in one load."""
+    keys = ["_team_id", "_season"]
+    for document in dict.fromkeys(d for d, _ in ROSTER.values()):
+        wanted = settle(documents(document).join(entities.select(*keys).distinct(), keys, "left_semi"), "roster-documents")
+        for table, (name, measure) in ROSTER.items():
+            if name == document:
+                index = result_index("team", name, measure)
+                rows = scrape(wanted, index, infer_schema(wanted, index), keep=keys).withColumnsRenamed({"_team_id": "of_team", "_season": "of_season"})
+                land(
+                    rows, "roster", f"{root}/{table}", team_id=F.col("of_team"), season=F.col("of_season"), create_date=F.lit(as_of),
+                    run_id=run_id,
+                )
+
+
+def load_hustle(players: DataFrame, teams: DataFrame, root: str, season: str, season_type: str, as_of: dt.datetime) -> None:
+    """Land the season's hustle tables of players and teams from their documents."""
+    for grain, name, table, docs in (
+        ("player", "PlayerHustleStats", "player_hustle_stats", players), ("team", "HustleStatsTeam", "team_hustle_stats", teams),
+    ):
+        index = result_index(grain, name, "overall")
+        land(
+            scrape(docs, index, infer_schema(docs, index)), "league", f"{root}/{table}", season=season, season_type=season_type,
+            create_date=F.lit(as_of),
+        )
+
+
 # order of a run's steps, which orders events of one instant
 STEPS = ("game", "team", "player", "group")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
@@ -572,6 +573,100 @@ def season_measure(lg: League):
     return landing.read_landed(lg.spark, f"{path}/team_info").select("_team_id", "games")
 
 
+@query(
+    "schedule_load",
+    """with d as (select distinct strftime(o_orderdate, '%Y%m%d') as node_key from orders where year(o_orderdate) = 1998)
+       select 'game' as kind, cast(o_orderkey as varchar) as key, o_orderstatus as value, '1998-99' as _season from orders
+         where year(o_orderdate) = 1998 and day(o_orderdate) <> 13
+       union all select 'log', node_key, case when node_key like '%13' then 'FAILED' else 'COMPLETED' end, '1998-99' from d""",
+)
+def schedule_load(lg: League):
+    """The scoreboards of a year's days landed, and the log; scoreboards of each 13th are missing, those of other years stay out."""
+    path = fresh_path(lg.spark, "schedule-load")
+    orders = lg.table("orders").select(F.date_format("o_orderdate", "yyyyMMdd").alias("node_key"), "o_orderkey", "o_orderstatus")
+    row = F.array(F.col("o_orderkey").cast("string"), F.col("o_orderstatus"))
+    headers = F.array(F.lit("GAME_ID"), F.lit("GAME_STATUS"))
+    board = F.struct(F.lit("GameHeader").alias("name"), headers.alias("headers"), F.sort_array(F.collect_list(row)).alias("rowSet"))
+    docs = orders.where(~F.col("node_key").endswith("13")).groupBy("node_key").agg(F.to_json(F.struct(F.array(board).alias("resultSets"))).alias("body"))
+    days = orders.where(F.col("node_key").startswith("1998")).select("node_key").distinct()
+    catalogue = lg.spark.createDataFrame(
+        [("schedule", "Scoreboard", "game_header", "schedule_game_header", True, "self", 1990)],
+        "node string, endpoint string, measure string, table_name string, active boolean, measure_type string, available_year int",
+    )
+    log = load.load_schedule(catalogue, days, docs, path, "1998-99", "Regular Season", 1, dt.datetime(2001, 6, 1))
+    games = landing.read_landed(lg.spark, f"{path}/schedule_game_header")
+    return games.select(F.lit("game").alias("kind"), F.col("game_id").alias("key"), F.col("game_status").alias("value"), "_season").unionByName(
+        log.select(F.lit("log").alias("kind"), F.col("node_key").alias("key"), F.col("node_status").alias("value"), F.col("season").alias("_season"))
+    )
+
+
+@query(
+    "roster_load",
+    with_tables(
+        "game",
+        """with t as (select home_team_id as _team_id, season as _season, count(*) as n, count(*) filter (game_status = 'Final') as f from game group by all)
+        select 'team_summary' as table_name, _team_id, _season, n as a, cast(null as bigint) as b from t where _team_id % 2 = 0
+        union all select 'team_season_ranks', _team_id, _season, f, null from t where _team_id % 2 = 0
+        union all select 'team_common_roster', _team_id, _season, n, f from t where _team_id % 2 = 0
+        union all select 'team_coaches', _team_id, _season, f, n from t where _team_id % 2 = 0""",
+    ),
+)
+def roster_load(lg: League):
+    """All four roster tables of all seasons, for every other team."""
+    path = fresh_path(lg.spark, "roster-load")
+    counts = lg.games.groupBy(F.col("home_team_id").alias("_team_id"), F.col("season").alias("_season")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("game_status") == "Final").alias("f")
+    )
+
+    def numbers(*sets: tuple[str, tuple[Column, ...]]) -> Column:
+        return F.to_json(F.struct(F.array(*[
+            F.struct(
+                F.lit(name).alias("name"), F.array(*[F.lit("AB"[i]) for i in range(len(row))]).alias("headers"), F.array(F.array(*row)).alias("rowSet")
+            )
+            for name, row in sets
+        ]).alias("resultSets")))
+
+    n, f = F.col("n"), F.col("f")
+    bodies = {
+        "TeamSummary": numbers(("TeamInfoCommon", (n,)), ("TeamSeasonRanks", (f,))),
+        "TeamCommonRoster": numbers(("CommonTeamRoster", (n, f)), ("Coaches", (f, n))),
+    }
+    load.load_roster(
+        counts.where("_team_id % 2 = 0"), lambda name: counts.select("_team_id", "_season", bodies[name].alias("body")), path, 1, dt.datetime(2001, 6, 1)
+    )
+    parts = []
+    for name in load.ROSTER:
+        rows = landing.read_landed(lg.spark, f"{path}/{name}")
+        b = F.col("b") if "b" in rows.columns else F.lit(None).cast("bigint")
+        parts.append(rows.select(F.lit(name).alias("table_name"), "_team_id", "_season", "a", b.alias("b")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "hustle_load",
+    """select 'player' as side, c_custkey as id, count(*) as deflections, '2000-01' as _season from customer join orders on o_custkey = c_custkey group by all
+       union all select 'team', c_nationkey, count(*), '2000-01' from customer group by all""",
+)
+def hustle_load(lg: League):
+    """The hustle tables of players and teams, one document per row."""
+    path = fresh_path(lg.spark, "hustle-load")
+
+    def docs(rows: DataFrame) -> DataFrame:
+        set_ = F.struct(
+            F.lit("Hustle").alias("name"), F.array(F.lit("ID"), F.lit("DEFLECTIONS")).alias("headers"),
+            F.array(F.array(F.col("id").cast("bigint"), F.col("n"))).alias("rowSet"),
+        )
+        return rows.select(F.to_json(F.struct(F.array(set_).alias("resultSets"))).alias("body"))
+
+    players = lg.table("orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    teams = lg.table("customer").groupBy(F.col("c_nationkey").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    load.load_hustle(docs(players), docs(teams), path, "2000-01", "Regular Season", dt.datetime(2001, 6, 1))
+    return reduce(DataFrame.unionByName, [
+        landing.read_landed(lg.spark, f"{path}/{side}_hustle_stats").select(F.lit(side).alias("side"), "id", "deflections", "_season")
+        for side in ("player", "team")
+    ])
+
+
 @query(
     "game_run_log",
     """with log as (select l_orderkey, max(l_linestatus = 'F') as boxed, max(l_linestatus = 'F' and l_returnflag = 'A') as done from lineitem group by all),
