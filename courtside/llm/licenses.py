@@ -65,7 +65,7 @@ def words_of(text: Column) -> Column:
     ``lower`` is much cheaper than replacing letter by letter. It also changes letters beyond A-Z, which no phrase or
     template holds; the Kelvin sign alone would become an ASCII letter and is replaced before.
     """
-    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("å")))
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u00e5")))
     parts = F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     # only the first and the last part can be empty
     return F.array_remove(parts, "")
