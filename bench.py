@@ -22,7 +22,8 @@ HEADLINES = (
     "team_history_refresh", "player_schedule", "schedule_own_leg", "team_position_defence", "game_features",
     "played_game_features", "played_game_features_across", "player_stints", "pending_games", "players_not_done",
     "run_log_status", "latest_news", "landed_measure", "resultset_scrape", "season_rankings", "split_last_games",
-    "split_by_game_number", "split_by_days_rest", "on_off_court", "lineups_of_five", "streamed_latest",
+    "split_by_game_number", "split_by_days_rest", "on_off_court", "lineups_of_five", "streamed_latest", "reporting_refresh",
+    "game_run_log",
 )
 
 

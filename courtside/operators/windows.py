@@ -35,6 +35,11 @@ def by_month(day: Column | str) -> Column:
     return F.trunc(day, "month")
 
 
+def in_ranges(column: Column | str, width: int) -> Column:
+    """Ranges of whole numbers, as a level between a prefix and its many children."""
+    return F.floor((F.col(column) if isinstance(column, str) else column) / width)
+
+
 def looking_back(
     df: DataFrame,
     keys: Sequence[str],
@@ -133,7 +138,9 @@ def global_previous(
     ``levels`` are growing column prefixes of the order, coarse to fine, for example
     [season, team] then [season, team, player]; ``order`` holds the columns after them.
     No step sorts the rows globally: only the coarsest summary, one row per distinct
-    first prefix, is ordered as a whole. Prefix and order columns must not be NULL.
+    first prefix, is ordered as a whole. Each finer level is one window per parent prefix, so a
+    prefix with very many children wants a level between: a range of the next column, which
+    never decreases with it (``in_ranges``). Prefix and order columns must not be NULL.
     """
     key = list(levels[-1])
     levels = [*map(list, levels), [*key, BLOCK]]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.functions import scalars as fn
 from courtside.functions.ordering import earliest_first, latest_first
-from courtside.operators.windows import by_month, global_previous, latest_by, previous, rolling, with_group_stats
+from courtside.operators.windows import by_month, global_previous, in_ranges, latest_by, previous, rolling, with_group_stats
 from courtside.plans.control import EXHIBITION_TEAMS, FINAL
 from courtside.session import settle
 from courtside.sources.schemas import HUSTLE_STATS, OPPONENT_STATS
@@ -486,9 +486,11 @@ def played_game_features(
     order = ["game_date", "game_id"]
     if across_players:
         team = ["season", "team_id"]
+        band = [*team, "_players"]
         rested = global_previous(
-            averaged, [team, [*team, "player_id"]], order, "game_date", "_prev", block=by_month("game_date")
-        )
+            averaged.withColumn("_players", in_ranges("player_id", 4096)), [team, band, [*band, "player_id"]], order, "game_date",
+            "_prev", block=by_month("game_date"),
+        ).drop("_players")
     else:
         rested = previous(averaged, ["player_id"], order, "game_date", "_prev", block=by_month("game_date"))
     person = players.where("is_rec_active").select(

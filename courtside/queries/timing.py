@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from courtside.functions import scalars as fn
 from courtside.functions.ordering import earliest_first, latest_first
 from courtside.operators.windows import (
-    by_month, global_previous, latest_by, numbered, previous, ranked, rolling, with_group_stats,
+    by_month, global_previous, in_ranges, latest_by, numbered, previous, ranked, rolling, with_group_stats,
 )
 from courtside.plans import marts
 from courtside.queries.league import League, with_tables
@@ -294,8 +294,8 @@ def days_since_previous(lg: League):
     """select event_id, lag(ts) over (order by event_type, user_id, ts, event_id) as previous_ts from events""",
 )
 def previous_in_global_order(lg: League):
-    events = lg.table("events").select("event_type", "user_id", "ts", "event_id")
-    levels = [["event_type"], ["event_type", "user_id"]]
+    events = lg.table("events").select("event_type", in_ranges("user_id", 32).alias("users"), "user_id", "ts", "event_id")
+    levels = [["event_type"], ["event_type", "users"], ["event_type", "users", "user_id"]]
     return global_previous(
         events, levels, ["ts", "event_id"], "ts", "previous_ts", by_month("ts")
     ).select("event_id", "previous_ts")
