@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from courtside.llm.sending import Sent
 from courtside.llm.words import Kept, mix, pieces, text_bytes
 
 BUCKETS = 1 << 16
@@ -229,7 +230,7 @@ def label(documents: DataFrame, model: Model, penalty: float = PENALTY, *keep: s
     like any other; an empty table gives an empty result.
     """
     spark = documents.sparkSession
-    sent = spark.sparkContext.broadcast((Tables.make(), model))
+    sent = Sent(spark, (Tables.make(), model))
     span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("lang", pa.string())]))
     sender = Kept(documents, keep)
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.llm.language import remainder
+from courtside.llm.sending import Sent
 from courtside.llm.words import Kept, byte_set, find_words, pieces, shingles, text_bytes
 from courtside.session import settle
 
@@ -213,12 +214,13 @@ def learn(rows: DataFrame, calibrates: Column, features: int = FEATURES, ridge:
 def scored(rows: DataFrame, model: Model) -> DataFrame:
     """Adds ``score`` (0 to 1) to rows of ``stats``, which leaves; other columns stay."""
     spark = rows.sparkSession
-    sent = spark.sparkContext.broadcast(model)
+    sent = Sent(spark, model)
     at = rows.columns.index("stats")
 
     def work(batches):
+        model = sent.value
         for batch in batches:
-            score = sent.value.score(_stats(batch.column(at))) if batch.num_rows else np.zeros(0)
+            score = model.score(_stats(batch.column(at))) if batch.num_rows else np.zeros(0)
             yield batch.append_column("score", pa.array(score)).drop_columns(["stats"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "stats")
