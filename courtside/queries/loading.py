@@ -612,7 +612,27 @@ def schedule_load(lg: League):
     ),
 )
 def roster_load(lg: League):
-    """All four roster tables of all seasons, for every other team."""
+    """All four roster tables of all seasons, for every other team; ``roster_load_all`` takes every team."""
+    return _rosters(lg, F.col("_team_id") % 2 == 0)
+
+
+@query(
+    "roster_load_all",
+    with_tables(
+        "game",
+        """with t as (select home_team_id as _team_id, season as _season, count(*) as n, count(*) filter (game_status = 'Final') as f from game group by all)
+        select 'team_summary' as table_name, _team_id, _season, n as a, cast(null as bigint) as b from t
+        union all select 'team_season_ranks', _team_id, _season, f, null from t
+        union all select 'team_common_roster', _team_id, _season, n, f from t
+        union all select 'team_coaches', _team_id, _season, f, n from t""",
+    ),
+)
+def roster_load_all(lg: League):
+    """All four roster tables of all seasons and teams."""
+    return _rosters(lg, F.lit(True))
+
+
+def _rosters(lg: League, asked: Column) -> DataFrame:
     path = fresh_path(lg.spark, "roster-load")
     counts = lg.games.groupBy(F.col("home_team_id").alias("_team_id"), F.col("season").alias("_season")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("game_status") == "Final").alias("f")
@@ -632,7 +652,7 @@ def roster_load(lg: League):
         "TeamCommonRoster": numbers(("CommonTeamRoster", (n, f)), ("Coaches", (f, n))),
     }
     load.load_roster(
-        counts.where("_team_id % 2 = 0"), lambda name: counts.select("_team_id", "_season", bodies[name].alias("body")), path, 1, dt.datetime(2001, 6, 1)
+        counts.where(asked), lambda name: counts.select("_team_id", "_season", bodies[name].alias("body")), path, 1, dt.datetime(2001, 6, 1)
     )
     parts = []
     for name in load.ROSTER:

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from courtside.plans import control, load
+from courtside.queries import QUERIES
+from courtside.queries.league import League
 from courtside.sources import documents, landing
 from courtside.sources.catalogue import CATALOGUE, measures, result_index
 from courtside.sources.schemas import OPPONENT_STATS, compared_columns, dim_player
@@ -227,3 +229,23 @@ def test_load_single_measure(spark, docs, nodes, scratch):
     assert rows.count() == 3
     with pytest.raises(ValueError):
         load.load_single(nodes, "game_track", lambda endpoint: docs, scratch, **run)
+
+
+def test_rosters_of_all_teams_asked_for_and_no_others(spark, scratch):
+    body = json.dumps({"resultSets": [{"name": n, "headers": ["A"], "rowSet": [[i]]} for i, n in enumerate(("x", "y"))]})
+    asked = [(t, s) for t in (1, 2, 3, 4, 5) for s in ("2015-16", "2016-17")]
+    others = [(6, "2015-16"), (7, "2016-17"), (1, "2014-15")]
+    docs = spark.createDataFrame([(*k, body) for k in asked + others], "_team_id long, _season string, body string")
+    load.load_roster(spark.createDataFrame(asked, "_team_id long, _season string"), lambda name: docs, scratch, 1, dt.datetime(2017, 1, 1))
+    for table in load.ROSTER:
+        rows = landing.read_landed(spark, f"{scratch}/{table}").collect()
+        assert sorted((r["_team_id"], r["_season"]) for r in rows) == asked, table
+
+
+def test_a_query_lands_the_rosters_of_all_teams(spark):
+    games = League(spark, "/root/testdata/sf0.001").games
+    pairs = {(r[0], r[1]) for r in games.select("home_team_id", "season").distinct().collect()}
+    rows = QUERIES["roster_load_all"](spark, "/root/testdata/sf0.001").collect()
+    for table in load.ROSTER:
+        assert {(r["_team_id"], r["_season"]) for r in rows if r.table_name == table} == pairs, table
+    assert any(t % 2 for t, _ in pairs)
