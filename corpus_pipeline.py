@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kep
 last return the columns of ``documents``.
 
 * language: learns from all texts with a language; a text goes if it has no letters, or if less than a quarter of its
-  letters stand in spans of a learned language;
+  letters stand in spans of learned languages, whichever, that use the word's script. So it rejects letterless texts and
+  texts mostly in scripts that no learned language uses, but no text in a learned script, whatever it says;
 * quality: learns from ``labels`` of the documents that are left; a text below the score of 0.3 goes;
 * near copies: five-word shingles, similarity 0.8 or more; the smallest id of each group stays, rows without id stay;
 * mixing: sources weigh 1, 2, 3, repeating; rows are repeated where their source needs further epochs;
@@ -34,8 +35,8 @@ def _as_before(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.learn(docs)
-    rows = language.label(_others(docs), model, language.PENALTY, "text", "rest")
-    return _as_before(rows.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)), docs)
+    rows = language.label(_others(docs), model, language.PENALTY, "text", "rest", shares=True)
+    return _as_before(rows.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("learned") >= LEAST_LANGUAGE)), docs)
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -218,14 +218,15 @@ def best_path(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndar
     return path
 
 
-def label(documents: DataFrame, model: Model, penalty: float = PENALTY, *keep: str) -> DataFrame:
+def label(documents: DataFrame, model: Model, penalty: float = PENALTY, *keep: str, shares: bool = False) -> DataFrame:
     """``doc_id, lang_pred, score, spans`` and the columns named in ``keep``, one row per row of ``documents``.
 
     ``score`` is the share of the letters that stand in spans of the predicted language and in a script it uses. ``spans``
-    lists (first word, last word, language) over words of letters.
+    lists (first word, last word, language) over words of letters. With ``shares`` there is ``learned`` after ``score``: the
+    share of the letters in spans of any language and in a script that one uses.
 
     Only ``doc_id``, ``text`` and kept columns are read. Null, empty and letterless texts, and all texts if nothing was
-    learned: ``und`` with score 0 and no spans. Long texts are labelled whole; of equally frequent languages the first by
+    learned: ``und`` with shares 0 and no spans. Long texts are labelled whole; of equally frequent languages the first by
     name wins; a text without any known script gets the first language with score 0; repeated rows and null ids give rows
     like any other; an empty table gives an empty result.
     """
@@ -240,18 +241,19 @@ def label(documents: DataFrame, model: Model, penalty: float = PENALTY, *keep: s
             data, bounds = text_bytes(batch.column(1))
             for i, j in pieces(bounds, PIECE):
                 w = Letters(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], tables)
-                pred, score, spans = _labelled(w, model, penalty)
+                pred, score, learned, spans = _labelled(w, model, penalty)
                 part = batch.slice(i, j - i)
-                yield sender.batch(part, lang_pred=pa.array(pred, pa.string()), score=pa.array(score), spans=pa.array(spans, span))
+                yield sender.batch(part, lang_pred=pa.array(pred, pa.string()), score=pa.array(score), **({"learned": pa.array(learned)} if shares else {}), spans=pa.array(spans, span))
 
-    return sender.run(work, "lang_pred string, score double, spans array<struct<first: long, last: long, lang: string>>")
+    kinds = "lang_pred string, score double, " + "learned double, " * shares
+    return sender.run(work, kinds + "spans array<struct<first: long, last: long, lang: string>>")
 
 
 def _labelled(w: Letters, model: Model, penalty: float):
     languages = len(model.languages)
     counts = np.bincount(w.doc, minlength=w.docs)
     if not languages or not len(w.start):
-        return [UNKNOWN] * w.docs, np.zeros(w.docs), [[]] * w.docs
+        return [UNKNOWN] * w.docs, np.zeros(w.docs), np.zeros(w.docs), [[]] * w.docs
     scores, candidate = word_scores(w, model)
     path = best_path(scores, counts, penalty)
     known = w.size * candidate[np.arange(len(path)), path]
@@ -259,6 +261,7 @@ def _labelled(w: Letters, model: Model, penalty: float):
     total = np.bincount(w.doc, w.size, w.docs)
     top = letters.argmax(axis=1)
     score = letters[np.arange(w.docs), top] / np.maximum(total, 1)
+    learned = letters.sum(axis=1) / np.maximum(total, 1)
     pred = [model.languages[x] if n else UNKNOWN for x, n in zip(top, total)]
     turn = np.ones(len(path), bool)
     turn[1:] = (path[1:] != path[:-1]) | (w.doc[1:] != w.doc[:-1])
@@ -269,7 +272,7 @@ def _labelled(w: Letters, model: Model, penalty: float):
     for a, b in zip(first.tolist(), last.tolist()):
         d = w.doc[a]
         spans[d].append({"first": int(a - begin[d]), "last": int(b - begin[d]), "lang": model.languages[path[a]]})
-    return pred, score, spans
+    return pred, score, learned, spans
 
 
 def remainder(doc_id, n: int):

@@ -46,6 +46,14 @@ def test_letterless_texts_go_and_clean_ones_stay(stages):
     assert gone == {100003, 100004, 100005, 100008, 100013}
 
 
+def test_a_text_in_many_learned_languages_stays(spark):
+    words = {lang: [f"{c}{x}{c}{y}{c}" for x in "aeiou" for y in "aeiou"] for lang, c in zip(("l1", "l2", "l3", "l4", "l5", "l6"), "bdgkmt")}
+    rows = [(i, " ".join(w * 20), lang) for i, (lang, w) in enumerate(words.items())]
+    rows += [(10, " ".join(" ".join(w) for w in words.values()), None), (11, "привет мир " * 9, None), (12, "привет мир " * 9 + "babab", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in pipeline.by_language(spark, docs, SF).collect()} == {0, 1, 2, 3, 4, 5, 10}
+
+
 def test_bad_texts_go_and_good_ones_stay(spark, stages):
     before, after = stages["quality"]
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
