@@ -7,7 +7,8 @@ last return the columns of ``documents``.
   letters stand in spans of learned languages, whichever, that use the word's script. So it rejects letterless texts and
   texts mostly in scripts that no learned language uses, but no text in a learned script, whatever it says;
 * quality: learns from ``labels`` of the documents that are left; a text below the score of 0.3 goes;
-* near copies: five-word shingles, similarity 0.8 or more; the smallest id of each group stays, rows without id stay;
+* near copies: five-word shingles, similarity 0.8 or more; of each group of texts the row of the smallest id stays, and
+  one of its rows without id; an id with different texts is as many documents;
 * mixing: sources weigh 1, 2, 3, repeating; rows are repeated where their source needs further epochs;
 * encoding: byte-level BPE ids of every text, decoded again for their digest.
 """
@@ -15,7 +16,7 @@ last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from courtside.llm import byte_pairs, language, mixing, near_documents, quality
 from courtside.session import fresh_path, settle
@@ -47,11 +48,7 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_documents.near_documents(docs, k=5, percent=80).where("kept").select("doc_id").distinct()
-    # of rows that repeat an id one stays
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(first)).where("_copy = 1")
-    return rows.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    return near_documents.one_of_each(docs, k=5, percent=80)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,12 +1,13 @@
 """Near copies of texts: SuperMinHash signatures, bands, checked links, groups.
 
-1. A text's set holds its distinct k-word shingles. Equal sets are one class; only its smallest id goes on.
+1. A text's set holds its distinct k-word shingles. Equal sets are one class, known by their fingerprint, with a number
+   of its own; only one text of a class goes on. Ids play no part until the groups are known.
 2. SuperMinHash: every element takes the m slots in an order of its own and writes round + uniform value
    there, so slots are filled without repetition (the ranks of one element are a permutation, which lowers the
    variance against independent minima). Rounds stop once every slot is filled: later values cannot be smaller.
 3. ``rows`` slots make a band; classes with an equal band meet in a bucket. With 30 bands of 5 slots a pair
    of similarity 0.8 misses all buckets with probability 7e-6.
-4. In every bucket the smallest id is compared with all others: on signatures, then, if those do not place the
+4. In every bucket the smallest class is compared with all others: on signatures, then, if those do not place the
    pair far below the threshold, on full sets. Linked classes are joined.
 5. Buckets that still hold several groups are compared block by block on signatures. That gives clusters of what
    may be linked; a cluster with several groups is compared block by block on full sets.
@@ -23,8 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from courtside.llm.components import components, joined, tiles
 from courtside.llm.words import find_words, mix, pieces, shingles, text_bytes
@@ -36,7 +36,7 @@ MARGIN = 0.14
 BLOCK = 2048
 # classes whose full sets meet in one task, twice
 SET_BLOCK = 512
-# bits of the summary of ids whose texts are read again (4 MB); the more ids, the less it spares, but none is lost
+# bits of the summary of texts that are read again (4 MB); the more texts, the less it spares, but none is lost
 BLOOM_BITS = 1 << 25
 
 
@@ -81,15 +81,12 @@ def _sets(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.n
 
 
 def _signer(k: int, bands: int, rows: int):
-    """Arrow batches of (doc_id, text) to set sizes, set fingerprints, band keys and one byte of each slot."""
+    """Arrow batches of (doc_id, text, mark, twin) to set sizes, set fingerprints, band keys and one byte of each slot."""
 
     def sign(batches):
         for batch in batches:
             for i, j, doc, value in _sets(batch.column(1), k):
                 n = np.bincount(doc, minlength=j - i)
-                ends = np.cumsum(n)
-                raw = value.tobytes()
-                prints = [hashlib.blake2b(raw[8 * (e - c) : 8 * e], digest_size=16).digest() for e, c in zip(ends, n)]
                 sig = super_min_hash(doc, value, j - i, bands * rows)
                 keys = np.zeros((j - i, bands), np.uint64)
                 for r in range(rows):
@@ -100,57 +97,75 @@ def _signer(k: int, bands: int, rows: int):
                     pa.array(np.arange(0, (j - i) * bands + 1, bands, dtype=np.int32)), pa.array(keys.ravel().view(np.int64))
                 )
                 yield pa.record_batch(
-                    [batch.column(0).slice(i, j - i), pa.array(n), pa.array(prints, pa.binary()), flat,
+                    [*(batch.column(c).slice(i, j - i) for c in (0, 2, 3)), pa.array(n), pa.array(_prints(value, n), pa.binary()), flat,
                      pa.array([x.tobytes() for x in low], pa.binary())],
-                    ["doc_id", "n_shingles", "print", "keys", "sig"],
+                    ["doc_id", "mark", "twin", "n_shingles", "print", "keys", "sig"],
                 )
 
     return sign
 
 
+def _prints(value: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Fingerprint of each set of ``n`` values."""
+    raw = value.tobytes()
+    return [hashlib.blake2b(raw[8 * (e - c) : 8 * e], digest_size=16).digest() for e, c in zip(np.cumsum(n), n)]
+
+
+def _marks() -> list[Column]:
+    """Two hashes of a row's id and text, by which it is found again."""
+    return [F.xxhash64("doc_id", "text").alias("mark"), F.xxhash64(F.lit("twin"), "doc_id", "text").alias("twin")]
+
+
 def _spots(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of each id in the summary."""
+    """Two bits of each mark in the summary."""
     h = mix(ids.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
     return (h % np.uint64(BLOOM_BITS)).astype(np.int64), ((h >> np.uint64(32)) % np.uint64(BLOOM_BITS)).astype(np.int64)
 
 
-def _summary(nodes: DataFrame) -> bytes:
-    """Bit table in which both bits of every id are set. Tasks send set words, 64 bits each: BLOOM_BITS in all."""
+def _summary(marks: DataFrame) -> bytes:
+    """Bit table in which both bits of every mark are set. Tasks send set words, 64 bits each: BLOOM_BITS in all."""
 
     def words(batches):
         for batch in batches:
             spot = np.concatenate(_spots(batch.column(0).to_numpy()))
             yield pa.record_batch([pa.array(spot >> 6), pa.array((np.uint64(1) << (spot & 63).astype(np.uint64)).view(np.int64))], ["word", "bits"])
 
-    found = nodes.mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = marks.mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     table = np.zeros(BLOOM_BITS // 64, np.int64)
     table[found["word"].to_numpy()] = found["bits"].to_numpy()
     return table.tobytes()
 
 
-def _sets_of(nodes: DataFrame, documents: DataFrame, k: int, label: str) -> DataFrame:
-    """``node, items``: sorted full sets of the named ids, written once. No text is shuffled.
+def _sets_of(nodes: DataFrame, classes: DataFrame, documents: DataFrame, k: int, label: str) -> DataFrame:
+    """``node, items``: sorted full sets of the named classes, written once. No text is shuffled.
 
-    The summary of the ids travels to the scan, which skips other texts; those it lets through besides are dropped.
+    The summary of the marks of one text per class travels to the scan, which skips other texts; those it lets through
+    besides are dropped. A task sends a text once however often it is repeated.
     """
-    nodes = settle(nodes, f"{label}-ids")
-    bits = documents.sparkSession.sparkContext.broadcast(_summary(nodes))
+    wanted = settle(nodes.join(classes.select("node", "mark", "print").hint("merge"), "node"), f"{label}-ids")
+    bits = documents.sparkSession.sparkContext.broadcast(_summary(wanted.select("mark")))
 
     def make(batches):
         table = np.unpackbits(np.frombuffer(bits.value, np.uint8), bitorder="little").view(bool)
+        sent: set[tuple[int, bytes]] = set()
         for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column(0)))
             a, b = _spots(batch.column(0).to_numpy())
             batch = batch.filter(pa.array(table[a] & table[b]))
             for i, j, doc, value in _sets(batch.column(1), k):
-                ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=j - i))]).astype(np.int32)
-                yield pa.record_batch(
-                    [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(value.view(np.int64)))],
-                    ["node", "items"],
+                n = np.bincount(doc, minlength=j - i)
+                ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                names = list(zip(batch.column(0).slice(i, j - i).to_pylist(), _prints(value, n)))
+                part = pa.record_batch(
+                    [pa.array([m for m, _ in names], pa.int64()), pa.array([p for _, p in names], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(value.view(np.int64)))],
+                    ["mark", "print", "items"],
                 )
+                yield part.filter(pa.array([not (x in sent or sent.add(x)) for x in names], pa.bool_()))
 
-    sets = documents.select("doc_id", "text").mapInArrow(make, "node long, items array<long>")
-    return settle(sets.join(nodes, "node", "left_semi"), label)
+    sets = documents.select("mark", "text").mapInArrow(make, "mark long, print binary, items array<long>")
+    # shuffled first: a sort beside the Python workers takes memory
+    sets = sets.repartition("mark", "print").groupBy("mark", "print").agg(F.first("items").alias("items"))
+    return settle(sets.join(wanted.hint("merge"), ["mark", "print"]).select("node", "items"), label)
 
 
 def _overlaps(percent: int):
@@ -288,36 +303,26 @@ def _mixed(rows: DataFrame, by: str) -> DataFrame:
     )
 
 
-def near_documents(
-    documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK,
-    set_block: int = SET_BLOCK,
-) -> DataFrame:
-    """Groups of near copies: ``doc_id, n_shingles, component_id, kept``, one row per row of ``documents``.
-
-    Only ``doc_id`` and ``text`` are read; other columns, whatever their names, play no part. Two texts
-    are linked when 100 * shared shingles >= ``percent`` * all shingles of both, counted on full sets.
+def _groups(
+    documents: DataFrame, k: int, percent: int, bands: int, rows: int, block: int, set_block: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of documents (``doc_id, mark, twin, n_shingles, print``) and classes (``print, least, component``).
 
-    * null and empty texts, and texts without words: empty set, linked with nothing, kept;
-    * a text of fewer than ``k`` words: one shingle, its whole sequence;
-    * very long texts: whole, one at a time;
-    * a null ``doc_id``: set size given, no links, ``component_id`` null, not kept;
-    * repeated rows of an id: each gives a row, and the id is one node. If its texts differ, equal sets are found for all
-      of them, near copies for the one with the smallest fingerprint;
-    * ties do not arise: the smallest id of a group stays; an empty table gives an empty result.
+    ``least`` is the smallest id of a class, null if its rows have none.
     """
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text", *_marks())
     signed = settle(
         documents.mapInArrow(
-            _signer(k, bands, rows), "doc_id long, n_shingles long, print binary, keys array<long>, sig binary"
+            _signer(k, bands, rows),
+            "doc_id long, mark long, twin long, n_shingles long, print binary, keys array<long>, sig binary",
         ),
         "signed",
     )
-    signed_sets = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = signed_sets.groupBy("print").agg(F.min("doc_id").alias("node"))
-    # the row of the smallest id keeps the keys of its class
+    # rows of a class have the same keys
     first = settle(
-        signed_sets.join(classes.select(F.col("print").alias("p"), "node"), (F.col("print") == F.col("p")) & (F.col("doc_id") == F.col("node")))
-        .groupBy("node").agg(F.min(F.struct("print", "keys", "sig")).alias("r")).select("node", "r.keys", "r.sig"),
+        signed.where("n_shingles > 0").groupBy("print")
+        .agg(F.min("doc_id").alias("least"), F.min("mark").alias("mark"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     # the sort-merge hints keep one plan at every size
@@ -333,7 +338,7 @@ def near_documents(
         .select("a", "b", "x", "y").mapInArrow(_alike(least), "a long, b long")
     )
     stars = settle(stars, "stars")
-    sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), documents, k, "sets").hint("merge")
+    sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), first, documents, k, "sets").hint("merge")
     links = settle(
         stars.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
@@ -353,22 +358,73 @@ def near_documents(
     clusters = settle(grouped(clusters, groups), "clusters")
     mixed = _mixed(clusters, "cluster")
     unsure = settle(clusters.join(mixed.select("cluster"), "cluster", "left_semi"), "unsure")
-    items = _sets_of(unsure.select("node"), documents, k, "more-sets").hint("merge")
+    items = _sets_of(unsure.select("node").distinct(), first, documents, k, "more-sets").hint("merge")
     more = tiles(unsure.join(items, "node"), "cluster", mixed, "node", set_block)
     more = settle(more.groupBy("cluster", "tile_i", "tile_j").applyInArrow(_overlapping(percent), "a long, b long"), "more")
 
-    copies = settle(
-        signed_sets.join(classes, "print").where("doc_id > node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct(),
-        "copies",
+    groups = components(links.unionByName(more))
+    return signed.drop("keys", "sig"), settle(grouped(first.select("node", "print", "least"), groups).drop("node"), "grouped")
+
+
+def near_documents(
+    documents: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK,
+    set_block: int = SET_BLOCK,
+) -> DataFrame:
+    """Groups of near copies: ``doc_id, n_shingles, component_id, kept``, one row per row of ``documents``.
+
+    Only ``doc_id`` and ``text`` are read; other columns, whatever their names, play no part. Two texts
+    are linked when 100 * shared shingles >= ``percent`` * all shingles of both, counted on full sets.
+
+    * null and empty texts, and texts without words: empty set, linked with nothing, kept;
+    * a text of fewer than ``k`` words: one shingle, its whole sequence;
+    * very long texts: whole, one at a time;
+    * a null ``doc_id``: set size given, ``component_id`` null, not kept; its text links others like any text;
+    * repeated rows of an id: each gives a row, and the id is one node; if its texts differ, near copies are found for
+      each of them;
+    * ties do not arise: the smallest id of a group stays; an empty table gives an empty result.
+    """
+    signed, classes = _groups(documents, k, percent, bands, rows, block, set_block)
+    heads = classes.groupBy("component").agg(F.min("least").alias("head")).where("head is not null")
+    headed = classes.join(heads.hint("merge"), "component").select("print", "head")
+    of = settle(
+        signed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "print").join(headed.hint("merge"), "print")
+        .select("doc_id", "head").distinct(),
+        "heads",
     )
-    # copies are stars already, so only their centres need the rounds, and ids that repeat with another set
-    again = copies.join(first.select(F.col("node").alias("a")), "a", "left_semi")
-    groups = components(links.unionByName(more).unionByName(again))
-    spread = copies.join(groups, F.col("b") == F.col("node"), "left").select(
-        F.col("a").alias("node"), F.coalesce("component", "b").alias("component")
+    # ids whose texts are in several groups join these
+    ids = of.groupBy("doc_id").agg(F.min("head").alias("head"), F.max("head").alias("most"))
+    again = of.join(ids.where("head < most").select("doc_id"), "doc_id", "left_semi")
+    over = components(again.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
+    ends = ids.select(F.col("doc_id").alias("id"), "head").join(over, F.col("head") == F.col("node"), "left").select(
+        "id", F.coalesce("component", "head").alias("component")
     )
-    ends = groups.unionByName(spread).groupBy("node").agg(F.min("component").alias("component"))
-    return signed.select("doc_id", "n_shingles").join(ends, F.col("doc_id") == F.col("node"), "left").select(
+    return signed.select("doc_id", "n_shingles").join(ends, F.col("doc_id") == F.col("id"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(False)).alias("kept"),
     )
+
+
+def one_of_each(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of ``documents`` without near copies, whole.
+
+    Of every group of texts the row of the smallest id stays, and one of its rows without id. An id that stands for
+    different texts plays no part in what is a group. Texts without words are copies of nothing; of equal rows with an id
+    one stays.
+    """
+    documents = documents.withColumn("doc_id", F.col("doc_id").cast("long"))
+    signed, classes = _groups(documents, k, percent, BANDS, ROWS, BLOCK, SET_BLOCK)
+    name = F.struct("doc_id", "mark", "twin")
+    full = signed.where("n_shingles > 0").join(classes.select("print", "component").hint("merge"), "print")
+    best = full.groupBy("component", F.col("doc_id").isNull().alias("bare")).agg(F.min(name).alias("name")).select("name.*")
+    stay = best.unionByName(signed.where("n_shingles = 0 and doc_id is not null").select("doc_id", "mark", "twin").distinct())
+    stay = settle(stay, "stay").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("twin").alias("_twin"))
+    rows = documents.select(F.struct(*documents.columns).alias("row"), "doc_id", *_marks())
+    found = rows.join(
+        stay.hint("merge"), (F.col("mark") == F.col("_mark")) & (F.col("twin") == F.col("_twin")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"
+    )
+    one = found.groupBy("mark", "twin", "doc_id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    wordless = signed.where("n_shingles = 0 and doc_id is null").select(F.col("mark").alias("_mark"), F.col("twin").alias("_twin")).distinct()
+    bare = rows.where("doc_id is null").join(
+        wordless.hint("merge"), (F.col("mark") == F.col("_mark")) & (F.col("twin") == F.col("_twin")), "left_semi"
+    )
+    return one.select("row.*").unionByName(bare.select("row.*"))

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from courtside.llm.near_documents import near_documents, super_min_hash
+from courtside.llm.near_documents import near_documents, one_of_each, super_min_hash
 from tests.llm import cases
 from tests.llm.test_components import brute
 
@@ -114,3 +114,34 @@ def test_agreeing_slots_estimate_similarity(similarity):
 def test_no_pairs_and_no_plain_shuffle_of_texts(spark):
     plan = near_documents(cases.frame(spark), k=4)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "text" not in plan
+
+
+def varied(seed, *changes):
+    """A text, and one near copy of it per change."""
+    rng = random.Random(seed)
+    words = [f"s{seed}w{rng.randrange(500)}" for _ in range(60)]
+    return [" ".join(words)] + [" ".join(words[:-1] + [x]) for x in changes]
+
+
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    rows = []
+    for n in range(6):
+        # ids 10n and 10n + 1 stand for three texts each; near copies of every one have ids of their own
+        for t, (text, near) in enumerate(varied(10 * n + t, "near") for t in range(3)):
+            rows += [(10 * n, text), (10 * n + 2 + t, near)]
+    got = near_documents(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect()
+    assert len(got) == len(rows)
+    assert all(r.component_id == r.doc_id // 10 * 10 and r.kept == (r.doc_id % 10 == 0) for r in got)
+
+
+def test_texts_with_clashing_ids_and_without_id(spark):
+    (a, a1), (b, b1), (c, c1) = (varied(90 + t, "near") for t in range(3))
+    rows = [(1, a), (1, b), (1, a1), (2, b1), (2, b1), (None, c), (None, c), (None, c1), (3, "alone here"), (3, "alone here"), (4, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, i % 2) for i, (d, t) in enumerate(rows)], "doc_id long, text string, print int")
+    got = one_of_each(docs, k=4)
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(kept) == 6 and set(kept) <= set(rows)
+    assert {t for d, t in kept if d == 1} in ({a, b}, {a1, b}) and [t for d, t in kept if d == 3] == ["alone here"]
+    assert sum(d is None and t is not None for d, t in kept) == 1 and (4, "") in kept and (None, None) in kept
+    assert one_of_each(cases.empty(spark)).count() == 0
