@@ -9,15 +9,13 @@ if the words in common make a whole window. Items shorter than a window are one
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from courtside.session import settle
 
 WINDOW = 10
 # words of a gram; a long gram meets little else by chance, a short one keeps fewer grams
-GRAM = 8
+GRAM = 6
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -33,75 +31,75 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
-def _gram(words: Column, at: Column, k: int) -> Column:
-    """Hash of the k words from a place on; null where they run out."""
-    return F.when((at >= 0) & (at + k <= F.size(words)), F.xxhash64(F.slice(words, at + 1, k)))
+def _placed(texts: DataFrame, *columns: str) -> DataFrame:
+    """``*columns, w, h, at``: a row per word of ``w`` with its place, after a row of place -1 that every text has.
 
+    ``h`` holds the hashes of all words.
+    """
+    return texts.select(*columns, "w", F.transform("w", lambda word: F.xxhash64(word)).alias("h")).select(
+        *columns, "w", "h", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at")
+    )
 
-def _placed(texts: DataFrame, k: int, *columns: str) -> DataFrame:
-    """``*columns, w, g, at``: a row per word of ``w`` with its place, after a row of place -1 that every text has.
 
-    ``g`` holds the hashes of all grams.
-    """
-    last = F.size("w") - k
-    grams = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.slice("w", i + 1, k))))
-    return texts.select(*columns, "w", grams.alias("g")).select(*columns, "w", "g", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at"))
+def _gram(at: Column, k: int | Column) -> Column:
+    """Hash of the k words from a place on; null where they run out."""
+    return F.when((at >= 0) & (at + k <= F.size("h")), F.xxhash64(F.slice("h", at + 1, k)))
 
 
-def _winnowed(placed: DataFrame, window: int, k: int) -> DataFrame:
-    """``kept``: place of the gram that the window beginning here keeps, null where there is none or it is the one before's."""
-    n = window - k + 1
+def _winnowed(placed: DataFrame, n: int, k: int) -> DataFrame:
+    """With ``kept``: place of the gram that the run of ``n`` grams beginning here keeps, null without such a run or if it is the one before's."""
+    at, last = F.col("at"), F.col(f"g{n - 1}")
     names = [f"g{i}" for i in range(-1, n)]
-    grams = placed.select("*", *[F.when(F.col("at") >= 0, F.get("g", F.col("at") + i)).alias(f"g{i}") for i in range(-1, n)])
-    last = F.col(f"g{n - 1}")
+    # the window's words and the one before; each gram is a few of them
+    near = [F.when(at >= 0, F.get("h", at + i)).alias(f"x{i}") for i in range(-1, n + k - 1)]
+    runs = placed.select("*", *near)
+    runs = runs.select(
+        *placed.columns,
+        *[F.when(F.isnotnull(f"x{i}") & F.isnotnull(f"x{i + k - 1}"), F.xxhash64(*[f"x{j}" for j in range(i, i + k)])).alias(f"g{i}") for i in range(-1, n)],
+    )
+    whole = (at >= 0) & last.isNotNull()
     if n == 1:
-        kept = F.when(last.isNotNull(), F.col("at"))
+        kept = F.when(whole, at)
     else:
         others = F.least(*names[1:-1]) if n > 2 else F.col("g0")
-        new = (F.col("at") == 0) | (last <= others) | (F.col("g-1") < others)
-        place = reduce(lambda rest, i: F.when(F.col(f"g{i}") == F.least(others, last), F.col("at") + i).otherwise(rest), range(n), F.lit(None).cast("int"))
-        kept = F.when(last.isNotNull() & new, place)
-    return grams.withColumn("kept", kept).drop(*names)
-
-
-def _around(words: Column, at: Column, k: int, reach: int) -> tuple[Column, Column, Column]:
-    """The words before a gram (nearest first), of it, and after it, up to ``reach`` on each side."""
-    before = F.reverse(F.slice(words, F.greatest(at - reach, F.lit(0)) + 1, F.least(at, F.lit(reach))))
-    return before, F.slice(words, at + 1, k), F.slice(words, at + k + 1, reach)
+        # the last of the smallest, looked for from the end; new if it is the run's last gram or the run before kept one that is lost
+        inner = F.lit(0)
+        for i in range(1, n - 1):
+            inner = F.when(F.col(f"g{i}") == others, i).otherwise(inner)
+        new = (at == 0) | F.coalesce(F.col("g-1") < others, F.lit(False))
+        kept = F.when(whole & (last <= others), at + n - 1).when(whole & new, at + inner)
+    # always true, and not known before a task runs: so a condition on the result is not moved up and worked out twice
+    return runs.withColumn("kept", F.when(F.spark_partition_id() >= 0, kept)).drop(*names)
 
 
 def _grams(texts: DataFrame, columns: list[str], window: int, k: int, short: list[int]) -> DataFrame:
-    """``*columns, length, at, gram, before, words, after``: grams kept of windows, and all grams of the short lengths.
+    """``*columns, length, at, gram, before, words``: grams kept of windows, and all grams of the short lengths.
 
-    The row of place -1 stays, with a null length.
+    ``words`` are those that the gram's windows may hold, ``before`` of them before the gram. The row of place -1 stays,
+    with a null length.
     """
-    placed = _winnowed(_placed(texts, k, *columns), window, k)
-    none = F.array().cast("array<string>")
-
-    def candidate(length, at, gram, around):
-        before, inside, after = around
-        return F.struct(
-            F.lit(length).alias("length"), at.alias("at"), gram.alias("gram"), before.alias("before"), inside.alias("words"), after.alias("after")
-        )
-
-    w, at, kept = F.col("w"), F.col("at"), F.col("kept")
-    found = [F.when(kept.isNotNull(), candidate(window, kept, F.get("g", kept), _around(w, kept, k, window - k)))]
-    for m in short:
-        gram = _gram(w, at, m)
-        found.append(F.when(gram.isNotNull(), candidate(m, at, gram, (none, F.slice(w, at + 1, m), none))))
-    found.append(F.when(at == -1, candidate(None, at, F.lit(None).cast("long"), (none, none, none))))
-    if short:
-        listed = placed.select(*columns, F.explode(F.array(*found)).alias("c"))
-    else:
-        listed = placed.select(*columns, F.coalesce(*found).alias("c"))
-    return listed.where("c is not null").select(*columns, "c.*")
+    rows = _winnowed(_placed(texts, *columns), window - k + 1, k)
+    at, kept, length = F.col("at"), F.col("kept"), F.col("length")
+    rows = rows.withColumn("length", F.explode(F.array(*map(F.lit, [window, *short])))) if short else rows.withColumn("length", F.lit(window))
+    rows = rows.where(
+        ((length == window) & (kept.isNotNull() | (at == -1))) | ((length < window) & (at >= 0) & (at + length <= F.size("h")))
+    ).select(
+        *columns, "w", "h", F.when(at >= 0, length).alias("length"), F.coalesce(F.when(length == window, kept), at).alias("at"),
+        F.when(length == window, k).otherwise(length).alias("n"), F.when(length == window, window - k).otherwise(0).alias("reach"),
+    )
+    before = F.least(F.greatest(at, F.lit(0)), F.col("reach"))
+    return rows.select(
+        *columns, "length", "at", _gram(at, F.col("n")).alias("gram"), before.alias("before"),
+        F.when(at >= 0, F.slice("w", at - before + 1, before + F.col("n") + F.col("reach"))).alias("words"),
+    )
 
 
-def _common(a: Column, b: Column, most: int) -> Column:
-    """Words that two arrays have in common from their beginning on."""
+def _common(most: int, words: Column, start: Column, others: Column, others_start: Column, step: int) -> Column:
+    """Words that two arrays have in common from their starts on, up to ``most``."""
     out = F.lit(most)
     for i in reversed(range(most)):
-        out = F.when(F.coalesce(F.get(a, F.lit(i)) == F.get(b, F.lit(i)), F.lit(False)), out).otherwise(F.lit(i))
+        same = F.get(words, start + i * step) == F.get(others, others_start + i * step)
+        out = F.when(F.coalesce(same, F.lit(False)), out).otherwise(F.lit(i))
     return out
 
 
@@ -138,26 +136,27 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     for m in short:
         whole = _grams(rows.where(F.col("size") == m), ["items"], window, k, [m]).where((F.col("length") == m) & (F.col("at") == 0))
         kept = kept.unionByName(whole)
-    passage = F.sha2(F.to_json(F.struct("length", "before", "words", "after")), 256)
-    kept = settle(kept.select(passage.alias("passage"), "items", "length", "gram", "before", "words", "after"), "passages")
+    passage = F.sha2(F.to_json(F.struct("length", "before", "words")), 256)
+    kept = settle(kept.select(passage.alias("passage"), "items", "length", "gram", "before", "words"), "passages")
     owners = kept.select("passage", F.explode("items").alias("item_id")).distinct()
     passages = kept.drop("items").dropDuplicates(["passage"]).select(
-        "passage", "length", "gram", *[F.col(c).alias(f"item_{c}") for c in ("before", "words", "after")]
+        "passage", "length", "gram", F.col("before").alias("item_before"), F.col("words").alias("item_words")
     )
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), words_of(F.col("text")).alias("w"))
     key = ["doc_id", "print"]
     grams = _grams(read.withColumn("n_words", F.size("w").cast("long")), [*key, "n_words"], window, k, short)
-    reach = window - k
+    words, before, others, others_before = F.col("words"), F.col("before"), F.col("item_words"), F.col("item_before")
     met = (
-        grams.join(settle(passages, "grams"), ["length", "gram"], "left")
-        .withColumn("left", _common(F.col("before"), F.col("item_before"), reach))
-        .withColumn("right", _common(F.col("after"), F.col("item_after"), reach))
+        grams.join(settle(passages, "grams"), ["length", "gram"], "left").where("passage is not null or length is null")
+        .withColumn("left", _common(window - k, words, before - 1, others, others_before - 1, -1))
+        .withColumn("right", _common(window - k, words, before + k, others, others_before + k, 1))
     )
-    same = F.col("words") == F.col("item_words")
-    span = F.when(F.col("length") < window, F.col("length")).otherwise(F.col("left") + k + F.col("right"))
-    hit = F.coalesce(same & (span >= F.col("length")), F.lit(False))
+    windowed = F.col("length") == window
+    same = F.when(windowed, F.slice(words, before + 1, k) == F.slice(others, others_before + 1, k)).otherwise(words == others)
     # short items have no words around them, and nothing to extend
-    first = F.when(F.col("length") < window, F.col("at")).otherwise(F.col("at") - F.col("left"))
+    span = F.when(windowed, F.col("left") + k + F.col("right")).otherwise(F.col("length"))
+    hit = F.coalesce(same & (span >= F.col("length")), F.lit(False))
+    first = F.when(windowed, F.col("at") - F.col("left")).otherwise(F.col("at"))
     found = settle(
         met.where(hit | F.col("length").isNull()).select(
             *key, "n_words", "passage", F.when(F.col("passage").isNotNull(), first).cast("long").alias("first_word"),
