@@ -21,33 +21,36 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words_of(text: Column) -> Column:
-    """Array of the words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of a text with A-Z made a-z; null has none.
-
-    ``lower`` is right only for texts without letters beyond A-Z, and cheaper there.
-    """
-    text = F.coalesce(text, F.lit(""))
-    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    """Array of the words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` that a text has once A-Z are a-z, in their own case; null has none."""
     # only the first and the last part can be empty
-    return F.array_remove(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), "")
+
+
+def _lower(words: Column) -> Column:
+    return F.translate(words, UPPER, LOWER)
+
+
+def _joined(words: Column) -> Column:
+    """The words in a-z as one text; no word holds a space."""
+    return _lower(F.array_join(words, " "))
 
 
 def _placed(texts: DataFrame, *columns: str) -> DataFrame:
     """``*columns, w, h, at``: a row per word of ``w`` with its place, after a row of place -1 that every text has.
 
-    ``h`` holds the hashes of all words.
+    ``h`` holds the hashes of all words. ``lower`` changes more than A-Z: it may bring other words together, which are told
+    apart where grams meet.
     """
-    return texts.select(*columns, "w", F.transform("w", lambda word: F.xxhash64(word)).alias("h")).select(
+    return texts.select(*columns, "w", F.transform("w", lambda word: F.xxhash64(F.lower(word))).alias("h")).select(
         *columns, "w", "h", F.explode(F.sequence(F.lit(-1), F.size("w") - 1)).alias("at")
     )
 
 
-def _gram(at: Column, k: int | Column) -> Column:
-    """Hash of the k words from a place on; null where they run out."""
-    return F.when((at >= 0) & (at + k <= F.size("h")), F.xxhash64(F.slice("h", at + 1, k)))
-
-
 def _winnowed(placed: DataFrame, n: int, k: int) -> DataFrame:
-    """With ``kept``: place of the gram that the run of ``n`` grams beginning here keeps, null without such a run or if it is the one before's."""
+    """With ``kept`` and ``gram``: place and hash of the gram that the run of ``n`` grams beginning here keeps.
+
+    Null without such a run, or if it is the one that the run before keeps.
+    """
     at, last = F.col("at"), F.col(f"g{n - 1}")
     names = [f"g{i}" for i in range(-1, n)]
     # the window's words and the one before; each gram is a few of them
@@ -59,7 +62,7 @@ def _winnowed(placed: DataFrame, n: int, k: int) -> DataFrame:
     )
     whole = (at >= 0) & last.isNotNull()
     if n == 1:
-        kept = F.when(whole, at)
+        kept, gram = F.when(whole, at), last
     else:
         others = F.least(*names[1:-1]) if n > 2 else F.col("g0")
         # the last of the smallest, looked for from the end; new if it is the run's last gram or the run before kept one that is lost
@@ -68,28 +71,31 @@ def _winnowed(placed: DataFrame, n: int, k: int) -> DataFrame:
             inner = F.when(F.col(f"g{i}") == others, i).otherwise(inner)
         new = (at == 0) | F.coalesce(F.col("g-1") < others, F.lit(False))
         kept = F.when(whole & (last <= others), at + n - 1).when(whole & new, at + inner)
+        gram = F.least(others, last)
     # always true, and not known before a task runs: so a condition on the result is not moved up and worked out twice
-    return runs.withColumn("kept", F.when(F.spark_partition_id() >= 0, kept)).drop(*names)
+    return runs.withColumn("kept", F.when(F.spark_partition_id() >= 0, kept)).withColumn("gram", F.when(F.isnotnull("kept"), gram)).drop(*names)
 
 
 def _grams(texts: DataFrame, columns: list[str], window: int, k: int, short: list[int]) -> DataFrame:
     """``*columns, length, at, gram, before, words``: grams kept of windows, and all grams of the short lengths.
 
     ``words`` are those that the gram's windows may hold, ``before`` of them before the gram. The row of place -1 stays,
-    with a null length.
+    with length and gram 0.
     """
     rows = _winnowed(_placed(texts, *columns), window - k + 1, k)
     at, kept, length = F.col("at"), F.col("kept"), F.col("length")
     rows = rows.withColumn("length", F.explode(F.array(*map(F.lit, [window, *short])))) if short else rows.withColumn("length", F.lit(window))
     rows = rows.where(
-        ((length == window) & (kept.isNotNull() | (at == -1))) | ((length < window) & (at >= 0) & (at + length <= F.size("h")))
+        ((length == window) & (kept.isNotNull() | (at == -1))) | ((length < window) & (at >= 0) & (at + length <= F.size("w")))
     ).select(
-        *columns, "w", "h", F.when(at >= 0, length).alias("length"), F.coalesce(F.when(length == window, kept), at).alias("at"),
+        *columns, "w", "gram", F.when(at >= 0, length).otherwise(0).alias("length"), F.coalesce(F.when(length == window, kept), at).alias("at"),
         F.when(length == window, k).otherwise(length).alias("n"), F.when(length == window, window - k).otherwise(0).alias("reach"),
     )
     before = F.least(F.greatest(at, F.lit(0)), F.col("reach"))
+    whole = F.xxhash64(F.lower(F.array_join(F.slice("w", at + 1, F.col("n")), " ")))
+    gram = F.when(length == window, F.col("gram")).when(length > 0, whole).otherwise(0) if short else F.coalesce("gram", F.lit(0))
     return rows.select(
-        *columns, "length", "at", _gram(at, F.col("n")).alias("gram"), before.alias("before"),
+        *columns, "length", "at", gram.cast("long").alias("gram"), before.alias("before"),
         F.when(at >= 0, F.slice("w", at - before + 1, before + F.col("n") + F.col("reach"))).alias("words"),
     )
 
@@ -98,7 +104,7 @@ def _common(most: int, words: Column, start: Column, others: Column, others_star
     """Words that two arrays have in common from their starts on, up to ``most``."""
     out = F.lit(most)
     for i in reversed(range(most)):
-        same = F.get(words, start + i * step) == F.get(others, others_start + i * step)
+        same = _lower(F.get(words, start + i * step)) == F.get(others, others_start + i * step)
         out = F.when(F.coalesce(same, F.lit(False)), out).otherwise(F.lit(i))
     return out
 
@@ -123,8 +129,9 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     if not 1 <= k <= window:
         raise ValueError("a gram has at least one word and at most a window's")
+    spark = documents.sparkSession
     items = settle(
-        benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), words_of(F.col("text")).alias("w"))
+        benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.transform(words_of(F.col("text")), _lower).alias("w"))
         .where(F.size("w") > 0).groupBy("w").agg(F.collect_set("item_id").alias("items")),
         "items",
     )
@@ -132,7 +139,7 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     short = sorted(r[0] for r in items.select(F.size("w")).where(F.size("w") < window).distinct().collect())
     short_item = F.size("w") < window
     rows = items.withColumn("size", F.size("w"))
-    kept = _grams(rows.where(~short_item), ["items"], window, k, []).where("length is not null")
+    kept = _grams(rows.where(~short_item), ["items"], window, k, []).where("length > 0")
     for m in short:
         whole = _grams(rows.where(F.col("size") == m), ["items"], window, k, [m]).where((F.col("length") == m) & (F.col("at") == 0))
         kept = kept.unionByName(whole)
@@ -142,29 +149,30 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     passages = kept.drop("items").dropDuplicates(["passage"]).select(
         "passage", "length", "gram", F.col("before").alias("item_before"), F.col("words").alias("item_words")
     )
+    # the row that every text has meets a row that is no passage
+    passages = settle(passages.unionByName(spark.createDataFrame([(None, 0, 0, 0, None)], passages.schema)), "grams")
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), words_of(F.col("text")).alias("w"))
     key = ["doc_id", "print"]
     grams = _grams(read.withColumn("n_words", F.size("w").cast("long")), [*key, "n_words"], window, k, short)
     words, before, others, others_before = F.col("words"), F.col("before"), F.col("item_words"), F.col("item_before")
-    met = (
-        grams.join(settle(passages, "grams"), ["length", "gram"], "left").where("passage is not null or length is null")
+    # what meets is few rows; they are compared word by word after writing, which keeps the scan's generated code small
+    met = settle(grams.join(passages, ["length", "gram"]).drop("gram"), "met")
+    windowed = F.col("length") == window
+    same = F.when(windowed, _joined(F.slice(words, before + 1, k)) == F.array_join(F.slice(others, others_before + 1, k), " ")).otherwise(
+        _joined(words) == F.array_join(others, " ")
+    )
+    extended = (
+        met.where("passage is not null").where(same)
         .withColumn("left", _common(window - k, words, before - 1, others, others_before - 1, -1))
         .withColumn("right", _common(window - k, words, before + k, others, others_before + k, 1))
     )
-    windowed = F.col("length") == window
-    same = F.when(windowed, F.slice(words, before + 1, k) == F.slice(others, others_before + 1, k)).otherwise(words == others)
     # short items have no words around them, and nothing to extend
     span = F.when(windowed, F.col("left") + k + F.col("right")).otherwise(F.col("length"))
-    hit = F.coalesce(same & (span >= F.col("length")), F.lit(False))
     first = F.when(windowed, F.col("at") - F.col("left")).otherwise(F.col("at"))
-    found = settle(
-        met.where(hit | F.col("length").isNull()).select(
-            *key, "n_words", "passage", F.when(F.col("passage").isNotNull(), first).cast("long").alias("first_word"),
-            F.when(F.col("passage").isNotNull(), first + span - 1).cast("long").alias("last_word"),
-        ),
-        "hits",
+    hits = extended.where(span >= F.col("length")).select(
+        *key, "passage", first.cast("long").alias("first_word"), (first + span - 1).cast("long").alias("last_word")
     )
-    return found.where("passage is null").select(*key, "n_words"), found.where("passage is not null").drop("n_words").distinct(), owners
+    return met.where("passage is null").select(*key, "n_words"), hits.distinct(), owners
 
 
 def merged(hits: DataFrame) -> DataFrame:
