@@ -5,38 +5,48 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from courtside.plans.control import (
     COMPLETED, FAILED, active_measures, done_keys, not_done, pending_games, per_entity, single_measure,
 )
 from courtside.session import fresh_path, settle
 from courtside.sources.catalogue import result_index
-from courtside.sources.documents import RESULT_SETS, infer_schema, scrape, with_more_fields
+from courtside.sources.documents import with_more_fields
+from courtside.sources.fan_out import found_sets, infer_schemas, parse_sets, set_rows
 from courtside.sources.landing import land
 
 # Key columns a document frame carries per node, named like the lineage they become.
 DOCUMENT_KEYS = {"game": ("_game_id",), "team": ("_team_id",), "player": ("_player_id", "_team_id")}
 
 
-def load_measure(
-    measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int,
-    as_of: dt.datetime, schema: str | None = None,
+def load_measures(
+    measures: list[Row], documents: DataFrame, root: str, season: str, season_type: str, run_id: int, as_of: dt.datetime,
+    schema: str | None = None,
 ) -> DataFrame:
-    """Land one measure: scrape its result set, watch for new columns, stamp, append.
+    """Land measures of one endpoint: parse its documents once, then per measure watch for new columns, stamp, append.
 
-    ``documents`` has one document per row in ``body`` plus the key columns of the node. Without
-    a ``schema`` the types are inferred, which reads the documents once more.
+    ``documents`` has one document per row in ``body`` plus the key columns of the node. Without a ``schema`` the types of
+    all measures are inferred from what was parsed. Returns the key columns with ``landed``, the number of the measures'
+    result sets that the documents of a key hold.
     """
-    keys = DOCUMENT_KEYS[measure.node]
-    index = result_index(measure.node, measure.endpoint, measure.measure)
-    rows = scrape(documents, index, schema or infer_schema(documents, index), keep=keys)
-    path = f"{root}/{measure.table_name}"
+    keys = DOCUMENT_KEYS[measures[0].node]
+    indexes = [result_index(m.node, m.endpoint, m.measure) for m in measures]
+    sets = parse_sets(documents, sorted(set(indexes)), keys)
+    types = {} if schema else infer_schemas(sets)
     lineage = {key.removeprefix("_"): F.col(key) for key in keys}
-    return land(
-        rows, measure.node, path, **lineage, season=season, season_type=season_type,
-        create_date=F.lit(as_of), run_id=run_id,
-    )
+    for measure, index in zip(measures, indexes):
+        rows = set_rows(sets, index, schema or types.get(index, T.StructType()), keys)
+        land(
+            rows, measure.node, f"{root}/{measure.table_name}", **lineage, season=season, season_type=season_type, create_date=F.lit(as_of),
+            run_id=run_id,
+        )
+    return found_sets(sets, keys, indexes)
+
+
+def load_measure(measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int, as_of: dt.datetime, schema: str | None = None) -> DataFrame:
+    """``load_measures`` for one measure."""
+    return load_measures([measure], documents, root, season, season_type, run_id, as_of, schema)
 
 
 def load_single(
@@ -85,14 +95,10 @@ def load_entities(
     measures = per_entity(active_measures(nodes, season, node)).collect()
     met = todo.select(*keys, F.lit(0).alias("landed"))
     for endpoint in dict.fromkeys(m.endpoint for m in measures):
-        wanted = settle(documents(endpoint).join(todo, keys, "left_semi"), f"{node}-documents")
+        # parsed from the join, once, so the documents themselves are not written again
+        wanted = documents(endpoint).join(todo, keys, "left_semi")
         own = [m for m in measures if m.endpoint == endpoint]
-        for measure in own:
-            load_measure(measure, wanted, root, season, season_type, run_id, as_of)
-        found = F.size(F.coalesce(F.from_json("body", RESULT_SETS)["resultSets"], F.array()))
-        indexes = [result_index(m.node, m.endpoint, m.measure) for m in own]
-        landed = sum((found > i).cast("int") for i in indexes)
-        met = met.unionByName(wanted.groupBy(*keys).agg(F.max(landed).alias("landed")))
+        met = met.unionByName(load_measures(own, wanted, root, season, season_type, run_id, as_of))
     status = met.groupBy(*keys).agg(F.sum("landed").alias("landed"))
     own, *parent = keys
     return status.select(
@@ -128,17 +134,16 @@ def load_schedule(
     active measures; a day without a readable scoreboard is FAILED and stays to be pulled.
     """
     days = settle(days.select("node_key").distinct(), "schedule-days")
-    wanted = settle(documents.join(days, "node_key", "left_semi"), "scoreboards")
     measures = active_measures(nodes, season, "schedule").collect()
     indexes = [SCOREBOARD.index(m.measure) for m in measures]
+    sets = parse_sets(documents.join(days, "node_key", "left_semi"), sorted(set(indexes)), ["node_key"])
+    types = infer_schemas(sets)
     for measure, index in zip(measures, indexes):
         land(
-            scrape(wanted, index, infer_schema(wanted, index)), "schedule", f"{root}/{measure.table_name}", season=season,
+            set_rows(sets, index, types.get(index, T.StructType())), "schedule", f"{root}/{measure.table_name}", season=season,
             season_type=season_type, create_date=F.lit(as_of), run_id=run_id,
         )
-    found = F.size(F.coalesce(F.from_json("body", RESULT_SETS)["resultSets"], F.array()))
-    landed = sum((found > i).cast("int") for i in indexes)
-    met = days.withColumn("landed", F.lit(0)).unionByName(wanted.select("node_key", landed.alias("landed")))
+    met = days.withColumn("landed", F.lit(0)).unionByName(found_sets(sets, ["node_key"], indexes))
     return met.groupBy("node_key").agg(F.max("landed").alias("landed")).select(
         F.lit(run_id).alias("run_id"), F.lit("schedule").alias("node"), "node_key", F.lit(None).cast("string").alias("parent_key"),
         F.when(F.col("landed") >= len(measures), COMPLETED).otherwise(FAILED).alias("node_status"), F.lit("N/A").alias("group_status"),
@@ -151,11 +156,14 @@ def load_roster(entities: DataFrame, documents: Callable[[str], DataFrame], root
     """Land all four team tables for teams and seasons (_team_id, _season), all seasons in one load."""
     keys = ["_team_id", "_season"]
     for document in dict.fromkeys(d for d, _ in ROSTER.values()):
-        wanted = settle(documents(document).join(entities.select(*keys).distinct(), keys, "left_semi"), "roster-documents")
+        wanted = documents(document).join(entities.select(*keys).distinct(), keys, "left_semi")
+        places = {table: result_index("team", name, measure) for table, (name, measure) in ROSTER.items() if name == document}
+        sets = parse_sets(wanted, sorted(set(places.values())), keys)
+        types = infer_schemas(sets)
         for table, (name, measure) in ROSTER.items():
             if name == document:
-                index = result_index("team", name, measure)
-                rows = scrape(wanted, index, infer_schema(wanted, index), keep=keys).withColumnsRenamed({"_team_id": "of_team", "_season": "of_season"})
+                index = places[table]
+                rows = set_rows(sets, index, types.get(index, T.StructType()), keys).withColumnsRenamed({"_team_id": "of_team", "_season": "of_season"})
                 land(
                     rows, "roster", f"{root}/{table}", team_id=F.col("of_team"), season=F.col("of_season"), create_date=F.lit(as_of),
                     run_id=run_id,
@@ -168,8 +176,9 @@ def load_hustle(players: DataFrame, teams: DataFrame, root: str, season: str, se
         ("player", "PlayerHustleStats", "player_hustle_stats", players), ("team", "HustleStatsTeam", "team_hustle_stats", teams),
     ):
         index = result_index(grain, name, "overall")
+        sets = parse_sets(docs, [index])
         land(
-            scrape(docs, index, infer_schema(docs, index)), "league", f"{root}/{table}", season=season, season_type=season_type,
+            set_rows(sets, index, infer_schemas(sets).get(index, T.StructType())), "league", f"{root}/{table}", season=season, season_type=season_type,
             create_date=F.lit(as_of),
         )
 

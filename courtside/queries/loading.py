@@ -551,6 +551,47 @@ def landed_news(lg: League):
     )
 
 
+# Measures of the career endpoint, in order of their result sets.
+CAREER = (
+    "regular_season_totals", "regular_season_career_totals", "post_season_totals", "post_season_career_totals", "all_star_season_totals",
+    "career_all_star_season_totals", "college_season_totals", "college_season_career_totals", "regular_season_rankings", "post_season_rankings",
+)
+
+
+@query(
+    "career_measures",
+    """with m(measure, place) as (values """ + ", ".join(f"('{m}', {i})" for i, m in enumerate(CAREER)) + """),
+      o as (select o_orderkey, o_custkey, o_totalprice, o_orderstatus, cast(year(o_orderdate) as varchar) as season_id, date_part('month', o_orderdate) % 10 as place from orders),
+      b as (select o_custkey as _player_id, place, season_id, count(*) as gp, sum(o_totalprice) as tov, max(o_orderstatus) as flag from o group by all)
+    select measure, _player_id, season_id, gp, round(tov, 2) as tov, flag from b join m using (place)""",
+)
+def career_measures(lg: League):
+    """All ten measures of the career endpoint landed from one document per player, which is parsed once."""
+    path = fresh_path(lg.spark, "careers")
+    yearly = lg.table("orders").groupBy(
+        F.col("o_custkey").alias("_player_id"), (F.month("o_orderdate") % 10).alias("place"), F.year("o_orderdate").cast("string").alias("season")
+    ).agg(F.count(F.lit(1)).alias("gp"), F.sum("o_totalprice").alias("tov"), F.max("o_orderstatus").alias("flag"))
+    quoted = [F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in ("season", "flag")]
+    row = F.concat(F.lit("["), quoted[0], F.lit(","), F.col("gp").cast("string"), F.lit(","), F.col("tov").cast("string"), F.lit(","), quoted[1], F.lit("]"))
+    rows = yearly.select("_player_id", *[F.when(F.col("place") == i, row).alias(f"r{i}") for i in range(len(CAREER))])
+    # a player's seasons are few
+    people = rows.groupBy("_player_id").agg(*[F.array_join(F.collect_list(f"r{i}"), ",").alias(f"r{i}") for i in range(len(CAREER))])
+    sets = [
+        F.concat(F.lit(f'{{"name":"{name}","headers":["SEASON_ID","GP","TO","FLAG"],"rowSet":['), F.col(f"r{i}"), F.lit("]}"))
+        for i, name in enumerate(CAREER)
+    ]
+    docs = people.select("_player_id", F.lit(None).cast("string").alias("_team_id"), F.concat(F.lit('{"resultSets":['), F.concat_ws(",", *sets), F.lit("]}")).alias("body"))
+    measures = [Row(node="player", endpoint="PlayerCareer", measure=m, table_name=f"career_{m}") for m in CAREER]
+    load.load_measures(measures, docs, path, "2001-02", "Regular Season", 1, dt.datetime(2001, 6, 1))
+    parts = [
+        landing.read_landed(lg.spark, f"{path}/career_{m}").select(
+            F.lit(m).alias("measure"), "_player_id", "season_id", "gp", F.round("tov", 2).alias("tov"), "flag"
+        )
+        for m in CAREER
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "season_measure",
     """select o_custkey as _team_id, count(*) as games from orders
@@ -600,22 +641,6 @@ def schedule_load(lg: League):
     )
 
 
-@query(
-    "roster_load",
-    with_tables(
-        "game",
-        """with t as (select home_team_id as _team_id, season as _season, count(*) as n, count(*) filter (game_status = 'Final') as f from game group by all)
-        select 'team_summary' as table_name, _team_id, _season, n as a, cast(null as bigint) as b from t where _team_id % 2 = 0
-        union all select 'team_season_ranks', _team_id, _season, f, null from t where _team_id % 2 = 0
-        union all select 'team_common_roster', _team_id, _season, n, f from t where _team_id % 2 = 0
-        union all select 'team_coaches', _team_id, _season, f, n from t where _team_id % 2 = 0""",
-    ),
-)
-def roster_load(lg: League):
-    """All four roster tables of all seasons, for every other team; ``roster_load_all`` takes every team."""
-    return _rosters(lg, F.col("_team_id") % 2 == 0)
-
-
 @query(
     "roster_load_all",
     with_tables(
@@ -628,11 +653,7 @@ def roster_load(lg: League):
     ),
 )
 def roster_load_all(lg: League):
-    """All four roster tables of all seasons and teams."""
-    return _rosters(lg, F.lit(True))
-
-
-def _rosters(lg: League, asked: Column) -> DataFrame:
+    """All four roster tables of all seasons and teams, in one load."""
     path = fresh_path(lg.spark, "roster-load")
     counts = lg.games.groupBy(F.col("home_team_id").alias("_team_id"), F.col("season").alias("_season")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("game_status") == "Final").alias("f")
@@ -652,7 +673,7 @@ def _rosters(lg: League, asked: Column) -> DataFrame:
         "TeamCommonRoster": numbers(("CommonTeamRoster", (n, f)), ("Coaches", (f, n))),
     }
     load.load_roster(
-        counts.where(asked), lambda name: counts.select("_team_id", "_season", bodies[name].alias("body")), path, 1, dt.datetime(2001, 6, 1)
+        counts, lambda name: counts.select("_team_id", "_season", bodies[name].alias("body")), path, 1, dt.datetime(2001, 6, 1)
     )
     parts = []
     for name in load.ROSTER:

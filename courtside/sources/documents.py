@@ -35,11 +35,17 @@ def scrape(
     Columns are found by header, ignoring case; a header the document lacks gives NULL.
     ``keep`` names document columns (ids, season) to carry along; ``schema`` may be DDL text.
     """
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
+    # whole files cannot be split, and parsing is what takes the time
+    docs = docs.select(*keep, body).hint("rebalance")
     # the outer explode keeps the optimizer from testing rowSet first, which would parse every body twice
     parsed = docs.select(*keep, F.get(F.from_json(body, RESULT_SETS)["resultSets"], F.lit(index)).alias("rs"))
-    named = parsed.select(*keep, "rs.rowSet", F.transform("rs.headers", _landed_name).alias("names"))
+    return typed_rows(parsed.select(*keep, "rs.rowSet", F.transform("rs.headers", landed_name).alias("names")), schema, keep)
+
+
+def typed_rows(named: DataFrame, schema: T.StructType | str, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of a result set from ``*keep, names, rowSet`` (headers as they land, and rows of texts)."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     places = [(F.array_position("names", f.name) - 1).cast("int").alias(f"at{i}") for i, f in enumerate(schema.fields)]
     rows = (
         named.select(*keep, "rowSet", *places)
@@ -71,7 +77,7 @@ def infer_schema(docs: DataFrame, index: int, body: str = "body") -> T.StructTyp
         F.explode(F.variant_get(doc, f"$.resultSets[{index}].rowSet", "array<array<variant>>")).alias("row"),
     )
     cells = sets.select(F.posexplode("headers").alias("pos", "header"), "row").select(
-        "pos", _landed_name(F.col("header")).alias("name"), F.schema_of_variant(F.get("row", "pos")).alias("kind")
+        "pos", landed_name(F.col("header")).alias("name"), F.schema_of_variant(F.get("row", "pos")).alias("kind")
     )
     kind = F.coalesce(F.col("kind"), F.lit("VOID"))
     whole = kind == "BIGINT"
@@ -96,7 +102,7 @@ def _landed_type(row) -> T.DataType:
     return T.DoubleType() if row["number"] and row["any"] else T.StringType()
 
 
-def _landed_name(header: Column) -> Column:
+def landed_name(header: Column) -> Column:
     name = F.lower(header)
     for word, stand_in in RESERVED.items():
         name = F.when(name == word, F.lit(stand_in)).otherwise(name)

@@ -4,12 +4,12 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Row, functions as F, types as T
 
 from courtside.plans import control, load
 from courtside.queries import QUERIES
 from courtside.queries.league import League
-from courtside.sources import documents, landing
+from courtside.sources import documents, fan_out, landing
 from courtside.sources.catalogue import CATALOGUE, measures, result_index
 from courtside.sources.schemas import OPPONENT_STATS, compared_columns, dim_player
 
@@ -43,6 +43,57 @@ def test_inferred_types_follow_the_landing_rule(docs):
     assert found == {"player_id": "bigint", "tov": "double", "name": "string", "pct": "double"}
 
 
+def test_one_parse_gives_what_one_scrape_per_set_gives(spark, docs):
+    more = docs.unionByName(spark.createDataFrame([("005", "{bad"), ("006", None), ("001", '{"resultSets": []}')], docs.schema))
+    sets = fan_out.parse_sets(more, [0, 1, 2], ["_game_id"])
+    types = fan_out.infer_schemas(sets)
+    # a set that no document holds has no columns
+    assert set(types) == {0, 1}
+    for index, found in types.items():
+        own = documents.infer_schema(more, index)
+        assert {(f.name, f.dataType) for f in found} == {(f.name, f.dataType) for f in own}
+        rows = fan_out.set_rows(sets, index, own, ["_game_id"])
+        assert sorted(map(str, rows.collect())) == sorted(map(str, documents.scrape(more, index, own, keep=["_game_id"]).collect()))
+    met = {r._game_id: r.landed for r in fan_out.found_sets(sets, ["_game_id"], [0, 1, 2]).collect()}
+    assert met == {"001": 2, "002": 2, "003": 1, "004": 2, "005": 0, "006": 0}
+
+
+def test_texts_and_kinds_of_odd_cells(spark):
+    body = '{"resultSets":[{"headers":["A","B","C","D"],"rowSet":[[1,1.50,"1",null],[2,1e3,"x",null],[3,4,true],[]]},{"headers":null,"rowSet":null}]}'
+    odd = spark.createDataFrame([(body,)], "body string")
+    sets = fan_out.parse_sets(odd, [0, 1])
+    (schema,) = fan_out.infer_schemas(sets).values()
+    # a short row leaves its last columns without a value, so whole numbers with a gap become floating
+    assert [f.dataType.simpleString() for f in schema.fields] == ["double", "double", "string", "string"]
+    got = fan_out.set_rows(sets, 0, schema).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1.0, 1.5, "1", None), (2.0, 1000.0, "x", None), (3.0, 4.0, "true", None), (None,) * 4], key=str)
+    assert fan_out.set_rows(sets, 1, schema).count() == 0
+
+
+def test_rows_of_a_set_come_from_its_partition_and_are_not_parsed_again(spark, docs):
+    sets = fan_out.parse_sets(docs, [0, 1], ["_game_id"])
+    plan = fan_out.set_rows(sets, 1, "player_id int", ["_game_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "variant" not in plan and "PartitionFilters: [isnotnull(place" in plan
+
+
+def test_an_endpoint_of_nine_measures_parses_each_body_once(spark, scratch, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    body = doc(*[(["A"], [[i]]) for i in range(9)])
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    docs = spark.createDataFrame([(str(i), body) for i in range(20)], "_game_id string, body string").withColumn("body", read.asNondeterministic()("body"))
+    names = ("game_summary", "other_stats", "officials", "inactive_players", "game_info", "line_score", "last_meeting", "season_series", "available_video")
+    measures = [Row(node="game", endpoint="Boxscore", measure=m, table_name=m) for m in names]
+    met = load.load_measures(measures, docs, scratch, "2001-02", "Playoffs", 1, dt.datetime(2001, 6, 1))
+    assert {r.landed for r in met.collect()} == {9}
+    assert all(landing.read_landed(spark, f"{scratch}/{m}").count() == 20 for m in names)
+    assert seen.value == 20
+
+
 def test_news_items_ignore_field_case(spark):
     body = json.dumps({"ListItems": [{"PlayerID": "5", "Injured_Status": "Out", "ListItemCaption": "c"}, {"PLAYERID": " "}]})
     got = documents.news_items(spark.createDataFrame([(body,)], "body string")).collect()
