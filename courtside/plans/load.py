@@ -23,30 +23,34 @@ DOCUMENT_KEYS = {"game": ("_game_id",), "team": ("_team_id",), "player": ("_play
 def load_measures(
     measures: list[Row], documents: DataFrame, root: str, season: str, season_type: str, run_id: int, as_of: dt.datetime,
     schema: str | None = None,
-) -> DataFrame:
+) -> tuple[list[DataFrame], DataFrame]:
     """Land measures of one endpoint: parse its documents once, then per measure watch for new columns, stamp, append.
 
     ``documents`` has one document per row in ``body`` plus the key columns of the node. Without a ``schema`` the types of
-    all measures are inferred from what was parsed. Returns the key columns with ``landed``, the number of the measures'
-    result sets that the documents of a key hold.
+    all measures are inferred from what was parsed. Returns the landed rows of each measure, and the key columns with
+    ``landed``, the number of the measures' result sets that the documents of a key hold.
     """
     keys = DOCUMENT_KEYS[measures[0].node]
     indexes = [result_index(m.node, m.endpoint, m.measure) for m in measures]
     sets = parse_sets(documents, sorted(set(indexes)), keys)
     types = {} if schema else infer_schemas(sets)
     lineage = {key.removeprefix("_"): F.col(key) for key in keys}
-    for measure, index in zip(measures, indexes):
-        rows = set_rows(sets, index, schema or types.get(index, T.StructType()), keys)
+    landed = [
         land(
-            rows, measure.node, f"{root}/{measure.table_name}", **lineage, season=season, season_type=season_type, create_date=F.lit(as_of),
-            run_id=run_id,
+            set_rows(sets, index, schema or types.get(index, T.StructType()), keys), measure.node, f"{root}/{measure.table_name}",
+            **lineage, season=season, season_type=season_type, create_date=F.lit(as_of), run_id=run_id,
         )
-    return found_sets(sets, keys, indexes)
+        for measure, index in zip(measures, indexes)
+    ]
+    return landed, found_sets(sets, keys, indexes)
 
 
-def load_measure(measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int, as_of: dt.datetime, schema: str | None = None) -> DataFrame:
-    """``load_measures`` for one measure."""
-    return load_measures([measure], documents, root, season, season_type, run_id, as_of, schema)
+def load_measure(
+    measure: Row, documents: DataFrame, root: str, season: str, season_type: str, run_id: int, as_of: dt.datetime,
+    schema: str | None = None,
+) -> DataFrame:
+    """``load_measures`` for one measure: its landed rows."""
+    return load_measures([measure], documents, root, season, season_type, run_id, as_of, schema)[0][0]
 
 
 def load_single(
@@ -98,7 +102,7 @@ def load_entities(
         # parsed from the join, once, so the documents themselves are not written again
         wanted = documents(endpoint).join(todo, keys, "left_semi")
         own = [m for m in measures if m.endpoint == endpoint]
-        met = met.unionByName(load_measures(own, wanted, root, season, season_type, run_id, as_of))
+        met = met.unionByName(load_measures(own, wanted, root, season, season_type, run_id, as_of)[1])
     status = met.groupBy(*keys).agg(F.sum("landed").alias("landed"))
     own, *parent = keys
     return status.select(

@@ -88,7 +88,7 @@ def test_an_endpoint_of_nine_measures_parses_each_body_once(spark, scratch, monk
     docs = spark.createDataFrame([(str(i), body) for i in range(20)], "_game_id string, body string").withColumn("body", read.asNondeterministic()("body"))
     names = ("game_summary", "other_stats", "officials", "inactive_players", "game_info", "line_score", "last_meeting", "season_series", "available_video")
     measures = [Row(node="game", endpoint="Boxscore", measure=m, table_name=m) for m in names]
-    met = load.load_measures(measures, docs, scratch, "2001-02", "Playoffs", 1, dt.datetime(2001, 6, 1))
+    _, met = load.load_measures(measures, docs, scratch, "2001-02", "Playoffs", 1, dt.datetime(2001, 6, 1))
     assert {r.landed for r in met.collect()} == {9}
     assert all(landing.read_landed(spark, f"{scratch}/{m}").count() == 20 for m in names)
     assert seen.value == 20
