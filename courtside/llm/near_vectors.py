@@ -30,6 +30,18 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def vector_column(embeddings: DataFrame) -> Column:
+    """The column ``embedding``, of floats where the table has floats and of doubles otherwise: no value is rounded."""
+    kind = embeddings.schema["embedding"].dataType.simpleString()
+    return F.col("embedding").cast("array<float>" if kind == "array<float>" else "array<double>").alias("embedding")
+
+
+def usable_vectors(embeddings: DataFrame) -> DataFrame:
+    """``vec_id, embedding`` of the rows that can be compared."""
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), vector_column(embeddings))
+    return rows.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
+
+
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """int8 values, scale and length of the rest of unit vectors (rows)."""
     scale = np.abs(unit).max(axis=1, initial=0) / 127
@@ -110,8 +122,8 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9, block: int = BLO
     * a null ``vec_id``: a row without links, ``component_id`` null, not kept;
     * an empty table gives an empty result.
     """
-    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
-    good = rows.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
+    rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), vector_column(embeddings))
+    good = usable_vectors(embeddings)
     classes = settle(
         good.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight"))
         .select(F.size("embedding").alias("width"), "node", "weight", "embedding"),

@@ -51,3 +51,9 @@ def test_odd_rows(spark):
         (10, 4, 1, False), (11, 4, 1, False),
     ]
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_doubles_are_not_rounded(spark):
+    rows = [(1, [1e39, 0.0]), (2, [1e39, 1.0]), (3, [1.0, 0.0]), (4, [0.0, 1e-300]), (5, [0.0, 1e300])]
+    got = sorted(tuple(r) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 1, 4, True), (5, 1, 4, False)]

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
-from courtside.llm.neighbours import chi_square, chi_square_limit, neighbours
+from courtside.llm.neighbours import CERTAINTY, PROJECTED, Shard, chi_square, chi_square_limit, dimensions, neighbours, search
 
 SCHEMA = "vec_id long, embedding array<float>, label int, query_id long, rank int, score double"
 
@@ -66,3 +67,61 @@ def test_chi_square():
     for p in (0.5, 0.9, 0.98):
         limit = chi_square_limit(p, 8)
         assert abs(chi_square(limit, 8) - p) < 1e-9 and abs((drawn <= limit).mean() - p) < 0.005
+
+
+def test_the_test_rules_out_products_of_the_given_vectors():
+    """Recall and products worked out over the given table, from the operator's own search."""
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    x = np.array(table["embedding"].to_pylist(), np.float64)
+    ids = table["vec_id"].to_numpy()
+    m = dimensions(x.shape[1], PROJECTED)
+    shard = Shard(x, ids, np.arange(len(x)), float(np.sqrt(np.square(x).sum(axis=1)).max()), m)
+    asked = np.flatnonzero(ids % 20 == 0)
+    who, what, score, products = search(shard, x[asked], asked, np.full(len(asked), -np.inf), 20, chi_square_limit(CERTAINTY, m))
+    hits = 0
+    for i, a in enumerate(asked):
+        want, exact = brute(x, ids, a, 20)
+        hits += len(set(want) & set(shard.ids[what[who == i]]))
+    assert m <= x.shape[1] // 2
+    assert hits >= 0.9 * 20 * len(asked)
+    assert products <= 0.6 * len(asked) * len(x)
+
+
+def test_a_known_kth_best_rules_out_leaves_and_points():
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((8, 32))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    x = centres[np.arange(4000) % 8] + 0.02 * rng.standard_normal((4000, 32))
+    rows = np.arange(4000)
+    shard = Shard(x, rows, rows, float(np.linalg.norm(x, axis=1).max()), 16)
+    limit = chi_square_limit(CERTAINTY, 16)
+    first = search(shard, x[:40], rows[:40], np.full(40, -np.inf), 10, limit)
+    floor = np.array([first[2][first[0] == i].min() for i in range(40)])
+    again = search(shard, x[:40], rows[:40], floor, 10, limit)
+    # other clusters are passed over
+    assert again[3] <= first[3] < 0.3 * 40 * 4000
+
+
+def test_rows_that_repeat_an_id_with_another_vector_are_candidates(spark):
+    rows = [(20, [1.0, 0.0], 0, 0, 0, 0.0), (1, [1.0, 0.1], 0, 0, 0, 0.0), (1, [5.0, 0.0], 0, 0, 0, 0.0)]
+    got = [tuple(r) for r in neighbours(spark.createDataFrame(rows, SCHEMA)).orderBy("query_id", "rank").collect()]
+    assert got == [(20, 1, 1, 5.0), (20, 2, 1, 1.0)]
+    # an id with two vectors asks with each, and each finds the other
+    rows = [(20, [1.0, 0.0], 0, 0, 0, 0.0), (20, [3.0, 0.0], 0, 0, 0, 0.0), (1, [2.0, 0.0], 0, 0, 0, 0.0)]
+    got = sorted(tuple(r) for r in neighbours(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(20, 1, 1, 6.0), (20, 1, 20, 3.0), (20, 2, 1, 2.0), (20, 2, 20, 3.0)]
+
+
+def test_doubles_are_not_rounded(spark):
+    rows = [(20, [1e39, 0.0]), (1, [1e39, 1.0]), (2, [1.0 + 1e-12, 0.0]), (3, [1.0, 0.0])]
+    got = [tuple(r) for r in neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()]
+    assert got == [(20, 1, 1, 1e39 * 1e39), (20, 2, 2, 1e39 * (1.0 + 1e-12)), (20, 3, 3, 1e39)]
+
+
+def test_queries_in_blocks_meet_the_whole_index(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((400, 6)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    one = sorted(map(tuple, neighbours(frame, every=2, k=5, certainty=0.9999).collect()))
+    many = sorted(map(tuple, neighbours(frame, every=2, k=5, certainty=0.9999, query_block=7, shard_rows=32, sample=512).collect()))
+    assert one == many and len(one) == 200 * 5
