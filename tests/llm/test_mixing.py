@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from courtside.llm import mixing
 from courtside.llm.mixing import mix_sources, mixture, targets
 from tests.llm import cases
 
@@ -76,6 +77,36 @@ def test_mixture_repeats_rows_as_counted(spark):
     assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == {d: n for d, n in counted.items() if n}
 
 
+def test_ties_at_the_cut_stay_within_the_budget(spark):
+    """Rows without id and of equal size, equal rows, and both beside a source that takes up what they leave."""
+    rows = [(None, " ".join(["w"] * 10 + [f"t{i}"]), "a", i) for i in range(100)] + [(None, "x y z", "b", 0)] * 50
+    rows += [(5, "one two", "c", 1)] * 30 + [(5, "two one", "c", 2)] * 30 + [(i, "w " * 40, "d", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
+    plan = mix_sources(docs).collect()
+    assert len(plan) == len(rows)
+    mixed = mixture(docs).collect()
+    for source, size in (("a", 11), ("b", 3), ("c", 2), ("d", 40)):
+        whole = sum(len(r[1].split()) for r in rows if r[2] == source)
+        planned = [r for r in plan if r.size == size and r.source_size == whole]
+        words = sum(len(r.text.split()) for r in mixed if r.source == source)
+        assert words == sum(r.taken for r in planned)
+        assert abs(words - planned[0].target) <= size
+        copies = {r.copies for r in planned}
+        assert max(copies) - min(copies) <= 1
+    again = mixture(docs.orderBy(F.rand(8)).repartition(5)).collect()
+    assert sorted(map(str, mixed)) == sorted(map(str, again))
+
+
+def test_large_groups_are_given_back_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 7)
+    rows = [(None, "x y", "a")] * 100 + [(i, "u v w", "b") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mix_sources(docs).collect()
+    assert len(plan) == 120
+    got = {r.source: r["count"] for r in mixture(docs).groupBy("source").count().collect()}
+    assert got == {"a": sum(r.copies for r in plan if r.size == 2), "b": sum(r.copies for r in plan if r.size == 3)}
+
+
 def test_result_does_not_depend_on_partitions(spark):
     docs = documents(spark)
     one = sorted(map(tuple, mix_sources(docs).collect()))
