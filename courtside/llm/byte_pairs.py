@@ -16,8 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-# pre-tokens whose ids a task remembers; it then starts afresh
-REMEMBERED = 300_000
+# bytes of pre-tokens and their ids that a task remembers; it then starts afresh
+REMEMBERED = 64 << 20
+# what an entry takes besides: two objects and their place in the table
+ENTRY = 200
 
 
 def byte_characters() -> list[str]:
@@ -84,17 +86,23 @@ class Codec:
         # a pre-token that is itself an entry is that entry
         self.whole = {token: struct.pack("<I", rank) for rank, token in enumerate(tokens)}
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
             parts = self.split(text)
             distinct, known = set(parts), self.known
             new = [p for p in distinct if p not in known]
-            if len(known) + len(new) > self.remembered:
-                known = self.known = {}
-                new = list(distinct)
             if new:
+                # a letter takes four bytes at most, and an id of four bytes stands for a byte at least
+                more = sum(ENTRY + 8 * len(p) for p in new)
+                if self.held + more > self.remembered and known:
+                    known = self.known = {}
+                    self.held = 0
+                    new = list(distinct)
+                    more = sum(ENTRY + 8 * len(p) for p in new)
                 self._learn(new)
+                self.held += more
             yield b"".join([known[p] for p in parts])
 
     def _learn(self, parts: list[str]) -> None:

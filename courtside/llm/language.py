@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from courtside.llm.sending import Sent
@@ -44,10 +45,16 @@ SCRIPTS = (
 )
 SCRIPT_NAMES = tuple(sorted({name for _, name in SCRIPTS}))
 _STARTS = np.array([start for start, _ in SCRIPTS], np.uint32)
-_SCRIPT = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS], np.int64)
+_SCRIPT = np.array([SCRIPT_NAMES.index("han" if name == "kana" else name) for _, name in SCRIPTS], np.int64)
 
 # case is folded below this code point, where the scripts with cases lie
 FOLDED = 0x2000
+# letters that stand beside letters of any script, such as modifier letters
+NEUTRAL = (0x02B0, 0x0370)
+# learned languages at most: a model holds BUCKETS numbers for each, here and in every task
+LANGUAGES = 256
+# languages that a task counts at a time
+COUNTED = 32
 
 
 @dataclass(frozen=True)
@@ -66,7 +73,10 @@ class Tables:
 
 
 class Letters:
-    """Words of letters of some texts, by code points: places, text, script; and a bucket per letter."""
+    """Words of letters of some texts, by code points: places, text, script; and a bucket per letter.
+
+    A word is a run of letters of one script.
+    """
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, tables: Tables):
         texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(bounds, bounds[1:])]
@@ -87,10 +97,11 @@ class Letters:
             first[begin] = solid[begin]
             end = edges[1:][edges[1:] > 0] - 1
             last[end] = solid[end]
+            self._cut(code, kind, solid, first, last)
         self.start, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
         self.doc = np.searchsorted(edges, self.start, "right") - 1
         self.docs = len(texts)
-        # the script of a word is that of its first letter
+        # the script of a word is that of its first letter; han and kana, which one word may hold, count as one
         self.script = _SCRIPT[np.searchsorted(_STARTS, code[self.start], "right") - 1]
         self.at = np.flatnonzero(solid)
         left = np.where(first[self.at], 0, low[np.maximum(self.at - 1, 0)]).astype(np.uint64)
@@ -101,6 +112,22 @@ class Letters:
         self.word = np.repeat(np.arange(len(self.start)), self.end - self.start)
         self.size = np.bincount(self.word, kind[self.at] == 1, len(self.start)).astype(np.int64)
 
+    @staticmethod
+    def _cut(code, kind, solid, first, last) -> None:
+        """Ends words where the script changes. Marks and neutral letters go with what stands before; han and kana mix."""
+        own = (kind == 1) & ~((code >= NEUTRAL[0]) & (code < NEUTRAL[1]))
+        at = np.flatnonzero(own)
+        if not len(at) or code[at].max() < NEUTRAL[0]:
+            return
+        script = _SCRIPT[np.searchsorted(_STARTS, code[at], "right") - 1]
+        change = np.flatnonzero(script[1:] != script[:-1])
+        before, here = at[change], at[change + 1]
+        # only within one run of letters: no run starts after the one and up to the other
+        starts = np.cumsum(first)
+        here = here[starts[before] == starts[here]]
+        first[here] = True
+        last[here - 1] = True
+
 
 @dataclass(frozen=True)
 class Model:
@@ -114,27 +141,15 @@ class Model:
 def learn(documents: DataFrame) -> Model:
     """A model from ``text`` and non-null ``lang`` of all given rows. No rows: no languages.
 
-    Tasks count; at most languages x (BUCKETS + scripts) sums reach the driver.
+    Tasks count; at most languages x (BUCKETS + scripts) sums reach the driver. More than ``LANGUAGES`` distinct values of
+    ``lang`` are refused with a ValueError: such a column does not hold languages, and the model would not fit. A language
+    with less than ``IN_SCRIPT`` of its letters in a script is never a candidate there.
     """
     tables = Tables.make()
+    if documents.select("lang").where("lang is not null").distinct().limit(LANGUAGES + 1).count() > LANGUAGES:
+        raise ValueError(f"the column lang has more than {LANGUAGES} values")
 
-    def count(batches):
-        codes: dict[str, int] = {}
-        grams = np.zeros((0, BUCKETS), np.int64)
-        scripts = np.zeros((0, len(SCRIPT_NAMES)), np.int64)
-        for batch in batches:
-            langs = batch.column(1).to_pylist()
-            new = [x for x in dict.fromkeys(langs) if x not in codes]
-            codes.update(zip(new, range(len(codes), len(codes) + len(new))))
-            grams = np.concatenate([grams, np.zeros((len(new), BUCKETS), np.int64)])
-            scripts = np.concatenate([scripts, np.zeros((len(new), len(SCRIPT_NAMES)), np.int64)])
-            lang = np.array([codes[x] for x in langs], np.int64)
-            data, bounds = text_bytes(batch.column(0))
-            for i, j in pieces(bounds, PIECE):
-                w = Letters(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], tables)
-                of = lang[i:j][w.doc]
-                grams += np.bincount(of[w.word] * BUCKETS + w.bucket, minlength=grams.size).reshape(grams.shape)
-                scripts += np.bincount(of * len(SCRIPT_NAMES) + w.script, w.size, scripts.size).astype(np.int64).reshape(scripts.shape)
+    def told(codes, grams, scripts):
         names = list(codes)
         for offset, table in ((0, grams), (BUCKETS, scripts)):
             i, j = np.nonzero(table)
@@ -142,6 +157,30 @@ def learn(documents: DataFrame) -> Model:
                 [pa.array([names[x] for x in i], pa.string()), pa.array(j + offset), pa.array(table[i, j])], ["lang", "place", "n"]
             )
 
+    def count(batches):
+        codes: dict[str, int] = {}
+        grams, scripts = np.zeros((0, BUCKETS), np.int64), np.zeros((0, len(SCRIPT_NAMES)), np.int64)
+        for whole in batches:
+            names = whole.column(1).unique().to_pylist()
+            for at in range(0, len(names), COUNTED):
+                some = names[at : at + COUNTED]
+                batch = whole if len(names) <= COUNTED else whole.filter(pc.is_in(whole.column(1), pa.array(some, pa.string())))
+                if len(set(codes).union(some)) > COUNTED:
+                    yield from told(codes, grams, scripts)
+                    codes, grams, scripts = {}, grams[:0], scripts[:0]
+                new = [x for x in some if x not in codes]
+                codes.update(zip(new, range(len(codes), len(codes) + len(new))))
+                grams = np.concatenate([grams, np.zeros((len(new), BUCKETS), np.int64)])
+                scripts = np.concatenate([scripts, np.zeros((len(new), len(SCRIPT_NAMES)), np.int64)])
+                lang = np.array([codes[x] for x in batch.column(1).to_pylist()], np.int64)
+                data, bounds = text_bytes(batch.column(0))
+                for i, j in pieces(bounds, PIECE):
+                    w = Letters(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], tables)
+                    of = lang[i:j][w.doc]
+                    grams += np.bincount(of[w.word] * BUCKETS + w.bucket, minlength=grams.size).reshape(grams.shape)
+                    scripts += np.bincount(of * len(SCRIPT_NAMES) + w.script, w.size, scripts.size).astype(np.int64).reshape(scripts.shape)
+        yield from told(codes, grams, scripts)
+
     rows = documents.where(F.col("lang").isNotNull()).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     found = rows.mapInArrow(count, "lang string, place long, n long").groupBy("lang", "place").agg(F.sum("n").alias("n")).toArrow()
     lang, place, n = (found[c].to_numpy(zero_copy_only=False) for c in ("lang", "place", "n"))
@@ -158,8 +197,8 @@ def learn(documents: DataFrame) -> Model:
 def word_scores(w: Letters, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Scores words x languages, and which languages are candidates of each word.
 
-    Only candidates are scored; other languages get the worst score of the word less the penalty. A word in a script that
-    no language uses scores 0 throughout.
+    Only candidates are scored; other languages get the worst score of the word less three penalties, so that changing to a
+    candidate and back is better. A word in a script that no language uses scores 0 throughout.
     """
     candidate = model.candidates[w.script]
     scores = np.zeros((len(w.start), len(model.languages)), np.float32)
@@ -177,7 +216,7 @@ def word_scores(w: Letters, model: Model) -> tuple[np.ndarray, np.ndarray]:
             scores[here, lang] = sums[ends] - sums[ends - length[here]]
         rest = np.flatnonzero(~model.candidates[script])
         if len(rest):
-            scores[np.ix_(here, rest)] = (scores[np.ix_(here, use)].min(axis=1) - PENALTY)[:, None]
+            scores[np.ix_(here, rest)] = (scores[np.ix_(here, use)].min(axis=1) - 3 * PENALTY)[:, None]
     return scores, candidate
 
 
@@ -281,7 +320,13 @@ def remainder(doc_id, n: int):
 
 
 def languages(documents: DataFrame) -> DataFrame:
-    """Labels of all rows by a model of those whose remainder by 4 is not 2: ``doc_id, held_out, lang_pred, score``."""
+    """Labels of all rows by a model of those whose remainder by 4 is not 2: ``doc_id, held_out, lang_pred, score``.
+
+    One row per row; only ``doc_id``, ``text`` and ``lang`` are read, whatever other columns there are. Null, empty and
+    letterless texts are ``und`` with score 0, and so is every text if nothing was learned; long texts count whole; repeated
+    rows and null ids (remainder 0) give rows like any other; ties go to the first language by name; an empty table gives an
+    empty result. More than ``LANGUAGES`` values of ``lang`` are refused.
+    """
     model = learn(documents.where(remainder(F.col("doc_id"), 4) != 2))
     held = remainder(F.col("doc_id"), 4) == 2
     return label(documents, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")

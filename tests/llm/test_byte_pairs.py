@@ -12,7 +12,7 @@ from courtside.llm import byte_pairs
 from tests.llm import cases
 
 TOKENS = byte_pairs.read_ranks(public.path("byte_bpe_50k.tiktoken"))
-CODEC = byte_pairs.Codec(TOKENS, public.PATTERN, remembered=500)
+CODEC = byte_pairs.Codec(TOKENS, public.PATTERN, remembered=500 * byte_pairs.ENTRY)
 WANT = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks={t: i for i, t in enumerate(TOKENS)}, special_tokens={})
 
 
@@ -66,3 +66,16 @@ def test_odd_rows(spark):
     assert sorted(map(str, coded)) == sorted(map(str, byte_pairs.digests(docs, TOKENS, public.PATTERN).collect()))
     for f in (byte_pairs.encode, byte_pairs.coded, byte_pairs.digests):
         assert f(cases.empty(spark), TOKENS, public.PATTERN).count() == 0
+
+
+def test_long_runs_do_not_pile_up():
+    import random
+
+    codec = byte_pairs.Codec(TOKENS, public.PATTERN, remembered=4 << 20)
+    rng = random.Random(2)
+    for _ in range(12):
+        text = "".join(rng.choice("abcdefgh") for _ in range(200_000))
+        (packed,) = codec.encode([text])
+        assert codec.decode(packed).decode() == text
+        # one text is held whole; what came before goes
+        assert sum(len(k) + len(v) for k, v in codec.known.items()) <= codec.held <= codec.remembered

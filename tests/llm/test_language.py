@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pytest
 
 from courtside.llm import language
 from courtside.llm.words import text_bytes
@@ -59,6 +60,29 @@ def test_letters_of_texts():
     assert w.size.tolist()[:4] == [2, 2, 1, 1]
 
 
+def test_words_end_where_the_script_changes(spark):
+    data, bounds = text_bytes(__import__("pyarrow").array(["日本語English", "русскийenglish", "カナ漢字かな", "об\u02bcєкт", "ne\u0301e", "abcабв гдеabc"]))
+    w = language.Letters(data, bounds, language.Tables.make())
+    assert np.bincount(w.doc, minlength=6).tolist() == [2, 2, 1, 1, 1, 4]
+    assert w.size.tolist() == [3, 7, 7, 7, 6, 6, 3, 3, 3, 3, 3]
+    names = [language.SCRIPT_NAMES[i] for i in w.script]
+    assert names[:4] == ["han", "latin", "cyrillic", "latin"] and names[-4:] == ["latin", "cyrillic", "cyrillic", "latin"]
+    rows = [("これは日本語の文章です漢字とかな", "ja"), ("this is an English text of some words", "en")] * 3
+    model = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    got = language.label(spark.createDataFrame([(1, "日本語English")], "doc_id long, text string"), model).first()
+    assert [(s.first, s.last, s.lang) for s in got.spans] == [(0, 0, "ja"), (1, 1, "en")] and got.lang_pred == "en" and abs(got.score - 0.7) < 1e-9
+
+
+def test_many_languages_are_counted_apart_or_refused(spark, monkeypatch):
+    rows = [(f"word{'abcdefghij'[i % 10]} {'xyz'[i % 3] * 3} text", f"l{i % 70:02}") for i in range(280)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    whole = language.learn(docs.repartition(1))
+    monkeypatch.setattr(language, "COUNTED", 200)
+    assert np.array_equal(whole.weights, language.learn(docs).weights) and len(whole.languages) == 70
+    with pytest.raises(ValueError, match="256"):
+        language.learn(spark.range(5000).selectExpr("'some text' text", "cast(id as string) lang"))
+
+
 def test_odd_rows(spark):
     rows = language.languages(cases.frame(spark)).collect()
     assert len(rows) == len(cases.rows())
