@@ -1,15 +1,15 @@
-"""The reporting refresh: every table in its fixed order, each written before the next reads it.
+"""The reporting refresh: every table in its fixed order, each published before the next reads it.
 
-Written tables, not cached plans, connect the steps: a lost executor costs a task, and a
-failed run is repeated under the same version without touching the tables of the last one.
+Published tables, not cached plans, connect the steps: a lost executor costs a task, and a failed run is repeated, or gone
+on with, under the same version without touching what was published before.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from courtside.functions import scalars as fn
 from courtside.functions.ordering import latest_first
@@ -17,7 +17,8 @@ from courtside.operators.scd2 import scd2
 from courtside.operators.windows import by_month, latest_by, previous
 from courtside.plans import marts
 from courtside.session import settle
-from courtside.sources.landing import conform, publish
+from courtside.sources import published
+from courtside.sources.landing import conform
 from courtside.sources.schemas import compared_columns, dim_player
 
 # Tables in refresh order.
@@ -83,6 +84,27 @@ def player_schedule_dimension(schedule: DataFrame, as_of: dt.datetime) -> DataFr
     )
 
 
+def _scd2_parts(table: DataFrame, source: DataFrame, compare: list[str], now: Column, keep_dates: bool = False) -> DataFrame:
+    """Rows of a slowly changing table that a refresh writes: all open versions, and those it closes.
+
+    Versions closed before only matter by their keys: a key that has nothing else is left alone.
+    """
+    active = F.coalesce(F.col("is_rec_active"), F.lit(False))
+    opened = table.where(active)
+    ended = table.where(~active).select("id").distinct().join(opened.select("id"), "id", "left_anti")
+    return scd2(opened, source.join(ended, "id", "left_anti"), "id", compare, now, keep_dates=keep_dates)[0]
+
+
+# Columns that no row of a refreshed table may lack.
+REQUIRED = {
+    "dim_player": ("dim_player_guid", "rec_start_date", "is_rec_active", "created_at"), "dim_game": ("id",),
+    "dim_player_team_history": ("dim_player_guid", "is_rec_active"), "fct_game_team": ("game_id", "team_id"),
+    "fct_game_player": ("game_id", "player_id"), "dim_player_schedule": ("player_id", "game_id"), "player_time": ("player_id", "game_date"),
+}
+# Parts of a slowly changing table, as folder names.
+OPEN, CLOSED = "true", "false"
+
+
 def refresh_all(
     spark: SparkSession,
     landed: Mapping[str, DataFrame],
@@ -90,53 +112,74 @@ def refresh_all(
     version: str,
     as_of: dt.datetime,
     before: str | None = None,
+    seasons: Sequence[str] | None = None,
+    resume: bool = False,
 ) -> dict[str, int]:
-    """Write a new version of every reporting table under ``root``; returns rows per table, in order.
+    """Publish a new version of every reporting table under ``root``; returns rows written per table, in order.
 
     ``landed`` holds player_common (snapshot), player_common_all, team, header, player_box,
     team_box and news. ``before`` names the version the slowly changing tables start from.
+
+    Slowly changing tables write their open versions and add those closed by this run; the closed history stays as it is.
+    Tables of games write the seasons of the games, or only ``seasons``, whose other inputs are then not read either; the
+    parts of other seasons stay (a later season's first days of rest are those of when it was refreshed). A table becomes
+    current if its required columns hold, see ``sources.published``. With ``resume`` tables that this version has already
+    published are not written again, so that a broken run goes on where it ended; their rows written count as 0.
     """
     now = F.lit(as_of)
     counts: dict[str, int] = {}
 
-    def write(table: str, rows: DataFrame) -> DataFrame:
-        path, counts[table] = publish(rows, root, table, version)
-        return spark.read.parquet(path)
+    def done(table: str) -> bool:
+        return resume and version in published.versions(spark, root, table)
 
-    def old(table: str, history: bool) -> DataFrame:
-        if before is None:
-            return spark.createDataFrame([], dim_player(history))
-        return spark.read.parquet(f"{root}/{table}/{before}")
+    def write(table: str, rows: Callable[[], DataFrame], part: str, parts: Sequence[str] | None, adds: Sequence[str] = ()) -> DataFrame:
+        counts[table] = 0
+        if not done(table):
+            counts[table] = published.publish_parts(rows(), root, table, version, part, parts, REQUIRED.get(table, ()), adds)
+        return published.read_parts(spark, root, table, version)
 
-    source = conform(marts.player_versions(landed["player_common"], landed["team"], now).withColumns(
+    def versioned(table: str, source: Callable[[], DataFrame], history: bool) -> DataFrame:
+        def rows() -> DataFrame:
+            old = spark.createDataFrame([], dim_player(history)) if before is None else published.read_parts(spark, root, table, before)
+            return _scd2_parts(old, settle(source(), table), compared_columns(history), now, keep_dates=history)
+
+        return write(table, rows, "is_rec_active", [OPEN, CLOSED], adds=[CLOSED])
+
+    def by_season(table: str, rows: Callable[[], DataFrame]) -> DataFrame:
+        found = write(table, rows, "season", seasons)
+        return found if seasons is None else found.where(F.col("season").isin(list(seasons)))
+
+    people = versioned("dim_player", lambda: conform(marts.player_versions(landed["player_common"], landed["team"], now).withColumns(
         {"rec_start_date": now.cast("date"), "is_rec_active": F.lit(True), "created_at": now}
-    ), dim_player())
-    source = settle(source, "player-versions")
-    people = write("dim_player", scd2(old("dim_player", False), source, "id", compared_columns(), now)[0])
+    ), dim_player()), False)
     people = people.withColumns({"pos": F.col("nba_pos"), "fd_pos": F.col("nba_pos")})
 
-    games = write("dim_game", game_dimension(landed["header"]))
+    games = by_season("dim_game", lambda: game_dimension(landed["header"]))
 
-    stints = conform(marts.team_history(
+    history = versioned("dim_player_team_history", lambda: conform(marts.team_history(
         landed["player_common_all"], landed["team"], landed["player_box"], landed["header"], now,
-    ).withColumn("created_at", now), dim_player(history=True))
-    stints = settle(stints, "stints")
-    history = write(
-        "dim_player_team_history",
-        scd2(old("dim_player_team_history", True), stints, "id", compared_columns(history=True), now, keep_dates=True)[0],
-    )
+    ).withColumn("created_at", now), dim_player(history=True)), True)
 
     teams = landed["team"].select(
         F.col("team_id").alias("id"), "team_name", F.col("team_abbrv").alias("team_abbreviation")
     )
-    write("fct_game_team", team_game_facts(landed["team_box"], games))
-    facts = write("fct_game_player", player_game_facts(landed["player_box"], games, people))
-
-    roster = history.select(F.col("id").alias("player_id"), "season", "team_id", "rec_start_date")
-    # the lag reads the rows twice
-    schedule = settle(marts.schedule(games, teams, facts, roster, people), "schedule")
-    schedule = write("dim_player_schedule", player_schedule_dimension(schedule, as_of))
-
-    write("player_time", marts.player_time(schedule, facts, people, landed["news"]))
-    write("player_latest_news", marts.latest_news(landed["news"]))
+    by_season("fct_game_team", lambda: team_game_facts(landed["team_box"], games))
+    facts = by_season("fct_game_player", lambda: player_game_facts(landed["player_box"], games, people))
+
+    def listed() -> DataFrame:
+        roster = history.select(F.col("id").alias("player_id"), "season", "team_id", "rec_start_date")
+        # the lag reads the rows twice
+        rows = settle(marts.schedule(games, teams, facts, roster, people), "schedule")
+        if seasons is None or before is None:
+            return player_schedule_dimension(rows, as_of)
+        # the days of rest of a player's first game need the games of other seasons
+        others = published.read_parts(spark, root, "dim_player_schedule", before).where(~F.col("season").isin(list(seasons)))
+        return player_schedule_dimension(rows.unionByName(others.select(*rows.columns)), as_of)
+
+    schedule = by_season("dim_player_schedule", listed)
+    by_season("player_time", lambda: marts.player_time(schedule, facts, people, landed["news"]))
+    counts["player_latest_news"] = 0
+    if not (resume and version in published.versions(spark, root, "player_latest_news")):
+        news = marts.latest_news(landed["news"]).withColumn("feed", F.lit("news"))
+        counts["player_latest_news"] = published.publish_parts(news, root, "player_latest_news", version, "feed")
     return {table: counts[table] for table in ORDER}

@@ -11,6 +11,7 @@ from courtside.queries.league import League, with_tables
 from courtside.queries.registry import query
 from courtside.queries.rosters import AFTER, landed_players
 from courtside.session import fresh_path
+from courtside.sources.published import read_parts
 
 LAST_DAY = dt.date(2001, 12, 31)
 
@@ -85,7 +86,7 @@ def refreshed_games(lg: League):
     """The game dimension that a refresh leaves."""
     root = fresh_path(lg.spark, "reporting")
     refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
-    return lg.spark.read.parquet(f"{root}/dim_game/v1")
+    return read_parts(lg.spark, root, "dim_game")
 
 
 @query(
@@ -102,4 +103,4 @@ def refreshed_player_facts(lg: League):
     """The player facts that a refresh leaves; their version keys differ from run to run."""
     root = fresh_path(lg.spark, "reporting")
     refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
-    return lg.spark.read.parquet(f"{root}/fct_game_player/v1").drop("dim_player_guid")
+    return read_parts(lg.spark, root, "fct_game_player").drop("dim_player_guid")
