@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from courtside.plans.refresh import refresh_all
 from courtside.queries.league import League, with_tables
-from courtside.queries.registry import query
-from courtside.queries.rosters import AFTER, landed_players
+from courtside.queries.registry import ORACLE, query
+from courtside.queries.rosters import AFTER, _landed_sql, landed_players
 from courtside.session import fresh_path
 from courtside.sources.published import read_parts
 
@@ -104,3 +104,77 @@ def refreshed_player_facts(lg: League):
     root = fresh_path(lg.spark, "reporting")
     refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
     return read_parts(lg.spark, root, "fct_game_player").drop("dim_player_guid")
+
+
+@query(
+    "refreshed_team_facts",
+    with_tables(
+        "game line",
+        """select g.id as game_id, cast(player_id as integer) as team_id, game_date as _create_date, pts, seconds, season, game_date
+        from game g join line l on l.game_id = g.id""",
+    ),
+)
+def refreshed_team_facts(lg: League):
+    """The team facts that a refresh leaves."""
+    root = fresh_path(lg.spark, "reporting")
+    refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
+    return read_parts(lg.spark, root, "fct_game_team")
+
+
+@query("refreshed_latest_news", ORACLE["latest_news"])
+def refreshed_latest_news(lg: League):
+    """The newest item per player that a refresh leaves."""
+    root = fresh_path(lg.spark, "reporting")
+    refresh_all(lg.spark, landed_tables(lg), root, "v1", dt.datetime(2002, 1, 1))
+    return read_parts(lg.spark, root, "player_latest_news").select(
+        "playerid", "player_id", "tm", "dt", "priority", "headline", "injured", "injured_status"
+    )
+
+
+@query(
+    "refreshed_players",
+    f"""with {_landed_sql(LAST_DAY, "n")}
+    select id, display_first_last, nba_pos, rosterstatus, birthdate, season_exp, from_year, to_year, height, weight, jersey, is_dleague, season,
+      id as team_id, display_first_last as team_name, 'T' || id as team_abbrv, date '2002-01-01' as rec_start_date, date '2002-01-01' as rec_end_date,
+      true as is_rec_active from n""",
+)
+def refreshed_players(lg: League):
+    """The player dimension after a refresh and a second one that finds nothing new; its keys hold the time of the run."""
+    root = fresh_path(lg.spark, "reporting")
+    landed = landed_tables(lg)
+    refresh_all(lg.spark, landed, root, "v1", dt.datetime(2002, 1, 1))
+    refresh_all(lg.spark, landed, root, "v2", dt.datetime(2002, 1, 2), before="v1", seasons=[])
+    return read_parts(lg.spark, root, "dim_player").select(
+        "id", "display_first_last", "nba_pos", "rosterstatus", "birthdate", "season_exp", "from_year", "to_year", "height", "weight", "jersey",
+        "is_dleague", "season", "team_id", "team_name", "team_abbrv", "rec_start_date", "rec_end_date", "is_rec_active",
+    )
+
+
+@query(
+    "refreshed_schedule",
+    with_tables(
+        "game line",
+        """with last_season as (select player_id, max(season) as season from game group by all),
+        boxed as (select g.id, g.player_id, g.season, game_status, game_date from game g join line l on l.game_id = g.id),
+        vis as (select o_orderkey as id, cast(floor(o_totalprice / 500) as bigint) as visitor from orders),
+        wait as (select g.id, g.player_id as team, g.season, 'H' as loc, game_date, game_status from game g where game_status <> 'Final'
+                 union all select g.id, visitor, g.season, 'V', game_date, game_status from game g join vis using (id) where game_status <> 'Final'),
+        sched as (
+          select distinct id, player_id, game_date, 'H' as loc, season, game_status from boxed where game_status = 'Final'
+          union select w.id, r.player_id, game_date, loc, w.season, game_status from wait w join last_season r on r.player_id = w.team and r.season = w.season)
+        select id as game_id, player_id, game_date, loc as team_loc, season, game_status,
+          lag(game_date) over (partition by player_id order by game_date, id, loc) as player_previous_game_date,
+          game_date - lag(game_date) over (partition by player_id order by game_date, id, loc) as days_rest
+        from sched""",
+    ),
+)
+def refreshed_schedule(lg: League):
+    """The players' schedule after a refresh and a second one of the last season alone."""
+    root = fresh_path(lg.spark, "reporting")
+    landed = landed_tables(lg)
+    refresh_all(lg.spark, landed, root, "v1", dt.datetime(2002, 1, 1))
+    newest = lg.games.agg(F.max("season").alias("season")).first().season
+    refresh_all(lg.spark, landed, root, "v2", dt.datetime(2002, 1, 2), before="v1", seasons=[newest])
+    return read_parts(lg.spark, root, "dim_player_schedule").select(
+        "game_id", "player_id", "game_date", "team_loc", "season", "game_status", "player_previous_game_date", "days_rest"
+    )

@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 VERSION = "_version"
@@ -24,13 +23,11 @@ class NotPublished(ValueError):
 
 def _list(spark: SparkSession, root: str, table: str) -> list[Row]:
     """Entries of the list in order: as many as runs and parts they touched."""
-    try:
-        found = spark.read.schema(_ENTRY).parquet(f"{root}/{table}__parts").collect()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    # asked of the store: a read that fails is reported by every listener of observations
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}__parts")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return []
-    return sorted(found, key=lambda e: e.at)
+    return sorted(spark.read.schema(_ENTRY).parquet(path.toString()).collect(), key=lambda e: e.at)
 
 
 def versions(spark: SparkSession, root: str, table: str) -> list[str]:
