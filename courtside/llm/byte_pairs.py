@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 # bytes of pre-tokens and their ids that a task remembers; it then starts afresh
-REMEMBERED = 64 << 20
+REMEMBERED = 32 << 20
 # what an entry takes besides: two objects and their place in the table
 ENTRY = 200
 

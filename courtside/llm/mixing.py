@@ -108,18 +108,25 @@ def mixture(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: in
     size = words_in(F.col("text"))
     at = F.struct(key.alias("k"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("d"), size.alias("s"))
     cut = F.struct("_cut.k", "_cut.d", "_cut.s")
-    placed = whole.join(cuts, (F.coalesce("source", F.lit("")) == F.col("_name")) & (F.col("source").isNull() == F.col("_none"))).where(size > 0)
-    dealt = F.coalesce((at == cut) & (F.col("_cut.more") < F.col("_cut.n")), F.lit(False))
-    marks = _last_marks(placed.where(dealt).select("_name", "_none", F.xxhash64("row").alias("_hash"), F.col("_cut.more").alias("_more")))
-    rows = placed.join(marks.select("_name", "_none", "_mark", "_still"), ["_name", "_none"], "left")
+    source = (F.coalesce("source", F.lit("")) == F.col("_name")) & (F.col("source").isNull() == F.col("_none"))
     hash_ = F.xxhash64("row")
-    more = F.when(dealt, hash_ < F.col("_mark")).otherwise(F.coalesce(at <= cut, F.lit(False)))
-    plain = rows.withColumn("copies", F.col("_full") + more.cast("long")).where("copies > 0")
-    plain = plain.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")
-    # one row per source at most, as often as it is still wanted
-    equal = rows.where(dealt & (hash_ == F.col("_mark")) & (F.col("_still") > 0)).groupBy("_name", "_none").agg(
-        F.first("row").alias("row"), F.first("_still").alias("_still")
+    # sources whose cut goes through rows of one place, most often none: then the rows are not read for them
+    parted = settle(cuts.where("_cut.more < _cut.n"), "parted")
+    tied = whole.join(parted, source).where((key == F.col("_cut.k")) & (size > 0)).where(at == cut)
+    marks = settle(_last_marks(tied.select("_name", "_none", hash_.alias("_hash"), F.col("_cut.more").alias("_more"))), "marks")
+    ends = settle(cuts.join(marks, ["_name", "_none"], "left"), "ends")
+    more = F.when((at == cut) & F.col("_mark").isNotNull(), hash_ < F.col("_mark")).otherwise(F.coalesce(at <= cut, F.lit(False)))
+    copies = F.when(size > 0, F.col("_full") + more.cast("long")).otherwise(0)
+    plain = (
+        whole.join(ends, source)
+        .withColumn("copies", copies)
+        .where("copies > 0")
+        .select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        .select("row.*")
     )
+    # one row per source at most, as often as it is still wanted
+    equal = tied.select("_name", "_none", "row").join(marks.where("_still > 0"), ["_name", "_none"]).where(hash_ == F.col("_mark"))
+    equal = equal.groupBy("_name", "_none").agg(F.first("row").alias("row"), F.first("_still").alias("_still"))
     pieces = equal.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("_still") - 1) / F.lit(PIECE)))))
     wanted = F.least(F.col("_still") - F.col("_piece") * F.lit(PIECE), F.lit(PIECE))
     again = pieces.repartition("_name", "_none", "_piece").select("row", F.explode(F.sequence(F.lit(1).cast("long"), wanted))).select("row.*")
