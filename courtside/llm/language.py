@@ -26,7 +26,7 @@ IN_SCRIPT = 0.001
 SMOOTH = 0.02
 UNKNOWN = "und"
 # bytes of text that are worked on at once: some arrays hold 8 bytes for each
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 # First code points of script ranges; a range ends where the next one begins.
 SCRIPTS = (

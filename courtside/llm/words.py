@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 # bytes of text that are worked on at once; a longer text is worked on alone
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _powers = np.ones(1, np.uint64)
