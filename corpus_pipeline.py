@@ -15,15 +15,32 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from courtside.llm import byte_pairs, language, mixing, near_documents, quality
+from courtside.llm.sending import small_batches
 from courtside.session import fresh_path, settle
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 LEAST_LANGUAGE = 0.25
 
 
+def _stage(work: Stage) -> Stage:
+    """A stage whose texts reach Python in batches of bounded size."""
+
+    @wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return work(spark, docs, sf_dir)
+
+    return run
+
+
 def _others(docs: DataFrame) -> DataFrame:
     """Id, text, and all other columns as one, so that none can clash with a stage's results."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
@@ -34,12 +51,14 @@ def _as_before(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
 
 
+@_stage
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.learn(docs)
     rows = language.label(_others(docs), model, language.PENALTY, "text", "rest", shares=True)
     return _as_before(rows.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("learned") >= LEAST_LANGUAGE)), docs)
 
 
+@_stage
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(settle(quality.measured(docs), "stats"), labels)
@@ -47,14 +66,17 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _as_before(rows.where(F.col("score") >= quality.LEAST), docs)
 
 
+@_stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_documents.one_of_each(docs, k=5, percent=80)
 
 
+@_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixture(docs)
 
 
+@_stage
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tokens = byte_pairs.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return byte_pairs.coded(docs, tokens, public_tokenizers.PATTERN)

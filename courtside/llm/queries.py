@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,7 @@ from courtside.llm.near_documents import near_documents
 from courtside.llm.near_vectors import near_vectors
 from courtside.llm.neighbours import neighbours
 from courtside.llm.quality import quality
+from courtside.llm.sending import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,7 +28,12 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(build):
-        QUERIES[name] = build
+        @wraps(build)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return build

@@ -1,4 +1,4 @@
-"""Values for the executors."""
+"""What is sent to Python on the executors: values with their code, and rows in batches of bounded size."""
 
 from __future__ import annotations
 
@@ -8,6 +8,22 @@ from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
+#: bytes of rows that Spark hands to Python at once; a longer row travels alone
+BATCH = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by ``BATCH`` bytes, unless they are smaller already.
+
+    Spark's own bound lets a batch of texts grow to tens of megabytes, which the executor, its Python workers and what
+    they make of the batch hold several times over.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if now > BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
 class Sent:
     """A broadcast value that travels with the code of its classes, so that no executor needs the package installed.
 

@@ -7,6 +7,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+from courtside.llm.sending import BATCH, small_batches
+
 CODE = """
 import sys
 sys.path.insert(0, {root!r})
@@ -24,3 +26,17 @@ def test_queries_run_from_another_folder(tmp_path):
     code = CODE.format(root=root, shared=str(tmp_path / "shared"))
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS [200, 200, 200]" in done.stdout, done.stderr[-2000:]
+
+
+def test_batches_are_bounded_and_never_widened(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64m")
+        small_batches(spark)
+        assert spark.conf.get(name) == str(BATCH)
+        spark.conf.set(name, "1m")
+        small_batches(spark)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before)
