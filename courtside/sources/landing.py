@@ -85,13 +85,15 @@ def stamp(df: DataFrame, grain: str, **lineage: Column | str | int | None) -> Da
     return df.withColumns({name: as_column[name] for name in wanted})
 
 
-def land(df: DataFrame, grain: str, path: str, **lineage) -> DataFrame:
+def land(df: DataFrame, grain: str, path: str, replaces: Sequence[str] = (), **lineage) -> DataFrame:
     """Normalise, align to what the table already has, stamp, append. Returns the rows written.
 
     Drift is judged before the stamps exist, so lineage columns never count as new. Where a known
     column needs a wider type, rows go to a new version folder of the table; readers cast all
     versions to the widest type. A load of several seasons (season given as a column) is
     rebalanced first: each season gets files of a sensible size, and a large season is split.
+    With ``replaces``, columns of ``df`` that name folders above the season, the rows replace what
+    lies in their folders, so that a load that is repeated leaves its rows once.
     """
     rows = normalise(df, grain)
     versions = _versions(df.sparkSession, path)
@@ -106,7 +108,9 @@ def land(df: DataFrame, grain: str, path: str, **lineage) -> DataFrame:
         _remember(df.sparkSession, path, number, rows.schema)
     if isinstance(lineage["season"], Column):
         rows = rows.hint("rebalance", "_season")
-    rows.write.mode("append").partitionBy("_season").parquet(f"{path}/{VERSION}={number}")
+    writer = rows.write.partitionBy(*replaces, "_season")
+    writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replaces else writer.mode("append")
+    writer.parquet(f"{path}/{VERSION}={number}")
     return rows
 
 
