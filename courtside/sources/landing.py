@@ -90,8 +90,8 @@ def land(df: DataFrame, grain: str, path: str, replaces: Sequence[str] = (), **l
 
     Drift is judged before the stamps exist, so lineage columns never count as new. Where a known
     column needs a wider type, rows go to a new version folder of the table; readers cast all
-    versions to the widest type. A load of several seasons (season given as a column) is
-    rebalanced first: each season gets files of a sensible size, and a large season is split.
+    versions to the widest type. A load of several seasons (season given as a column) or folders is
+    rebalanced first: each of them gets files of a sensible size, and a large one is split.
     With ``replaces``, columns of ``df`` that name folders above the season, the rows replace what
     lies in their folders, so that a load that is repeated leaves its rows once.
     """
@@ -106,8 +106,8 @@ def land(df: DataFrame, grain: str, path: str, replaces: Sequence[str] = (), **l
     rows = stamp(rows, grain, **lineage)
     if number not in versions or drift(versions[number], rows.schema).fields:
         _remember(df.sparkSession, path, number, rows.schema)
-    if isinstance(lineage["season"], Column):
-        rows = rows.hint("rebalance", "_season")
+    if replaces or isinstance(lineage["season"], Column):
+        rows = rows.hint("rebalance", *replaces, "_season")
     writer = rows.write.partitionBy(*replaces, "_season")
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replaces else writer.mode("append")
     writer.parquet(f"{path}/{VERSION}={number}")
