@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from courtside.plans.refresh import refresh_all
+from courtside.plans import load
+from courtside.plans.night import Landed, run_night
+from courtside.plans.refresh import ORDER, refresh_all
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import ORACLE, query
 from courtside.queries.rosters import AFTER, _landed_sql, landed_players
 from courtside.session import fresh_path
+from courtside.sources import documents, landing
 from courtside.sources.published import read_parts
 
 LAST_DAY = dt.date(2001, 12, 31)
@@ -178,3 +182,41 @@ def refreshed_schedule(lg: League):
     return read_parts(lg.spark, root, "dim_player_schedule").select(
         "game_id", "player_id", "game_date", "team_loc", "season", "game_status", "player_previous_game_date", "days_rest"
     )
+
+
+def night_tables(lg: League) -> dict[str, Landed]:
+    """The landed tables with the keys of their snapshots."""
+    keys = {"player_box": ("game_id", "player_id"), "team_box": ("game_id", "team_id")}
+    return {name: Landed(lambda rows=rows: rows, keys.get(name, ())) for name, rows in landed_tables(lg).items()}
+
+
+@query(
+    "nightly_run",
+    f"""select * from ({ORACLE["reporting_refresh"]})
+        union all select 'landed news', count(*) from events""",
+)
+def nightly_run(lg: League):
+    """A night that lands the news, takes snapshots, breaks, and goes on to the refreshed tables."""
+    root, day = fresh_path(lg.spark, "night"), dt.datetime.combine(AFTER, dt.time())
+
+    def land_news() -> None:
+        item = F.struct(F.col("user_id").cast("string").alias("PlayerID"), F.col("event_type").alias("Headline"))
+        docs = lg.table("events").select(F.to_json(F.struct(F.array(item).alias("ListItems"))).alias("body"))
+        load.load_news(documents.news_items(docs), f"{root}/landed", "2000-01", "Regular Season", day)
+
+    def breaks() -> DataFrame:
+        raise ConnectionError("the store went away")
+
+    tables = night_tables(lg)
+    try:
+        run_night(lg.spark, root, "n1", day, {"news": land_news}, {**tables, "news": Landed(breaks)})
+    except ConnectionError:
+        pass
+    run_night(lg.spark, root, "n1", day, {"news": land_news}, tables)
+    counts = [
+        read_parts(lg.spark, f"{root}/reporting", table, "n1").agg(F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("rows"))
+        for table in ORDER
+    ]
+    news = landing.read_landed(lg.spark, f"{root}/landed/player_news")
+    counts.append(news.agg(F.lit("landed news").alias("table_name"), F.count(F.lit(1)).alias("rows")))
+    return reduce(DataFrame.unionByName, counts)
