@@ -18,8 +18,14 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where that costs one more shuffle further up
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # files of a few parts are written side by side instead of after a sort
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
+# Bytes that one task reads of a shuffle or of a file, at most: the sorts and hash tables of a task hold several times as much.
+# A session that was given less keeps it.
+TASK_BYTES = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20, "spark.sql.files.maxPartitionBytes": 32 << 20}
+
 
 def build(app: str = "courtside", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the runtime settings; ``conf`` keys use ``__`` for dots."""
@@ -43,6 +49,10 @@ def ready(spark: SparkSession, width: int | None = None) -> SparkSession:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     context = spark.sparkContext
+    as_bytes = context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, most in TASK_BYTES.items():
+        if as_bytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, str(most))
     if width is None and not context.master.startswith("local"):
         width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * context.defaultParallelism)
     if width is not None:
