@@ -140,7 +140,8 @@ def refresh_all(
 
     def versioned(table: str, source: Callable[[], DataFrame], history: bool) -> DataFrame:
         def rows() -> DataFrame:
-            old = spark.createDataFrame([], dim_player(history)) if before is None else published.read_parts(spark, root, table, before)
+            # the limit shows the planner that a first run has no versions to compare with
+            old = spark.createDataFrame([], dim_player(history)).limit(0) if before is None else published.read_parts(spark, root, table, before)
             return _scd2_parts(old, settle(source(), table), compared_columns(history), now, keep_dates=history)
 
         return write(table, rows, "is_rec_active", [OPEN, CLOSED], adds=[CLOSED])

@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from courtside.session import settle
 from courtside.sources.schemas import OPPONENT_STATS
 from courtside.functions import scalars as fn
 
@@ -38,6 +39,12 @@ class League:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def settled(self, *names: str) -> League:
+        """This league with the named tables written once, for queries whose steps read them several times."""
+        for name in names:
+            setattr(self, name, settle(getattr(self, name), name))
+        return self
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -100,10 +107,15 @@ class League:
             F.count_if(F.col("l_linestatus") == "F").alias("tov"),
         )
 
+    @cached_property
+    def box(self) -> DataFrame:
+        """The games that have lines, with their box score."""
+        return self.games.drop("game_code").join(self.box_lines.withColumnRenamed("game_id", "id"), "id")
+
     @cached_property
     def facts(self) -> DataFrame:
         """Player-game rows of the games that have lines."""
-        games = self.games.select(
+        return self.box.select(
             F.col("id").alias("game_id"), "player_id", "season", "season_type", "game_date", "game_status",
             F.col("home_team_id").alias("team_id"), F.col("visitor_team_id").alias("opp_team_id"),
             F.concat(F.lit("T"), F.col("home_team_id").cast("string")).alias("team_abbreviation"),
@@ -113,9 +125,8 @@ class League:
             .when(F.col("o_orderpriority") == "2-HIGH", "DNP - Coach's Decision")
             .when(F.col("o_orderpriority") == "3-MEDIUM", "DND - League Suspension")
             .when(F.col("o_orderpriority") == "5-LOW", "").alias("comment"),
-            F.col("player_id").alias("dim_player_guid"),
+            F.col("player_id").alias("dim_player_guid"), "seconds", "pts", "ast", "reb", "stl", "blk", "tov",
         )
-        return games.join(self.box_lines, "game_id")
 
     @cached_property
     def schedule(self) -> DataFrame:
@@ -197,10 +208,9 @@ class League:
         """Team numbers of the visiting side of each game that has lines: points, pace and plus-minus from
         the order and its lines, every other number by its place in the list from the points."""
         others = [(F.col("o_totalprice") + i).alias(c) for i, c in enumerate(OPPONENT_STATS) if c not in ("pts", "pace", "plus_minus")]
-        return self.games.select(
-            F.col("id").alias("game_id"), F.col("visitor_team_id").alias("team_id"), F.col("o_totalprice").alias("pts"), *others
-        ).join(
-            self.box_lines.select("game_id", F.col("seconds").alias("pace"), F.col("pts").alias("plus_minus")), "game_id"
+        return self.box.select(
+            F.col("id").alias("game_id"), F.col("visitor_team_id").alias("team_id"), F.col("o_totalprice").alias("pts"), *others,
+            F.col("seconds").alias("pace"), self.box["pts"].alias("plus_minus"),
         )
 
     @cached_property

@@ -13,7 +13,7 @@ from courtside.plans.refresh import ORDER, refresh_all
 from courtside.queries.league import League, with_tables
 from courtside.queries.registry import ORACLE, query
 from courtside.queries.rosters import AFTER, _landed_sql, landed_players
-from courtside.session import fresh_path
+from courtside.session import fresh_path, settle
 from courtside.sources import documents, landing
 from courtside.sources.published import read_parts
 
@@ -22,14 +22,17 @@ LAST_DAY = dt.date(2001, 12, 31)
 
 def landed_tables(lg: League) -> dict:
     # a team's roster of a season is one customer here, so open games list few players
-    games = lg.games.withColumns({"home_team_id": F.col("player_id"), "visitor_team_id": F.floor(F.col("o_totalprice") / 500).cast("int")})
-    box = games.select(
+    # landed tables lie in the store: what a refresh reads several times is worked out once
+    lg = lg.settled("games", "box")
+    visitor = F.floor(F.col("o_totalprice") / 500).cast("int")
+    games = lg.games.withColumns({"home_team_id": F.col("player_id"), "visitor_team_id": visitor})
+    box = lg.box.select(
         F.col("id").alias("game_id"), "player_id", F.col("player_id").cast("int").alias("team_id"), F.col("season").alias("_season"),
         F.concat(F.lit("T"), F.col("player_id").cast("string")).alias("team_abbreviation"),
         F.substring("o_orderpriority", 1, 1).alias("start_position"), F.lit(None).cast("string").alias("comment"),
-        F.col("game_date").alias("_create_date"),
-    ).join(lg.box_lines, "game_id")
-    common = landed_players(lg, LAST_DAY).withColumn("_team_id", F.col("person_id"))
+        F.col("game_date").alias("_create_date"), "seconds", "pts", "ast", "reb", "stl", "blk", "tov",
+    )
+    common = settle(landed_players(lg, LAST_DAY).withColumn("_team_id", F.col("person_id")), "player-common")
     return {
         "player_common": common,
         "player_common_all": common.withColumn("_create_date", F.lit(AFTER)),

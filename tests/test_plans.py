@@ -12,8 +12,9 @@ from courtside.functions.ordering import latest_first
 from courtside.operators import windows as w
 from courtside.queries import QUERIES
 from courtside.queries.league import League
+from courtside.queries.refreshing import landed_tables
 from courtside.queries.rosters import landed_players
-from courtside.session import RUNTIME, fresh_path, ready, shared_dir
+from courtside.session import RUNTIME, TASK_BYTES, fresh_path, ready, shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,6 +107,44 @@ def test_runtime_settings(spark):
         assert spark.conf.get(key) == value
 
 
+def test_bytes_of_a_task_are_bounded_and_never_raised(spark):
+    before = {key: spark.conf.get(key) for key in TASK_BYTES}
+    try:
+        for key, most in TASK_BYTES.items():
+            spark.conf.set(key, "1g")
+            ready(spark)
+            assert spark.conf.get(key) == str(most)
+            spark.conf.set(key, "20KB")
+            ready(spark)
+            assert spark.conf.get(key) == "20KB"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_tables_read_several_times_are_worked_out_once(spark):
+    landed = landed_tables(League(ready(spark), SF))
+    league = League(spark, SF).settled("games", "box")
+    for rows in (landed["player_box"], landed["team_box"], landed["header"], landed["player_common"], league.facts, league.team_facts, league.schedule):
+        assert "Join" not in plan_of(rows) and "Aggregate" not in plan_of(rows)
+
+
+def test_global_order_shuffles_its_rows_once(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, i, None if i % 3 == 0 else i * 10) for i in range(6)] + [("b", p, i, i) for p in (1, 2, 3) for i in range(3)],
+        "team string, player long, t int, v int",
+    )
+    found = w.global_previous(rows, [["team"], ["team", "player"]], ["t"], "v", "before", F.floor(F.col("t") / 2))
+    assert "_r_player" not in found._jdf.queryExecution().analyzed().toString()
+    ordered = sorted(rows.collect(), key=lambda r: (r.team, r.player, r.t))
+    wanted = {(r.team, r.player, r.t): b.v if b else None for b, r in zip([None, *ordered], ordered)}
+    assert {(r.team, r.player, r.t): r.before for r in found.collect()} == wanted and found.count() == len(ordered)
+    # the value may be a column of the order
+    days = w.global_previous(rows, [["team"], ["team", "player"]], ["t"], "t", "before", F.floor(F.col("t") / 2))
+    wanted = {(r.team, r.player, r.t): b.t if b else None for b, r in zip([None, *ordered], ordered)}
+    assert {(r.team, r.player, r.t): r.before for r in days.collect()} == wanted
+
+
 def test_width_is_set_on_request_only(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     ready(spark)
