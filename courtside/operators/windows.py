@@ -168,15 +168,18 @@ def global_previous(
                 *levels[depth], F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_lag")).alias("_carry")
             )
 
+    # the carried value comes first in its block, as one row more, so that the rows are shuffled once
     cell = levels[-1]
-    window = Window.partitionBy(*cell).orderBy(*earliest_first(*order))
+    first = carried.where(F.col("_carry").isNotNull()).select(*cell, F.col("_carry").alias(value))
+    padded = rows.withColumn("_pad", F.lit(False)).unionByName(
+        first.withColumn("_pad", F.lit(True)), allowMissingColumns=True
+    )
+    window = Window.partitionBy(*cell).orderBy(F.col("_pad").desc(), *earliest_first(*order))
     return (
-        _join_null_safe(rows.repartition(*cell), carried, cell)
-        .withColumn(
-            name,
-            F.when(F.row_number().over(window) == 1, F.col("_carry")).otherwise(F.lag(value, 1).over(window)),
-        )
-        .drop("_carry", BLOCK)
+        padded.repartition(*cell)
+        .withColumn(name, F.lag(value, 1).over(window))
+        .where(~F.col("_pad"))
+        .drop("_pad", BLOCK)
     )
 
 

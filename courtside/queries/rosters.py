@@ -461,6 +461,7 @@ where rn = 1"""
 
 @query("daily_schedule", with_tables("game line fact sched player item shot", _DAILY_SQL))
 def daily_schedule(lg: League):
+    lg = lg.settled("games", "box")
     versions = lg.players.select(F.col("id").alias("dim_player_guid"), "pos")
     return marts.daily_schedule(lg.schedule, lg.facts, lg.players, versions, lg.news, lg.team_hustle, defence(lg))
 
@@ -499,6 +500,8 @@ def _rested_schedule(lg: League) -> DataFrame:
     ),
 )
 def game_features(lg: League):
+    # schedule, facts and team facts are read several times
+    lg = lg.settled("games", "box")
     table = marts.game_features(_rested_schedule(lg), lg.players, lg.facts, lg.team_facts)
     return table.withColumns({c: F.round(c, 6) for c in ("fan_pts", "avg_fan_pts")})
 
@@ -522,6 +525,7 @@ def _played_sql(order: str) -> str:
 
 
 def _played(lg: League, across: bool) -> DataFrame:
+    lg = lg.settled("games", "box")
     allowed = defence(lg).select(
         "season", F.concat(F.lit("T"), F.col("team_id").cast("string")).alias("team"), F.col("pos").alias("fd_pos"),
         F.col("overall").alias("avg_norm_plusminus"),
