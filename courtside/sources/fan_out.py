@@ -19,8 +19,8 @@ _SETS = "resultSets array<struct<headers: array<string>, rowSet: array<array<var
 WHOLE, NUMBER, NOTHING, OTHER = "wnvo"
 
 
-def _kind(value: Column) -> Column:
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+def _kind(schema: Column) -> Column:
+    kind = F.coalesce(schema, F.lit("VOID"))
     number = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
     return F.when(kind == "BIGINT", WHOLE).when(number, NUMBER).when(kind == "VOID", NOTHING).otherwise(OTHER)
 
@@ -38,7 +38,8 @@ def parse_sets(docs: DataFrame, indexes: Sequence[int], keep: Sequence[str] = ()
     asked = F.filter(F.array(*[F.struct(F.lit(i).alias("place"), F.get("sets", F.lit(i)).alias("it")) for i in indexes]), lambda s: s["place"] < F.size("sets"))
     listed = parsed.select(*keep, F.coalesce(F.size("sets"), F.lit(0)).alias("found"), F.explode_outer(asked).alias("s"))
     rows = F.coalesce(F.col("s.it.rowSet"), F.array().cast("array<array<variant>>"))
-    patterns = F.transform(rows, lambda row: F.array_join(F.transform(row, _kind), ""))
+    # the type of a value is worked out once, and then compared
+    patterns = F.transform(rows, lambda row: F.array_join(F.transform(F.transform(row, F.schema_of_variant), _kind), ""))
     sets = listed.select(
         *keep, "found", F.transform("s.it.headers", landed_name).alias("names"),
         F.transform(rows, lambda row: F.transform(row, lambda v: v.cast("string"))).alias("cells"), F.array_distinct(patterns).alias("kinds"),

@@ -300,3 +300,10 @@ def test_a_query_lands_the_rosters_of_all_teams(spark):
     for table in load.ROSTER:
         assert {(r["_team_id"], r["_season"]) for r in rows if r.table_name == table} == pairs, table
     assert any(t % 2 for t, _ in pairs)
+
+
+def test_type_of_a_value_is_worked_out_once(spark):
+    kinds = F.transform(F.array(F.lit(None).cast("variant"), F.parse_json(F.lit("1"))), F.schema_of_variant)
+    found = spark.range(1).select(F.array_join(F.transform(kinds, fan_out._kind), "").alias("kinds"))
+    assert found.first().kinds == "vw"
+    assert found._jdf.queryExecution().analyzed().toString().count("schema_of_variant(") == 1
