@@ -7,7 +7,9 @@ import subprocess
 import sys
 from pathlib import Path
 
-from courtside.llm.sending import BATCH, small_batches
+import pyarrow as pa
+
+from courtside.llm.sending import BATCH, gathered, small_batches
 
 CODE = """
 import sys
@@ -40,3 +42,15 @@ def test_batches_are_bounded_and_never_widened(spark):
         assert spark.conf.get(name) == "1m"
     finally:
         spark.conf.set(name, before)
+
+
+def test_small_batches_are_gathered_up_to_a_size():
+    def batch(*texts):
+        return pa.record_batch([pa.array(texts, pa.string())], ["text"])
+
+    one = batch("x" * 100)
+    found = list(gathered([batch("a" * 30), batch(None, ""), batch("b" * 30), one, batch("c")], one.nbytes))
+    assert [x for b in found for x in b.column(0).to_pylist()] == ["a" * 30, None, "", "b" * 30, "x" * 100, "c"]
+    assert len(found) == 3 and max(b.nbytes for b in found) <= one.nbytes + 64
+    assert list(gathered([], 10)) == []
+    assert next(gathered([one], 10)).equals(one)
