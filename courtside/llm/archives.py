@@ -6,7 +6,8 @@ what WARC asks for beyond that: an identifier, an ISO date, a type and digests.
 a response, the others become revisits that refer to it and hold the protocol header alone.
 
 Files are written by Spark's text writer (one record a row, the record end as line separator, gzip) and read with
-Spark's binary reader, so any store that Spark reaches will do. Records are cut by their declared lengths only.
+Spark's binary reader, so any store that Spark reaches will do. Records are cut by their declared lengths only. What is
+decided on records goes to their files: a file meets the list of its revisits as it lies, packed, and is parsed after that.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from courtside.session import fresh_path, settle
 
 # records in a file, so that a file fits in memory with room to spare
 PER_FILE = 500
+# gzip level of the writer: level 6, the default, takes four times as long for files smaller by a tenth
+LEVEL = "TWO"
 LEAST_REVISIT = 1000
 
 # Header fields of the two ARC versions, in order.
@@ -38,7 +41,8 @@ RESPONSE_TYPE = "application/http; msgtype=response"
 DATE = "20240101000000"
 
 PARSED = (
-    "record_id string, page_id long, url string, date string, payload_bytes long, payload_digest string, head string, payload string"
+    "record_id string, page_id long, url string, date string, payload_bytes long, payload_digest string, head string, payload string, "
+    "file string"
 )
 READ_BACK = (
     "record_id string, record_type string, page_id long, url string, date string, refers_id string, "
@@ -196,37 +200,41 @@ def write_arcs(pages: DataFrame, path: str, per_file: int = PER_FILE) -> None:
 
 
 def _write(records: DataFrame, path: str, end: str, per_file: int) -> None:
-    records.write.option("lineSep", end).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    options = {"lineSep": end, "compression": "gzip", "zlib.compress.level": LEVEL, "maxRecordsPerFile": per_file}
+    records.write.options(**options).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
+def _records(name: str, raw: bytes, payloads: bool = True) -> Iterator[dict]:
+    """Records of one ARC file with what WARC needs: identifier from file and offset, ISO date, digest."""
+    for offset, fields, content in parse_arc(raw):
+        head, payload = split_http(content)
+        mark = hashlib.sha1(f"{name.rsplit('/', 1)[-1]}:{offset}".encode()).digest()[:16]
+        yield {
+            "record_id": f"urn:uuid:{uuid.UUID(bytes=mark, version=5)}", "page_id": _page(head), "url": fields["URL"],
+            "date": _iso(fields["Archive-date"]), "payload_bytes": len(payload),
+            "payload_digest": hashlib.sha1(payload).hexdigest(), "head": head,
+            "payload": payload.decode() if payloads else None, "file": name,
+        }
+
+
 def read_arcs(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Records of ARC files with what WARC needs: identifier from file and offset, ISO date, digest."""
+    """Records of ARC files with what WARC needs, and the file each stands in."""
 
     def parse(batches):
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = []
-                for offset, fields, content in parse_arc(raw.as_py()):
-                    head, payload = split_http(content)
-                    mark = hashlib.sha1(f"{name.rsplit('/', 1)[-1]}:{offset}".encode()).digest()[:16]
-                    rows.append({
-                        "record_id": f"urn:uuid:{uuid.UUID(bytes=mark, version=5)}", "page_id": _page(head), "url": fields["URL"],
-                        "date": _iso(fields["Archive-date"]), "payload_bytes": len(payload),
-                        "payload_digest": hashlib.sha1(payload).hexdigest(), "head": head,
-                        "payload": payload.decode() if payloads else None,
-                    })
-                yield pa.RecordBatch.from_pylist(rows, schema=ARC_SCHEMA)
+                yield pa.RecordBatch.from_pylist(list(_records(name, raw.as_py(), payloads)), schema=ARC_SCHEMA)
 
     return _files(spark, path).mapInArrow(parse, PARSED)
 
 
 ARC_SCHEMA = pa.schema([
     ("record_id", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("payload_bytes", pa.int64()),
-    ("payload_digest", pa.string()), ("head", pa.string()), ("payload", pa.string()),
+    ("payload_digest", pa.string()), ("head", pa.string()), ("payload", pa.string()), ("file", pa.string()),
 ])
 WARC_SCHEMA = pa.schema([
     ("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("date", pa.string()),
@@ -268,29 +276,44 @@ def convert(spark: SparkSession, arcs: str, warcs: str, least: int = LEAST_REVIS
     Records with equal payloads of at least ``least`` bytes keep one response, that with the largest page id (then the
     largest identifier); the others become revisits of it. Decisions are made on identifiers and digests alone.
     """
-    marks = settle(read_arcs(spark, arcs, payloads=False).select("record_id", "page_id", "payload_bytes", "payload_digest"), "marks")
+    _write(_converted(spark, arcs, least), warcs, "\r\n\r\n", per_file)
+
+
+def _converted(spark: SparkSession, arcs: str, least: int) -> DataFrame:
+    """The WARC records of ``convert``, as column ``value``."""
+    marks = settle(
+        read_arcs(spark, arcs, payloads=False).select("record_id", "page_id", "payload_bytes", "payload_digest", "file"), "marks"
+    )
     large = marks.where(F.col("payload_bytes") >= least)
     # null ids come first, so any id is larger
     newest = large.groupBy("payload_digest", "payload_bytes").agg(
         F.max(F.struct("page_id", "record_id")).alias("kept"), F.count(F.lit(1)).alias("n")
     ).where("n > 1").select("payload_digest", "payload_bytes", F.col("kept.record_id").alias("refers"))
-    revisits = large.join(newest, ["payload_digest", "payload_bytes"]).where("record_id <> refers").select("record_id", "refers")
+    revisits = large.join(newest, ["payload_digest", "payload_bytes"]).where("record_id <> refers")
+    # as many as the file has records at most
+    of_file = revisits.groupBy(F.col("file").alias("path")).agg(
+        F.collect_list("record_id").alias("revisits"), F.collect_list("refers").alias("refers")
+    )
 
     def lines(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                out = [
-                    warc_record(
-                        r["record_id"], "revisit" if r["refers"] else "response", r["date"], r["url"], r["payload_digest"],
-                        r["head"], r["payload"], r["refers"],
-                    )
-                    for r in batch.slice(at, 64).to_pylist()
-                ]
-                yield pa.record_batch([pa.array(out, pa.string())], ["value"])
-
-    # revisits need no payload, so only identifiers meet in the join with the decisions
-    records = read_arcs(spark, arcs).join(revisits, "record_id", "left")
-    _write(records.mapInArrow(lines, "value string"), warcs, "\r\n\r\n", per_file)
+            names, revisits, refers = (batch.column(c).to_pylist() for c in (0, 2, 3))
+            for name, raw, ids, targets in zip(names, batch.column(1), revisits, refers):
+                target = dict(zip(ids or (), targets or ()))
+                out = []
+                for r in _records(name, raw.as_py()):
+                    to = target.get(r["record_id"])
+                    out.append(warc_record(
+                        r["record_id"], "revisit" if to else "response", r["date"], r["url"], r["payload_digest"], r["head"], r["payload"], to,
+                    ))
+                    if len(out) == 64:
+                        yield pa.record_batch([pa.array(out, pa.string())], ["value"])
+                        out = []
+                if out:
+                    yield pa.record_batch([pa.array(out, pa.string())], ["value"])
+
+    files = _files(spark, arcs).join(of_file, "path", "left").select("path", "content", "revisits", "refers")
+    return files.mapInArrow(lines, "value string")
 
 
 def archived(pages: DataFrame) -> DataFrame:

@@ -86,5 +86,32 @@ def test_files_hold_several_archives(spark):
     assert {r.date for r in back} == {"2024-01-01T00:00:00Z"}
 
 
+def test_files_meet_their_revisits_as_they_lie(spark):
+    rows = [(i, f"http://x/{i}", LONG + str(i % 30), "", "", 0) for i in range(90)]
+    arcs = fresh_path(spark, "arcs")
+    archives.write_arcs(spark.createDataFrame(rows, SCHEMA).repartition(3), arcs, per_file=8)
+    converted = archives._converted(spark, arcs, 1000)
+    plan = converted._jdf.queryExecution().optimizedPlan().toString()
+    # records with their payloads are made above the join, so no shuffle carries them
+    assert plan.index("MapInArrow") < plan.index("Join") and "payload" not in plan[: plan.index("Join")]
+    found = [record for (record,) in converted.collect()]
+    assert len(found) == 90 and sum("WARC-Type: revisit" in record for record in found) == 60
+    kept = {r.record_id: r.page_id for r in archives.read_arcs(spark, arcs).collect() if r.page_id >= 60}
+    for record in found:
+        head = dict(line.split(": ", 1) for line in record.split("\r\n") if ": " in line)
+        if head["WARC-Type"] == "revisit":
+            assert kept[head["WARC-Refers-To"].strip("<>")] == 60 + int(head["X-Page-Id"]) % 30
+
+
+def test_packing_is_quick(spark):
+    words = [hashlib.sha1(str(i % 97).encode()).hexdigest()[: i % 11 + 3] for i in range(60_000)]
+    arcs = fresh_path(spark, "arcs")
+    archives.write_arcs(spark.createDataFrame([(1, "u", " ".join(words), "", "", 0)], SCHEMA).coalesce(1), arcs)
+    (raw,) = (bytes(r.content) for r in spark.read.format("binaryFile").load(arcs).collect() if r.content)
+    whole = gzip.decompress(raw)
+    # packed as by the writer's level, not by the default
+    assert len(gzip.compress(whole, 6)) < 0.98 * len(raw) < len(raw) < 0.5 * len(whole)
+
+
 def test_empty_table(spark):
     assert archives.archived(spark.createDataFrame([], SCHEMA)).count() == 0
