@@ -10,7 +10,7 @@ from courtside.functions import scalars as fn
 from courtside.functions.ordering import earliest_first, latest_first
 from courtside.operators.windows import by_month, global_previous, in_ranges, latest_by, previous, rolling, with_group_stats
 from courtside.plans.control import EXHIBITION_TEAMS, FINAL
-from courtside.session import settle
+from courtside.session import passing, settle
 from courtside.sources.schemas import HUSTLE_STATS, OPPONENT_STATS
 
 # Defence categories and the columns that average them.
@@ -200,9 +200,12 @@ def schedule_from_facts(
 
 
 def schedule(
-    games: DataFrame, teams: DataFrame, facts: DataFrame, history: DataFrame, players: DataFrame
+    games: DataFrame, teams: DataFrame, facts: DataFrame, history: DataFrame, players: DataFrame, players_only: bool = False
 ) -> DataFrame:
-    """Finished games from the facts; open games from each player's latest team of the season."""
+    """Finished games from the facts; open games from each player's latest team of the season.
+
+    A game of which nobody is known has a row without a player; ``players_only`` leaves it out.
+    """
     played = (
         games.where(F.col("game_status") == FINAL)
         .select(F.col("id").alias("game_id"), "game_code", "game_date", "game_status")
@@ -231,8 +234,12 @@ def schedule(
     person = players.where("is_rec_active").select(
         F.col("id").alias("player_id"), "first_name", "last_name", "birthdate"
     )
+    found = played.unionByName(waiting)
+    if players_only:
+        found = found.where(F.col("player_id").isNotNull())
     return (
-        played.unionByName(waiting)
+        # the shuffles that find the players leave the disk before those of the names come
+        settle(found, "legs")
         .join(team.withColumn("_known", F.col("team_id")), "team_id", "left")
         .join(rival.withColumn("_opp_known", F.col("opp_team_id")), "opp_team_id", "left")
         .join(person, "player_id", "left")
@@ -306,11 +313,17 @@ def news_of_the_day(news: DataFrame, tie: Sequence[str] = ("headline",)) -> Data
     return latest_by(parsed_news(news), ["playerid", "dt"], earliest_first("priority", *tie))
 
 
+# Columns of the schedule that playing time is worked out from.
+SCHEDULED = (
+    "player_id", "game_id", "game_date", "season", "team_id", "team_abbreviation", "opp_team_id", "opp_team_abbreviation", "created_at",
+)
+
+
 def _appeared(schedule_rows: DataFrame, facts: DataFrame, players: DataFrame) -> DataFrame:
     """Schedule rows of active players with their box-score line, when there is one."""
     person = players.where("is_rec_active").select(F.col("id").alias("player_id"), "display_first_last", "pos")
     line = facts.select("player_id", "game_id", "start_position", "seconds", "comment")
-    return schedule_rows.join(person, "player_id").join(line, ["player_id", "game_id"], "left")
+    return schedule_rows.select(*SCHEDULED).join(person, "player_id").join(line, ["player_id", "game_id"], "left")
 
 
 def _player_windows(rows: DataFrame, averages: bool) -> DataFrame:
@@ -333,15 +346,17 @@ def _one_per_day(rows: DataFrame) -> DataFrame:
 def player_time(schedule_rows: DataFrame, facts: DataFrame, players: DataFrame, news: DataFrame) -> DataFrame:
     """Rolling playing time of every player and game day, the share of the position's time, and
     the injury flag from the player's latest news."""
-    # three steps read these rows: position totals, and both passes of the player windows
-    rows = settle(_appeared(schedule_rows, facts, players), "appeared")
-    totals = position_time(rows)
+    with passing(schedule_rows.sparkSession):
+        # three steps read these rows: position totals, and both passes of the player windows
+        rows = settle(_appeared(schedule_rows, facts, players), "appeared")
+        # the shuffles of a step leave the disk before those of the next come
+        totals = settle(position_time(rows), "position-time", stays=True)
+        timed = settle(_one_per_day(settle(_player_windows(rows, averages=True), "rolled")), "timed", stays=True)
     # ids that differ in padding only are one player here
     item = latest_by(
         latest_news(news), ["player_id"], [*latest_first("tm"), *earliest_first("priority", "headline")]
     ).select("player_id", "injured", *INJURY_DETAILS, F.col("listitemcaption").alias("caption"))
     day = ["season", "team_id", "game_date", "pos"]
-    timed = _one_per_day(_player_windows(rows, averages=True))
     return (
         timed.join(_per_day(totals, day), day, "left")
         .join(item, "player_id", "left")

@@ -16,7 +16,7 @@ from courtside.functions.ordering import latest_first
 from courtside.operators.scd2 import scd2
 from courtside.operators.windows import by_month, latest_by, previous
 from courtside.plans import marts
-from courtside.session import settle
+from courtside.session import passing, settle
 from courtside.sources import published
 from courtside.sources.landing import conform
 from courtside.sources.schemas import compared_columns, dim_player
@@ -58,18 +58,22 @@ def player_game_facts(player_box: DataFrame, games: DataFrame, players: DataFram
     )
     started = F.filter("versions", lambda v: v["rec_start_date"] <= F.col("game_date"))
     version = F.coalesce(F.get(F.reverse(started), F.lit(0)), F.get("versions", F.lit(0)))["dim_player_guid"]
-    return (
+    # the shuffles that find the games leave the disk before that of the players comes
+    lines = settle(
         latest_by(player_box, ["game_id", "player_id"], latest_first("_create_date"))
         .join(known, "game_id")
-        .join(versions, "player_id", "left")
-        .withColumn("dim_player_guid", version)
         .select(
-            "game_id", "player_id", "dim_player_guid", "season", "team_id", "team_abbreviation",
+            "game_id", "player_id", "season", "team_id", "team_abbreviation",
             F.when(home, "H").otherwise("V").alias("team_loc"),
             F.when(home, F.col("visitor_team_id")).otherwise(F.col("home_team_id")).alias("opp_team_id"),
             F.when(home, "V").otherwise("H").alias("opp_team_loc"),
             "game_date", "seconds", "start_position", "comment", *fn.FANTASY_WEIGHTS,
-        )
+        ),
+        "lines",
+    )
+    first, *others = [c for c in lines.columns if c not in ("game_id", "player_id")]
+    return lines.join(versions, "player_id", "left").select(
+        "game_id", "player_id", version.alias("dim_player_guid"), first, *others
     )
 
 
@@ -135,7 +139,9 @@ def refresh_all(
     def write(table: str, rows: Callable[[], DataFrame], part: str, parts: Sequence[str] | None, adds: Sequence[str] = ()) -> DataFrame:
         counts[table] = 0
         if not done(table):
-            counts[table] = published.publish_parts(rows(), root, table, version, part, parts, REQUIRED.get(table, ()), adds)
+            # what a table is worked out from leaves the disk once the table is published
+            with passing(spark):
+                counts[table] = published.publish_parts(rows(), root, table, version, part, parts, REQUIRED.get(table, ()), adds)
         return published.read_parts(spark, root, table, version)
 
     def versioned(table: str, source: Callable[[], DataFrame], history: bool) -> DataFrame:
@@ -169,8 +175,8 @@ def refresh_all(
 
     def listed() -> DataFrame:
         roster = history.select(F.col("id").alias("player_id"), "season", "team_id", "rec_start_date")
-        # the lag reads the rows twice
-        rows = settle(marts.schedule(games, teams, facts, roster, people), "schedule")
+        # the lag reads the rows twice; a leg without a player is no row of the table
+        rows = settle(marts.schedule(games, teams, facts, roster, people, players_only=True), "schedule")
         if seasons is None or before is None:
             return player_schedule_dimension(rows, as_of)
         # the days of rest of a player's first game need the games of other seasons

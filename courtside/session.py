@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +29,12 @@ RUNTIME = {
 # A session that was given less keeps it.
 TASK_BYTES = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20, "spark.sql.files.maxPartitionBytes": 32 << 20}
 
+# Lets an execution remove its shuffle files when it ends.
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# Paths settled in each open ``passing`` block, the innermost last.
+_passing: ContextVar[tuple[list[str], ...]] = ContextVar("_passing", default=())
+
 
 def build(app: str = "courtside", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the runtime settings; ``conf`` keys use ``__`` for dots."""
@@ -82,12 +91,49 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes inside remove their shuffle files when they end.
+
+    Otherwise these files stay until the driver happens to collect its garbage, so a run of many writes holds the shuffles
+    of all. For writes only: a DataFrame that is run again would have to make its removed files again.
+    """
+    before = spark.conf.get(FREES_SHUFFLES, None)
+    spark.conf.set(FREES_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREES_SHUFFLES)
+        else:
+            spark.conf.set(FREES_SHUFFLES, before)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside are removed at the end, also when it fails; by then whatever reads them must have been written."""
+    paths: list[str] = []
+    outer = _passing.set((*_passing.get(), paths))
+    try:
+        yield
+    finally:
+        _passing.reset(outer)
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settle(df: DataFrame, label: str, stays: bool = False) -> DataFrame:
     """Write rows that several later steps read, and go on from the written table.
 
     Cuts the lineage in the shared folder, so a lost executor does not repeat the joins
-    above; readers prune columns and know the true size.
+    above; readers prune columns and know the true size. The shuffles above leave the disk
+    with the write. ``stays`` keeps the table beyond the innermost ``passing`` block.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    blocks = _passing.get()[:-1] if stays else _passing.get()
+    if blocks:
+        blocks[-1].append(path)
+    with freeing_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

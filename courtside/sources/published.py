@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
+from courtside.session import freeing_shuffles
+
 VERSION = "_version"
 _ENTRY = "at long, version string, part_column string, part string, adds boolean, body string"
 
@@ -54,7 +56,8 @@ def publish_parts(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(part).cast("string")).alias("parts"),
         *[F.count_if(F.col(c).isNull()).alias(f"no {c}") for c in checked],
     )
-    observed.write.mode("overwrite").partitionBy(part).parquet(f"{root}/{table}/{VERSION}={version}")
+    with freeing_shuffles(spark):
+        observed.write.mode("overwrite").partitionBy(part).parquet(f"{root}/{table}/{VERSION}={version}")
     found = seen.get
     broken = {c: found[f"no {c}"] for c in checked if found[f"no {c}"]}
     if broken:
