@@ -148,8 +148,10 @@ def global_previous(
     # the newest row under a prefix is the greatest struct in order; its value rides along
     newest = F.max(F.struct(*levels[-1], *order, F.col(value).alias("_value"))).alias("_last")
     summaries = [settle(rows.groupBy(*levels[-1]).agg(newest), "last-rows")]
-    for level in reversed(levels[:-1]):
-        summaries.insert(0, summaries[0].groupBy(*level).agg(F.max("_last").alias("_last")))
+    for level in reversed(levels[1:-1]):
+        # every level reads the one below it, so each is worked out once
+        summaries.insert(0, settle(summaries[0].groupBy(*level).agg(F.max("_last").alias("_last")), "last-rows"))
+    summaries.insert(0, summaries[0].groupBy(*levels[0]).agg(F.max("_last").alias("_last")))
 
     carried = None
     for depth, summary in enumerate(summaries):

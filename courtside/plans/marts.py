@@ -495,19 +495,9 @@ def played_game_features(
         schedule_rows.where(F.col("game_date") <= as_of)
         .join(line, ["game_id", "player_id"])
         .withColumn("fdpts", fn.fantasy_points())
+        .drop(*fn.FANTASY_WEIGHTS)
     )
-    # the lag reads the rows twice: for the block tails and for the rows themselves
-    averaged = settle(with_group_stats(scored, ["player_id", "season"], avg_fdpts=F.avg("fdpts")), "scored")
     order = ["game_date", "game_id"]
-    if across_players:
-        team = ["season", "team_id"]
-        band = [*team, "_players"]
-        rested = global_previous(
-            averaged.withColumn("_players", in_ranges("player_id", 4096)), [team, band, [*band, "player_id"]], order, "game_date",
-            "_prev", block=by_month("game_date"),
-        ).drop("_players")
-    else:
-        rested = previous(averaged, ["player_id"], order, "game_date", "_prev", block=by_month("game_date"))
     person = players.where("is_rec_active").select(
         F.col("id").alias("player_id"), F.col("display_first_last").alias("player"), "birthdate", "nba_pos",
         F.col("fd_pos").alias("_own_fd_pos"),
@@ -519,20 +509,37 @@ def played_game_features(
         "season", F.col("team").alias("opp_team_abbreviation"), F.col("fd_pos").alias("_own_fd_pos"),
         F.col("avg_norm_plusminus").alias("opp_pos_plusminus"),
     )
-    return (
-        rested.join(person, "player_id", "left")
-        .join(fantasy_positions.select("player_id", "fd_pos"), "player_id", "left")
-        .join(rival, ["game_id", "opp_team_id"], "left")
-        .join(allowed, ["season", "opp_team_abbreviation", "_own_fd_pos"], "left")
-        .select(
-            "player", F.col("team_loc").alias("loc"), F.col("team_abbreviation").alias("team"),
-            F.col("opp_team_abbreviation").alias("opponent"), F.col("opp_team_loc").alias("opp_loc"), "game_date",
-            fn.age_days("game_date", "birthdate").alias("age_in_days"), "nba_pos", "fd_pos",
-            fn.month_label("game_date").alias("mnth"), fn.weekday_label("game_date").alias("dow"),
-            F.col("season").alias("season_str"), fn.zero_to_null("seconds").alias("seconds"),
-            "fdpts", "avg_fdpts", fn.days_rest("game_date", "_prev").alias("player_days_rest"), "opp_pos_plusminus",
-            *[F.col(f"_opp_{c}").alias(c) for c in opponent_stats],
+    # each step is written, so that its shuffles leave the disk before those of the next come; the team numbers, the widest, come last
+    with passing(schedule_rows.sparkSession):
+        allowed = settle(allowed, "allowed")
+        # the lag reads the rows twice: for the block tails and for the rows themselves
+        averaged = settle(with_group_stats(scored, ["player_id", "season"], avg_fdpts=F.avg("fdpts")), "scored")
+        if across_players:
+            team = ["season", "team_id"]
+            band = [*team, "_players"]
+            rested = global_previous(
+                averaged.withColumn("_players", in_ranges("player_id", 4096)), [team, band, [*band, "player_id"]], order, "game_date",
+                "_prev", block=by_month("game_date"),
+            ).drop("_players")
+        else:
+            rested = previous(averaged, ["player_id"], order, "game_date", "_prev", block=by_month("game_date"))
+        named = settle(
+            rested.join(person, "player_id", "left")
+            .join(fantasy_positions.select("player_id", "fd_pos"), "player_id", "left")
+            .join(allowed, ["season", "opp_team_abbreviation", "_own_fd_pos"], "left")
+            .select(
+                "game_id", "opp_team_id", "player", F.col("team_loc").alias("loc"), F.col("team_abbreviation").alias("team"),
+                F.col("opp_team_abbreviation").alias("opponent"), F.col("opp_team_loc").alias("opp_loc"), "game_date",
+                fn.age_days("game_date", "birthdate").alias("age_in_days"), "nba_pos", "fd_pos", F.col("season").alias("season_str"),
+                fn.zero_to_null("seconds").alias("seconds"), "fdpts", "avg_fdpts",
+                fn.days_rest("game_date", "_prev").alias("player_days_rest"), "opp_pos_plusminus",
+            ),
+            "named", stays=True,
         )
+    return named.join(rival, ["game_id", "opp_team_id"], "left").select(
+        "player", "loc", "team", "opponent", "opp_loc", "game_date", "age_in_days", "nba_pos", "fd_pos",
+        fn.month_label("game_date").alias("mnth"), fn.weekday_label("game_date").alias("dow"), "season_str", "seconds",
+        "fdpts", "avg_fdpts", "player_days_rest", "opp_pos_plusminus", *[F.col(f"_opp_{c}").alias(c) for c in opponent_stats],
     )
 
 

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courtside.plans import marts, refresh
+from courtside.queries import QUERIES
 from courtside.queries.league import TABLES, League
 from courtside.queries.refreshing import landed_tables
 from courtside.session import FREES_SHUFFLES, passing, ready, settle, shared_dir
@@ -108,3 +109,19 @@ def test_legs_without_a_player_are_left_out_early(spark):
     assert whole.where("player_id is null").count() == 2
     assert sorted(map(str, listed.collect())) == sorted(map(str, whole.where("player_id is not null").collect()))
     assert sorted((r.game_id, r.player_id, r.team_loc) for r in listed.collect()) == [(1, 7, "H"), (3, 8, "V")]
+
+
+def test_team_numbers_are_the_last_shuffle_of_features(spark, tables):
+    before, size = settled(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = QUERIES["played_game_features_across"](spark, tables)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert plan.count("Exchange") == plan.count("Exchange hashpartitioning(game_id") == 2
+    # games, box scores and the rows are still read
+    assert {n.split("-")[0] for n in settled(spark) - before} == {"games", "box", "named"}
+    assert len(settled(spark) - before) == 3
+    # the tenth game is after the last day asked for
+    assert sorted(r.pts for r in rows.collect()) == [100.0 * n for n in range(1, 10)]
